@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from watchloom.llm.bpe import op5_byte_bpe
+from watchloom.llm.jaccard import op8_parity_join
 from watchloom.llm.media import op2_media_columns
 from watchloom.llm.mixing import op1_cube_mix
 from watchloom.llm.sharding import op7_histogram_shards
 from watchloom.llm.warc import op4_warc_revisits
 
-QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_media_columns, op4_warc_revisits, op5_byte_bpe, op7_histogram_shards)}
+QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_media_columns, op4_warc_revisits, op5_byte_bpe, op7_histogram_shards, op8_parity_join)}
 
 #: WARC-backed result, as the contract words it.
 ORACLE = {
