@@ -166,3 +166,18 @@ def slice_of(bounds: list[int], key: str = "key") -> Column:
         return pd.Series(below(keys_of(pa.array(k, pa.binary())), edges).astype("int32"))
 
     return find(F.col(key)) if bounds else F.lit(0)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int, where: Column | None = None) -> DataFrame:
+    """text and label of at most `most` labelled documents, those of lowest hash of the id; the bound makes the broadcast safe."""
+    own = labels.select(F.col("doc_id").alias("_id"), F.col(column).cast("int").alias("label")).where("label is not null and _id is not null")
+    own = own.groupBy("_id").agg(F.max("label").alias("label"))
+    if where is not None:
+        own = own.where(where)
+    few = own.orderBy(F.xxhash64("_id"), "_id").limit(most)
+    return docs.join(F.broadcast(few), docs["doc_id"] == few["_id"]).select(docs["text"], "label")
+
+
+def bucket_of(doc_id: Column, modulus: int) -> Column:
+    """crc32 of the id as text, modulo; a null id counts as empty text."""
+    return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus).cast("int")
