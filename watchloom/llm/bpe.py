@@ -227,11 +227,15 @@ def decode(coded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     return coded.withColumn("decoded", raw("ids"))
 
 
-def op5_byte_bpe(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001
+def digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, by the public 50k vocabulary."""
     import public_tokenizers
 
-    docs = need(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
     at = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = encode(docs, *at).select("doc_id", "ids")
+    ids = encode(need(docs, "doc_id", "text"), *at).select("doc_id", "ids")
     back = decode(ids, *at)
     return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_byte_bpe(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001
+    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchloom.llm.common import materialise, need, pieces, prepare
+from watchloom.llm.mixing import WORD
 from watchloom.llm.words import U, mix64, shingles, words_of
 
 #: Bits of a sketch block, as a power of 2.
@@ -90,13 +91,14 @@ def batch(names: list[str], *columns) -> pa.RecordBatch:  # noqa: ANN002
 
 
 def members(docs: DataFrame, width: int = 5) -> DataFrame:
-    """doc_id, n, cid of every document; cid is the identity of its set."""
+    """doc_id, mark, n, cid of every document; cid is the identity of its set, mark a hash of its text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, sets in each_set(batches, width):
-            yield batch(["doc_id", "n", "cid"], b.column("doc_id"), np.array([len(s) for s in sets], np.int64), np.array([identity(s) for s in sets], np.int64))
+            yield batch(["doc_id", "mark", "n", "cid"], b.column("doc_id"), b.column("mark"), np.array([len(s) for s in sets], np.int64), np.array([identity(s) for s in sets], np.int64))
 
-    return need(docs, "doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, cid long")
+    rows = need(docs, "doc_id", "text").withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, mark long, n long, cid long")
 
 
 def shared_blocks(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -291,8 +293,8 @@ def across(shared: DataFrame, label: DataFrame, tested: DataFrame) -> DataFrame:
     return found.join(tested, ["a", "b"], "left_anti")
 
 
-def join(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def grouped(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, mark, n, cid, comp of every row; comp is the same for all rows that links connect."""
     prepare(docs.sparkSession)
     m = materialise(members(docs, width))
     shared = materialise(shared_blocks(docs, width, percent))
@@ -303,10 +305,25 @@ def join(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
     more = materialise(verified(across(shared, label, first), sets, percent))
     if more.limit(1).count():
         label = components(links.union(more))
-    m = m.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    return m.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+
+
+def join(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    m = grouped(docs, width=width, percent=percent)
     least = m.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return m.join(least, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def distinct_documents(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, in the columns of docs: that of the smallest id (null ids last); blank ones all stay."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    key = lambda d, m: F.to_json(F.struct(d.alias("d"), m.alias("m"))).alias("_key")
+    keep = grouped(docs, width=width, percent=percent).where("n > 0").groupBy("comp").agg(first).select(key(F.col("first.doc_id"), F.col("first.mark")))
+    blank = F.regexp_count(F.coalesce(docs["text"], F.lit("")), F.lit(WORD)) == 0
+    rows = docs.where(~blank).select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), key(docs["doc_id"], F.xxhash64(docs["text"])))
+    return rows.join(keep, "_key").dropDuplicates(["_key"]).select("_row.*").unionByName(docs.where(blank))
+
+
 def op8_parity_join(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001
     return join(spark.read.parquet(f"{sf_dir}/documents.parquet"))

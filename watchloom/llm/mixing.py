@@ -18,7 +18,7 @@ from __future__ import annotations
 import random
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchloom.llm.common import materialise, need, prepare, ranked
@@ -128,8 +128,8 @@ def balanced(units: DataFrame, *, bucket_rows: int = 256, seed: int = 7) -> Data
         most = units.groupBy("source").count().agg(F.max("count")).first()[0] or 0
 
 
-def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, bucket_rows: int = 256, seed: int = 7) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies: how often each document of (doc_id, source, text) is in the mix."""
+def draw(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, bucket_rows: int = 256, seed: int = 7) -> DataFrame:
+    """doc_id, source, size, rows, source_size, target, total: how many copies of these equal rows are in the mix."""
     prepare(docs.sparkSession)
     rows = need(docs, "doc_id", "source", "text").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     facts = materialise(rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")))
@@ -142,11 +142,29 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), share: float
     u = u.withColumn("sure", sure.cast("long")).withColumn("open", F.greatest(F.col("want") - F.col("sure"), F.lit(0.0))).drop("want")
     u = materialise(u)
     drawn = balanced(u.where("open > 1e-12 and size > 0"), bucket_rows=bucket_rows, seed=seed).unionByName(u.where("not (open > 1e-12 and size > 0)").withColumn("open", F.lit(0.0)))
-    total = F.col("sure") + F.col("open").cast("long")
+    return drawn.select("doc_id", "source", "size", "rows", "source_size", "target", (F.col("sure") + F.col("open").cast("long")).alias("total"))
+
+
+def nth_copies(n: Column) -> Column:
+    """Copies of the n-th (from 0) of `rows` equal rows that share `total` copies."""
+    return (F.floor(F.col("total") / F.col("rows")) + F.when(n < F.col("total") % F.col("rows"), 1).otherwise(0)).cast("long")
+
+
+def mix(docs: DataFrame, **how) -> DataFrame:  # noqa: ANN003
+    """doc_id, source, size, source_size, target, copies: one row a document, how often it is in the mix."""
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1))
-    out = drawn.select("doc_id", "source", "size", "source_size", "target", "rows", total.alias("total"), each.alias("n"))
-    copies = F.floor(F.col("total") / F.col("rows")) + F.when(F.col("n") < F.col("total") % F.col("rows"), 1).otherwise(0)
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
+    out = draw(docs, **how).withColumn("n", each)
+    return out.select("doc_id", "source", "size", "source_size", "target", nth_copies(F.col("n")).alias("copies"))
+
+
+def mixed(docs: DataFrame, **how) -> DataFrame:  # noqa: ANN003
+    """The documents of the mix, with repeats, in the columns of docs."""
+    key = lambda size: F.to_json(F.struct("doc_id", "source", size.alias("size"))).alias("_key")
+    units = draw(docs, **how).where("total > 0").select(key(F.col("size")), "rows", "total")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), key(word_count(docs["text"])))
+    rows = rows.join(units, "_key").withColumn("_n", F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("_row.text"))) - 1)
+    rows = rows.withColumn("_copies", nth_copies(F.col("_n"))).where("_copies > 0")
+    return rows.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy")).select("_row.*")
 
 
 def op1_cube_mix(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001

@@ -138,6 +138,11 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], *, at: int | No
     return docs.mapInArrow(run, f"{out}, expected_grade double, tail_probability double")
 
 
+def selected(docs: DataFrame, labels: DataFrame, *, keep: float = KEEP) -> DataFrame:
+    """The documents whose tail probability reaches `keep`, in the columns of docs."""
+    return score(docs, train(docs, labels)).where(F.col("tail_probability") >= keep).select(*docs.columns)
+
+
 def op6_ordinal_quality(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     found = score(need(docs, "doc_id", "text"), train(docs, labels))

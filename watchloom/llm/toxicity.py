@@ -285,6 +285,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(run, f"{out}, toxicity double, toxic_spans array<struct<start:long,stop:long,p:double>>")
 
 
+def clean(docs: DataFrame, labels: DataFrame, *, most: float = THRESHOLD) -> DataFrame:
+    """The documents that score below `most`, in the columns of docs."""
+    return score(docs, train(docs, labels)).where(F.col("toxicity") < most).select(*docs.columns)
+
+
 def op10_crf_toxicity(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     found = score(need(docs, "doc_id", "text"), train(docs, labels))
