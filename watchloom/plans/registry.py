@@ -2,5 +2,557 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from watchloom import schemas
+from watchloom.functions import links, web
+from watchloom.operators import enrich, failures, ingest, pages, reports, signals, state
+from watchloom.plans import feeds
+from watchloom.plans.feeds import AS_OF, ORDER, R, T, V, W
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its name, with its SQL if there is one."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def wait_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.checked(feeds.watch_entries(spark, sf_dir))
+
+
+def pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.table(spark, sf_dir, "pages")
+
+
+# --- scans, projections, predicates --------------------------------------------------------------
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE 'u' || user_id END AS respondent_id FROM events")
+def respondent_from_filename(spark, sf_dir):
+    e = feeds.table(spark, sf_dir, "events")
+    name = F.concat(F.lit("/inbox/assignment=1_"), F.when(F.col("event_id") % 5 == 0, "source=x").otherwise(F.concat(F.lit("participant=u"), F.col("user_id").cast("string"), F.lit("_source=x"))), F.lit("_key=1.json"))
+    return e.select("event_id", links.respondent_id(name).alias("respondent_id"))
+
+
+@query(f"WITH {W} SELECT event_id, dup, link_class, video_id FROM w")
+def link_classify(spark, sf_dir):
+    return wait_entries(spark, sf_dir).select("event_id", "dup", "link_class", "video_id")
+
+
+@query(f"WITH {W} SELECT event_id, dup, watched_at FROM w")
+def watched_at_parse(spark, sf_dir):
+    return wait_entries(spark, sf_dir).select("event_id", "dup", "watched_at")
+
+
+@query(f"WITH {W} SELECT event_id, dup, respondent_id, video_id, watched_at FROM valid")
+def watch_entries_valid(spark, sf_dir):
+    return wait_entries(spark, sf_dir).where("skip_reason is null").select("event_id", "dup", "respondent_id", "video_id", "watched_at")
+
+
+@query(f"""WITH {W} SELECT CAST(0 AS BIGINT) AS files_processed, count(DISTINCT CASE WHEN skip_reason IS NULL THEN video_id END) AS unique_videos_seen,
+count(*) FILTER (WHERE skip_reason IS NULL) AS watch_history_rows_processed, count(*) FILTER (WHERE skip_reason = 'short_link') AS short_links_skipped,
+count(*) FILTER (WHERE skip_reason = 'invalid_url') AS invalid_urls_skipped, count(*) FILTER (WHERE skip_reason = 'bad_date') AS date_parse_failures,
+count(*) FILTER (WHERE skip_reason IS NULL) - (SELECT count(*) FROM (SELECT DISTINCT respondent_id, video_id, watched_at FROM valid)) AS watch_history_duplicates FROM w""")
+def ingest_stats(spark, sf_dir):
+    return ingest.ingest(feeds.watch_entries(spark, sf_dir), schemas.empty(spark, "videos"), schemas.empty(spark, "watch_history"), as_of=AS_OF, order=ORDER).stats
+
+
+@query(f"""WITH {W}, f AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY ts, event_id, dup) AS rn FROM valid)
+SELECT video_id, link AS source_url, true AS canonical, 'pending' AS status, 0 AS attempt_count, 1707000000 AS first_seen_at, 1707000000 AS updated_at FROM f WHERE rn = 1""")
+def videos_ingest(spark, sf_dir):
+    """Half of the entries are there already; the other half adds its new videos."""
+    e, none_v, none_w = feeds.watch_entries(spark, sf_dir), schemas.empty(spark, "videos"), schemas.empty(spark, "watch_history")
+    done = ingest.ingest(e, none_v, none_w, as_of=AS_OF, order=ORDER)
+    again = ingest.ingest(e.where("event_id % 2 = 0"), done.videos, done.watch_history, as_of=AS_OF + 1, order=ORDER)
+    return again.videos.select("video_id", "source_url", "canonical", "status", "attempt_count", "first_seen_at", "updated_at")
+
+
+@query(f"WITH {W} SELECT DISTINCT respondent_id, video_id, watched_at, true AS in_window FROM valid")
+def watch_history_ingest(spark, sf_dir):
+    e = feeds.watch_entries(spark, sf_dir)
+    first = ingest.ingest(e.where("event_id % 2 = 0"), schemas.empty(spark, "videos"), schemas.empty(spark, "watch_history"), as_of=AS_OF, order=ORDER)
+    return ingest.ingest(e, first.videos, first.watch_history, as_of=AS_OF + 1, order=ORDER).watch_history
+
+
+@query(f"WITH {V} SELECT DISTINCT respondent_id, video_id, watched_at FROM valid WHERE CAST(video_id AS BIGINT) % 5 = 0")
+def orphan_watch_rows(spark, sf_dir):
+    valid = wait_entries(spark, sf_dir).where("skip_reason is null").select("respondent_id", "video_id", "watched_at").distinct()
+    return ingest.orphans(valid, feeds.videos(spark, sf_dir).where("status <> 'pending'"))
+
+
+@query(f"WITH {V} SELECT right(video_id, 2) AS shard, count(*) AS n, count(*) BETWEEN 0.5 * avg(count(*)) OVER () AND 1.5 * avg(count(*)) OVER () AS even FROM v GROUP BY 1")
+def shard_counts(spark, sf_dir):
+    return reports.shard_counts(feeds.videos(spark, sf_dir))
+
+
+@query(f"WITH {T} SELECT doc_id, count(*) AS n_samples, count(*) / 16000.0 AS duration_s FROM tokens GROUP BY doc_id")
+def duration_from_samples(spark, sf_dir):
+    """Tokens stand for samples."""
+    n = F.size(signals.flat_tokens(F.col("segments")))
+    return feeds.artifacts(spark, sf_dir).select("doc_id", n.cast("long").alias("n_samples"), (n / float(enrich.RATE)).alias("duration_s")).where("n_samples > 0")
+
+
+@query("SELECT 'v' || (event_id % 3) AS value FROM events WHERE 'k' || event_id = 'k7'")
+def meta_lookup(spark, sf_dir):
+    meta = feeds.table(spark, sf_dir, "events").select(F.concat(F.lit("k"), F.col("event_id").cast("string")).alias("key"), F.concat(F.lit("v"), (F.col("event_id") % 3).cast("string")).alias("value"))
+    return schemas.meta_value(meta, "k7")
+
+
+@query(f"""WITH {V} SELECT video_id, status, attempt_count, CAST(NULL AS VARCHAR) AS last_retryable_kind, CAST(NULL AS VARCHAR) AS last_retryable_message,
+CAST(NULL AS VARCHAR) AS terminal_reason, CAST(NULL AS VARCHAR) AS terminal_message FROM v""")
+def schema_upgrade(spark, sf_dir):
+    old = feeds.videos(spark, sf_dir).drop(*schemas.ADDED_IN_2)
+    new, _ = schemas.upgrade(old, schemas.empty(spark, "meta"))
+    return new.select("video_id", "status", "attempt_count", *schemas.ADDED_IN_2)
+
+
+@query(f"WITH {V} SELECT video_id, status FROM v WHERE status = 'failed_terminal'")
+def status_violations(spark, sf_dir):
+    """One status is spelt wrong on purpose."""
+    v = feeds.videos(spark, sf_dir).withColumn("real", F.col("status")).withColumn("status", F.when(F.col("status") == "failed_terminal", "failed").otherwise(F.col("status")))
+    return schemas.status_violations(v).select("video_id", F.col("real").alias("status"))
+
+
+# --- state ---------------------------------------------------------------------------------------
+
+
+@query(f"WITH {V} SELECT video_id, source_url, attempt_count, first_seen_at FROM v WHERE status = 'pending' ORDER BY first_seen_at, video_id LIMIT 50")
+def pending_queue(spark, sf_dir):
+    return state.pending_queue(feeds.videos(spark, sf_dir), 50)
+
+
+@query(f"""WITH {V}, q AS (SELECT video_id, row_number() OVER (ORDER BY first_seen_at, video_id) - 1 AS nth FROM v WHERE status = 'pending' ORDER BY first_seen_at, video_id LIMIT 50)
+SELECT v.video_id, CASE WHEN nth IS NULL THEN status ELSE 'in_progress' END AS status, CASE WHEN nth IS NULL THEN claimed_by ELSE ['a', 'b', 'c'][CAST(nth % 3 + 1 AS INTEGER)] END AS claimed_by,
+CASE WHEN nth IS NULL THEN claimed_at ELSE 1707000000 END AS claimed_at, attempt_count + CASE WHEN nth IS NULL THEN 0 ELSE 1 END AS attempt_count,
+CASE WHEN nth IS NULL THEN updated_at ELSE 1707000000 END AS updated_at FROM v LEFT JOIN q USING (video_id)""")
+def claim_batch(spark, sf_dir):
+    return state.claim_batch(feeds.videos(spark, sf_dir), 50, ["a", "b", "c"], AS_OF)[0].select("video_id", "status", "claimed_by", "claimed_at", "attempt_count", "updated_at")
+
+
+@query(f"""WITH {R} SELECT v.video_id, CASE WHEN w.changed = 1 THEN 'succeeded' ELSE status END AS status, claimed_by, claimed_at,
+CASE WHEN w.changed = 1 THEN 1707000000 ELSE succeeded_at END AS succeeded_at, CASE WHEN w.changed = 1 THEN w.duration_s ELSE v.duration_s END AS duration_s,
+CASE WHEN w.changed = 1 THEN 'nl' ELSE language_detected END AS language_detected, CASE WHEN w.changed = 1 THEN 1707000000 ELSE updated_at END AS updated_at
+FROM v LEFT JOIN won w USING (video_id)""")
+def mark_succeeded(spark, sf_dir):
+    v = feeds.videos(spark, sf_dir)
+    return state.mark_succeeded(v, feeds.requests(v), AS_OF).videos.select("video_id", "status", "claimed_by", "claimed_at", "succeeded_at", "duration_s", "language_detected", "updated_at")
+
+
+FAILED = """WITH {r} SELECT v.video_id, CASE WHEN w.changed = 1 THEN '{status}' ELSE status END AS status, CASE WHEN w.changed = 1 THEN NULL ELSE claimed_by END AS claimed_by,
+CASE WHEN w.changed = 1 THEN NULL ELSE claimed_at END AS claimed_at, CASE WHEN w.changed = 1 THEN w.kind ELSE {kind} END AS {kind},
+CASE WHEN w.changed = 1 THEN w.message ELSE {message} END AS {message}, {other} FROM v LEFT JOIN won w USING (video_id)"""
+
+
+@query(FAILED.format(r=R, status="failed_retryable", kind="last_retryable_kind", message="last_retryable_message", other="terminal_reason"))
+def mark_retryable(spark, sf_dir):
+    v = feeds.videos(spark, sf_dir)
+    return state.mark_retryable(v, feeds.requests(v), AS_OF).videos.select("video_id", "status", "claimed_by", "claimed_at", "last_retryable_kind", "last_retryable_message", "terminal_reason")
+
+
+@query(FAILED.format(r=R, status="failed_terminal", kind="terminal_reason", message="terminal_message", other="last_retryable_kind"))
+def mark_terminal(spark, sf_dir):
+    v = feeds.videos(spark, sf_dir)
+    return state.mark_terminal(v, feeds.requests(v), AS_OF).videos.select("video_id", "status", "claimed_by", "claimed_at", "terminal_reason", "terminal_message", "last_retryable_kind")
+
+
+@query(f"""WITH {V}, s AS (SELECT *, status = 'in_progress' AND claimed_at < 1707000000 - 1800 AS stale FROM v)
+SELECT video_id, CASE WHEN stale THEN 'pending' ELSE status END AS status, CASE WHEN NOT coalesce(stale, false) THEN claimed_by END AS claimed_by,
+CASE WHEN NOT coalesce(stale, false) THEN claimed_at END AS claimed_at, attempt_count FROM s""")
+def sweep_stale(spark, sf_dir):
+    return state.sweep_stale(feeds.videos(spark, sf_dir), AS_OF)[0].select("video_id", "status", "claimed_by", "claimed_at", "attempt_count")
+
+
+@query(f"""WITH {R}, q AS (SELECT video_id, row_number() OVER (ORDER BY first_seen_at, video_id) - 1 AS nth FROM v WHERE status = 'pending' ORDER BY first_seen_at, video_id LIMIT 50),
+e AS (SELECT video_id, 1707000000 AS at_s, 'claimed' AS event_type, ['a', 'b', 'c'][CAST(nth % 3 + 1 AS INTEGER)] AS worker_id, CAST(NULL AS VARCHAR) AS kind FROM q
+UNION ALL SELECT video_id, 1707000000, 'failed_retryable', worker_id, kind FROM won)
+SELECT CAST(row_number() OVER (ORDER BY at_s, video_id, event_type) AS BIGINT) AS id, * FROM e""")
+def video_history(spark, sf_dir):
+    """The log of a claim run and a failure run, in id order."""
+    v = feeds.videos(spark, sf_dir)
+    _, _, claimed = state.claim_batch(v, 50, ["a", "b", "c"], AS_OF)
+    log = state.append_events(schemas.empty(spark, "video_events"), claimed.unionByName(state.mark_retryable(v, feeds.requests(v), AS_OF).events))
+    return log.select("id", "video_id", F.col("at").alias("at_s"), "event_type", "worker_id", F.get_json_object("detail_json", "$.kind").alias("kind")).orderBy("id")
+
+
+@query(f"WITH {V} SELECT status, count(*) AS n FROM v GROUP BY status")
+def status_counts(spark, sf_dir):
+    return reports.status_counts(feeds.videos(spark, sf_dir))
+
+
+@query(f"""WITH {V} SELECT count(*) FILTER (WHERE status = 'succeeded') AS succeeded, count(*) FILTER (WHERE status = 'failed_retryable') AS failed_retryable,
+count(*) FILTER (WHERE status = 'failed_terminal') AS failed_terminal, count(*) FILTER (WHERE status IN ('succeeded', 'failed_retryable', 'failed_terminal')) AS claimed FROM v""")
+def process_stats(spark, sf_dir):
+    return reports.process_stats(feeds.videos(spark, sf_dir))
+
+
+@query(f"WITH {R} SELECT CASE WHEN changed = 1 THEN 'succeeded' ELSE 'stale_after_success' END AS outcome, count(*) AS n FROM r3 GROUP BY 1")
+def run_outcomes(spark, sf_dir):
+    v = feeds.videos(spark, sf_dir)
+    done = state.mark_succeeded(v, feeds.requests(v), AS_OF).outcomes
+    return reports.run_outcomes(done.withColumn("outcome", F.when(F.col("changed") == 1, "succeeded").otherwise("stale_after_success")))
+
+
+@query(f"WITH {R} SELECT count(*) FILTER (WHERE changed = 0) AS stale_after_success, count(*) FILTER (WHERE changed = 0) AS stale_after_failure FROM r3")
+def stale_outcomes(spark, sf_dir):
+    v = feeds.videos(spark, sf_dir)
+    r = feeds.requests(v)
+    return reports.stale_outcomes(state.mark_succeeded(v, r, AS_OF).outcomes, state.mark_retryable(v, r, AS_OF).outcomes)
+
+
+def fake_enricher():
+    """Deterministic stand-in: by the id's last digit an error, an unavailable video, or a transcript."""
+
+    def run(claim: dict) -> dict:
+        d = int(claim["video_id"][-1])
+        base = {"stage": "fetch" if d % 2 else "transcribe", "fetcher": "fake", "transcript_source": "asr", "model": "fake"}
+        if d in (3, 4):
+            return base | {"result": "error", "message": "fake error"}
+        if d == 7:
+            return base | {"result": "unavailable", "message": "gone"}
+        word = {"id": d, "text": claim["video_id"], "p": 0.5, "plog": -0.7}
+        return base | {"result": "ok", "text": claim["video_id"], "language": "en", "duration_s": d / 2, "segments": [{"no_speech_prob": 0.1, "tokens": [word]}]}
+
+    return run
+
+
+PROCESSED = f"""WITH {V}, sw AS (SELECT * REPLACE (CASE WHEN status = 'in_progress' AND claimed_at < 1707000000 - 1800 THEN 'pending' ELSE status END AS status) FROM v),
+q AS (SELECT video_id, CAST(right(video_id, 1) AS INTEGER) AS d FROM sw WHERE status = 'pending' ORDER BY first_seen_at, video_id LIMIT 200),
+o AS (SELECT video_id, CASE WHEN d IN (3, 4) THEN 'failed_retryable' WHEN d = 7 THEN 'failed_terminal' ELSE 'succeeded' END AS outcome FROM q)"""
+
+
+def one_run(spark, sf_dir) -> enrich.Run:
+    return enrich.process_run(feeds.videos(spark, sf_dir), fake_enricher, as_of=AS_OF, workers=["a", "b"], cap=200)
+
+
+@query(PROCESSED + " SELECT coalesce(o.outcome, sw.status) AS status, count(*) AS n FROM sw LEFT JOIN o USING (video_id) GROUP BY 1")
+def process_run(spark, sf_dir):
+    return reports.status_counts(one_run(spark, sf_dir).videos)
+
+
+@query(PROCESSED + " SELECT video_id, outcome FROM o")
+def batch_outcomes(spark, sf_dir):
+    return one_run(spark, sf_dir).outcomes
+
+
+@query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'succeeded' WHEN 1 THEN 'failed_retryable' WHEN 2 THEN 'in_progress' WHEN 3 THEN 'abort' WHEN 4 THEN 'failed_terminal' ELSE 'succeeded' END AS route,
+CASE WHEN event_id % 6 = 1 THEN CASE WHEN event_id % 4 < 2 THEN 'Fetch' ELSE 'Transcribe' END END AS kind FROM events""")
+def failure_routing(spark, sf_dir):
+    results = F.array(*map(F.lit, ("ok", "error", "cancelled", "bug", "unavailable", "ready")))
+    items = feeds.table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 4 < 2, "fetch").otherwise("transcribe").alias("stage"), F.element_at(results, (F.col("event_id") % 6 + 1).cast("int")).alias("result"))
+    return failures.routed(items).select("event_id", "route", "kind")
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'timeout' WHEN event_id % 13 = 0 THEN 'spawn' WHEN event_id % 17 = 0 THEN 'io' WHEN event_id % 3 <> 0 THEN 'tool_failed' WHEN event_id % 2 = 1 THEN 'no_output' END AS error FROM events""")
+def error_map(spark, sf_dir):
+    n = F.col("event_id")
+    runs = feeds.table(spark, sf_dir, "events").select("event_id", F.when(n % 17 != 0, (n % 3).cast("int")).alias("exit_code"), (n % 11 == 0).alias("timed_out"), (n % 13 == 0).alias("spawn_failed"), (n % 2 == 0).alias("output_exists"))
+    return failures.error_map(runs).select("event_id", "error")
+
+
+MESSAGES = ["Video unavailable", "Private video", "Login required", "not available in your country", "age-restricted", "HTTP Error 429", "HTTP Error 503", "something else", "status code 10231", "Your IP address is blocked", "moov atom not found", "cudaMalloc failed"]
+
+
+@query("""WITH f AS (SELECT event_id, ['yt-dlp', 'ffmpeg', 'whisper.cpp'][CAST(event_id % 3 + 1 AS INTEGER)] AS tool, ['1', '0', 'other'][CAST(event_id % 7 % 3 + 1 AS INTEGER)] AS code, event_id % 12 AS m, event_id % 19 = 0 AS late FROM events)
+SELECT event_id, CASE WHEN late THEN 'retryable' WHEN m = 8 THEN 'terminal' WHEN m = 9 THEN 'ambiguous' WHEN tool = 'yt-dlp' AND code = '1' AND m <= 4 THEN 'terminal' ELSE 'retryable' END AS class,
+CASE WHEN late THEN 'ToolTimeout' WHEN m = 8 THEN 'Deleted' WHEN m = 9 THEN 'IpBlocked'
+WHEN tool = 'yt-dlp' THEN CASE WHEN code = '0' THEN 'NoMediaProduced' WHEN code = 'other' THEN 'ToolCrashedUnknown' ELSE
+  CASE m WHEN 0 THEN 'Deleted' WHEN 1 THEN 'Private' WHEN 2 THEN 'LoginRequired' WHEN 3 THEN 'RegionBlocked' WHEN 4 THEN 'AgeRestricted' WHEN 5 THEN 'RateLimited' WHEN 6 THEN 'TransientNetwork' ELSE 'YtDlpUnknown' END END
+WHEN tool = 'ffmpeg' THEN CASE WHEN m = 10 THEN 'BadAudio' ELSE 'Unknown' END
+ELSE CASE WHEN code = '0' THEN 'EmptyTranscript' WHEN m = 11 THEN 'OOM' ELSE 'WhisperUnknown' END END AS kind FROM f""")
+def classify_failures(spark, sf_dir):
+    n = F.col("event_id")
+    pick = lambda names, k: F.element_at(F.array(*map(F.lit, names)), (k + 1).cast("int"))
+    f = feeds.table(spark, sf_dir, "events").select("event_id", pick(("yt-dlp", "ffmpeg", "whisper.cpp"), n % 3).alias("tool"), pick((1, 0, 137), n % 7 % 3).alias("exit_code"), (n % 19 == 0).alias("timed_out"), pick(MESSAGES, n % 12).alias("message"))
+    return failures.classify(f, "event_id").select("event_id", "class", "kind")
+
+
+# --- extensions of the design --------------------------------------------------------------------
+
+
+@query(f"WITH {W} SELECT DISTINCT respondent_id, video_id, watched_at, CAST(to_timestamp(watched_at) AT TIME ZONE 'UTC' AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' AS in_window FROM valid")
+def window_flag(spark, sf_dir):
+    return ingest.ingest(feeds.watch_entries(spark, sf_dir), schemas.empty(spark, "videos"), schemas.empty(spark, "watch_history"), as_of=AS_OF, window=("2024-01-10", "2024-01-20"), order=ORDER).watch_history
+
+
+@query(f"""WITH {W}, d AS (SELECT DISTINCT respondent_id, video_id, watched_at FROM valid), x AS (SELECT CAST(to_timestamp(watched_at) AT TIME ZONE 'UTC' AS DATE) >= DATE '2024-01-15' AS in_window FROM d)
+SELECT in_window, NOT in_window AS changed, count(*) AS n FROM x GROUP BY ALL""")
+def window_recompute(spark, sf_dir):
+    w = ingest.ingest(feeds.watch_entries(spark, sf_dir), schemas.empty(spark, "videos"), schemas.empty(spark, "watch_history"), as_of=AS_OF, order=ORDER).watch_history
+    return ingest.recompute_window(w, start="2024-01-15").groupBy("in_window", "changed").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {W} SELECT DISTINCT respondent_id, link AS url, watched_at FROM w WHERE skip_reason = 'short_link' AND watched_at IS NOT NULL")
+def pending_links(spark, sf_dir):
+    return ingest.pending_links(feeds.watch_entries(spark, sf_dir), order=ORDER)
+
+
+def resolutions(pending: DataFrame) -> DataFrame:
+    """Targets for links by the length of their code: a video, a foreign page, or an error."""
+    k = F.regexp_extract("url", r"ZM([0-9]+)", 1).cast("long")
+    target = F.when(k % 3 == 0, F.concat(F.lit("https://www.tiktok.com/@x/video/"), (F.lit(7_100_000_000_000_000_000) + k).cast("string"))).when(k % 3 == 1, "https://example.com/")
+    return pending.select("url").distinct().select("url", target.alias("target"), F.when(k % 3 == 2, "timeout").alias("error"))
+
+
+@query(f"""WITH {W}, p AS (SELECT DISTINCT respondent_id, link AS url, watched_at, CAST(regexp_extract(link, 'ZM([0-9]+)', 1) AS BIGINT) AS k FROM w WHERE skip_reason = 'short_link' AND watched_at IS NOT NULL)
+SELECT respondent_id, url, watched_at, CASE WHEN k % 3 = 0 THEN CAST(7100000000000000000 + k AS VARCHAR) END AS video_id, CASE k % 3 WHEN 1 THEN 'target is not a video link' WHEN 2 THEN 'timeout' END AS last_error FROM p""")
+def promote_links(spark, sf_dir):
+    p = ingest.pending_links(feeds.watch_entries(spark, sf_dir), order=ORDER)
+    done, left = ingest.promote_links(p, resolutions(p))
+    url = F.concat(F.lit("https://vm.tiktok.com/ZM"), (F.col("video_id").cast("long") - 7_100_000_000_000_000_000).cast("string"), F.lit("/"))
+    return done.select("respondent_id", url.alias("url"), "watched_at", "video_id", F.lit(None).cast("string").alias("last_error")).unionByName(left.withColumn("video_id", F.lit(None).cast("string")))
+
+
+@query(f"""WITH {V}, p AS (SELECT video_id FROM v WHERE status = 'failed_retryable' AND updated_at < 1707000000 - 3600 AND last_retryable_kind = 'Fetch' AND attempt_count < 3 ORDER BY updated_at, video_id LIMIT 40)
+SELECT video_id, CASE WHEN video_id IN (SELECT video_id FROM p) THEN 'pending' ELSE status END AS status, last_retryable_kind, attempt_count FROM v""")
+def requeue(spark, sf_dir):
+    return state.requeue(feeds.videos(spark, sf_dir), AS_OF, older_than=3600, kinds=["Fetch"], max_attempts=3, most=40).select("video_id", "status", "last_retryable_kind", "attempt_count")
+
+
+@query(f"WITH {V} SELECT video_id FROM v WHERE status = 'in_progress' AND claimed_at < 1707000000 - 600")
+def reset_stale(spark, sf_dir):
+    return state.reset_stale(feeds.videos(spark, sf_dir), AS_OF, 600, dry_run=True)
+
+
+PENDING = "p AS (SELECT DISTINCT respondent_id, link AS url, watched_at FROM w WHERE skip_reason = 'short_link' AND watched_at IS NOT NULL)"
+
+
+@query(f"WITH {V}, {PENDING} SELECT status, count(*) AS n FROM v GROUP BY status UNION ALL SELECT 'unresolved_short_links', count(*) FROM p")
+def status_report(spark, sf_dir):
+    return reports.status_report(feeds.videos(spark, sf_dir), ingest.pending_links(feeds.watch_entries(spark, sf_dir), order=ORDER))
+
+
+def watch_rows(spark, sf_dir) -> DataFrame:
+    return ingest.ingest(feeds.watch_entries(spark, sf_dir), schemas.empty(spark, "videos"), schemas.empty(spark, "watch_history"), as_of=AS_OF, window=("2024-01-10", None), order=ORDER).watch_history
+
+
+WATCHED = "x AS (SELECT DISTINCT respondent_id, video_id, watched_at, CAST(to_timestamp(watched_at) AT TIME ZONE 'UTC' AS DATE) >= DATE '2024-01-10' AS in_window FROM valid)"
+
+
+@query(f"""WITH {V}, {PENDING}, {WATCHED}, s AS (SELECT respondent_id, count(DISTINCT video_id) AS videos_seen, count(DISTINCT CASE WHEN in_window THEN video_id END) AS videos_in_window,
+count(DISTINCT CASE WHEN status = 'succeeded' THEN video_id END) AS videos_succeeded, count(DISTINCT CASE WHEN status = 'failed_terminal' THEN video_id END) AS videos_failed_terminal,
+count(DISTINCT CASE WHEN status = 'failed_retryable' THEN video_id END) AS videos_failed_retryable, count(DISTINCT CASE WHEN status = 'pending' THEN video_id END) AS videos_pending
+FROM x LEFT JOIN v USING (video_id) GROUP BY 1), u AS (SELECT respondent_id, count(*) AS unresolved_short_links FROM p GROUP BY 1)
+SELECT respondent_id, coalesce(videos_seen, 0) AS videos_seen, coalesce(videos_in_window, 0) AS videos_in_window, coalesce(videos_succeeded, 0) AS videos_succeeded, coalesce(videos_failed_terminal, 0) AS videos_failed_terminal,
+coalesce(videos_failed_retryable, 0) AS videos_failed_retryable, coalesce(videos_pending, 0) AS videos_pending, coalesce(unresolved_short_links, 0) AS unresolved_short_links FROM s FULL JOIN u USING (respondent_id)""")
+def respondent_summary(spark, sf_dir):
+    return reports.respondent_summary(watch_rows(spark, sf_dir), feeds.videos(spark, sf_dir), ingest.pending_links(feeds.watch_entries(spark, sf_dir), order=ORDER))
+
+
+@query(f"WITH {V} SELECT video_id, terminal_reason AS kind, terminal_message AS message, attempt_count FROM v WHERE status = 'failed_terminal'")
+def error_list(spark, sf_dir):
+    return reports.error_list(feeds.videos(spark, sf_dir))
+
+
+def artifact_listing(v: DataFrame) -> DataFrame:
+    """Which artifacts exist, by id: text for all successes, JSON for most."""
+    n = F.col("video_id").cast("long")
+    kinds = F.array_compact(F.array(F.when(F.col("status") == "succeeded", "text"), F.when((F.col("status") == "succeeded") & (n % 13 != 0), "json"), F.when(n % 2 == 0, "metadata"), F.when(n % 7 == 0, "comments")))
+    return v.select("video_id", F.explode(kinds).alias("kind"), F.when(n % 29 == 0, "0").otherwise("1").alias("schema_version"))
+
+
+@query(f"""WITH {V}, {WATCHED} SELECT respondent_id, x.video_id, x.watched_at, in_window, status, duration_s, language_detected, fetcher, transcript_source, status = 'succeeded' AS has_transcript,
+n % 2 = 0 AS has_metadata, n % 7 = 0 AS has_comments, last_retryable_kind, terminal_reason, CAST(attempt_count AS INTEGER) AS attempt_count FROM x JOIN v USING (video_id) WHERE CAST(substr(respondent_id, 2) AS BIGINT) % 2 = 0""")
+def manifest(spark, sf_dir):
+    v, w = feeds.videos(spark, sf_dir), watch_rows(spark, sf_dir)
+    some = w.select("respondent_id").distinct().where("cast(substr(respondent_id, 2) as long) % 2 = 0")
+    return reports.manifest(w, v, artifact_listing(v), some).withColumn("watched_at", F.unix_timestamp("watched_at"))
+
+
+@query(f"""WITH {V} SELECT count(*) FILTER (WHERE status IN ('pending', 'in_progress')) AS unfinished, CAST(0 AS BIGINT) AS missing_text, count(*) FILTER (WHERE status = 'succeeded' AND n % 13 = 0) AS missing_json,
+count(*) FILTER (WHERE status = 'succeeded' AND n % 13 <> 0 AND n % 29 = 0) AS other_version, false AS done FROM v""")
+def done_contract(spark, sf_dir):
+    v = feeds.videos(spark, sf_dir)
+    return reports.done_contract(v, artifact_listing(v))
+
+
+@query(f"""WITH {V} SELECT video_id, 'ytdlp' AS source, 'u' || (n % 10) AS uploader, CAST(n % 1000 AS BIGINT) AS view_count, CAST(NULL AS VARCHAR) AS api_voice_to_text FROM v WHERE n % 2 = 0
+UNION ALL SELECT video_id, 'api', NULL, CAST(n % 1000 AS BIGINT), 'text ' || (n % 5) FROM v WHERE n % 2 = 1""")
+def metadata_union(spark, sf_dir):
+    v = feeds.videos(spark, sf_dir).select("video_id", F.col("video_id").cast("long").alias("n"))
+    one = v.where("n % 2 = 0").select("video_id", F.lit("ytdlp").alias("source"), F.concat(F.lit("u"), (F.col("n") % 10).cast("string")).alias("uploader"), (F.col("n") % 1000).alias("view_count"))
+    two = v.where("n % 2 = 1").select("video_id", F.lit("api").alias("source"), (F.col("n") % 1000).alias("view_count"), F.concat(F.lit("text "), (F.col("n") % 5).cast("string")).alias("api_voice_to_text"))
+    return reports.metadata_union(one, two)
+
+
+@query(f"""WITH {V} SELECT video_id, n % 6 AS fetched_count, n % 4 AS reported_total, n % 6 >= n % 4 AS is_complete FROM v""")
+def comments_bundle(spark, sf_dir):
+    v = feeds.videos(spark, sf_dir).select("video_id", F.col("video_id").cast("long").alias("n"))
+    c = v.where("n % 6 > 0").select("video_id", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") % 6)).alias("comment_id"))
+    return reports.comment_bundles(c, v.select("video_id", (F.col("n") % 4).alias("reported_total")))
+
+
+# --- signals -------------------------------------------------------------------------------------
+
+
+@query(f"WITH {T} SELECT doc_id, seg, tok, id, text, p, plog FROM tokens")
+def token_flatten(spark, sf_dir):
+    return signals.tokens(feeds.artifacts(spark, sf_dir), "doc_id")
+
+
+@query(f"WITH {T}, x AS (SELECT doc_id, string_agg(text, '' ORDER BY seg, tok) AS t FROM tokens GROUP BY doc_id) SELECT d.doc_id, md5(coalesce(t, '')) AS text_md5 FROM documents d LEFT JOIN x USING (doc_id)")
+def transcript_text(spark, sf_dir):
+    return feeds.artifacts(spark, sf_dir).select("doc_id", F.md5(signals.transcript_text(F.col("segments")).cast("binary")).alias("text_md5"))
+
+
+@query(f"""WITH {T}, a AS (SELECT doc_id, count(*) AS n_segments FROM segs GROUP BY 1), b AS (SELECT doc_id, count(*) AS n_tokens, sum(id) AS id_sum FROM tokens GROUP BY 1)
+SELECT doc_id, '1' AS schema_version, lang AS language, n_segments, coalesce(n_tokens, 0) AS n_tokens, CAST(coalesce(id_sum, 0) AS BIGINT) AS id_sum FROM documents JOIN a USING (doc_id) LEFT JOIN b USING (doc_id)""")
+def raw_signals_project(spark, sf_dir):
+    a = feeds.artifacts(spark, sf_dir)
+    s = a.select("doc_id", signals.raw_signals(F.col("language"), F.lit(None).cast("array<struct<code:string,p:float>>"), F.col("segments")).alias("s"))
+    t = signals.flat_tokens(F.col("s.segments"))
+    return s.select("doc_id", "s.schema_version", "s.language", F.size("s.segments").cast("long").alias("n_segments"), F.size(t).cast("long").alias("n_tokens"), F.aggregate(t, F.lit(0).cast("long"), lambda x, y: x + y["id"]).alias("id_sum"))
+
+
+@query(f"""WITH {T}, a AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY 1)
+SELECT d.doc_id, CASE WHEN d.doc_id % 23 = 0 THEN 'no_speech_prob' WHEN coalesce(n, 0) = 0 THEN NULL WHEN d.doc_id % 13 = 0 THEN 'p' WHEN d.doc_id % 17 = 0 THEN 'p' WHEN d.doc_id % 19 = 0 THEN 'plog' END AS invalid_reason FROM documents d LEFT JOIN a USING (doc_id)""")
+def signals_validate(spark, sf_dir):
+    """Some documents' signals are pushed out of range."""
+    n = F.col("doc_id")
+    spoilt = F.transform(
+        "segments",
+        lambda s: F.struct(
+            F.when(n % 23 == 0, F.lit(1.5)).otherwise(s["no_speech_prob"]).alias("no_speech_prob"),
+            F.transform(s["tokens"], lambda t: F.struct(t["id"].alias("id"), F.when(n % 13 == 0, F.lit(1.5)).when(n % 17 == 0, F.lit(float("nan"))).otherwise(t["p"]).alias("p"), F.when(n % 19 == 0, F.lit(0.5)).otherwise(t["plog"]).alias("plog"))).alias("tokens"),
+        ),
+    )
+    return feeds.artifacts(spark, sf_dir).select("doc_id", signals.invalid_reason(spoilt).alias("invalid_reason"))
+
+
+@query("""WITH l AS (SELECT doc_id, unnest([{'code': 'en', 'p': CAST(doc_id * 7 % 100 AS DOUBLE) / 100.0}, {'code': 'fr', 'p': CAST(doc_id * 13 % 100 AS DOUBLE) / 100.0}, {'code': CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'de' END, 'p': CAST(doc_id * 17 % 100 AS DOUBLE) / 100.0}]) AS x FROM documents)
+SELECT doc_id, string_agg(x.code, ',' ORDER BY x.p DESC, x.code) AS codes, max(x.p) AS best FROM l WHERE x.code IS NOT NULL GROUP BY doc_id""")
+def lang_probs_rank(spark, sf_dir):
+    n = F.col("doc_id")
+    one = lambda code, k: F.struct(code.alias("code"), ((n * k % 100) / 100.0).alias("p"))
+    probs = F.array(one(F.lit("en"), 7), one(F.lit("fr"), 13), one(F.when(n % 3 != 0, "de"), 17), F.struct(F.lit("xx").alias("code"), F.lit(float("nan")).alias("p")))
+    r = signals.ranked_languages(probs)
+    return feeds.table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(r, lambda x: x["code"]), ",").alias("codes"), r[0]["p"].alias("best"))
+
+
+def full_artifacts(spark, sf_dir) -> DataFrame:
+    a = feeds.artifacts(spark, sf_dir)
+    n = F.col("doc_id")
+    probs = F.when(n % 2 == 0, F.array(F.struct(F.col("language").alias("code"), F.lit(0.75).cast("float").alias("p"))))
+    s = F.transform("segments", lambda x: F.struct(x["no_speech_prob"].cast("float").alias("no_speech_prob"), F.transform(x["tokens"], lambda t: F.struct(t["id"].alias("id"), t["text"].alias("text"), t["p"].cast("float").alias("p"), t["plog"].cast("float").alias("plog"))).alias("tokens")))
+    return a.select(
+        "doc_id", "video_id", F.concat(F.lit("https://www.tiktok.com/@u/video/"), "video_id").alias("source_url"), (n / 4.0).alias("duration_s"), F.col("language").alias("language_detected"), links.rfc3339(n + AS_OF).alias("transcribed_at"),
+        F.lit("ytdlp").alias("fetcher"), F.lit("asr").alias("transcript_source"), F.lit("tiny").alias("model"), F.when(n % 5 != 0, signals.raw_signals(F.col("language"), probs, s)).alias("raw_signals"),
+    )
+
+
+@query("""SELECT doc_id, lpad(CAST(doc_id AS VARCHAR), 19, '0') AS video_id, CAST(doc_id AS DOUBLE) / 4.0 AS duration_s, doc_id % 5 <> 0 AS has_signals, doc_id % 5 <> 0 AND doc_id % 2 = 1 AS null_probs,
+CASE WHEN doc_id % 5 <> 0 AND doc_id % 2 = 0 THEN lang END AS first_code, strftime(to_timestamp(doc_id + 1707000000) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') AS transcribed_at FROM documents""")
+def artifact_json(spark, sf_dir):
+    a = full_artifacts(spark, sf_dir)
+    j = a.select("doc_id", signals.artifact_json(a).alias("j"))
+    get = lambda path: F.get_json_object("j", path)
+    return j.select("doc_id", get("$.video_id").alias("video_id"), get("$.duration_s").cast("double").alias("duration_s"), F.contains("j", F.lit('"raw_signals":')).alias("has_signals"), F.contains("j", F.lit('"lang_probs":null')).alias("null_probs"), get("$.raw_signals.lang_probs[0][0]").alias("first_code"), get("$.transcribed_at").alias("transcribed_at"))
+
+
+@query("SELECT count(*) AS artifacts, count(*) AS equal FROM documents")
+def artifact_roundtrip(spark, sf_dir):
+    a = full_artifacts(spark, sf_dir)
+    names = [c for c in a.columns if c != "doc_id"]
+    back = signals.read_artifacts(a.select(signals.artifact_json(a).alias("value")))
+    both = a.select("video_id", F.struct(*names).alias("x")).join(back.select("video_id", F.struct(*names).alias("y")), "video_id")
+    return both.agg(F.count("*").alias("artifacts"), F.count_if(F.to_json("x") == F.to_json("y")).alias("equal"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN 'missing' WHEN doc_id % 10 = 4 THEN 'differs' ELSE 'same' END AS verdict FROM documents")
+def run_determinism(spark, sf_dir):
+    a = feeds.artifacts(spark, sf_dir).select("doc_id", "language", F.size("segments").alias("n"), F.lit("t1").alias("transcribed_at"))
+    b = a.where("doc_id % 10 <> 3").withColumn("transcribed_at", F.lit("t2")).withColumn("n", F.when(F.col("doc_id") % 10 == 4, -1).otherwise(F.col("n")))
+    return signals.determinism(a, b, "doc_id")
+
+
+COMPARED = f"""WITH {T}, s AS (SELECT doc_id, count(*) AS n_seg, min(n) AS least, max(CASE WHEN seg = 0 THEN n END) AS n0, max(CASE WHEN seg = 1 THEN n END) AS n1, min(CASE WHEN seg > 1 THEN n END) AS rest FROM segs GROUP BY 1),
+c AS (SELECT doc_id, CASE WHEN doc_id % 44 = 33 THEN 'missing' WHEN doc_id % 44 = 0 AND n0 > 0 THEN 'tokens' WHEN doc_id % 44 = 11 AND n0 > 0 THEN 'probabilities'
+  WHEN doc_id % 44 = 22 AND n_seg >= 2 THEN CASE WHEN n0 + n1 = 0 OR rest = 0 THEN 'coverage' WHEN n1 > 0 THEN 'windows' ELSE 'pass' END
+  WHEN least = 0 THEN 'coverage' ELSE 'pass' END AS verdict FROM s)"""
+
+
+@query(COMPARED + " SELECT doc_id, verdict, CASE WHEN verdict IN ('tokens', 'probabilities') THEN 0 END AS first_diff FROM c")
+def signal_compare(spark, sf_dir):
+    return signals.compare(feeds.artifacts(spark, sf_dir), feeds.artifacts(spark, sf_dir, post=True), "doc_id")
+
+
+@query(COMPARED + " SELECT count(*) AS compared, count(*) FILTER (WHERE verdict = 'pass') AS passed, count(*) FILTER (WHERE verdict <> 'pass') AS failed FROM c")
+def signal_compare_summary(spark, sf_dir):
+    return signals.compare_summary(signals.compare(feeds.artifacts(spark, sf_dir), feeds.artifacts(spark, sf_dir, post=True), "doc_id"))
+
+
+@query(f"""WITH {T}, n AS (SELECT doc_id, count(*) AS n_seg FROM segs GROUP BY 1), a AS (SELECT doc_id, seg, nsp, n, CAST(coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY seg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS b FROM segs),
+q AS (SELECT a.doc_id, CASE WHEN a.doc_id % 44 = 22 AND n_seg >= 2 THEN greatest(seg - 1, 0) ELSE seg END AS seg, nsp, n, b FROM a JOIN n USING (doc_id) WHERE a.doc_id % 44 <> 33),
+p AS (SELECT doc_id, seg, arg_min(nsp, b) AS nsp, min(b) AS b, min(b) + sum(n) AS e FROM q GROUP BY doc_id, seg),
+m AS (SELECT doc_id, seg, (CAST((doc_id + CASE WHEN seg = 0 OR doc_id % 44 <> 22 OR (SELECT n_seg FROM n WHERE n.doc_id = p.doc_id) < 2 THEN seg ELSE seg + 1 END) % 100 AS DOUBLE) / 100.0) AS nsp, b, e FROM p)
+SELECT m.doc_id, m.seg AS post_seg, a.seg AS pre_seg, abs(m.nsp - a.nsp) <= 1e-6 AS agrees FROM m JOIN a ON m.doc_id = a.doc_id AND m.b < a.b + a.n AND a.b < m.e""")
+def segment_overlap(spark, sf_dir):
+    return signals.overlaps(feeds.artifacts(spark, sf_dir), feeds.artifacts(spark, sf_dir, post=True), "doc_id")
+
+
+# --- pages ---------------------------------------------------------------------------------------
+
+HREF = r"""regexp_extract_all(html, '<a\s(?:[^>]*?\s)?href="([^"]+)"', 1)"""
+LINKED = rf"""h AS (SELECT page_id, regexp_replace(url, '#.*', '') AS source, lower(regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1)) AS o, url, unnest({HREF}) AS raw FROM pages),
+h2 AS (SELECT *, regexp_replace(raw, '#.*', '') AS b, regexp_replace(regexp_replace(url, '[?#].*', ''), '(://[^/]*/(?:.*/)?)[^/]*$', '\1') AS folder FROM h),
+h3 AS (SELECT page_id, source, CASE WHEN regexp_matches(b, '^https?://') THEN b WHEN regexp_matches(b, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN NULL WHEN starts_with(b, '//') THEN regexp_extract(url, '^([a-z]+:)', 1) || b
+  WHEN starts_with(b, '/') THEN o || b WHEN b = '' THEN source WHEN starts_with(b, '?') THEN regexp_replace(url, '[?#].*', '') || b ELSE CASE WHEN regexp_matches(folder, '^[a-z]+://[^/]*$') THEN folder || '/' ELSE folder END || b END AS target FROM h2),
+l AS (SELECT DISTINCT page_id, source, regexp_replace(regexp_replace(target, '\?enter_method=[^&]*&', '?', 'g'), '[?&]enter_method=[^&]*', '', 'g') AS target FROM h3 WHERE target IS NOT NULL)"""
+
+
+@query(f"WITH {LINKED} SELECT page_id, count(target) AS n_links, md5(coalesce(string_agg(target, chr(10) ORDER BY target), '')) AS links_md5 FROM (SELECT page_id FROM pages) LEFT JOIN l USING (page_id) GROUP BY page_id")
+def page_links(spark, sf_dir):
+    p = pages_of(spark, sf_dir)
+    found = p.select("page_id", web.links(F.col("html"), F.col("url")).alias("links"))
+    return found.select("page_id", F.size("links").cast("long").alias("n_links"), F.md5(F.array_join("links", "\n").cast("binary")).alias("links_md5"))
+
+
+@query(r"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(url, '#.*', ''), '^[a-z]+://[^/?]*', '') AS rest FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(rest, '\?.*', ''), '^/+|/+$', '', 'g') AS path, regexp_extract(rest, '(\?.*)', 1) AS q FROM a),
+c AS (SELECT page_id, CASE WHEN path = '' THEN 'index' ELSE path END || CASE WHEN length(q) > 1 THEN '_' || regexp_replace(regexp_replace(q, '[^a-zA-Z0-9._-]+', '_', 'g'), '^_+|_+$', '', 'g') ELSE '' END AS s FROM b)
+SELECT page_id, regexp_replace(regexp_replace(s, '[^a-zA-Z0-9._-]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug FROM c""")
+def page_slug(spark, sf_dir):
+    return pages_of(spark, sf_dir).select("page_id", web.slug(F.col("url")).alias("slug"))
+
+
+@query(r"SELECT page_id, coalesce(nullif(trim(regexp_replace(regexp_extract(html, '<title[^>]*>([^<]*)</title>', 1), '\s+', ' ', 'g')), ''), url) AS title FROM pages")
+def page_title(spark, sf_dir):
+    return pages_of(spark, sf_dir).select("page_id", web.title(F.col("html"), F.col("url")).alias("title"))
+
+
+@query(f"""WITH {LINKED}, s AS (SELECT DISTINCT source AS url, 0 AS depth FROM (SELECT regexp_replace(url, '#.*', '') AS source, page_id FROM pages) WHERE page_id % 5 = 0),
+n AS (SELECT DISTINCT target AS url FROM l JOIN s ON l.source = s.url WHERE target NOT IN (SELECT url FROM s)), f AS (SELECT url, 1 AS depth FROM n ORDER BY url LIMIT greatest(0, 1000 - (SELECT count(*) FROM (SELECT * FROM s LIMIT 1000)))),
+s1 AS (SELECT * FROM s ORDER BY url LIMIT 1000) SELECT * FROM s1 UNION ALL SELECT * FROM f""")
+def frontier(spark, sf_dir):
+    """One round from every fifth page, capped as the crawl is."""
+    p = pages_of(spark, sf_dir)
+    seeds = p.where("page_id % 5 = 0").select(F.regexp_replace("url", r"#.*", "").alias("url"))
+    return pages.frontier(pages.edges(p), seeds, rounds=1)
+
+
+@query()
+def page_text(spark, sf_dir):
+    return pages.contents(pages_of(spark, sf_dir)).select("page_id", "url", F.length("main_html").alias("main_chars"), "text")
+
+
+@query()
+def page_markdown(spark, sf_dir):
+    return pages.contents(pages_of(spark, sf_dir)).select("page_id", "markdown")
+
+
+@query()
+def page_records(spark, sf_dir):
+    return pages.records(pages_of(spark, sf_dir), "2024-02-03T22:40:00Z")
