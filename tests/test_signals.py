@@ -1,0 +1,67 @@
+import pytest
+from pyspark.sql import functions as F
+
+from watchloom import schemas
+from watchloom.operators import signals
+
+TOKENS = [[(1, "a", 0.5, -0.7), (2, "b", 0.25, -1.4)], [(3, "c", 1.0, 0.0)]]
+
+
+def make(spark, *rows):
+    return spark.createDataFrame([(k, [(n, t) for n, t in s]) for k, s in rows], f"video_id string, segments {schemas.SEGMENTS.replace('float', 'double')}")
+
+
+def side(spark, **changed):
+    base = {k: [(0.1, TOKENS[0]), (0.2, TOKENS[1])] for k in ("same", "text", "drop", "near", "far", "merged", "merged_equal")}
+    base["merged_equal"] = [(0.1, TOKENS[0]), (0.1, TOKENS[1])]
+    return make(spark, *(base | changed).items())
+
+
+def test_comparator_cases(spark):
+    pre = side(spark, gone=[(0.1, TOKENS[0])])
+    t = TOKENS[0]
+    post = side(
+        spark,
+        text=[(0.1, [t[0], (2, "x", 0.25, -1.4)]), (0.2, TOKENS[1])], drop=[(0.1, t[:1]), (0.2, TOKENS[1])], near=[(0.1, [(1, "a", 0.5 + 1e-7, -0.7), t[1]]), (0.2, TOKENS[1])],
+        far=[(0.1, [t[0], (2, "b", 0.25 + 1e-5, -1.4)]), (0.2, TOKENS[1])], merged=[(0.1, t + TOKENS[1])], merged_equal=[(0.1, t + TOKENS[1])],
+    )
+    got = {r["video_id"]: (r["verdict"], r["first_diff"]) for r in signals.compare(pre, post).collect()}
+    assert got == {"same": ("pass", None), "text": ("tokens", 1), "drop": ("tokens", None), "near": ("pass", None), "far": ("probabilities", 1), "merged": ("windows", None), "merged_equal": ("pass", None), "gone": ("missing", None)}
+    assert signals.compare_summary(signals.compare(pre, post)).first().asDict() == {"compared": 8, "passed": 3, "failed": 5}
+
+
+def test_determinism(spark):
+    a = spark.createDataFrame([("x", 1, "t1"), ("y", None, "t1"), ("z", 2, "t1")], "video_id string, n int, transcribed_at string")
+    b = spark.createDataFrame([("x", 1, "t2"), ("y", None, "t2"), ("w", 2, "t2")], "video_id string, n int, transcribed_at string")
+    v = signals.determinism(a, b)
+    assert {r["video_id"]: r["verdict"] for r in v.collect()} == {"x": "same", "y": "same", "z": "missing", "w": "missing"}
+    with pytest.raises(ValueError):
+        signals.require_deterministic(v)
+    signals.require_deterministic(v.where("verdict = 'same'"))
+
+
+@pytest.mark.parametrize(
+    ("segment", "want"),
+    [((0.5, [(1, "a", 0.0, 1e-4)]), None), ((1.5, [(1, "a", 0.5, 0.0)]), "no_speech_prob"), ((float("nan"), []), "no_speech_prob"), ((0.1, [(1, "a", 1.01, 0.0)]), "p"), ((0.1, [(1, "a", float("nan"), 0.0)]), "p"), ((0.1, [(1, "a", 0.5, 2e-4)]), "plog"), ((0.1, [(1, "a", 0.5, float("-inf"))]), "plog"), ((0.1, []), None)],
+)
+def test_ranges(spark, segment, want):
+    assert make(spark, ("x", [segment])).select(signals.invalid_reason(F.col("segments"))).first()[0] == want
+
+
+def test_artifacts_round_trip_and_null_conventions(spark):
+    rows = [("a", [("en", 0.93), ("nl", 0.05)], True), ("b", None, True), ("c", None, False)]
+    d = spark.createDataFrame(rows, "video_id string, probs array<struct<code:string,p:float>>, has boolean")
+    segs = F.array(F.struct(F.lit(0.25).cast("float").alias("no_speech_prob"), F.array(F.struct(F.lit(50257).alias("id"), F.lit('[_BEG_] "é\n').alias("text"), F.lit(1e-4).cast("float").alias("p"), F.lit(-9.5).cast("float").alias("plog"))).alias("tokens")))
+    a = d.select("video_id", *[F.lit("x").alias(c) for c in ("source_url", "language_detected", "transcribed_at", "fetcher", "transcript_source", "model")], F.lit(None).cast("double").alias("duration_s"), F.when(F.col("has"), signals.raw_signals(F.lit("en"), F.col("probs"), segs)).alias("raw_signals"))
+    text = {r[0]: r[1] for r in a.select("video_id", signals.artifact_json(a)).collect()}
+    assert '"lang_probs":[["en",0.93],["nl",0.05]]' in text["a"] and '"lang_probs":null' in text["b"] and "raw_signals" not in text["c"] and '"duration_s":null' in text["c"]
+    back = {r["video_id"]: r["raw_signals"] for r in signals.read_artifacts(a.select(signals.artifact_json(a).alias("value"))).collect()}
+    assert back == {r["video_id"]: r["raw_signals"] for r in a.collect()}
+
+
+def test_ranked_languages_and_text(spark):
+    d = spark.createDataFrame([([("b", 0.5), ("a", 0.5), (None, 0.9), ("c", float("nan")), ("", 0.8), ("d", 0.7)],)], "p array<struct<code:string,p:double>>")
+    assert [x["code"] for x in d.select(signals.ranked_languages(F.col("p"))).first()[0]] == ["d", "a", "b"]
+    m = make(spark, ("x", [(0.1, TOKENS[0]), (0.2, TOKENS[1])]))
+    assert m.select(signals.transcript_text(F.col("segments"))).first()[0] == "abc"
+    assert [(r["seg"], r["tok"], r["text"]) for r in signals.tokens(m).orderBy("seg", "tok").collect()] == [(0, 0, "a"), (0, 1, "b"), (1, 0, "c")]
