@@ -27,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchloom.llm.common import need, pieces, prepare, text_of
+from watchloom.llm.common import need, pieces, prepare, text_of, unused
 
 #: Characters of a chunk, and how far it looks into the next one.
 CHUNK, OVERLAP = 1 << 15, 1 << 10
@@ -179,9 +179,10 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, *, column: str = "text
 
     short = docs.where(~long).mapInArrow(whole, f"{out}, ids binary")
     text, n = text_of(column), F.length(text_of(column))
-    rows = docs.where(long).withColumn("_doc", F.xxhash64(*[docs[f.name] for f in keep]))
+    doc = unused(docs, "_doc")  # rows equal in all columns share their ids
+    rows = docs.where(long).withColumn(doc, F.xxhash64(*[docs[f.name] for f in keep]))
     span = lambda s: F.struct(s.alias("_start"), F.substr(text, s + 1, F.lit(chunk + overlap)).alias("_piece"))
-    cut = rows.select("_doc", n.alias("_n"), F.inline(F.transform(F.sequence(F.lit(0), n - 1, F.lit(chunk)), span)))
+    cut = rows.select(F.col(doc).alias("_doc"), n.alias("_n"), F.inline(F.transform(F.sequence(F.lit(0), n - 1, F.lit(chunk)), span)))
     cut = cut.repartition("_doc", "_start").dropDuplicates(["_doc", "_start"])  # one exchange serves both
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +213,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, *, column: str = "text
         return pd.DataFrame({"_doc": pdf["_doc"].iloc[:1], "ids": [stitch([unpack(x) for x in pdf["_chain"]], again)]})
 
     stitched = cut.mapInArrow(chains, "_doc long, _n int, _start int, _piece string, _chain binary").groupBy("_doc").applyInPandas(join, "_doc long, ids binary")
-    return short.unionByName(rows.join(stitched, "_doc").drop("_doc"))
+    return short.unionByName(rows.join(stitched.withColumnRenamed("_doc", doc), doc).drop(doc))
 
 
 def decode(coded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
