@@ -1,7 +1,7 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
 P(word | history) = P(class | history) * P(word | class). The classes are the end of a text, the most frequent words one by
-one, and words by the hash of their last bytes. The class is a softmax over weights of hashed features: the word before, the two
+one, and the other words by their last bytes: endings (hashed) are clustered by which endings stand before and after them. The class is a softmax over weights of hashed features: the word before, the two
 before, and skips to the second and third before. Within a class a word has (count + 1) / (words + distinct + 1): all
 unseen words of a class together are one more. So the probabilities of all words, unseen ones included, add up to 1.
 
@@ -29,11 +29,15 @@ from watchloom.llm.common import bucket_of, materialise, need, pieces, prepare
 from watchloom.llm.words import BYTE_CODE, U, mix64, words_of
 
 #: Classes, how many of them are single tokens (the end of a text is one), log2 of the rows of a feature's weights.
-CLASSES, SINGLE, ROW_BITS = 64, 16, 13
+CLASSES, SINGLE, ROW_BITS = 32, 12, 12
 FEATURES = 4
 ROWS = FEATURES << ROW_BITS
 #: Words whose counts are broadcast; rounds, each over its own fold; tokens of a gradient step; step size.
 KNOWN, ROUNDS, STEP_TOKENS, RATE = 1 << 18, 2, 1 << 15, 0.5
+#: Weights stay within this, so that a sum of them needs no scaling before it is raised to e.
+MOST = 8.0
+#: Hashed word endings.
+ENDINGS = 512
 #: Weight rows that travel together.
 GROUP = 256
 END, START = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
@@ -41,7 +45,7 @@ TEXT_BYTES = 1 << 20
 
 
 def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes with an end after each text, offsets of the texts, the words' bucket class from their last bytes)."""
+    """(hashes with an end after each text, offsets of the texts, the hashed ending of each word)."""
     w = words_of(column)
     docs = len(w.first) - 1
     first = w.first + np.arange(docs + 1)
@@ -52,7 +56,7 @@ def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for k in (1, 2, 3):
         tail = tail * U(1009) + np.where(w.stop - w.start >= k, BYTE_CODE[w.data[np.maximum(w.stop - k, 0)]] if len(w.data) else tail, U(3))
     bucket = np.zeros(len(h), np.int32)
-    bucket[at] = (mix64(tail) % U(CLASSES - SINGLE)).astype(np.int32) + SINGLE
+    bucket[at] = (mix64(tail) % U(ENDINGS)).astype(np.int32)
     return h, first, bucket
 
 
@@ -74,52 +78,79 @@ def rows_of(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([f.astype(np.int32) + (k << ROW_BITS) for k, f in enumerate(found)], axis=1)
 
 
-def classes(h: np.ndarray, bucket: np.ndarray, single: np.ndarray) -> np.ndarray:
-    """Class of each token: that of a single token (sorted hashes), else its bucket."""
+def classes(h: np.ndarray, ending: np.ndarray, single: np.ndarray, cluster: np.ndarray) -> np.ndarray:
+    """Class of each token: that of a single token (sorted hashes), else its ending's cluster."""
     at = np.minimum(np.searchsorted(single, h), len(single) - 1)
-    return np.where(single[at] == h, at, bucket).astype(np.int64)
+    return np.where(single[at] == h, at, cluster[ending]).astype(np.int64)
+
+
+def clusters(pairs: np.ndarray, k: int) -> np.ndarray:
+    """Class from SINGLE on of each ending, by k-means over what stands before and after it; pairs[i, j]: j after i."""
+    weight = pairs.sum(axis=0) + pairs.sum(axis=1) + 1e-9
+    share = lambda m: np.sqrt(m / np.maximum(m.sum(axis=1, keepdims=True), 1))
+    x = np.concatenate([share(pairs), share(pairs.T)], axis=1)
+    mean = (x * weight[:, None]).sum(axis=0) / weight.sum()
+    x = x - mean
+    chosen = [int(weight.argmax())]
+    far = ((x - x[chosen[0]]) ** 2).sum(axis=1)
+    for _ in range(k - 1):
+        chosen.append(int((far * weight).argmax()))
+        far = np.minimum(far, ((x - x[chosen[-1]]) ** 2).sum(axis=1))
+    c = x[chosen]
+    own = np.zeros(len(x), np.int64)
+    for _ in range(30):
+        own = (-2 * x @ c.T + (c * c).sum(axis=1)).argmin(axis=1)
+        total = np.bincount(own, weight, k)
+        c = np.stack([np.bincount(own, weight * x[:, d], k) for d in range(x.shape[1])], axis=1) / np.maximum(total, 1e-9)[:, None]
+    return own + SINGLE
 
 
 def softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    x = bias + weights[rows[:, 0]]
+    x = np.take(weights, rows[:, 0], axis=0)
     for k in range(1, FEATURES):
-        x += weights[rows[:, k]]
-    x -= x.max(axis=1, keepdims=True)
+        x += np.take(weights, rows[:, k], axis=0)
+    x += bias
     np.exp(x, out=x)
     x /= x.sum(axis=1, keepdims=True)
     return x
 
 
 def counts(docs: DataFrame) -> DataFrame:
-    """h, bucket, n: how often each token is in the texts; tasks add up their own first."""
+    """h, ending, n, pair: how often each token is in the texts, and (pair) each two endings in a row, h = first * ENDINGS + second; tasks add up their own first."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        pairs = np.zeros(ENDINGS * ENDINGS, np.int64)
 
         def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             h, b, n = (np.concatenate(x) for x in zip(*held, strict=True))
             u, at, back = np.unique(h, return_index=True, return_inverse=True)
             return u, b[at], np.bincount(back, n, len(u)).astype(np.int64)
 
-        def out(x: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x[0].view(np.int64)), pa.array(x[1]), pa.array(x[2])], names=["h", "bucket", "n"])
-
-        for batch in batches:
-            for b in pieces([batch], "text", TEXT_BYTES):
-                h, _, bucket = tokens_of(b.column("text"))
-                u, at, n = np.unique(h, return_index=True, return_counts=True)
-                held.append((u, bucket[at], n))
+        def out(h: np.ndarray, e: np.ndarray, n: np.ndarray, pair: bool = False) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(e), pa.array(n), pa.array(np.full(len(h), pair))], names=["h", "ending", "n", "pair"])
+
+        for b in pieces(batches, "text", TEXT_BYTES):
+            h, first, ending = tokens_of(b.column("text"))
+            follows = np.ones(len(h), bool)
+            follows[first[:-1]] = follows[first[1:] - 1] = False  # neither the first word nor the end
+            at = np.flatnonzero(follows)
+            pairs += np.bincount(ending[at - 1].astype(np.int64) * ENDINGS + ending[at], minlength=len(pairs))
+            u, at, n = np.unique(h, return_index=True, return_counts=True)
+            held.append((u, ending[at], n))
             if sum(len(x[0]) for x in held) > 1_500_000:
                 held = [merged()]
                 if len(held[0][0]) > 750_000:
-                    yield out(held.pop())
+                    yield out(*held.pop())
         if held:
-            yield out(merged())
+            yield out(*merged())
+        full = np.flatnonzero(pairs)
+        yield out(full, np.zeros(len(full), np.int32), pairs[full], True)
 
-    return docs.select("text").mapInArrow(run, "h long, bucket int, n long").groupBy("h").agg(F.first("bucket").alias("bucket"), F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "h long, ending int, n long, pair boolean").groupBy("h", "pair").agg(F.first("ending").alias("ending"), F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def train(docs: DataFrame, single: np.ndarray, cluster: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(weights, bias) of the classes; docs has text and fold."""
     weights, bias = np.zeros((ROWS, CLASSES), np.float32), np.zeros(CLASSES, np.float32)
     extra = ROWS // GROUP  # the bias travels as a group of its own
@@ -133,7 +164,7 @@ def train(docs: DataFrame, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             pace, pace_b = np.full(ROWS, 1e-6, np.float32), np.full(CLASSES, 1e-6, np.float32)
             for piece in pieces(batches, "text", TEXT_BYTES):
                 h, first, bucket = tokens_of(piece.column("text"))
-                rows, y = rows_of(h, first), classes(h, bucket, single)
+                rows, y = rows_of(h, first), classes(h, bucket, single, cluster)
                 for s in range(0, len(y), STEP_TOKENS):
                     r, t = rows[s : s + STEP_TOKENS], y[s : s + STEP_TOKENS]
                     g = softmax(w, b, r)
@@ -141,41 +172,46 @@ def train(docs: DataFrame, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                     total += len(t)
                     mean = g.mean(axis=0)
                     pace_b += mean * mean
-                    b -= RATE * mean / np.sqrt(pace_b)
+                    b = np.clip(b - RATE * mean / np.sqrt(pace_b), -MOST, MOST)
                     for k in range(FEATURES):
-                        order = np.argsort(r[:, k], kind="stable")
-                        own = r[order, k]
+                        short = (r[:, k] & ((1 << ROW_BITS) - 1)).astype(np.uint16)  # sorted by radix
+                        order = np.argsort(short, kind="stable")
+                        own = short[order].astype(np.int64) + (k << ROW_BITS)
                         at = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
                         n = np.diff(np.append(at, len(own))).astype(np.float32)
-                        step = np.add.reduceat(g[order], at, axis=0) / np.sqrt(n)[:, None]
+                        step = np.add.reduceat(np.take(g, order, axis=0), at, axis=0) / np.sqrt(n)[:, None]
                         u = own[at]
                         met[u] += n
                         pace[u] += (step * step).mean(axis=1)
-                        w[u] -= (0.25 * RATE) * step / np.sqrt(pace[u])[:, None]
+                        w[u] = np.clip(w[u] - (0.25 * RATE) * step / np.sqrt(pace[u])[:, None], -MOST, MOST)
             if not total:
                 return
             some = np.flatnonzero(met.reshape(-1, GROUP).any(axis=1))
-            n, ww = met.reshape(-1, GROUP), (w * met[:, None]).reshape(-1, GROUP * CLASSES)
+            n, ww = met.reshape(-1, GROUP), w.astype(np.float16).reshape(-1, GROUP * CLASSES)
             salt = int(met[:64].sum()) % 64
             yield pa.RecordBatch.from_arrays(
-                [pa.array([*some, extra], pa.int32()), pa.array([salt] * (len(some) + 1), pa.int32()), pa.array([*(n[i].tobytes() for i in some), np.float32([total]).tobytes()], pa.binary()), pa.array([*(ww[i].tobytes() for i in some), (b * np.float32(total)).tobytes()], pa.binary())],
+                [pa.array([*some, extra], pa.int32()), pa.array([salt] * (len(some) + 1), pa.int32()), pa.array([*(n[i].tobytes() for i in some), np.float32([total]).tobytes()], pa.binary()), pa.array([*(ww[i].tobytes() for i in some), b.astype(np.float16).tobytes()], pa.binary())],
                 names=["part", "salt", "n", "w"],
             )
 
         def add(pdf: pd.DataFrame) -> pd.DataFrame:
-            n, w = (sum(np.frombuffer(x, np.float32).astype(np.float64) for x in pdf[c]).astype(np.float32).tobytes() for c in ("n", "w"))
-            return pd.DataFrame({"part": pdf["part"].iloc[:1], "salt": 0, "n": [n], "w": [w]})
+            """The mean of weights by how often their rows were met."""
+            n = np.stack([np.frombuffer(x, np.float32) for x in pdf["n"]]).astype(np.float64)
+            w = np.stack([np.frombuffer(x, np.float16) for x in pdf["w"]]).reshape(*n.shape, CLASSES)
+            all_n = n.sum(axis=0)
+            mean = np.einsum("tr,trc->rc", n, w) / np.maximum(all_n, 1)[:, None]
+            return pd.DataFrame({"part": pdf["part"].iloc[:1], "salt": 0, "n": [all_n.astype(np.float32).tobytes()], "w": [mean.astype(np.float16).tobytes()]})
 
         kind = "part int, salt int, n binary, w binary"
         sums = docs.where(F.col("fold") == fold).select("text").mapInArrow(run, kind)
         sums = sums.groupBy("part", "salt").applyInPandas(add, kind).groupBy("part").applyInPandas(add, kind)
         for r in sums.collect():  # the weights themselves, whatever the input's size
-            n, w = np.frombuffer(r["n"], np.float32), np.frombuffer(r["w"], np.float32)
+            n, w = np.frombuffer(r["n"], np.float32), np.frombuffer(r["w"], np.float16).astype(np.float32).reshape(-1, CLASSES)
             if r["part"] == extra:
-                bias = w / n[0]
+                bias = w[0]
             else:
                 rows = slice(r["part"] * GROUP, (r["part"] + 1) * GROUP)
-                weights[rows] = np.where(n[:, None] > 0, w.reshape(GROUP, CLASSES) / np.maximum(n, 1)[:, None], weights[rows])
+                weights[rows] = np.where(n[:, None] > 0, w, weights[rows])
         shared.unpersist()
     return weights, bias
 
@@ -186,18 +222,25 @@ def score(docs: DataFrame, *, modulus: int = 7, held_out: int = 2) -> DataFrame:
     docs = need(docs, "doc_id", "text")
     fold = bucket_of(F.col("doc_id"), modulus)
     learn = docs.where(fold != held_out)
-    table = materialise(counts(learn))
+    counted = materialise(counts(learn))
+    table = counted.where("not pair").select("h", "ending", "n")
     words, distinct = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = table.orderBy(F.desc("n"), "h").limit(KNOWN).toArrow()  # bounded by KNOWN
-    h, n, bucket = (np.asarray(top.column(c)) for c in ("h", "n", "bucket"))
+    h, n = (np.asarray(top.column(c)) for c in ("h", "n"))
     h = h.view(np.uint64)
     single = np.sort(np.append(h[h != END][: SINGLE - 1], END))
-    each = F.array_contains(F.array(*[F.lit(int(x)) for x in single.view(np.int64)]), F.col("h"))
-    size = {r["bucket"]: r["n"] + r["v"] + 1 for r in table.where(~each).groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}  # a row a class
-    within = np.array([0.0 if c < len(single) else np.log10(size.get(c, 1)) for c in range(CLASSES)])
+    pairs = np.zeros(ENDINGS * ENDINGS)
+    met = counted.where("pair").select("h", "n").toArrow()  # ENDINGS squared rows at most
+    pairs[np.asarray(met.column("h"))] = np.asarray(met.column("n"))
+    cluster = clusters(pairs.reshape(ENDINGS, ENDINGS), CLASSES - SINGLE)
+    alone = F.array_contains(F.array(*[F.lit(int(x)) for x in single.view(np.int64)]), F.col("h"))
+    size = np.ones(CLASSES)
+    for r in table.where(~alone).groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():  # a row an ending
+        size[cluster[r["ending"]]] += r["n"] + r["v"]
+    within = np.where(np.arange(CLASSES) < len(single), 0.0, np.log10(size))
     base = float(np.log10(words + distinct + 1))
     rounds = learn.select("text", (F.crc32(F.concat(F.lit("fold"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")) % ROUNDS).alias("fold"))
-    weights, bias = train(rounds, single)
+    weights, bias = train(rounds, single, cluster)
     order = np.argsort(h)
     shared = spark.sparkContext.broadcast((weights, bias, h[order], n[order]))
     kind = docs.schema["doc_id"].dataType
@@ -206,7 +249,7 @@ def score(docs: DataFrame, *, modulus: int = 7, held_out: int = 2) -> DataFrame:
         w, b, known, often = shared.value
         for piece in pieces(batches, "text", TEXT_BYTES):
             t, first, own = tokens_of(piece.column("text"))
-            rows, y = rows_of(t, first), classes(t, own, single)
+            rows, y = rows_of(t, first), classes(t, own, single, cluster)
             p = np.concatenate([softmax(w, b, rows[s : s + STEP_TOKENS])[np.arange(len(y[s : s + STEP_TOKENS])), y[s : s + STEP_TOKENS]] for s in range(0, len(y), STEP_TOKENS)])
             log_p = np.log10(np.maximum(p.astype(np.float64), 1e-30))
             at = np.minimum(np.searchsorted(known, t), max(0, len(known) - 1))
