@@ -33,12 +33,17 @@ def test_awkward_rows(awkward, nothing):
 def test_rare_words_by_the_shuffle(awkward, monkeypatch):
     """With few broadcast words the joined path gives the same."""
     want = {(r["doc_id"], r["n_tokens"], r["n_known"]): (r["base_score"], r["score"]) for r in maxent.score(awkward).collect()}
-    monkeypatch.setattr(maxent, "KNOWN", 15)
+    monkeypatch.setattr(maxent, "KNOWN", 200)
     for r in maxent.score(awkward).collect():
         b, s = want[r["doc_id"], r["n_tokens"], r["n_known"]]
         assert abs(r["base_score"] - b) < 1e-6 * abs(b) and abs(r["score"] - s) < 1e-4 * abs(s)
 
 
+def test_without_broadcast_words(awkward, monkeypatch):
+    monkeypatch.setattr(maxent, "KNOWN", 0)
+    check([(r["doc_id"], r["text"]) for r in awkward.collect()], maxent.score(awkward).collect())
+
+
 def test_probabilities_add_up(monkeypatch):
     """Over all classes, and within a class over its words and one more for the unseen."""
     r = np.random.default_rng(1)

@@ -225,9 +225,17 @@ def score(docs: DataFrame, *, modulus: int = 7, held_out: int = 2) -> DataFrame:
     counted = materialise(counts(learn))
     table = counted.where("not pair").select("h", "ending", "n")
     words, distinct = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = table.orderBy(F.desc("n"), "h").limit(KNOWN).toArrow()  # bounded by KNOWN
+    step = F.floor(F.log2("n") * 32)  # counts by size, 2048 steps at most
+    room, least = KNOWN, None
+    for r in sorted(table.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["step"]
+    top = table.where(F.lit(False) if least is None else step >= least).toArrow()  # KNOWN rows at most
     h, n = (np.asarray(top.column(c)) for c in ("h", "n"))
-    h = h.view(np.uint64)
+    by_count = np.lexsort((h, -n))
+    h, n = h[by_count].view(np.uint64), n[by_count]
     single = np.sort(np.append(h[h != END][: SINGLE - 1], END))
     pairs = np.zeros(ENDINGS * ENDINGS)
     met = counted.where("pair").select("h", "n").toArrow()  # ENDINGS squared rows at most
@@ -255,11 +263,9 @@ def score(docs: DataFrame, *, modulus: int = 7, held_out: int = 2) -> DataFrame:
             at = np.minimum(np.searchsorted(known, t), max(0, len(known) - 1))
             hit = known[at] == t if len(known) else np.zeros(len(t), bool)
             log_c = np.log10(1.0 + np.where(hit, often[at] if len(known) else 0, 0))
-            alone = y < len(single)
-            sure = hit | alone
-            log_w = np.where(alone, 0.0, np.where(hit, log_c - within[y], 0.0))
-            sums = [np.add.reduceat(x, first[:-1]) for x in (np.ones(len(t), np.int64), hit.astype(np.int64), np.where(sure, log_c - base, 0.0), log_p + log_w)]
-            rest = np.flatnonzero(~sure)
+            log_w = np.where(hit & (y >= len(single)), log_c - within[y], 0.0)
+            sums = [np.add.reduceat(x, first[:-1]) for x in (np.ones(len(t), np.int64), hit.astype(np.int64), np.where(hit, log_c - base, 0.0), log_p + log_w)]
+            rest = np.flatnonzero(~hit)
             key = np.asarray(piece.column("key"))
             doc = np.searchsorted(first, rest, "right") - 1
             pick = np.lexsort((t[rest], doc))
@@ -284,7 +290,7 @@ def score(docs: DataFrame, *, modulus: int = 7, held_out: int = 2) -> DataFrame:
     rare = rare.groupBy("key").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
         F.sum(F.col("times") * (log_c - base)).alias("base_more"),
-        F.sum(F.col("times") * (log_c - inside)).alias("score_more"),
+        F.sum(F.when(F.col("class") >= len(single), F.col("times") * (log_c - inside)).otherwise(0.0)).alias("score_more"),
     )
     own = found.where("h is null").groupBy("key").agg(F.count("*").alias("rows"), *[F.first(c).alias(c) for c in ("doc_id", "n_tokens", "n_known", "base_score", "score")])
     each_row = F.explode(F.sequence(F.lit(1).cast("long"), "rows"))
