@@ -59,6 +59,14 @@ def need(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] for n in names])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `most` bytes of the text column."""
     for b in batches:
@@ -168,13 +176,17 @@ def slice_of(bounds: list[int], key: str = "key") -> Column:
     return find(F.col(key)) if bounds else F.lit(0)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int, where: Column | None = None) -> DataFrame:
-    """text and label of at most `most` labelled documents, those of lowest hash of the id; the bound makes the broadcast safe."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int, where: Column | None = None, positive: int | None = None) -> DataFrame:
+    """text and label of at most `most` labelled documents, those of lowest hash of the id; the bound makes the broadcast safe.
+
+    positive: take this many with a label above 0 at most, the others from the rest.
+    """
     own = labels.select(F.col("doc_id").alias("_id"), F.col(column).cast("int").alias("label")).where("label is not null and _id is not null")
     own = own.groupBy("_id").agg(F.max("label").alias("label"))
     if where is not None:
         own = own.where(where)
-    few = own.orderBy(F.xxhash64("_id"), "_id").limit(most)
+    order = (F.xxhash64("_id"), F.col("_id"))
+    few = own.orderBy(*order).limit(most) if positive is None else own.where("label > 0").orderBy(*order).limit(positive).union(own.where("label <= 0").orderBy(*order).limit(most - positive))
     return docs.join(F.broadcast(few), docs["doc_id"] == few["_id"]).select(docs["text"], "label")
 
 

@@ -9,7 +9,7 @@ number of toxic words, and its offending spans, in bytes of the UTF-8 text.
 Forward and backward passes multiply 2 x 2 matrices; all texts of a batch form one sequence that starts anew at each text, cut into
 blocks that are passed through side by side, so that a long text is no slower a word than a short one.
 
-The model is fitted on a sample of at most `most` labelled documents and `WORDS` words; scoring runs over all texts
+The model is fitted on a sample of at most `most` labelled documents (`TOXIC` toxic ones) and `WORDS` words; scoring runs over all texts
 where they are read. Labels, lang, source and ids are no inputs of a score.
 
 Defined results: null, empty and blank texts get the score of no words, without spans; labels without a document, null labels and
@@ -31,7 +31,9 @@ from watchloom.llm.quality import sigmoid
 from watchloom.llm.words import BYTE_CODE, U, Words, mix64, powers, words_of
 
 #: log2 of the number of hashed features; labelled documents and words for the fit at most.
-FEATURE_BITS, SAMPLE, WORDS = 18, 8000, 600_000
+FEATURE_BITS, SAMPLE, WORDS = 18, 4000, 400_000
+#: Of the documents for the fit, toxic ones at most.
+TOXIC = 1300
 #: Bytes at the start and at the end of a word that are features.
 HEADS, TAILS = (4, 6, 8), (5,)
 #: Length of a block of words in the forward-backward pass.
@@ -217,8 +219,8 @@ class Model:
         return np.zeros(len(first) - 1) if self.doc is None else sigmoid(summary(mu, first) @ self.doc)
 
 
-def learn(feat: np.ndarray, first: np.ndarray, toxic: np.ndarray) -> Model:
-    """The model from a sample: features of its words, offsets of its documents, their labels."""
+def learn(feat: np.ndarray, first: np.ndarray, toxic: np.ndarray, odds: float | None = None) -> Model:
+    """The model from a sample: features of its words, offsets of its documents, their labels; odds of toxic documents at large."""
     dims = 1 << FEATURE_BITS
     if not len(toxic) or toxic.min() == toxic.max() or not len(feat):
         return Model(np.zeros(dims), np.ones((2, 2)), np.ones(2), -9.0, None)
@@ -238,13 +240,17 @@ def learn(feat: np.ndarray, first: np.ndarray, toxic: np.ndarray) -> Model:
     weights, trans, begin, bias = fit_field(feat[pick], new, y[pick])
     model = Model(weights, trans, begin, bias, None)
     model.doc = logistic(summary(model.words(feat, first), first), toxic)
+    if odds:
+        model.doc[0] += np.log(odds * (1 - toxic).sum() / toxic.sum())
     return model
 
 
 def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", most: int = SAMPLE, held_out: int = 2, modulus: int = 4) -> Model:
     """Fit on labelled rows outside the held-out fold."""
     prepare(docs.sparkSession)
-    rows = labelled_sample(docs, labels, column, most, bucket_of(F.col("_id"), modulus) != held_out)
+    fold = lambda c: bucket_of(F.col(c), modulus) != held_out
+    rows = labelled_sample(docs, labels, column, most, fold("_id"), TOXIC)
+    yes, no = labels.where(fold("doc_id")).agg(F.count_if(F.col(column) > 0), F.count_if(F.col(column) <= 0)).first()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
@@ -257,7 +263,9 @@ def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", most: in
     each = [np.frombuffer(r["f"], np.int32).reshape(-1, 1 + len(HEADS) + len(TAILS)) for r in got]
     first = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int64)
     feat = np.concatenate(each) if each else np.zeros((0, 1 + len(HEADS) + len(TAILS)), np.int32)
-    return learn(feat, first, np.array([int(r["label"] > 0) for r in got], int))
+    toxic = np.array([int(r["label"] > 0) for r in got], int)
+    del got, each
+    return learn(feat, first, toxic, yes / no if no else None)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
