@@ -11,8 +11,10 @@ The few sets with more empty blocks also emit those, under keys of their own. Ca
 the sets.
 
 No group of equal blocks is expanded into its pairs. First each member is held against the group's first one only; links
-give components. Only members of different components in a group are compared in a second round, in
-blocks of bounded size. Pairs inside a component can't change it, so the components are exact.
+give components. Where a group still has several, its members are held against the one that shares most blocks with others,
+which is where copies of one text come together. Only the other members of different components in a group are compared in a
+last round, in blocks of bounded size. Pairs inside a component can't change it, so the components are exact. In all rounds
+the Hamming distance of short sketches, a few bits a shingle, rules most pairs out before sets are fetched.
 
 Identities are 64-bit hashes of the whole set; equal sets are one class from the start and verified sets hold
 40, 48 or 64 bits a shingle by size, so a wrong link needs a hash collision (below 1e-6 a pair, and one that matters
@@ -41,7 +43,9 @@ from watchloom.llm.words import U, mix64, shingles, words_of
 BLOCK_BITS = 16
 #: Set identities that a task remembers, to emit a copied text once.
 SEEN = 1_000_000
-#: Rows of a block of the second round: two blocks give at most the square of that many pairs.
+#: Rounds with the best connected member.
+STARS = 1
+#: Rows of a block of the last round: two blocks give at most the square of that many pairs.
 ROUND_ROWS = 128
 #: log2 of the bits of the filter of wanted sets; it is broadcast, whatever the input's size.
 FILTER_BITS = 25
@@ -202,8 +206,31 @@ def linked(a: bytes, b: bytes, percent: int) -> bool:
     return 100 * common >= percent * (na + nb - common)
 
 
-def sets_of(docs: DataFrame, wanted: np.ndarray, width: int = 5) -> DataFrame:
-    """cid, packed set of the sets in the filter (a few others pass it, too)."""
+def sketch(s: np.ndarray) -> bytes:
+    """Parity sketch of four bits a shingle or more (a power of 2, 64 at least); XOR of its halves is the sketch of half the bits."""
+    bits = max(64, 1 << (4 * len(s) - 1).bit_length())
+    at = (mix64(s ^ U(0x5DEECE66D)) & U(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(raw: bytes, size: int) -> np.ndarray:
+    x = np.frombuffer(raw, np.uint8)
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
+def may_link(a: bytes, na: int, b: bytes, nb: int, percent: int) -> bool:
+    """False if sizes or sketches rule the pair out."""
+    if 100 * min(na, nb) < percent * max(na, nb):
+        return False
+    size = min(len(a), len(b))
+    return (100 + percent) * int(np.bitwise_count(folded(a, size) ^ folded(b, size)).sum()) <= (100 - percent) * (na + nb)
+
+
+def sets_of(docs: DataFrame, ids: DataFrame, form, width: int = 5) -> DataFrame:  # noqa: ANN001
+    """cid, n, data = form(set) for each set in ids (and a few others that pass the filter); one row an id."""
+    wanted = bit_filter(ids)
     shared = docs.sparkSession.sparkContext.broadcast(wanted.tobytes())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,25 +243,44 @@ def sets_of(docs: DataFrame, wanted: np.ndarray, width: int = 5) -> DataFrame:
             for i in np.flatnonzero(hit):
                 if len(sets[i]) and (c := int(cids[i])) not in seen:
                     seen.add(c)
-                    out.append((c, pack(sets[i])))
+                    out.append((c, len(sets[i]), form(sets[i])))
             if len(seen) > SEEN:
                 seen.clear()
             if out:
-                yield batch(["cid", "shingles"], np.array([c for c, _ in out], np.int64), pa.array([s for _, s in out], pa.binary()))
+                yield batch(["cid", "n", "data"], *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)))
+
+    return need(docs, "text").mapInArrow(run, "cid long, n long, data binary").dropDuplicates(["cid"])
+
 
-    return need(docs, "text").mapInArrow(run, "cid long, shingles binary").dropDuplicates(["cid"])
+def both_sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    one = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("data").alias("db"))
+    two = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("data").alias("da"))
+    return pairs.join(one, "b").join(two, "a")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches don't rule out."""
+
+    @F.pandas_udf("boolean")
+    def may(x: pd.Series, nx: pd.Series, y: pd.Series, ny: pd.Series) -> pd.Series:
+        return pd.Series([may_link(p, i, q, j, percent) for p, i, q, j in zip(x, nx.tolist(), y, ny.tolist(), strict=True)], dtype=bool)
+
+    return both_sides(pairs, sketches).where(may("da", "na", "db", "nb")).select("a", "b")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("cid"))
+
+
+def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough; sets are made anew from the texts, for these pairs only."""
 
     @F.pandas_udf("boolean")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([linked(p, q, percent) for p, q in zip(x, y, strict=True)], dtype=bool)
 
-    one = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb"))
-    two = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
-    return pairs.join(one, "b").join(two, "a").where(alike("sa", "sb")).select("a", "b")
+    sets = materialise(sets_of(docs, ends(pairs), pack, width))
+    return both_sides(pairs, sets).where(alike("da", "db")).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -251,46 +297,59 @@ def components(edges: DataFrame) -> DataFrame:
         label = new.select("cid", "comp")
 
 
-def across(shared: DataFrame, label: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs (a, b), not tested yet, that share a block and are in different components."""
-    g = shared.select("key", "cid").join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+def by_hub(rest: DataFrame, label: DataFrame, degree: DataFrame) -> DataFrame:
+    """key, cid, comp, hub, hub_comp of the groups with several components; hub is the member with most shared blocks."""
+    g = rest.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    best = F.max(F.struct("degree", "cid", "comp")).alias("best")
+    mixed = g.join(degree, "cid").groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), best).where("lo <> hi")
+    return g.join(mixed.select("key", F.col("best.cid").alias("hub"), F.col("best.comp").alias("hub_comp")), "key")
+
+
+def across(rest: DataFrame, label: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a block, are in different components and may be linked."""
+    g = rest.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     mixed = g.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows")).where("lo <> hi").select("key", "rows")
-    place_ = F.floor((F.row_number().over(Window.partitionBy("key").orderBy("comp", "cid")) - 1) / ROUND_ROWS).cast("int")
-    rows = g.join(mixed, "key").withColumn("at", place_).withColumn("last", F.floor((F.col("rows") - 1) / ROUND_ROWS).cast("int"))
-    met = F.explode(F.sequence(F.lit(0), "last"))
-    rows = rows.withColumn("other", met).select("key", F.least("at", "other").alias("lo"), F.greatest("at", "other").alias("hi"), (F.col("at") > F.col("other")).alias("right"), "comp", "cid")
+    spot = F.floor((F.row_number().over(Window.partitionBy("key").orderBy("comp", "cid")) - 1) / ROUND_ROWS).cast("int")
+    rows = g.join(mixed, "key").withColumn("at", spot).withColumn("last", F.floor((F.col("rows") - 1) / ROUND_ROWS).cast("int"))
+    rows = rows.join(sketches, "cid").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    rows = rows.select("key", F.least("at", "other").alias("lo"), F.greatest("at", "other").alias("hi"), (F.col("at") > F.col("other")).alias("right"), "comp", "cid", "n", "data")
+
+    def pairs_of(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs within one pair of blocks."""
+        if g["lo"][0] == g["hi"][0]:
+            i, j = np.triu_indices(len(g["cid"]), 1)
+        else:
+            i, j = (v.ravel() for v in np.meshgrid(np.flatnonzero(~g["right"]), np.flatnonzero(g["right"])))
+        n = g["n"]
+        m = (g["comp"][i] != g["comp"][j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        i, j = i[m], j[m]
+        if len(i):
+            size = min(map(len, g["data"]))
+            x = np.stack([folded(d, size) for d in g["data"]])
+            near = np.concatenate([np.bitwise_count(x[i[k : k + 4096]] ^ x[j[k : k + 4096]]).sum(axis=1, dtype=np.int64) for k in range(0, len(i), 4096)])
+            m = (100 + percent) * near <= (100 - percent) * (n[i] + n[j])
+            i, j = i[m], j[m]
+        p, q = g["cid"][i], g["cid"][j]
+        return np.minimum(p, q), np.maximum(p, q)
 
     def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pd.DataFrame | None = None
-
-        def out(g: pd.DataFrame) -> Iterator[pa.RecordBatch]:
-            groups = g.groupby(["key", "lo", "hi"], sort=False)
-            for (_, lo, hi), x in groups:
-                cid, comp, right = x["cid"].to_numpy(), x["comp"].to_numpy(), x["right"].to_numpy()
-                if lo == hi:
-                    i, j = np.triu_indices(len(cid), 1)
-                else:
-                    i, j = (v.ravel() for v in np.meshgrid(np.flatnonzero(~right), np.flatnonzero(right)))
-                m = comp[i] != comp[j]
-                if m.any():
-                    p, q = cid[i[m]], cid[j[m]]
-                    yield batch(["a", "b"], np.minimum(p, q), np.maximum(p, q))
-
+        held: dict[str, np.ndarray] | None = None
         for b in batches:
-            g = b.to_pandas()
-            if not len(g):
+            if not b.num_rows:
                 continue
-            g = g if held is None else pd.concat([held, g], ignore_index=True)
-            end = g.iloc[-1]
-            tail = (g["key"] == end["key"]) & (g["lo"] == end["lo"]) & (g["hi"] == end["hi"])
-            yield from out(g[~tail])
-            held = g[tail]
+            g = {c: np.array(b.column(c).to_pylist(), object) if c == "data" else b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names}
+            if held is not None:
+                g = {c: np.concatenate([held[c], g[c]]) for c in g}
+            cut = np.flatnonzero(np.append(True, (g["key"][1:] != g["key"][:-1]) | (g["lo"][1:] != g["lo"][:-1]) | (g["hi"][1:] != g["hi"][:-1])))
+            found = [pairs_of({c: v[x:y] for c, v in g.items()}) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+            held = {c: v[cut[-1] :] for c, v in g.items()}
+            if any(len(p) for p, _ in found):
+                yield batch(["a", "b"], *(np.concatenate(x) for x in zip(*found, strict=True)))
         if held is not None:
-            yield from out(held)
+            yield batch(["a", "b"], *pairs_of(held))
 
     order = ["key", "lo", "hi"]
-    found = rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(pair, "a long, b long").distinct()
-    return found.join(tested, ["a", "b"], "left_anti")
+    return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(pair, "a long, b long").distinct()
 
 
 def grouped(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
@@ -298,13 +357,24 @@ def grouped(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
     prepare(docs.sparkSession)
     m = materialise(members(docs, width))
     shared = materialise(shared_blocks(docs, width, percent))
-    sets = materialise(sets_of(docs, bit_filter(shared), width))
-    first = materialise(shared.where("cid <> pivot").select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")).distinct())
-    links = materialise(verified(first, sets, percent))
+    sketches = materialise(sets_of(docs, shared, sketch, width))
+    pair = (F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
+    first = materialise(possible(shared.where("cid <> pivot").select(*pair).distinct(), sketches, percent))
+    links = materialise(verified(docs, first, width, percent))
     label = components(links)
-    more = materialise(verified(across(shared, label, first), sets, percent))
-    if more.limit(1).count():
-        label = components(links.union(more))
+    rest = shared.where("cid <> pivot").select("key", "cid")  # a pivot has met all others of its group
+    degree = shared.groupBy("cid").agg(F.count("*").alias("degree"))
+    for _ in range(STARS):
+        g = materialise(by_hub(rest, label, degree))
+        tested = g.where("comp <> hub_comp").select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
+        more = materialise(possible(tested, sketches, percent))
+        if more.limit(1).count():
+            links = materialise(links.union(verified(docs, more, width, percent)))
+            label = components(links)
+        rest = g.where("cid <> hub").select("key", "cid")
+    last = materialise(across(rest, label, sketches, percent))
+    if last.limit(1).count():
+        label = components(links.union(verified(docs, last, width, percent)))
     return m.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
 
 
