@@ -25,7 +25,7 @@ def awkward(spark, vocabulary):
         (9, "ONE two THREE", "en", "b"), (10, "x", "en", "a"), (11, "é" * 300, "fr", "c"), (12, "a" * 5000, "en", "a"),
     ] + [(20 + i, text(r.randint(1, 120)), "en", "abc"[i % 3]) for i in range(40)]
     d = spark.createDataFrame([(*x, len(x[1]) if x[1] is not None else None) for x in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    for c in ("key", "n", "h", "size", "ids", "bucket", "rank", "weight", "slice", "cid", "score", "label", "rows", "target", "_doc", "_key"):
+    for c in ("key", "n", "h", "size", "ids", "bucket", "rank", "weight", "slice", "cid", "score", "label", "rows", "target", "_doc", "_key", "_row", "toxicity", "tail_probability", "_id", "head"):
         d = d.withColumn(c, d["lang"])
     return d
 

@@ -30,7 +30,7 @@ def test_nothing_to_learn(grades):
 
 def test_features_know_documents_apart():
     both = quality.hashed(pa.array(["a b b C!!", None, "", "x y"]))
-    alone = [quality.hashed(pa.array([t]))[0] for t in ("a b b C!!", None, "", "x y")]
+    alone = [quality.hashed(pa.array([t], pa.string()))[0] for t in ("a b b C!!", None, "", "x y")]
     assert np.array_equal(both[0], np.concatenate(alone)) and both[1].tolist() == [0, 4, 4, 4, 6]
 
 

@@ -187,7 +187,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int,
         own = own.where(where)
     order = (F.xxhash64("_id"), F.col("_id"))
     few = own.orderBy(*order).limit(most) if positive is None else own.where("label > 0").orderBy(*order).limit(positive).union(own.where("label <= 0").orderBy(*order).limit(most - positive))
-    return docs.join(F.broadcast(few), docs["doc_id"] == few["_id"]).select(docs["text"], "label")
+    return docs.join(F.broadcast(few), docs["doc_id"] == few["_id"]).select(docs["text"], few["label"])
 
 
 def bucket_of(doc_id: Column, modulus: int) -> Column:

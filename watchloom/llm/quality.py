@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchloom.llm.common import labelled_sample, need, pieces, prepare
+from watchloom.llm.common import labelled_sample, need, pieces, prepare, unused
 from watchloom.llm.words import BYTE_CODE, U, flat, mix64, words_of
 
 #: log2 of the number of hashed features; labelled documents for the fit at most.
@@ -120,10 +120,10 @@ def train(docs: DataFrame, labels: DataFrame, *, column: str = "quality", most:
     return fit(*sample_matrix(labelled_sample(docs, labels, column, most)))
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], *, at: int | None = None) -> DataFrame:
-    """docs with expected_grade and tail_probability, P(grade >= at), at the top grade if none is given."""
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], *, at: int | None = None, names: tuple[str, str] = ("expected_grade", "tail_probability")) -> DataFrame:
+    """docs with expected_grade and tail_probability, P(grade >= at), at the top grade if none is given; columns of these names are replaced."""
     w, t = docs.sparkSession.sparkContext.broadcast(model[0].astype(np.float32)), model[1]
-    keep = [f for f in docs.schema.fields if f.name not in ("expected_grade", "tail_probability")]
+    keep = [f for f in docs.schema.fields if f.name not in names]
     docs = docs.select(*[docs[f.name] for f in keep])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,15 +132,16 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], *, at: int | No
             total = np.concatenate([[0.0], np.cumsum(w.value[f].sum(axis=1, dtype=np.float64))])
             x = (total[first[1:]] - total[first[:-1]]) / np.maximum(np.diff(first), 1)
             tails = sigmoid(x[:, None] - t)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, (at or len(t)) - 1])], names=[*b.schema.names, "expected_grade", "tail_probability"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, (at or len(t)) - 1])], names=[*b.schema.names, *names])
 
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    return docs.mapInArrow(run, f"{out}, expected_grade double, tail_probability double")
+    return docs.mapInArrow(run, f"{out}, `{names[0]}` double, `{names[1]}` double")
 
 
 def selected(docs: DataFrame, labels: DataFrame, *, keep: float = KEEP) -> DataFrame:
     """The documents whose tail probability reaches `keep`, in the columns of docs."""
-    return score(docs, train(docs, labels)).where(F.col("tail_probability") >= keep).select(*docs.columns)
+    names = unused(docs, "_grade"), unused(docs, "_tail")
+    return score(docs, train(docs, labels), names=names).where(F.col(names[1]) >= keep).select(*docs.columns)
 
 
 def op6_ordinal_quality(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001

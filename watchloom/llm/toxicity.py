@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchloom.llm.common import bucket_of, labelled_sample, need, pieces, prepare
+from watchloom.llm.common import bucket_of, labelled_sample, need, pieces, prepare, unused
 from watchloom.llm.quality import sigmoid
 from watchloom.llm.words import BYTE_CODE, U, Words, mix64, powers, words_of
 
@@ -210,10 +210,17 @@ class Model:
     def __init__(self, weights: np.ndarray, trans: np.ndarray, begin: np.ndarray, bias: float, doc: np.ndarray | None) -> None:
         self.weights, self.trans, self.begin, self.bias, self.doc = weights.astype(np.float32), trans, begin, bias, doc
 
-    def words(self, feat: np.ndarray, first: np.ndarray) -> np.ndarray:
-        new = np.zeros(len(feat), bool)
-        new[first[:-1][np.diff(first) > 0]] = True
-        return marginals(self.weights[feat].sum(axis=1, dtype=np.float64) + self.bias, new, self.trans, self.begin)
+    def words(self, feat: np.ndarray, first: np.ndarray, most: int = 200_000) -> np.ndarray:
+        """Marginals of all words, some documents at a time."""
+        out, a = [], 0
+        while a < len(first) - 1:
+            b = max(a + 1, int(np.searchsorted(first, first[a] + most, "right")) - 1)
+            f = feat[first[a] : first[b]]
+            new = np.zeros(len(f), bool)
+            new[(first[a:b] - first[a])[np.diff(first[a : b + 1]) > 0]] = True
+            out.append(marginals(self.weights[f].sum(axis=1, dtype=np.float64) + self.bias, new, self.trans, self.begin))
+            a = b
+        return np.concatenate(out) if out else np.zeros(0)
 
     def scores(self, mu: np.ndarray, first: np.ndarray) -> np.ndarray:
         return np.zeros(len(first) - 1) if self.doc is None else sigmoid(summary(mu, first) @ self.doc)
@@ -268,10 +275,10 @@ def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", most: in
     return learn(feat, first, toxic, yes / no if no else None)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with toxicity (0 to 1) and toxic_spans, byte offsets with the mean marginal of their words."""
+def score(docs: DataFrame, model: Model, *, names: tuple[str, str] = ("toxicity", "toxic_spans")) -> DataFrame:
+    """docs with toxicity (0 to 1) and toxic_spans, byte offsets with the mean marginal of their words; columns of these names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [f for f in docs.schema.fields if f.name not in ("toxicity", "toxic_spans")]
+    keep = [f for f in docs.schema.fields if f.name not in names]
     docs = docs.select(*[docs[f.name] for f in keep])
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("p", pa.float64())]))
 
@@ -287,15 +294,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 for run_ in np.split(np.arange(len(hot)), np.flatnonzero((np.diff(hot) > 1) | (np.diff(doc) > 0)) + 1):
                     d, i, j = doc[run_[0]], hot[run_[0]], hot[run_[-1]]
                     spans[d].append({"start": int(w.start[i] - w.ends[d]), "stop": int(w.stop[j] - w.ends[d]), "p": float(mu[i : j + 1].mean())})
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(m.scores(mu, w.first)), pa.array(spans, kind)], names=[*b.schema.names, "toxicity", "toxic_spans"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(m.scores(mu, w.first)), pa.array(spans, kind)], names=[*b.schema.names, *names])
 
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    return docs.mapInArrow(run, f"{out}, toxicity double, toxic_spans array<struct<start:long,stop:long,p:double>>")
+    return docs.mapInArrow(run, f"{out}, `{names[0]}` double, `{names[1]}` array<struct<start:long,stop:long,p:double>>")
 
 
 def clean(docs: DataFrame, labels: DataFrame, *, most: float = THRESHOLD) -> DataFrame:
     """The documents that score below `most`, in the columns of docs."""
-    return score(docs, train(docs, labels)).where(F.col("toxicity") < most).select(*docs.columns)
+    names = unused(docs, "_toxicity"), unused(docs, "_spans")
+    return score(docs, train(docs, labels), names=names).where(F.col(names[0]) < most).select(*docs.columns)
 
 
 def op10_crf_toxicity(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001
