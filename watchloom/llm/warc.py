@@ -38,6 +38,7 @@ def resolve(pages: DataFrame, *, least: int = 1000) -> DataFrame:
     digest = F.sha1(body)
     heads = rows.select("page_id", digest.alias("digest"), F.octet_length(body).alias("n")).where(F.col("n") >= least)
     first = heads.groupBy("digest", "n").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("rows")).where("rows > 1 and refers_to is not null").drop("rows")
+    first = materialise(first)  # on its own, so that Spark can split a payload that many pages share in the join
     revisits = heads.join(first, ["digest", "n"]).where("page_id is null or page_id <> refers_to").select("page_id", F.col("digest"), "refers_to").dropDuplicates()
     r = revisits.select(F.col("page_id").alias("r_id"), F.col("digest").alias("r_digest"), "refers_to")
     b = rows.select("page_id", "url", "html", digest.alias("digest"))
@@ -117,6 +118,7 @@ def lookup(archive: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of each record; revisits get their payload's length from the response they name."""
     own = archive.where("record_type = 'response'").select("page_id", F.col("stored_bytes").alias("payload_bytes"), F.col("stored_digest").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
     target = archive.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id")).agg(F.first("page_id").alias("refers_to"), F.first("stored_bytes").alias("payload_bytes"), F.first("stored_digest").alias("digest"))
+    target = materialise(target)  # for the same reason
     again = archive.where("record_type = 'revisit'").join(target, "refers_to_id", "left")
     return own.unionByName(again.select("page_id", "payload_bytes", F.when(F.col("digest") == F.col("payload_digest"), F.col("digest")).alias("payload_digest"), "record_type", "refers_to"))
 
