@@ -15,7 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchloom.llm.common import histogram, materialise, need, ordered_key, prepare, slice_of, splitters
+from watchloom.llm.common import histogram, materialise, need, ordered_key, pick, prepare, slice_of, splitters
+
+
+#: Slices of a shard at most: what the driver holds of each is a key and two counts.
+MOST_SLICES = 1024
 
 
 def shard_rows(rows: DataFrame, key: Column, weight: Column, *, shards: int = 16, slice_rows: int = 250_000, tolerance: float = 0.01) -> DataFrame:
@@ -28,13 +32,13 @@ def shard_rows(rows: DataFrame, key: Column, weight: Column, *, shards: int = 16
     keyed = rows.withColumns({"key": key, "weight": weight.cast("long")})
     narrow = materialise(keyed.select("key", "weight"))
     total, n = narrow.agg(F.coalesce(F.sum("weight"), F.lit(0)), F.count("*")).first()
-    slices = max(8, -(-n // (shards * slice_rows)))
+    slices = min(MOST_SLICES, max(8, -(-n // (shards * slice_rows))))
     bounds = splitters(narrow, total, shards * slices, tolerance=tolerance)
     under = [0, *histogram(narrow, bounds)[1]]
-    starts = F.array(*[F.lit(int(under[k] - under[k - k % slices])) for k in range(shards * slices)])
+    starts = [int(under[k] - under[k - k % slices]) for k in range(shards * slices)]
     cut = keyed.withColumn("slice", slice_of(bounds)).repartition(shards * slices, "slice")
     place = F.row_number().over(Window.partitionBy("slice").orderBy("key")) - 1
-    slot = F.element_at(starts, F.col("slice") + 1) + place
+    slot = pick(starts, F.col("slice")) + place
     return cut.withColumn("slot", slot.cast("long")).withColumn("shard", F.floor(F.col("slice") / slices).cast("int")).drop("key", "weight", "slice")
 
 
