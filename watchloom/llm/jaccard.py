@@ -32,6 +32,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,7 +87,7 @@ def identity(s: np.ndarray) -> int:
 
 
 def each_set(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    for b in pieces(batches, "text", 2 << 20):
+    for b in pieces(batches, "text"):
         yield b, shingles(words_of(b.column("text")), width)
 
 
@@ -166,13 +167,16 @@ def bit_filter(ids: DataFrame) -> np.ndarray:
             bits[place(np.asarray(b.column("cid")))] = True
         packed = np.packbits(bits).reshape(64, part)
         some = np.flatnonzero(packed.any(axis=1))
-        yield batch(["part", "bits"], some.astype(np.int32), pa.array([packed[i].tobytes() for i in some], pa.binary()))
+        salt = np.full(len(some), TaskContext.get().partitionId() % 64, np.int32)
+        yield batch(["part", "salt", "bits"], some.astype(np.int32), salt, pa.array([packed[i].tobytes() for i in some], pa.binary()))
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"part": pdf["part"].iloc[:1], "bits": [np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in pdf["bits"]]).tobytes()]})
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "salt": 0, "bits": [np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in pdf["bits"]]).tobytes()]})
 
     out = np.zeros((64, part), np.uint8)
-    for r in ids.select("cid").mapInArrow(mark, "part int, bits binary").groupBy("part").applyInPandas(join, "part int, bits binary").collect():
+    kind = "part int, salt int, bits binary"
+    marked = ids.select("cid").mapInArrow(mark, kind).groupBy("part", "salt").applyInPandas(join, kind)  # no group grows with the tasks
+    for r in marked.groupBy("part").applyInPandas(join, kind).collect():
         out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
     return out.ravel()
 
@@ -381,7 +385,7 @@ def grouped(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
 def join(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     m = grouped(docs, width=width, percent=percent)
-    least = m.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    least = materialise(m.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least")))  # on its own, so that Spark can split a large component in the join
     return m.join(least, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 

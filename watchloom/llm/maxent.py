@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,7 +189,7 @@ def train(docs: DataFrame, single: np.ndarray, cluster: np.ndarray) -> tuple[np.
                 return
             some = np.flatnonzero(met.reshape(-1, GROUP).any(axis=1))
             n, ww = met.reshape(-1, GROUP), w.astype(np.float16).reshape(-1, GROUP * CLASSES)
-            salt = int(met[:64].sum()) % 64
+            salt = TaskContext.get().partitionId() % 64
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*some, extra], pa.int32()), pa.array([salt] * (len(some) + 1), pa.int32()), pa.array([*(n[i].tobytes() for i in some), np.float32([total]).tobytes()], pa.binary()), pa.array([*(ww[i].tobytes() for i in some), b.astype(np.float16).tobytes()], pa.binary())],
                 names=["part", "salt", "n", "w"],
