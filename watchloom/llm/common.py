@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Bytes of an Arrow batch sent to a Python worker; one row may exceed it.
-BATCH_BYTES = 8 << 20
+#: Bytes of an Arrow batch sent to a Python worker, and of the texts that numpy works on at once; one row may exceed them.
+BATCH_BYTES, PIECE_BYTES = 4 << 20, 1 << 18
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -67,7 +68,7 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `most` bytes of the text column."""
     for b in batches:
         if not b.num_rows:
@@ -153,7 +154,7 @@ def splitters(table: DataFrame, total: int, parts: int, *, tolerance: float = 0.
         for i, goal in enumerate(goals):
             if i in best:
                 continue
-            at = int(np.searchsorted(np.array(sums, dtype=object), goal, "right"))
+            at = bisect_right(sums, goal)
             low, high = order[max(0, at - 1)], order[min(at, len(order) - 1)]
             near = min((low, high), key=lambda k: abs(known[k] - goal))
             if abs(known[near] - goal) <= slack or high - low <= 1 or rows[high] - rows[low] <= 1:
@@ -176,6 +177,17 @@ def slice_of(bounds: list[int], key: str = "key") -> Column:
     return find(F.col(key)) if bounds else F.lit(0)
 
 
+def pick(values: Iterable[int], at: Column) -> Column:
+    """values[at], for more values than fit in a plan."""
+    held = np.array(list(values), np.int64)
+
+    @F.pandas_udf("long")
+    def find(i: pd.Series) -> pd.Series:
+        return pd.Series(held[i.to_numpy()])
+
+    return find(at)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int, where: Column | None = None, positive: int | None = None) -> DataFrame:
     """text and label of at most `most` labelled documents, those of lowest hash of the id; the bound makes the broadcast safe.
 

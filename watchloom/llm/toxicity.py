@@ -37,7 +37,7 @@ TOXIC = 1300
 #: Bytes at the start and at the end of a word that are features.
 HEADS, TAILS = (4, 6, 8), (5,)
 #: Length of a block of words in the forward-backward pass.
-BLOCK = 256
+BLOCK = 128
 THRESHOLD = 0.3
 
 
@@ -284,7 +284,7 @@ def score(docs: DataFrame, model: Model, *, names: tuple[str, str] = ("toxicity"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in pieces(batches, "text", 1 << 20):
+        for b in pieces(batches, "text"):
             w = words_of(b.column("text"))
             mu = m.words(features(w), w.first)
             spans: list[list[dict]] = [[] for _ in range(b.num_rows)]
