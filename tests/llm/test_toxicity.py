@@ -62,6 +62,27 @@ def test_field_learns_a_lexicon_with_context():
     assert (s[np.array(toxic) == 1] > 0.5).all() and (s[np.array(toxic) == 0] < 0.3).all()
 
 
+def test_all_words_of_the_sample_teach(spark, monkeypatch):
+    """Words beyond any bound on the sample's words, in the longest documents, teach as well; tasks learn what one process learns."""
+    monkeypatch.setattr(toxicity, "WORDS", 2000, raising=False)
+    r = np.random.default_rng(4)
+    rows = []
+    for i in range(300):
+        t = [f"{'abcdefgh'[k % 8]}lain{k}" for k in r.integers(0, 200, 20 if i < 200 else 60)]
+        if i % 4 == 0:
+            t[int(r.integers(0, len(t)))] = "shortbad" if i < 200 else "longvile"
+        rows.append((i, " ".join(t), int(i % 4 == 0)))
+    w = words_of(pa.array([t for _, t, _ in rows]))
+    f = toxicity.features(w)
+    m = toxicity.learn(f, w.first, np.array([y for *_, y in rows]))
+    late = np.array([w.text(i) == "longvile" for i in range(len(w.hash))])
+    mu = m.words(f, w.first)
+    assert late.sum() == 25 and (mu[late] > 0.5).all() and (mu[~late & (w.doc() >= 200)] < 0.5).all()
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(5), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    other = toxicity.train(docs.select("doc_id", "text"), labels, held_out=9, modulus=4)
+    assert np.allclose(mu, other.words(f, w.first), atol=1e-3)
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     q = toxicity.op10_crf_toxicity(spark, SF)

@@ -9,8 +9,9 @@ number of toxic words, and its offending spans, in bytes of the UTF-8 text.
 Forward and backward passes multiply 2 x 2 matrices; all texts of a batch form one sequence that starts anew at each text, cut into
 blocks that are passed through side by side, so that a long text is no slower a word than a short one.
 
-The model is fitted on a sample of at most `most` labelled documents (`TOXIC` toxic ones) and `WORDS` words; scoring runs over all texts
-where they are read. Labels, lang, source and ids are no inputs of a score.
+The model is fitted on a sample of at most `most` labelled documents (`TOXIC` toxic ones), picked by the hash of their ids whatever
+their length, and on every word of them: Spark tasks add up each round's gradient, so that only sums reach the driver. Scoring runs over
+all texts where they are read. Labels, lang, source and ids are no inputs of a score.
 
 Defined results: null, empty and blank texts get the score of no words, without spans; labels without a document, null labels and
 ids don't teach; without labels or with one kind only, scores are 0; other columns are not touched; an empty table
@@ -19,19 +20,19 @@ gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchloom.llm.common import bucket_of, labelled_sample, need, pieces, prepare, unused
+from watchloom.llm.common import bucket_of, labelled_sample, materialise, need, pieces, prepare, unused
 from watchloom.llm.quality import sigmoid
-from watchloom.llm.words import BYTE_CODE, U, Words, mix64, powers, words_of
+from watchloom.llm.words import BYTE_CODE, U, Words, flat, mix64, powers, words_of
 
-#: log2 of the number of hashed features; labelled documents and words for the fit at most.
-FEATURE_BITS, SAMPLE, WORDS = 18, 4000, 400_000
+#: log2 of the number of hashed features; labelled documents for the fit at most; files that they are dealt out to.
+FEATURE_BITS, SAMPLE, PARTS = 18, 4000, 12
 #: Of the documents for the fit, toxic ones at most.
 TOXIC = 1300
 #: Bytes at the start and at the end of a word that are features.
@@ -123,57 +124,67 @@ def marginals(e: np.ndarray, new: np.ndarray, trans: np.ndarray, begin: np.ndarr
     return p[:, 1] / p.sum(axis=1)
 
 
-def fit_field(feat: np.ndarray, new: np.ndarray, y: np.ndarray, *, rounds: int = 40, rate: float = 0.3, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """(feature weights, transition weights, start weights, bias) by Adam on the likelihood of the labels y."""
-    dims, n = 1 << FEATURE_BITS, len(y)
-    used, at = np.unique(feat, return_inverse=True)
-    at = at.reshape(feat.shape)
-    par = np.zeros(len(used) + 7)  # weights, bias, 4 transitions, 2 starts
-    par[len(used)] = -2.0
-    m, v = np.zeros_like(par), np.zeros_like(par)
-    some = (used != 0).astype(float)
-    last = np.append(0, y[:-1])
-    old = ~new
-    for step in range(1, rounds + 1):
-        w = par[: len(used)] * some
-        trans, begin = np.exp(par[-6:-2]).reshape(2, 2), np.exp(par[-2:])
-        mat, f, b = passes(w[at].sum(axis=1) + par[len(used)], new, trans, begin)
-        p = f * b
-        mu = p[:, 1] / p.sum(axis=1)
-        pair = np.concatenate([[[0.5, 0.5]], f[:-1]])[:, :, None] * mat * b[:, None, :]
-        pair /= pair.sum(axis=(1, 2), keepdims=True)
-        g = np.zeros_like(par)
-        d = (mu - y) / n
-        for k in range(feat.shape[1]):
-            g[: len(used)] += np.bincount(at[:, k], d, len(used))
-        g[: len(used)] = g[: len(used)] * some + decay / n * w
-        g[len(used)] = d.sum()
-        seen = np.zeros((2, 2))
-        np.add.at(seen, (last[old], y[old]), 1.0)
-        g[-6:-2] = ((pair[old].sum(axis=0) - seen) / n).ravel()
-        g[-2:] = (np.array([(1 - mu[new]).sum(), mu[new].sum()]) - np.bincount(y[new], minlength=2)) / n
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        par -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
-        par[-6:] = par[-6:].clip(-8, 8)
-    weights = np.zeros(dims)
-    weights[used] = par[: len(used)] * some
-    return weights, np.exp(par[-6:-2]).reshape(2, 2), np.exp(par[-2:]), par[len(used)]
+#: total(f, *values): the sums of the arrays that f(feat, first, toxic, *values) returns, over all parts of the sample.
+Total = Callable[..., list[np.ndarray]]
 
 
-def word_labels(feat: np.ndarray, doc: np.ndarray, toxic: np.ndarray, *, least: int = 3, odds: float = 2.5) -> np.ndarray:
-    """0 or 1 for each word: 1 in a toxic document if a feature of it is far more frequent among toxic documents."""
+def occurrences(feat: np.ndarray, first: np.ndarray, toxic: np.ndarray) -> list[np.ndarray]:
+    """Plain documents, toxic documents and words; toxic documents with each feature, plain ones with it."""
     dims = 1 << FEATURE_BITS
+    doc = np.repeat(np.arange(len(toxic)), np.diff(first))
     pos, neg = np.zeros(dims), np.zeros(dims)
     for k in range(feat.shape[1]):
         pairs = np.unique(doc.astype(np.int64) << FEATURE_BITS | feat[:, k])
         d, f = pairs >> FEATURE_BITS, pairs & (dims - 1)
         pos += np.bincount(f, toxic[d], dims)
         neg += np.bincount(f, 1 - toxic[d], dims)
-    share = max(toxic.sum(), 1) / max((1 - toxic).sum(), 1)
+    return [np.array([(1 - toxic).sum(), toxic.sum(), len(feat)], float), pos, neg]
+
+
+def hot_features(pos: np.ndarray, neg: np.ndarray, share: float, *, least: int = 3, odds: float = 2.5) -> np.ndarray:
+    """Which features are far more frequent among toxic documents; a word of a toxic document with one of them is toxic."""
     score = np.log((pos + 0.2) / (neg * share + 0.2))
-    score[(pos < least) | (np.arange(dims) == 0)] = -9
-    hot = score > odds
-    return hot[feat].any(axis=1).astype(int) & toxic[doc]
+    score[(pos < least) | (np.arange(len(pos)) == 0)] = -9
+    return score > odds
+
+
+def gradient(feat: np.ndarray, first: np.ndarray, toxic: np.ndarray, hot: np.ndarray, par: np.ndarray) -> list[np.ndarray]:
+    """Of the negative log likelihood of the words' labels, by feature weights; by bias, 4 transitions, 2 starts."""
+    dims, rest = 1 << FEATURE_BITS, par[1 << FEATURE_BITS :]
+    if not len(feat):
+        return [np.zeros(dims), np.zeros(7)]
+    y = hot[feat].any(axis=1).astype(int) & np.repeat(toxic, np.diff(first))
+    new = np.zeros(len(y), bool)
+    new[first[:-1][np.diff(first) > 0]] = True
+    old, last = ~new, np.append(0, y[:-1])
+    mat, f, b = passes(par[feat].sum(axis=1) + rest[0], new, np.exp(rest[1:5]).reshape(2, 2), np.exp(rest[5:]))
+    p = f * b
+    mu = p[:, 1] / p.sum(axis=1)
+    pair = np.concatenate([[[0.5, 0.5]], f[:-1]])[:, :, None] * mat * b[:, None, :]
+    pair /= pair.sum(axis=(1, 2), keepdims=True)
+    d = mu - y
+    by_weight = np.zeros(dims)
+    for k in range(feat.shape[1]):
+        by_weight += np.bincount(feat[:, k], d, dims)
+    by_weight[0] = 0.0
+    seen = np.bincount(2 * last[old] + y[old], minlength=4)
+    starts = np.array([(1 - mu[new]).sum(), mu[new].sum()]) - np.bincount(y[new], minlength=2)
+    return [by_weight, np.concatenate([[d.sum()], pair[old].sum(axis=0).ravel() - seen, starts])]
+
+
+def fit_field(total: Total, hot: np.ndarray, n: float, *, rounds: int = 40, rate: float = 0.3, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(feature weights, transition weights, start weights, bias) by Adam on the likelihood of the labels of all n words."""
+    dims = 1 << FEATURE_BITS
+    par = np.zeros(dims + 7)  # weights, bias, 4 transitions, 2 starts
+    par[dims] = -2.0
+    m, v = np.zeros_like(par), np.zeros_like(par)
+    for step in range(1, rounds + 1):
+        g = np.concatenate(total(gradient, hot, par)) / n
+        g[:dims] += decay / n * par[:dims]
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        par -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+        par[-6:] = par[-6:].clip(-8, 8)
+    return par[:dims].copy(), np.exp(par[-6:-2]).reshape(2, 2), np.exp(par[-2:]), par[dims]
 
 
 def summary(mu: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -226,34 +237,57 @@ class Model:
         return np.zeros(len(first) - 1) if self.doc is None else sigmoid(summary(mu, first) @ self.doc)
 
 
-def learn(feat: np.ndarray, first: np.ndarray, toxic: np.ndarray, odds: float | None = None) -> Model:
-    """The model from a sample: features of its words, offsets of its documents, their labels; odds of toxic documents at large."""
-    dims = 1 << FEATURE_BITS
-    if not len(toxic) or toxic.min() == toxic.max() or not len(feat):
-        return Model(np.zeros(dims), np.ones((2, 2)), np.ones(2), -9.0, None)
-    doc = np.repeat(np.arange(len(toxic)), np.diff(first))
-    y = word_labels(feat, doc, toxic)
-    # what the field learns from: words labelled toxic or like them, with ten words on both sides, then starts of documents
-    alike = np.isin(feat[:, 1:], np.unique(feat[y == 1, 1:])[1:]).any(axis=1) | (y == 1)
-    near = np.zeros(len(y), bool)
-    at = np.flatnonzero(alike)
-    for k in range(-10, 11):
-        p = at + k
-        p = p[(p >= 0) & (p < len(y))]
-        near[p[doc[p] == doc[p - k]]] = True
-    near |= np.arange(len(y)) - first[doc] < 40
-    pick = np.flatnonzero(near)[:WORDS]
-    new = np.append(True, (np.diff(pick) > 1) | (np.diff(doc[pick]) > 0))
-    weights, trans, begin, bias = fit_field(feat[pick], new, y[pick])
-    model = Model(weights, trans, begin, bias, None)
-    model.doc = logistic(summary(model.words(feat, first), first), toxic)
+def fit(total: Total, summaries: Callable[[Model], tuple[np.ndarray, np.ndarray]], odds: float | None = None) -> Model:
+    """The model from all words of a sample; summaries: those of its documents and their labels; odds of toxic documents at large."""
+    (plain, toxic, words), pos, neg = total(occurrences)
+    if not plain or not toxic or not words:
+        return Model(np.zeros(1 << FEATURE_BITS), np.ones((2, 2)), np.ones(2), -9.0, None)
+    model = Model(*fit_field(total, hot_features(pos, neg, toxic / plain), words), None)
+    model.doc = logistic(*summaries(model))
     if odds:
-        model.doc[0] += np.log(odds * (1 - toxic).sum() / toxic.sum())
+        model.doc[0] += np.log(odds * plain / toxic)
     return model
 
 
+def learn(feat: np.ndarray, first: np.ndarray, toxic: np.ndarray, odds: float | None = None) -> Model:
+    """The model from a sample at hand: features of its words, offsets of its documents, their labels."""
+    return fit(lambda f, *values: f(feat, first, toxic, *values), lambda m: (summary(m.words(feat, first), first), toxic), odds)
+
+
+def parts_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(features of the words, offsets of the documents, labels) of each batch of sampled documents."""
+    width = 1 + len(HEADS) + len(TAILS)
+    for b in batches:
+        if b.num_rows:
+            data, ends = flat(b.column("f"))
+            yield np.frombuffer(data.tobytes(), np.int32).reshape(-1, width), ends // (4 * width), (np.asarray(b.column("label")) > 0).astype(int)
+
+
+def summed(rows: DataFrame) -> Total:
+    """Adds up over the rows (f, label): tasks add up their own batches, and what is not 0 of their sums reaches the driver."""
+
+    def total(f: Callable, *values: np.ndarray) -> list[np.ndarray]:
+        none = [np.zeros_like(x) for x in f(np.zeros((0, 1 + len(HEADS) + len(TAILS)), np.int32), np.zeros(1, np.int64), np.zeros(0, int), *values)]
+        shared = rows.sparkSession.sparkContext.broadcast(values)
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = None
+            for part in parts_of(batches):
+                got = f(*part, *shared.value)
+                sums = got if sums is None else [a + b for a, b in zip(sums, got, strict=True)]
+            full = [np.flatnonzero(x).astype(np.int32) for x in sums or []]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(full)), pa.int32()), pa.array([i.tobytes() for i in full], pa.binary()), pa.array([x[i].tobytes() for x, i in zip(sums or [], full, strict=True)], pa.binary())], names=["k", "at", "v"])
+
+        for r in rows.mapInArrow(run, "k int, at binary, v binary").collect():
+            none[r["k"]][np.frombuffer(r["at"], np.int32)] += np.frombuffer(r["v"], np.float64)
+        shared.destroy()
+        return none
+
+    return total
+
+
 def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", most: int = SAMPLE, held_out: int = 2, modulus: int = 4) -> Model:
-    """Fit on labelled rows outside the held-out fold."""
+    """Fit on all words of labelled documents outside the held-out fold, `most` of them at most."""
     prepare(docs.sparkSession)
     fold = lambda c: bucket_of(F.col(c), modulus) != held_out
     rows = labelled_sample(docs, labels, column, most, fold("_id"), TOXIC)
@@ -265,14 +299,19 @@ def train(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", most: in
             f = features(w)
             yield pa.RecordBatch.from_arrays([pa.array([f[a:e].tobytes() for a, e in zip(w.first[:-1], w.first[1:], strict=True)], pa.binary()), pa.array(b.column("label"))], names=["f", "label"])
 
-    got = rows.mapInArrow(run, "f binary, label int").collect()
-    got.sort(key=lambda r: (len(r["f"]), bytes(r["f"][:64])))  # the same order whatever the partitions
-    each = [np.frombuffer(r["f"], np.int32).reshape(-1, 1 + len(HEADS) + len(TAILS)) for r in got]
-    first = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int64)
-    feat = np.concatenate(each) if each else np.zeros((0, 1 + len(HEADS) + len(TAILS)), np.int32)
-    toxic = np.array([int(r["label"] > 0) for r in got], int)
-    del got, each
-    return learn(feat, first, toxic, yes / no if no else None)
+    # few files, so that a round has few tasks; sorted, so that sums are the same each time
+    held = materialise(rows.mapInArrow(run, "f binary, label int").repartition(PARTS).sortWithinPartitions("f", "label"))
+
+    def summaries(model: Model) -> tuple[np.ndarray, np.ndarray]:
+        def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for feat, first, toxic in parts_of(batches):
+                x = summary(model.words(feat, first), first)
+                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), pa.array(toxic, pa.int32())], names=["x", "toxic"])
+
+        got = held.mapInArrow(each, "x binary, toxic int").collect()
+        return np.stack([np.frombuffer(r["x"], np.float64) for r in got]), np.array([r["toxic"] for r in got], int)
+
+    return fit(summed(held), summaries, yes / no if no else None)
 
 
 def score(docs: DataFrame, model: Model, *, names: tuple[str, str] = ("toxicity", "toxic_spans")) -> DataFrame:
