@@ -103,3 +103,17 @@ def test_frontier_rounds_and_cap(spark):
     assert {r["url"] for r in pages.frontier(e, s, cap=2).collect()} == {"a", "b"}
     assert {r["url"] for r in pages.frontier(e, s, rounds=1).collect()} == {"a", "b", "c"}
     assert [r["url"] for r in pages.first_seen(pages.frontier(e, s)).orderBy("nth").collect()] == ["a", "b", "c", "d", "e"]
+
+
+def test_frontier_follows_links_until_no_page_is_new(spark):
+    """A chain longer than ten links and more pages than PAGE_CAP, against a plain breadth-first search."""
+    links = [(f"n{i}", f"n{i + 1}") for i in range(12)] + [("n12", f"w{i:04}") for i in range(1100)] + [("w0007", "last"), ("last", "n0"), ("other", "n3")]
+    want, fresh, depth = {"n0": 0}, {"n0"}, 0
+    while fresh:
+        depth += 1
+        fresh = {t for s, t in links if s in fresh} - want.keys()
+        want |= dict.fromkeys(fresh, depth)
+    e, s = spark.createDataFrame(links, "source string, target string"), spark.createDataFrame([("n0",)], "url string")
+    got = {r["url"]: r["depth"] for r in pages.frontier(e, s, cap=None, keep=lambda d: d.localCheckpoint()).collect()}
+    assert got == want and len(got) > pages.PAGE_CAP and got["last"] == 14
+    assert pages.frontier(e, s, keep=lambda d: d.localCheckpoint()).count() == pages.PAGE_CAP

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -164,19 +165,21 @@ def edges(pages: DataFrame) -> DataFrame:
     return pages.select(F.regexp_replace("url", r"#.*", "").alias("source"), F.explode(web.links(F.col("html"), F.col("url"))).alias("target"))
 
 
-def frontier(links: DataFrame, seeds: DataFrame, *, cap: int = PAGE_CAP, rounds: int = 10, keep=None) -> DataFrame:  # noqa: ANN001
+def frontier(links: DataFrame, seeds: DataFrame, *, cap: int | None = PAGE_CAP, rounds: int | None = None, keep=None) -> DataFrame:  # noqa: ANN001
     """url, depth of what is reached from the seeds (url) over links (source, target), first come first visited, at most cap pages.
 
-    The cap is the crawl's own limit, taken by (depth, url). keep(df) makes a round's state durable, e.g. by writing it.
+    It ends when a round finds no new page, or the cap or the number of rounds is reached; None: no such bound. The cap is the
+    crawl's own limit, taken by (depth, url). keep(df) makes a round's state durable, e.g. by writing it.
     """
     keep = keep or (lambda d: d)
-    seen = keep(seeds.select("url").distinct().withColumn("depth", F.lit(0)).orderBy("url").limit(cap))
-    for depth in range(1, rounds + 1):
-        room = cap - seen.count()
-        if room <= 0:
+    first = lambda d, n: d if cap is None else d.orderBy("url").limit(n)
+    seen = keep(first(seeds.select("url").distinct().withColumn("depth", F.lit(0)), cap))
+    for depth in count(1) if rounds is None else range(1, rounds + 1):
+        room = None if cap is None else cap - seen.count()
+        if room is not None and room <= 0:
             break
         new = links.join(seen.where(F.col("depth") == depth - 1), links["source"] == F.col("url"), "left_semi").select(F.col("target").alias("url")).distinct().join(seen, "url", "left_anti")
-        new = keep(new.withColumn("depth", F.lit(depth)).orderBy("url").limit(room))
+        new = keep(first(new.withColumn("depth", F.lit(depth)), room))
         if not new.limit(1).count():
             break
         seen = keep(seen.unionByName(new))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +40,18 @@ def pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.table(spark, sf_dir, "pages")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as Parquet below the cluster's spark.checkpoint.dir, read again; only where that is unset, a local folder is made and set."""
+    spark = df.sparkSession
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        top = "file://" + tempfile.mkdtemp(prefix="watchloom-")
+        spark.conf.set("spark.checkpoint.dir", top)
+    path = f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # --- scans, projections, predicates --------------------------------------------------------------
 
 
@@ -543,6 +557,21 @@ def frontier(spark, sf_dir):
     return pages.frontier(pages.edges(p), seeds, rounds=1)
 
 
+@query(f"""WITH RECURSIVE {LINKED}, p AS (SELECT regexp_replace(url, '#.*', '') AS url FROM pages),
+s AS (SELECT min(url) AS url FROM p GROUP BY lower(regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1)) UNION SELECT url FROM p WHERE url NOT IN (SELECT target FROM l WHERE source <> target)),
+r AS (SELECT 0 AS depth, list(url) AS seen, list(url) AS fresh FROM s UNION ALL SELECT r.depth + 1, list_concat(any_value(r.seen), list(DISTINCT l.target)), list(DISTINCT l.target)
+  FROM r JOIN l ON list_contains(r.fresh, l.source) WHERE NOT list_contains(r.seen, l.target) GROUP BY r.depth)
+SELECT unnest(fresh) AS url, depth FROM r""")
+def frontier_crawl(spark, sf_dir):
+    """From the pages that no other one links to and the first page of each host, over all links until no page is new, without a cap."""
+    p = pages_of(spark, sf_dir)
+    links_ = written(pages.edges(p))
+    own = p.select(F.regexp_replace("url", r"#.*", "").alias("url"))
+    starts = own.groupBy(F.lower(F.regexp_extract("url", r"^([a-zA-Z]+://[^/?#]*)", 1))).agg(F.min("url").alias("url")).select("url")
+    roots = own.join(links_.where("source <> target").select(F.col("target").alias("url")), "url", "left_anti")
+    return pages.frontier(links_, starts.union(roots), cap=None, keep=written)
+
+
 @query()
 def page_text(spark, sf_dir):
     return pages.contents(pages_of(spark, sf_dir)).select("page_id", "url", F.length("main_html").alias("main_chars"), "text")
