@@ -386,6 +386,14 @@ def manifest(spark, sf_dir):
     return reports.manifest(w, v, artifact_listing(v), some).withColumn("watched_at", F.unix_timestamp("watched_at"))
 
 
+@query(f"""WITH {V}, {WATCHED} SELECT respondent_id, x.video_id, x.watched_at, in_window, status, duration_s, language_detected, fetcher, transcript_source, status = 'succeeded' AS has_transcript,
+n % 2 = 0 AS has_metadata, n % 7 = 0 AS has_comments, last_retryable_kind, terminal_reason, CAST(attempt_count AS INTEGER) AS attempt_count FROM x JOIN v USING (video_id)""")
+def manifest_all(spark, sf_dir):
+    """Every watch row, of all respondents."""
+    v, w = feeds.videos(spark, sf_dir), watch_rows(spark, sf_dir)
+    return reports.manifest(w, v, artifact_listing(v)).withColumn("watched_at", F.unix_timestamp("watched_at"))
+
+
 @query(f"""WITH {V} SELECT count(*) FILTER (WHERE status IN ('pending', 'in_progress')) AS unfinished, CAST(0 AS BIGINT) AS missing_text, count(*) FILTER (WHERE status = 'succeeded' AND n % 13 = 0) AS missing_json,
 count(*) FILTER (WHERE status = 'succeeded' AND n % 13 <> 0 AND n % 29 = 0) AS other_version, false AS done FROM v""")
 def done_contract(spark, sf_dir):
