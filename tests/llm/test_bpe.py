@@ -1,10 +1,12 @@
 import base64
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 
 from watchloom.llm import bpe
@@ -28,7 +30,29 @@ def test_pieces_and_long_pieces(library):
     for n in (1, 2, 5, 300, 3000):
         t = "".join(r.choice("abcdeéß語🙂") for _ in range(n))
         assert c.encode(t) == pack(library.encode_ordinary(t))
-    assert c.decode(c.encode("a\u0000b\r\n  é")) == "a\u0000b\r\n  é".encode()
+    data, length = c.decode(np.frombuffer(c.encode("a\u0000b\r\n  é"), "<u4"))
+    assert data.tobytes() == "a\u0000b\r\n  é".encode() and length.sum() == len(data)
+
+
+def test_white_space_is_that_of_the_pattern():
+    every = "".join(map(chr, range(0xD800))) + "".join(map(chr, range(0xE000, 0x20000)))
+    assert re.findall(f"[{bpe.WHITE}]", every) == regex.findall(r"\s", every)
+
+
+def test_parts_change_nothing(library):
+    one, other = bpe.Coder(*AT), bpe.Coder(*AT, None)
+    r = random.Random(8)
+    alphabet = [" ", "  ", "\n", "\t", "\r\n", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u200b", "'s", "'", "a", "Zß", "12", "!", "!?", "語", "🙂", "\0"]
+    for _ in range(2000):
+        t = "".join(r.choice(alphabet) for _ in range(r.randint(0, 14)))
+        assert one.encode(t) == other.encode(t) == pack(library.encode_ordinary(t)), t
+
+
+def test_a_full_memory_forgets_and_stays_right(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    c = bpe.Coder(*AT)
+    t = "one two three four five six one two one two seven " * 3
+    assert c.encode(t) == pack(library.encode_ordinary(t)) and len(c.parts) <= 3 and len(c.parts.old) <= 3
 
 
 @pytest.mark.parametrize("overlap", [2, 8, 40])
@@ -47,6 +71,8 @@ def test_frames(spark, awkward, nothing, library):
     assert len(short) == awkward.count()
     for r in short:
         assert bytes(r["ids"]) == pack(library.encode_ordinary(r["text"] or "")) == long[r["doc_id"], r["text"]]
+    for r in bpe.encode(awkward, *AT, chunk=64, overlap=16, parts=None, keep=["doc_id", "text"]).collect():
+        assert bytes(r["ids"]) == long[r["doc_id"], r["text"]]
     assert set(awkward.columns) == set(bpe.encode(awkward, *AT).columns)
     d = bpe.digests(awkward).collect()
     assert {r["decoded_sha256"] for r in d} == {hashlib.sha256((r["text"] or "").encode()).hexdigest() for r in short}

@@ -5,9 +5,14 @@ share a boundary are therefore the same from there on. A long text is cut into c
 begins at its own start, which may be inside a piece, and runs on into the next chunk. The chain
 of the next chunk is right from the first boundary that both share in the overlap; matches
 near the end of what a chunk sees are left out, as more text could change them. If an overlap shares no
-boundary (a piece longer than the overlap), the chunks' text is encoded anew as one. Decoding
+boundary (a piece longer than the overlap), the text is encoded anew as one. Decoding
 concatenates the bytes of the ids.
 
+Matches are taken part by part: a part is a run of white space with what follows it up to the next one (`PARTS`). A pattern
+that looks back nowhere and has no white space behind another character in a match has a boundary wherever a part begins, so
+a part's ids don't depend on its surroundings, and frequent parts are remembered. For another pattern give parts=None: then
+each match is taken by itself.
+
 Defined results: null texts count as empty, with no ids; other columns are not touched; repeated rows
 are each encoded; an empty table gives an empty result.
 """
@@ -16,8 +21,10 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 import struct
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -27,33 +34,58 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchloom.llm.common import need, pieces, prepare, text_of, unused
+from watchloom.llm.common import materialise, need, pieces, prepare, text_of, unused
 
 #: Characters of a chunk, and how far it looks into the next one.
 CHUNK, OVERLAP = 1 << 15, 1 << 10
-#: Pieces whose ids a worker remembers; when full, it starts anew.
-REMEMBERED = 300_000
+#: Pieces and parts whose ids a worker remembers, twice at most: the last so many, and as many before them.
+REMEMBERED = 150_000
+#: Fixed value: what Unicode calls white space.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space and what follows it up to the next; these matches tile a text.
+PARTS = f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+"
+
+
+class Memory(dict):
+    """key -> make(key). When `most` are held, those not asked for since the last time are forgotten."""
+
+    def __init__(self, make, most: int = 0) -> None:  # noqa: ANN001
+        self.make, self.most, self.old = make, most or REMEMBERED, {}
+
+    def __missing__(self, key: str) -> bytes:
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
+        if len(key) <= 64:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = out
+        return out
 
 
-class Coder(dict):
-    """piece -> its ids as little-endian unsigned 32-bit integers."""
+class Coder:
+    """Encodes and decodes by a rank file; ids are little-endian unsigned 32-bit integers."""
 
-    def __init__(self, rank_file: str, pattern: str) -> None:
+    def __init__(self, rank_file: str, pattern: str, parts: str | None = PARTS) -> None:
         with open(rank_file, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.bytes_of = dict(zip(self.ranks.values(), self.ranks, strict=True))
         self.pattern = regex.compile(pattern)
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
+        self.pieces = Memory(self.piece)
+        self.parts = Memory(lambda part: b"".join(map(self.pieces.__getitem__, self.pattern.findall(part)))) if parts else self.pieces
+        self.split = re.compile(parts).findall if parts else self.pattern.findall
+        size = 1 + max(self.ranks.values(), default=0)
+        by_id = [b""] * size
+        for raw, i in self.ranks.items():
+            by_id[i] = raw
+        self.data, self.length = np.frombuffer(b"".join(by_id), np.uint8), np.array([len(x) for x in by_id], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+
+    def piece(self, piece: str) -> bytes:
         raw = piece.encode()
         rank = self.ranks.get(raw)
         ids = [rank] if rank is not None else self.merge(raw)
-        out = struct.pack(f"<{len(ids)}I", *ids)
-        if len(raw) <= 64:
-            self[piece] = out
-        return out
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def merge(self, raw: bytes) -> list[int]:
         """Join the neighbours of lowest rank, the leftmost first, until none is in the table."""
@@ -97,135 +129,140 @@ class Coder(dict):
         return [ranks[raw[i : end[i]]] for i in range(n) if alive[i]]
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.pattern.findall(text)))
+        return b"".join(map(self.parts.__getitem__, self.split(text)))
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of all ids, length of each)."""
+        length = self.length[ids]
+        ends = np.cumsum(length)
+        at = np.arange(ends[-1] if len(ids) else 0) + np.repeat(self.start[ids] - ends + length, length)
+        return self.data[at], length
 
 
 @functools.cache
-def coder(rank_file: str, pattern: str) -> Coder:
-    return Coder(rank_file, pattern)
+def coder(rank_file: str, pattern: str, parts: str | None) -> Coder:
+    return Coder(rank_file, pattern, parts)
 
 
-def chain(c: Coder, text: str, start: int, stop: int, final: bool) -> tuple[list[int], list[bytes]]:
-    """Boundaries and ids of the matches of a chunk that begins at `start` of its document.
+#: Places and offsets into the ids, of boundaries.
+Marks = list[tuple[int, int]]
 
-    It covers [start, stop) and sees the overlap beyond. Unless it is the last chunk, matches that
+
+def chain(c: Coder, text: str, start: int, stop: int, final: bool, overlap: int = OVERLAP) -> tuple[Marks, Marks, bytes]:
+    """(boundaries in the first overlap, boundaries from `stop` on, ids) of a chunk that begins at `start` of its document.
+
+    It covers [start, stop) and sees the overlap beyond. Unless it is the last chunk, parts that
     touch the end of what it sees, or whose next character isn't seen, are left out.
     """
-    at, ids = [start], []
-    for piece in c.pattern.findall(text):
-        end = at[-1] + len(piece)
-        if not final and end >= start + len(text) - 1:
-            break
-        at.append(end)
-        ids.append(c[piece])
-    return at, ids
-
-
-def stitch(chunks: list[tuple[list[int], list[bytes]]], again) -> bytes:  # noqa: ANN001
-    """Ids of a document from its chunks' chains; again(i, at): the chain from a known boundary `at` through chunk i + 1."""
-    out, (at, ids) = [], chunks[0]
-    first = 0
-    for i in range(1, len(chunks)):
-        nat, nids = chunks[i]
-        places = {p: k for k, p in enumerate(nat)}
-        k = first
-        while k < len(at) and at[k] not in places:
-            k += 1
-        if k == len(at):  # no common boundary in the overlap
-            k = len(at) - 1
-            nat, nids = again(i, at[k])
-            places = {at[k]: 0}
-        out += ids[first:k]
-        first, at, ids = places[at[k]], nat, nids
-    return b"".join(out + ids[first:])
+    found = c.split(text)
+    at = list(accumulate(map(len, found), initial=start))
+    if not final:
+        while found and at[-1] >= start + len(text) - 1:
+            at.pop()
+            found.pop()
+    ids = list(map(c.parts.__getitem__, found))
+    marks = list(zip(at, accumulate(map(len, ids), initial=0), strict=True))
+    return [m for m in marks if m[0] < start + overlap], [m for m in marks if m[0] >= stop], b"".join(ids)
+
+
+def stitch(chunks: list[tuple[Marks, Marks, bytes]]) -> bytes | None:
+    """Ids of a document from its chunks' chains; None if two of them share no boundary."""
+    out, begin = [], 0
+    for (_, tail, ids), (head, _, _) in zip(chunks, chunks[1:], strict=False):
+        places = dict(head)
+        shared = next(((p, k) for p, k in tail if p in places and k >= begin), None)
+        if shared is None:
+            return None
+        out.append(ids[begin : shared[1]])
+        begin = places[shared[0]]
+    return b"".join([*out, chunks[-1][2][begin:]])
 
 
 def encode_text(c: Coder, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> bytes:
     """One text by chunks, as `encode` does it over a cluster."""
     n = len(text)
     spans = [(s, min(n, s + chunk)) for s in range(0, max(n, 1), chunk)]
-    see = lambda s, e: text[s : e + overlap]
-    return stitch([chain(c, see(s, e), s, e, e == n) for s, e in spans], lambda i, at: chain(c, see(at, spans[i][1]), at, spans[i][1], spans[i][1] == n))
+    ids = stitch([chain(c, text[s : e + overlap], s, e, e == n, overlap) for s, e in spans])
+    return c.encode(text) if ids is None else ids
 
 
-def tables(spark, rank_file: str, pattern: str):  # noqa: ANN001, ANN201
+def tables(spark, rank_file: str, pattern: str, parts: str | None = PARTS):  # noqa: ANN001, ANN201
     """Ship the rank file to the executors; gives a function that loads it there."""
     name = rank_file.rsplit("/", 1)[-1]
     spark.sparkContext.addFile(rank_file)
-    return lambda: coder(SparkFiles.get(name), pattern)
+    return lambda: coder(SparkFiles.get(name), pattern, parts)
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, *, column: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """docs with `ids` (binary, unsigned 32-bit little-endian).
+def encode(docs: DataFrame, rank_file: str, pattern: str, *, column: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP, parts: str | None = PARTS, keep: list[str] | None = None) -> DataFrame:
+    """docs with `ids` (binary, unsigned 32-bit little-endian); keep: the columns to return with it, all if not given.
 
     Texts of one chunk are encoded where they are read. Longer ones are dealt out chunk by chunk, so
-    that the pre-tokenising of one text runs in parallel, and meet by document for the stitching.
+    that the pre-tokenising of one text runs in parallel; ids and boundaries meet by text for the stitching.
     """
     spark = prepare(docs.sparkSession)
-    load = tables(spark, rank_file, pattern)
-    keep = [f for f in docs.schema.fields if f.name != "ids"]
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    docs = docs.select(*[docs[f.name] for f in keep])
-    long = F.length(text_of(column)) > chunk
+    load = tables(spark, rank_file, pattern, parts)
+    fields = [f for f in docs.schema.fields if f.name != "ids" and (keep is None or f.name in keep)]
+    names = [f.name for f in fields]
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    text = unused(docs, "_text")
+    docs = docs.select(*[docs[n] for n in names], docs[column].alias(text))
+    long = F.length(text_of(text)) > chunk
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = load()
-        for b in pieces(batches, column):
-            ids = pa.array([c.encode(t or "") for t in b.column(column).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*b.schema.names, "ids"])
+        for b in pieces(batches, text):
+            ids = pa.array([c.encode(t or "") for t in b.column(text).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), ids], names=[*names, "ids"])
 
     short = docs.where(~long).mapInArrow(whole, f"{out}, ids binary")
-    text, n = text_of(column), F.length(text_of(column))
-    doc = unused(docs, "_doc")  # rows equal in all columns share their ids
-    rows = docs.where(long).withColumn(doc, F.xxhash64(*[docs[f.name] for f in keep]))
+    doc = unused(docs, "_doc")  # equal texts share their ids
+    rows = docs.where(long).withColumn(doc, F.sha2(docs[text], 256))
+    n = F.length(text)
     span = lambda s: F.struct(s.alias("_start"), F.substr(text, s + 1, F.lit(chunk + overlap)).alias("_piece"))
     cut = rows.select(F.col(doc).alias("_doc"), n.alias("_n"), F.inline(F.transform(F.sequence(F.lit(0), n - 1, F.lit(chunk)), span)))
     cut = cut.repartition("_doc", "_start").dropDuplicates(["_doc", "_start"])  # one exchange serves both
+    marks = "array<struct<at:int,offset:int>>"
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = load()
+        kind = pa.list_(pa.struct([("at", pa.int32()), ("offset", pa.int32())]))
         for b in pieces(batches, "_piece"):
-            cols = {k: b.column(k).to_pylist() for k in b.schema.names}
-            packed = []
-            for s, n, t in zip(cols["_start"], cols["_n"], cols["_piece"], strict=True):
-                at, ids = chain(c, t, s, s + chunk, s + chunk >= n)
-                packed.append(struct.pack("<I", len(at)) + np.array(at, "<u4").tobytes() + np.array([len(x) for x in ids], "<u4").tobytes() + b"".join(ids))
-            yield pa.RecordBatch.from_arrays([b.column("_doc"), b.column("_n"), b.column("_start"), b.column("_piece"), pa.array(packed, pa.binary())], names=["_doc", "_n", "_start", "_piece", "_chain"])
-
-    def unpack(raw: bytes) -> tuple[list[int], list[bytes]]:
-        k = struct.unpack_from("<I", raw)[0]
-        at = np.frombuffer(raw, "<u4", k, 4).tolist()
-        ends = np.cumsum(np.frombuffer(raw, "<u4", k - 1, 4 + 4 * k)).tolist()
-        body = raw[4 + 4 * k + 4 * (k - 1) :]
-        return at, [body[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+            cols = [b.column(k).to_pylist() for k in ("_start", "_n", "_piece")]
+            got = [chain(c, t, s, s + chunk, s + chunk >= n, overlap) for s, n, t in zip(*cols, strict=True)]
+            pair = lambda m: [{"at": p, "offset": k} for p, k in m]
+            yield pa.RecordBatch.from_arrays([b.column("_doc"), b.column("_start"), pa.array([pair(h) for h, _, _ in got], kind), pa.array([pair(t) for _, t, _ in got], kind), pa.array([i for *_, i in got], pa.binary())], names=["_doc", "_start", "_head", "_tail", "_ids"])
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_start")
-        starts, texts, n = pdf["_start"].tolist(), pdf["_piece"].tolist(), int(pdf["_n"].iloc[0])
-
-        def again(i: int, at: int) -> tuple[list[int], list[bytes]]:
-            joined = "".join(t[: chunk] for t in texts[:i]) + texts[i]
-            return chain(load(), joined[at:], at, starts[i] + chunk, starts[i] + chunk >= n)
-
-        return pd.DataFrame({"_doc": pdf["_doc"].iloc[:1], "ids": [stitch([unpack(x) for x in pdf["_chain"]], again)]})
+        pair = lambda m: [(x["at"], x["offset"]) for x in m]
+        ids = stitch([(pair(h), pair(t), bytes(i)) for h, t, i in zip(pdf["_head"], pdf["_tail"], pdf["_ids"], strict=True)])
+        return pd.DataFrame({"_doc": pdf["_doc"].iloc[:1], "ids": [ids]})
 
-    stitched = cut.mapInArrow(chains, "_doc long, _n int, _start int, _piece string, _chain binary").groupBy("_doc").applyInPandas(join, "_doc long, ids binary")
-    return short.unionByName(rows.join(stitched.withColumnRenamed("_doc", doc), doc).drop(doc))
+    chained = cut.mapInArrow(chains, f"_doc string, _start int, _head {marks}, _tail {marks}, _ids binary")
+    stitched = materialise(chained.groupBy("_doc").applyInPandas(join, "_doc string, ids binary").withColumnRenamed("_doc", doc))
+    done = short.unionByName(rows.select(*names, doc).join(stitched.where("ids is not null"), doc).drop(doc))
+    lost = stitched.where("ids is null").select(doc)
+    if not lost.limit(1).count():
+        return done
+    return done.unionByName(rows.join(lost, doc, "left_semi").mapInArrow(whole, f"{out}, ids binary"))
 
 
 def decode(coded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """coded with `decoded`, the bytes of its ids."""
     load = tables(coded.sparkSession, rank_file, pattern)
+    fields = [f for f in coded.schema.fields if f.name != "decoded"]
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
-    @F.pandas_udf("binary")
-    def raw(ids: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = load()
-        return ids.map(c.decode)
+        for b in pieces(batches, "ids"):
+            raw = [x or b"" for x in b.column("ids").to_pylist()]
+            data, length = c.decode(np.frombuffer(b"".join(raw), "<u4"))
+            ends = np.concatenate([[0], np.cumsum(length)])[np.cumsum([0, *(len(x) // 4 for x in raw)])]
+            decoded = pa.Array.from_buffers(pa.large_binary(), len(raw), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in fields), decoded.cast(pa.binary())], names=[*(f.name for f in fields), "decoded"])
 
-    return coded.withColumn("decoded", raw("ids"))
+    return coded.select(*[coded[f.name] for f in fields]).mapInArrow(run, f"{out}, decoded binary")
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -233,8 +270,7 @@ def digests(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     at = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = encode(need(docs, "doc_id", "text"), *at).select("doc_id", "ids")
-    back = decode(ids, *at)
+    back = decode(encode(need(docs, "doc_id", "text"), *at, keep=["doc_id"]), *at)
     return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
