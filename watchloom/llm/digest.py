@@ -1,16 +1,17 @@
 """Improbable-feature digests of documents.
 
 Every window of 64 bytes (W) gets the Shannon entropy of its bytes. How often each entropy occurs in the corpus,
-counted on the windows side by side in all texts, gives its rarity; a window's rank is that rarity. A window that is the
+counted on windows that cover every byte of all texts, gives its rarity; a window's rank is that rarity. A window that is the
 rarest (the leftmost of equals) in at least `POPULAR` of the W spans of W windows around it is a feature. Features
-go into a chain of Bloom filters of 2048 bits, 5 bits and at most 128 features each. Two digests are
-compared filter by filter by the overlap of their bits, between what chance gives (0) and what is possible (1).
+go into a chain of Bloom filters of 2048 bits, 5 bits and at most 128 features each. A text below `SHORT` bytes also has
+windows of 8 bytes (SMALL), with a rarity and a chain of their own. Two digests are compared filter by filter by the overlap of
+their bits, between what chance gives (0) and what is possible (1): by the chains of small windows if both have one.
 
-Defined results: a null text is an empty one; an empty text has an empty fingerprint; a text without a feature (short, or
-the same byte throughout) has itself as its one feature; two equal fingerprints have likeness 1, an empty one and
+Defined results: a null text is an empty one; an empty text has an empty fingerprint; a chain without a feature (a text shorter than the
+window, or the same byte throughout) has the text itself as its one feature; two equal fingerprints have likeness 1, an empty one and
 another 0; `next` follows descending (doc_id, text hash), null ids last, and the last row is followed by the first;
 rows equal in both follow one another; a single row follows itself; an empty table gives an empty result; other
-columns are not touched.
+columns are not touched. An id is a whole number, as the order goes by it.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from watchloom.llm.common import below, halves, keys_of, materialise, need, orde
 from watchloom.llm.words import U, flat, mix64
 
 W, POPULAR, BITS, FULL, MARKS = 64, 16, 2048, 128, 5
+#: Windows of short texts, of how many spans such a window must be the rarest, and below how many bytes a text is short.
+SMALL, SMALL_POPULAR, SHORT = 8, 2, 512
 #: Slices at most: the driver holds a key of each.
 MOST_SLICES = 1 << 16
 #: Entropies are told apart in so many steps.
@@ -39,70 +42,78 @@ GAIN = np.diff(TERM, prepend=0.0)
 WEIGHT = mix64(np.arange(1, W + 1, dtype=np.uint64) * U(0xC2B2AE3D27D4EB4F)) | U(1)
 
 
-def quantised(total: np.ndarray) -> np.ndarray:
-    """Entropy step of windows by their sum of c log2 c; entropy is log2 W - total / W."""
-    return np.clip((STEPS - 1) * (1 - total / (W * np.log2(W))) + 0.5, 0, STEPS - 1).astype(np.int32)
+def quantised(total: np.ndarray, w: int = W) -> np.ndarray:
+    """Entropy step of windows by their sum of c log2 c; entropy is log2 w - total / w."""
+    return np.clip((STEPS - 1) * (1 - total / (w * np.log2(w))) + 0.5, 0, STEPS - 1).astype(np.int32)
 
 
-def entropies(data: np.ndarray) -> np.ndarray:
-    """The entropy step of every window of W bytes, each found from the one before."""
+def entropies(data: np.ndarray, w: int = W) -> np.ndarray:
+    """The entropy step of every window of w bytes, each found from the one before."""
     n = len(data)
-    if n < W:
+    if n < w:
         return np.zeros(0, np.int32)
     order = np.argsort(data, kind="stable")
-    key = data[order].astype(np.int64) * (2 * n + 2 * W) + order
+    key = data[order].astype(np.int64) * (2 * n + 2 * w) + order
     at = np.arange(n)
-    ahead = np.searchsorted(key, key + W) - at  # equal bytes from here to W - 1 on, itself included
-    back = at - np.searchsorted(key, key - W, "right") + 1
+    ahead = np.searchsorted(key, key + w) - at  # equal bytes from here to w - 1 on, itself included
+    back = at - np.searchsorted(key, key - w, "right") + 1
     out, into = np.empty(n), np.empty(n)
     out[order], into[order] = GAIN[ahead], GAIN[back]
-    first = TERM[np.bincount(data[:W], minlength=256)].sum()
-    total = np.empty(n - W + 1)
+    first = TERM[np.bincount(data[:w], minlength=256)].sum()
+    total = np.empty(n - w + 1)
     total[0] = first
-    np.cumsum(into[W:] - out[: n - W], out=total[1:])
+    np.cumsum(into[w:] - out[: n - w], out=total[1:])
     total[1:] += first
-    return quantised(total)
+    return quantised(total, w)
 
 
-def side_by_side(data: np.ndarray) -> np.ndarray:
-    """Entropy steps of the windows at multiples of W."""
-    rows = np.sort(data[: len(data) // W * W].reshape(-1, W), axis=1)
-    edge = np.ones((len(rows), W + 1), bool)
-    edge[:, 1:W] = rows[:, 1:] != rows[:, :-1]
+def side_by_side(data: np.ndarray, w: int = W) -> np.ndarray:
+    """Entropy steps of the windows at multiples of w, and of the last one: together they cover every byte."""
+    rows = data[: len(data) // w * w].reshape(-1, w)
+    if len(data) % w and len(rows):
+        rows = np.concatenate([rows, data[None, -w:]])
+    rows = np.sort(rows, axis=1)
+    edge = np.ones((len(rows), w + 1), bool)
+    edge[:, 1:w] = rows[:, 1:] != rows[:, :-1]
     at = np.nonzero(edge.ravel())[0]
     length = np.diff(at)
-    row = at[:-1] // (W + 1)
-    inside = at[:-1] % (W + 1) < W
-    return quantised(np.bincount(row[inside], TERM[np.minimum(length[inside], W)], len(rows)))
+    row = at[:-1] // (w + 1)
+    inside = at[:-1] % (w + 1) < w
+    return quantised(np.bincount(row[inside], TERM[np.minimum(length[inside], w)], len(rows)), w)
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """Rank of each entropy step, rarest first; the step of a constant window comes last. STEPS counts reach the driver."""
+def rarity(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each entropy step, rarest first, for windows and for small windows; the step of a constant window comes last. 2 STEPS counts reach the driver."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(STEPS, np.int64)
+        seen = np.zeros(2 * STEPS, np.int64)
         for b in pieces(batches, "text"):
             data, ends = flat(b.column("text"))
             for a, e in zip(ends[:-1], ends[1:], strict=True):
                 if e - a >= W:
-                    seen += np.bincount(side_by_side(data[a:e]), minlength=STEPS)
+                    seen[:STEPS] += np.bincount(side_by_side(data[a:e]), minlength=STEPS)
+                if SMALL <= e - a < SHORT:
+                    seen[STEPS:] += np.bincount(side_by_side(data[a:e], SMALL), minlength=STEPS)
         full = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(seen[full])], names=["step", "n"])
 
-    counts = np.zeros(STEPS, np.int64)
+    counts = np.zeros(2 * STEPS, np.int64)
     for r in need(docs, "text").mapInArrow(count, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).collect():
         counts[r["step"]] = r["n"]
-    rank = np.empty(STEPS, np.int64)
-    rank[np.lexsort((np.arange(STEPS), counts))] = np.arange(STEPS)
-    rank[0] = STEPS
-    return rank
+    out = []
+    for c in (counts[:STEPS], counts[STEPS:]):
+        rank = np.empty(STEPS, np.int64)
+        rank[np.lexsort((np.arange(STEPS), c))] = np.arange(STEPS)
+        rank[0] = STEPS
+        out.append(rank)
+    return out[0], out[1]
 
 
-def chosen(rank: np.ndarray) -> np.ndarray:
-    """Starts of the windows that are the leftmost of lowest rank in at least POPULAR spans."""
+def chosen(rank: np.ndarray, w: int = W, popular: int = POPULAR) -> np.ndarray:
+    """Starts of the windows that are the leftmost of lowest rank in at least `popular` spans of w windows."""
     n = len(rank)
     best = rank << 40 | np.arange(n)
-    span = min(W, n)
+    span = min(w, n)
     width = 1
     while width * 2 <= span:
         best = np.minimum(best[: n - 2 * width + 1], best[width : n - width + 1])
@@ -111,7 +122,7 @@ def chosen(rank: np.ndarray) -> np.ndarray:
         best = np.minimum(best[: n - span + 1], best[span - width : n - width + 1])
     edge = np.append(True, best[1:] != best[:-1])
     at = np.flatnonzero(edge)
-    often = np.diff(np.append(at, len(best))) >= min(POPULAR, len(best))
+    often = np.diff(np.append(at, len(best))) >= min(popular, len(best))
     won = best[at[often]]
     return (won & ((1 << 40) - 1))[won >> 40 < STEPS]
 
@@ -122,16 +133,26 @@ def steps_of(raw: bytes, known: np.ndarray | None = None, same: int = 0) -> np.n
     return entropies(data) if not n else np.concatenate([known[:n], entropies(data[n:])])
 
 
-def features(raw: bytes, rank: np.ndarray, steps: np.ndarray) -> np.ndarray:
+def features(raw: bytes, rank: np.ndarray, steps: np.ndarray, w: int = W, popular: int = POPULAR) -> np.ndarray:
     """64-bit hashes of a text's features, in order."""
     if not raw:
         return np.zeros(0, np.uint64)
     data = np.frombuffer(raw, np.uint8)
-    at = chosen(rank[steps]) if len(steps) else np.zeros(0, np.int64)
+    at = chosen(rank[steps], w, popular) if len(steps) else np.zeros(0, np.int64)
     if not len(at):
         return np.array([int.from_bytes(hashlib.sha256(raw).digest()[:8], "little")], np.uint64)
-    windows = np.lib.stride_tricks.sliding_window_view(data, W)[at]
-    return mix64((windows * WEIGHT).sum(axis=1, dtype=np.uint64))
+    windows = np.lib.stride_tricks.sliding_window_view(data, w)[at]
+    return mix64((windows * WEIGHT[:w]).sum(axis=1, dtype=np.uint64))
+
+
+#: A digest: the chains of its windows and of its small windows (empty if the text isn't short).
+Digest = tuple[np.ndarray, np.ndarray]
+
+
+def digest(raw: bytes, ranks: tuple[np.ndarray, np.ndarray], steps: np.ndarray) -> Digest:
+    """steps: steps_of the text."""
+    small = features(raw, ranks[1], entropies(np.frombuffer(raw, np.uint8), SMALL), SMALL, SMALL_POPULAR) if len(raw) < SHORT else np.zeros(0, np.uint64)
+    return filters(features(raw, ranks[0], steps)), filters(small)
 
 
 def filters(found: np.ndarray) -> np.ndarray:
@@ -145,10 +166,16 @@ def filters(found: np.ndarray) -> np.ndarray:
     return out
 
 
-def likeness(x: np.ndarray, y: np.ndarray) -> float:
-    """0 to 1: the mean, over the filters of the shorter chain, of the best normalised overlap in the other."""
-    if x.shape == y.shape and (x == y).all():
+def likeness(x: Digest, y: Digest) -> float:
+    """0 to 1, by the small windows if both texts are short."""
+    if x[0].shape == y[0].shape and (x[0] == y[0]).all() and x[1].shape == y[1].shape and (x[1] == y[1]).all():
         return 1.0
+    small = len(x[1]) and len(y[1])
+    return min(overlap(x[1], y[1]) if small else overlap(x[0], y[0]), 0.999999)
+
+
+def overlap(x: np.ndarray, y: np.ndarray) -> float:
+    """0 to 1: the mean, over the filters of the shorter chain, of the best normalised overlap in the other."""
     if not len(x) or not len(y):
         return 0.0
     if len(x) > len(y):
@@ -158,11 +185,13 @@ def likeness(x: np.ndarray, y: np.ndarray) -> float:
     chance, most = nx * ny / BITS, np.minimum(nx, ny)
     share = np.where(most > chance, (both - chance) / np.maximum(most - chance, 1e-9), 0.0)
     best = np.clip(share, 0, 1).max(axis=1)
-    return float(min(best.mean(), 0.999999))
+    return float(best.mean())
 
 
-def written(f: np.ndarray) -> str:
-    return np.packbits(f, axis=1).tobytes().hex() if len(f) else ""
+def written(d: Digest) -> str:
+    """Hexadecimal; the chain of small windows, if there is one, after a colon."""
+    text = [np.packbits(f, axis=1).tobytes().hex() if len(f) else "" for f in d]
+    return ":".join(text) if text[1] else text[0]
 
 
 def edited(text: str, following: str) -> str:
@@ -198,7 +227,7 @@ def in_order(docs: DataFrame, slice_bytes: int) -> tuple[DataFrame, int]:
 def with_next(docs: DataFrame, *, slice_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of each row."""
     prepare(docs.sparkSession)
-    rank = rarity(docs)
+    ranks = rarity(docs)
     rows, n = in_order(docs, slice_bytes)
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kind = docs.schema["doc_id"].dataType
@@ -206,11 +235,11 @@ def with_next(docs: DataFrame, *, slice_bytes: int = 4 << 20) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prior: tuple | None = None
 
-        def row(doc_id, text: str, steps: np.ndarray, own: np.ndarray, following: str, other: np.ndarray) -> tuple:  # noqa: ANN001
+        def row(doc_id, text: str, steps: np.ndarray, own: Digest, following: str, other: Digest) -> tuple:  # noqa: ANN001
             e = edited(text, following)
             raw = e.encode()
             same = len(text[: len(text) - len(text) // 3].encode())
-            mark = own if e == text else filters(features(raw, rank, steps_of(raw, steps, same)))
+            mark = own if e == text else digest(raw, ranks, steps_of(raw, steps, same))
             return doc_id, len(text), hashlib.sha256(raw).hexdigest(), written(own), written(mark), likeness(own, mark), likeness(own, other)
 
         for b in batches:
@@ -219,7 +248,7 @@ def with_next(docs: DataFrame, *, slice_bytes: int = 4 << 20) -> DataFrame:
                 text = text or ""
                 raw = text.encode()
                 steps = steps_of(raw)
-                own = filters(features(raw, rank, steps))
+                own = digest(raw, ranks, steps)
                 if prior is not None and prior[0] == s:
                     out.append(row(*prior[1:], text, own))
                 prior = None if head else (s, doc_id, text, steps, own)
