@@ -3,21 +3,26 @@
 Headers (digest, length, id), never payloads, are grouped by payload digest; of equal payloads one is
 the response, the others become revisit records that refer to it. Archives are written by Spark's
 text writer through whatever file system holds the shared folder: a record's bytes end in CR LF and the line
-separator adds the second one. Reading goes by Content-Length, so payloads may hold anything.
+separator adds the second one. A task begins a new file when the next record would take it past FILE_BYTES; a file holds more only if
+one record does. Compression is that of the writer, one gzip member a file (Spark writes no bytes but through a codec, so records
+have no members of their own). Reading goes by Content-Length, so payloads may hold anything; it unpacks and hashes a file
+slice by slice.
 
 Defined results: a null html is an empty payload; payloads below `least` bytes are all responses; of
 equal payloads that with the largest page_id is response (null ids last; if all are null, they stay
 responses), and rows that repeat its page_id with the same payload are stored as responses too; control
-characters and blanks in URLs are percent-encoded, a null URL is `about:blank`; other columns are not
+characters and blanks in URLs are percent-encoded one by one, a null URL is `about:blank`; other columns are not
 archived; an empty table gives an empty archive.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +31,8 @@ from watchloom.llm.common import materialise, need, prepare, shared_dir
 #: WARC-Date of all records, so that reruns write the same bytes.
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Records of an archive file at most; a reader holds one file in memory.
-FILE_RECORDS = 2000
+#: Bytes of records in an archive file, before compression; bytes that a reader unpacks at once.
+FILE_BYTES, SLICE = 64 << 20, 1 << 20
 FIELDS = "page_id long, record_id string, record_type string, refers_to_id string, payload_digest string, stored_bytes long, stored_digest string"
 
 
@@ -54,7 +59,9 @@ def records(resolved: DataFrame) -> DataFrame:
     """One string a record, up to the first CR LF after its block."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     revisit = F.col("refers_to").isNotNull()
-    safe = F.coalesce(F.regexp_replace(F.regexp_replace("url", r"[\x00-\x1F\x7F]", "%0A"), " ", "%20"), F.lit("about:blank"))
+    odd = r"[\x00-\x20\x7F]"
+    coded = F.array_join(F.transform(F.split("url", ""), lambda c: F.when(F.regexp_like(c, F.lit(odd)), F.concat(F.lit("%"), F.lpad(F.hex(c), 2, "0"))).otherwise(c)), "")
+    safe = F.coalesce(F.when(F.regexp_like("url", F.lit(odd)), coded).otherwise(F.col("url")), F.lit("about:blank"))
     block = F.when(revisit, F.lit("")).otherwise(F.col("body"))
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
@@ -72,26 +79,78 @@ def records(resolved: DataFrame) -> DataFrame:
     return resolved.select(F.concat(head, block, F.lit("\r\n")).alias("value"))
 
 
-def write(resolved: DataFrame, path: str, *, compression: str = "gzip") -> None:
-    records(resolved).write.option("lineSep", "\r\n").option("maxRecordsPerFile", FILE_RECORDS).option("compression", compression).text(path)
-
-
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
-    """Headers (lower-case names) and block of each record."""
-    view, at = memoryview(data), 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0:
-            raise ValueError(f"no end of the header at {at}")
-        lines = data[at:end].decode().split("\r\n")
+def write(resolved: DataFrame, path: str, *, compression: str = "gzip", file_bytes: int = FILE_BYTES) -> None:
+    def rolled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The records with the number of their file, unique over all tasks."""
+        task, number, held = TaskContext.get().partitionId(), 0, 0
+        for b in batches:
+            files = []
+            for n in b.column("n").to_pylist():
+                if held and held + n > file_bytes:
+                    number, held = number + 1, 0
+                held += n
+                files.append(f"{task}-{number:06}")
+            yield pa.RecordBatch.from_arrays([b.column("value"), pa.array(files, pa.string())], names=["value", "file"])
+
+    rows = records(resolved).withColumn("n", F.octet_length("value") + 2).mapInArrow(rolled, "value string, file string")
+    rows.write.partitionBy("file").option("lineSep", "\r\n").option("compression", compression).text(path)
+
+
+def unpacked(data: bytes) -> Iterator[bytes]:
+    """The bytes of an archive file, whole or in gzip members, slice by slice."""
+    if data[:2] != b"\x1f\x8b":
+        yield from (data[i : i + SLICE] for i in range(0, len(data), SLICE))
+        return
+    while data:
+        z = zlib.decompressobj(31)
+        while not z.eof:
+            out = z.decompress(data, SLICE)
+            if not out and not z.unconsumed_tail and not z.eof:
+                raise ValueError("the file ends within a gzip member")
+            data = z.unconsumed_tail
+            yield out
+        data = z.unused_data
+
+
+def parse(slices: Iterable[bytes]) -> Iterator[tuple[dict[str, str], Iterator[bytes]]]:
+    """Headers (lower-case names) and block, in slices, of each record; a block is to be read before the next record."""
+    source, held, at = iter(slices), bytearray(), 0
+
+    def more() -> bool:
+        nonlocal at
+        got = next(source, None)
+        del held[:at]
+        held.extend(got or b"")
+        at = 0
+        return got is not None
+
+    def body(left: int) -> Iterator[bytes]:
+        nonlocal at
+        while left:
+            if at == len(held) and not more():
+                raise ValueError("the file ends within a record")
+            part = bytes(held[at : at + left])
+            at, left = at + len(part), left - len(part)
+            if part:
+                yield part
+
+    while at < len(held) or more():
+        if at == len(held):
+            continue
+        while (end := held.find(b"\r\n\r\n", at)) < 0:
+            if not more():
+                raise ValueError("no end of a header")
+        lines = held[at:end].decode().split("\r\n")
+        at = end + 4
         if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at {at}")
+            raise ValueError(f"no record at {lines[0][:40]!r}")
         head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        stop = end + 4 + int(head["content-length"])
-        if data[stop : stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"no end of the record at {stop}")
-        yield head, view[end + 4 : stop]
-        at = stop + 4
+        yield head, body(int(head["content-length"]))
+        while len(held) - at < 4 and more():
+            pass
+        if held[at : at + 4] != b"\r\n\r\n":
+            raise ValueError("no end of a record")
+        at += 4
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -100,14 +159,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     kinds = [pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string()]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import gzip
-
         for b in batches:
             for k in range(b.num_rows):
-                rows, data = [], b.column("content")[k].as_py()
-                for head, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
-                    page = head.get("x-page-id")
-                    rows.append((int(page) if page else None, head["warc-record-id"], head["warc-type"], head.get("warc-refers-to"), head["warc-payload-digest"].removeprefix("sha1:"), len(block), hashlib.sha1(block).hexdigest()))
+                rows = []
+                for head, block in parse(unpacked(b.column("content")[k].as_py())):
+                    page, digest, n = head.get("x-page-id"), hashlib.sha1(), 0
+                    for part in block:
+                        digest.update(part)
+                        n += len(part)
+                    rows.append((int(page) if page else None, head["warc-record-id"], head["warc-type"], head.get("warc-refers-to"), head["warc-payload-digest"].removeprefix("sha1:"), n, digest.hexdigest()))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
