@@ -42,3 +42,16 @@ def test_unused_names():
         columns = ["a", "_X", "_x_"]
 
     assert common.unused(Frame, "_x") == "_x__"
+
+
+def test_labelled_sample_takes_an_id_once(spark):
+    """Repeated rows, labels without a document, and the bounds on rows and bytes."""
+    docs = spark.createDataFrame([(1, "b"), *[(1, "a")] * 50, (2, None), (3, "x" * 1000), *[(i, "word " * i) for i in range(10, 40)], (None, "n")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1), (3, 1), *[(i, i % 2) for i in range(10, 60)], (None, 1), (4, None)], "doc_id long, y int")
+    rows = common.labelled_sample(docs, labels, "y", 1000).collect()
+    assert len(rows) == 33 and sum(r["text"] == "a" and r["label"] == 1 for r in rows) == 1 and sum(r["text"] == "" for r in rows) == 1
+    few = common.labelled_sample(docs, labels, "y", 10, positive=4).collect()
+    assert len(few) == 10 and sum(r["label"] for r in few) == 4
+    small = common.labelled_sample(docs, labels, "y", 1000, sample_bytes=500).collect()
+    assert 0 < len(small) < 33 and sum(len(r["text"]) for r in small) <= 500 and {r["text"] for r in small} <= {r["text"] for r in rows}
+    assert common.labelled_sample(docs.where("false"), labels, "y", 10).count() == 0

@@ -40,6 +40,36 @@ def test_marginals_are_exact(monkeypatch, block):
         at += n
 
 
+def test_scores_and_spans_against_brute_force(spark):
+    """All paths of short texts, by the model's own weights: marginals, spans and the document score."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    model.bias += 2.0  # more words near the threshold
+    texts = [None, "", " \n "] + [" ".join((r["text"] or "").split()[k : k + 9]) for r in docs.limit(30).collect() for k in (0, 5)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.score(rows, model).collect()}
+    spans = 0
+    for i, t in enumerate(texts):
+        w = words_of(pa.array([t], pa.string()))
+        e = model.weights[toxicity.features(w)].sum(axis=1, dtype=float) + model.bias
+        mu = brute_marginals(e, model.trans, model.begin) if len(e) else np.zeros(0)
+        top = min(max(mu.max(initial=0), 1e-4), 1 - 1e-4)
+        x = np.array([1, np.log(top / (1 - top)) / 4, np.log1p(mu.sum()), np.log1p(1000 * mu.sum() / max(len(mu), 1))])
+        assert abs(got[i]["toxicity"] - 1 / (1 + np.exp(-x @ model.doc))) < 1e-6
+        want, k = [], 0
+        while k < len(mu):
+            if mu[k] >= 0.5:
+                j = k
+                while j + 1 < len(mu) and mu[j + 1] >= 0.5:
+                    j += 1
+                want.append((int(w.start[k]), int(w.stop[j])))
+                k = j
+            k += 1
+        spans += len(want)
+        assert [(s["start"], s["stop"]) for s in got[i]["toxic_spans"]] == want
+    assert spans
+
+
 def test_features_ignore_punctuation_case_and_neighbours():
     f = toxicity.features(words_of(pa.array(['"Idiot!!" x', "idiot", "...", "a"])))
     assert (f[0] == f[2]).all() and not f[3].any() and f[0, 0] != f[1, 0]

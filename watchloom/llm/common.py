@@ -24,9 +24,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the cluster's spark.checkpoint.dir; only where that is unset, a local one is made and set."""
+    """A new folder below the cluster's spark.checkpoint.dir. Only a local session without that setting gets one of its own; a cluster must name it."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         top = "file://" + tempfile.mkdtemp(prefix="watchloom-")
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
@@ -188,18 +190,29 @@ def pick(values: Iterable[int], at: Column) -> Column:
     return find(at)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int, where: Column | None = None, positive: int | None = None) -> DataFrame:
-    """text and label of at most `most` labelled documents, those of lowest hash of the id; the bound makes the broadcast safe.
+#: Bytes of text of a labelled sample at most.
+SAMPLE_BYTES = 64 << 20
 
-    positive: take this many with a label above 0 at most, the others from the rest.
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int, where: Column | None = None, positive: int | None = None, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """text and label of at most `most` labelled documents of docs, those of lowest hash of the id, whole ones of sample_bytes in all at most.
+
+    An id counts once, with its least text, however often it repeats. positive: take this many with a label above 0 at most, the others from the rest.
     """
     own = labels.select(F.col("doc_id").alias("_id"), F.col(column).cast("int").alias("label")).where("label is not null and _id is not null")
-    own = own.groupBy("_id").agg(F.max("label").alias("label"))
+    own = own.groupBy("_id").agg(F.max("label").alias("label")).join(docs.select(docs["doc_id"].alias("_id")), "_id", "left_semi")
     if where is not None:
         own = own.where(where)
     order = (F.xxhash64("_id"), F.col("_id"))
     few = own.orderBy(*order).limit(most) if positive is None else own.where("label > 0").orderBy(*order).limit(positive).union(own.where("label <= 0").orderBy(*order).limit(most - positive))
-    return docs.join(F.broadcast(few), docs["doc_id"] == few["_id"]).select(docs["text"], few["label"])
+    few = materialise(few)  # `most` rows: the broadcast is safe
+    text = docs.select(docs["doc_id"].alias("_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+    rows = materialise(text.join(F.broadcast(few), "_id").groupBy("_id", "label").agg(F.min("text").alias("text")))
+    sizes = rows.select("_id", F.octet_length("text").alias("n")).orderBy(*order).collect()  # `most` rows
+    total = np.cumsum([r["n"] for r in sizes])
+    if len(sizes) and total[-1] > sample_bytes:
+        rows = rows.where(F.col("_id").isin([r["_id"] for r, t in zip(sizes, total, strict=True) if t <= sample_bytes]))
+    return rows.select("text", "label")
 
 
 def bucket_of(doc_id: Column, modulus: int) -> Column:

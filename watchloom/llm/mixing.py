@@ -118,7 +118,7 @@ def balanced(units: DataFrame, *, bucket_rows: int = 256, seed: int = 7) -> Data
     while True:
         last = most <= bucket_rows
         buckets = 1 if last else -(-most // bucket_rows)
-        mixed = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "size", F.lit(seed)), F.lit(buckets)).cast("long")
+        mixed = F.pmod(F.xxhash64("doc_id", F.col("doc_id").isNull(), "size", F.lit(seed)), F.lit(buckets)).cast("long")
         units = materialise(level(units.withColumn("bucket", mixed), last, seed))
         settled = units.where("open = 0 or open = 1").drop("bucket")
         done = settled if done is None else done.unionByName(settled)

@@ -1,6 +1,6 @@
 """Quality by ordinal regression: shared hashed-text weights with ordered thresholds (cumulative links).
 
-P(grade >= j) = sigmoid(x w - t[j]) with t ascending. x is the mean, over a text's words, of hashed features: the
+P(grade >= j) = sigmoid(x w - t[j]) with t ascending; the grades that the sample holds, whatever whole numbers they are, count from 0 up. x is the mean, over a text's words, of hashed features: the
 word's end, its shape with the one before it, and whether it repeats the one before. The expected grade is the sum of
 the tails; selection goes by the tail at the top grade (or another one).
 
@@ -8,7 +8,7 @@ The model is fitted on a sample of at most `most` labelled documents, which is s
 all texts where they are read.
 
 Defined results: null and blank texts have x = 0 and get the tails of the thresholds alone; labels without a document, null labels and
-null ids don't teach; several labels of an id count as the largest; without labels, or with one grade only, every document is
+null ids don't teach; several labels of an id count as the largest, several rows of one as the one of least text; without labels, or with one grade only, every document is
 kept with tail 1; other columns are not touched; an empty table gives an empty result.
 """
 
@@ -77,7 +77,8 @@ def sample_matrix(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     cols, vals = [np.frombuffer(r["f"], np.int32) for r in got], [np.frombuffer(r["v"], np.float32) for r in got]
     row = np.repeat(np.arange(len(got)), [len(c) for c in cols])
     none = np.zeros(0)
-    return row, np.concatenate(cols) if cols else none.astype(int), np.concatenate(vals) if vals else none, np.array([r["label"] for r in got], int)
+    grade = np.unique([r["label"] for r in got], return_inverse=True)[1].astype(int)
+    return row, np.concatenate(cols) if cols else none.astype(int), np.concatenate(vals) if vals else none, grade
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -43,7 +43,7 @@ def shard_rows(rows: DataFrame, key: Column, weight: Column, *, shards: int = 16
 
 
 def by_text_key() -> Column:
-    return ordered_key(F.xxhash64(F.coalesce("text", F.lit(""))), F.xxhash64(F.coalesce("doc_id", F.lit(0))))
+    return ordered_key(F.xxhash64(F.coalesce("text", F.lit(""))), F.xxhash64("doc_id"))
 
 
 def op7_histogram_shards(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001

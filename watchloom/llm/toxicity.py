@@ -9,8 +9,8 @@ number of toxic words, and its offending spans, in bytes of the UTF-8 text.
 Forward and backward passes multiply 2 x 2 matrices; all texts of a batch form one sequence that starts anew at each text, cut into
 blocks that are passed through side by side, so that a long text is no slower a word than a short one.
 
-The model is fitted on a sample of at most `most` labelled documents (`TOXIC` toxic ones), picked by the hash of their ids whatever
-their length, and on every word of them: Spark tasks add up each round's gradient, so that only sums reach the driver. Scoring runs over
+The model is fitted on a sample of at most `most` labelled documents (`TOXIC` toxic ones), picked by the hash of their ids, and on every word of them
+(of SAMPLE_BYTES of text in all at most, by whole documents in that order; see common.labelled_sample): Spark tasks add up each round's gradient, so that only sums reach the driver. Scoring runs over
 all texts where they are read. Labels, lang, source and ids are no inputs of a score.
 
 Defined results: null, empty and blank texts get the score of no words, without spans; labels without a document, null labels and
@@ -349,4 +349,4 @@ def op10_crf_toxicity(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     found = score(need(docs, "doc_id", "text"), train(docs, labels))
     p = F.col("toxicity").alias("score")
-    return found.select("doc_id", (bucket_of(F.col("doc_id"), 4) == 2).alias("held_out"), p, (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"), F.size("toxic_spans").alias("n_spans"))
+    return found.select("doc_id", (bucket_of(F.col("doc_id"), 4) == 2).alias("held_out"), p, (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"), F.size("toxic_spans").alias("n_spans"), "toxic_spans")
