@@ -1,9 +1,14 @@
+import json
+import re
 import struct
+from html import unescape
 
 import pytest
 
 from tests.test_state import NOW, by_id, table
+from watchloom.functions import web
 from watchloom.operators import enrich, failures, pages
+from watchloom.operators.tables import written
 from watchloom.sources import exports
 
 
@@ -77,6 +82,23 @@ def test_failures_by_rules(spark, table_of_rules):
     assert [(r["class"], r["kind"]) for r in got] == [x[4:] for x in FAILURES]
 
 
+@pytest.mark.parametrize("table_of_rules", [False, True])
+def test_defects_of_ours(spark, table_of_rules):
+    rows = [("yt-dlp", 0, "", True, False), ("yt-dlp", 0, "", False, False), ("yt-dlp", 0, "", None, None), ("ffmpeg", 1, "No such file or directory", False, True), ("ffmpeg", 1, "No such file or directory", False, False)]
+    d = spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], "i int, tool string, exit_code int, message string, dir_broken boolean, just_written boolean").selectExpr("*", "false as timed_out")
+    got = failures.classify(d, "i", failures.rules(spark) if table_of_rules else None).orderBy("i").collect()
+    assert [r["class"] for r in got] == ["bug", "retryable", "retryable", "bug", "retryable"]
+
+
+def test_a_long_table_of_rules_is_whole_or_refused(spark, monkeypatch):
+    d = spark.createDataFrame([(1, "t", 1, False, "needle")], "i int, tool string, exit_code int, timed_out boolean, message string")
+    many = spark.range(2000).selectExpr("cast(id as int) as priority", "'*' as rule_tool", "'*' as rule_exit", "if(id = 1999, 'needle', concat('x', id)) as pattern", "'c' as class", "cast(id as string) as kind", "'' as flag")
+    assert failures.classify(d, "i", many).first()["kind"] == "1999"
+    monkeypatch.setattr(failures, "MOST_RULES", 1999)
+    with pytest.raises(ValueError):
+        failures.classify(d, "i", many)
+
+
 def test_serial_kind(spark):
     d = spark.createDataFrame([("fetch", "error")], "stage string, result string")
     assert failures.routed(d, serial=True).first()["kind"] == "FetchOrTranscribe" and failures.routed(d).first()["kind"] == "Fetch"
@@ -95,6 +117,60 @@ def test_page_contents(spark):
     assert r["http://h/a"]["links"] == ["http://h/x"] and r["http://h/a"]["title"] == "T" and r["http://h/b"]["title"] == "http://h/b"
 
 
+def test_records_of_pages_with_one_id(spark):
+    """Two pages with one id are two records, each with its own content."""
+    p = spark.createDataFrame([(1, "http://h/a", "<title>A</title><main>one</main>"), (1, "http://h/b", "<title>B</title><main>two</main>")], "page_id long, url string, html string")
+    assert sorted((r["title"], r["text"]) for r in pages.records(p, "now").collect()) == [("A", "one"), ("B", "two")]
+
+
+def test_links_and_titles_as_a_browser_reads_them(spark):
+    html = """<TITLE> A &amp;
+ B </TITLE><A HREF='x.html'>1</A><a href=y.html>2</a><a href="/p?a=1&amp;b=2">3</a><a href="../q">4</a><a href="x.html#f">5</a><!-- <a href="/no"> --><script>'<a href="/no">'</script><a name="n">6</a><a href="">7</a><a href="https://o.example/z">8</a><a href="mailto:m@h">9</a>"""
+    p = spark.createDataFrame([(1, "https://h.example/doc/sub/page", html), (2, "u", "<title> </title>"), (3, "v", None)], "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in pages.outlinks(p).collect()}
+    own = ["https://h.example/doc/q", "https://h.example/doc/sub/x.html", "https://h.example/doc/sub/y.html", "https://h.example/p?a=1&b=2"]
+    assert got[1]["links"] == [*own, "https://o.example/z"] and got[1]["title"] == "A & B" and got[2]["title"] == "u" and got[3]["links"] == []
+    kept = {r["page_id"]: r["links"] for r in pages.outlinks(p, origin="https://h.example", prefix="https://h.example/doc/").collect()}
+    assert kept[1] == own[:3]
+    assert web.resolved("../q", "https://h.example/doc/sub/page") == "https://h.example/doc/q"
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<ol start=3><li>a</li><li>b<ul><li>c<li>d</ul></li></ol>", "3. a\n4. b\n   - c\n   - d"), ("<p>x</p><blockquote><p>q</p><p>r</p></blockquote>", "x\n\n> q\n> \n> r"), ('<img alt="A" src="/i.png"><img>', "![A](/i.png)"),
+        ("<h2> T <em>e</em></h2>text<hr>more", "## T _e_\n\ntext\n\n* * *\n\nmore"), ("<pre><code>a  b\n c</code></pre>", "```\na  b\n c\n```"), ("<p>one<br>two <code>c</code> <a>no</a> <a href=u>l</a></p>", "one  \ntwo `c` no [l](u)"), ("<li>loose", "- loose"), ("<p>a<p>b", "a\n\nb"),
+    ],
+)
+def test_markdown(html, want):
+    assert pages.Markdown(html).text() == want
+
+
+def plain_text(html):
+    """Text of a page's main content, by regular expressions; enough for the test table's pages."""
+    body = re.search(r"<article>(.*)</article>", html, re.S) or re.search(r"<body>(.*)</body>", html, re.S)
+    return " ".join(unescape(re.sub(r"<[^>]*>", "", re.sub(r"<!--.*?-->", "", body[1], flags=re.S))).split())
+
+
+def test_page_text_and_records_of_the_table_against_brute_force(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {r["url"]: r["html"] for r in rows.collect()}
+    for r in pages.records(rows, "now").collect():
+        h = want[r["url"]]
+        assert r["text"] == plain_text(h) and r["title"] == " ".join(unescape(re.search(r"<title>(.*?)</title>", h, re.S)[1]).split())
+        assert re.sub(r"[*#_\s]|^- |\n- ", "", r["markdown"]) == re.sub(r"[*#_\s]", "", r["text"])
+
+
+def test_records_as_files(spark, tmp_path):
+    p = spark.createDataFrame([(1, "http://h/a", "<title>A</title><main>one</main>"), (2, "http://g/a", "<title>B</title><main>two</main>"), (3, "http://h/b", "<main>x<p>y</main>")], "page_id long, url string, html string")
+    exports.write_page_records(pages.records(p, "now"), f"file://{tmp_path}", per_slug=True)
+    assert spark.read.json(f"file://{tmp_path}/index").count() == 3
+    one = spark.read.text(f"file://{tmp_path}/json_by_slug").collect()
+    assert {r["slug"]: json.loads(r["value"])["title"] for r in one} == {"a": "A", "b": "http://h/b"}
+    text = spark.read.text(f"file://{tmp_path}/markdown_by_slug", wholetext=True).collect()
+    assert {r["slug"]: r["value"] for r in text} == {"a": "one\n", "b": "x\n\ny\n"}
+
+
 def test_frontier_rounds_and_cap(spark):
     e = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "d"), ("d", "e"), ("c", "a"), ("x", "y")], "source string, target string")
     s = spark.createDataFrame([("a",)], "url string")
@@ -114,6 +190,6 @@ def test_frontier_follows_links_until_no_page_is_new(spark):
         fresh = {t for s, t in links if s in fresh} - want.keys()
         want |= dict.fromkeys(fresh, depth)
     e, s = spark.createDataFrame(links, "source string, target string"), spark.createDataFrame([("n0",)], "url string")
-    got = {r["url"]: r["depth"] for r in pages.frontier(e, s, cap=None, keep=lambda d: d.localCheckpoint()).collect()}
+    got = {r["url"]: r["depth"] for r in pages.frontier(e, s, cap=None, keep=written).collect()}
     assert got == want and len(got) > pages.PAGE_CAP and got["last"] == 14
-    assert pages.frontier(e, s, keep=lambda d: d.localCheckpoint()).count() == pages.PAGE_CAP
+    assert pages.frontier(e, s, keep=written).count() == pages.PAGE_CAP

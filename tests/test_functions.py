@@ -40,16 +40,18 @@ def test_respondents_and_shards(spark):
     [
         ("https://d.example/a#x", "https://d.example/a"), ("/b?c=1&enter_method=z", "https://h.example/b?c=1"), ("/b?enter_method=z&c=1", "https://h.example/b?c=1"), ("c.html", "https://h.example/doc/c.html"),
         ("?q", "https://h.example/doc/page?q"), ("//o.example/x", "https://o.example/x"), ("mailto:a@b", None), ("javascript:void(0)", None), ("#top", "https://h.example/doc/page?a=1"),
+        ("../q", "https://h.example/q"), ("./a/../b/", "https://h.example/doc/b/"), ("..", "https://h.example/"), ("HTTPS://H.example:443/a/./b/..", "https://h.example/a/"), (" x y ", "https://h.example/doc/x%20y"),
+        ("https://h.example", "https://h.example/"), ("http://[bad", None), ("http://h.example:8080/../../z", "http://h.example:8080/z"),
     ],
 )
-def test_normalised_links(spark, href, want):
-    got = values(spark, [href], web.normalized(F.col("x"), F.lit("https://h.example/doc/page?a=1#f")))
-    assert got == [(want,)]
+def test_normalised_links(href, want):
+    assert web.resolved(href, "https://h.example/doc/page?a=1#f") == want
 
 
-def test_link_lists_titles_and_slugs(spark):
-    html = '<title> A\n B </title><a class="x" href="/b">b</a><a href="/a#1">a</a><a href="/a">a</a><a name="n">n</a><a href="mailto:x">m</a><abbr href="/no">'
-    assert values(spark, [html], web.links(F.col("x"), F.lit("http://h/"))) == [(["http://h/a", "http://h/b"],)]
-    assert values(spark, [html, "<title> </title>", "none"], web.title(F.col("x"), F.lit("u"))) == [("A B",), ("u",), ("u",)]
+def test_origin_and_prefix():
+    assert web.within("https://h/a") and web.within("https://h/a", "https://h") and not web.within("https://h.evil/a", "https://h")
+    assert web.within("https://h/doc/a", "https://h", "https://h/doc") and not web.within("https://h/x", "https://h", "https://h/doc")
+
+
+def test_slugs(spark):
     assert [r[0] for r in values(spark, ["https://h/a/b c/", "https://h/", "https://h/x?q=1&r", "https://h"], web.slug(F.col("x")))] == ["a_b_c", "index", "x_q_1_r", "index"]
-    assert values(spark, ["https://h/a", "https://g/a"], web.normalized(F.col("x"), F.lit("https://h/"), prefix=F.lit("https://h/"))) == [("https://h/a",), (None,)]

@@ -21,7 +21,7 @@ def donated(tmp_path):
     (box / "deep").mkdir(parents=True)
     good = [{"other": 1}, {"tiktok_watch_history": [entry("2026-04-15 09:12:30", LINK.format(A)), entry("2026-04-15 09:12:30 UTC", LINK.format(A) + "?x"), entry("2026-04-16 10:00:00", LINK.format(B)), entry("bad", LINK.format(B)), entry("bad", "https://vm.tiktok.com/ZM1/"), entry("2026-04-16 10:00:00", "https://vm.tiktok.com/ZM1/"), entry("2026-04-16 10:00:00", "nope")]}, {"tiktok_watch_history": None}]
     (box / "assignment=1_participant=p1_source=t.json").write_text(json.dumps(good))
-    (box / "deep" / "participant=p2_key=2.json").write_text(json.dumps([{"tiktok_watch_history": [entry("2026-04-17 00:00:00", LINK.format(A))]}]))
+    (box / "deep" / "participant=p2_key=2.json").write_text(json.dumps([{"tiktok_watch_history": [entry("2026-04-17 00:00:00", LINK.format(A))]}], indent=2))
     (box / "participant=p3.json").write_text("{not json")
     (box / "participant=p4.json").write_text(json.dumps([{"tiktok_watch_history": [{"Date": "2026-04-17 00:00:00"}]}]))
     (box / "nobody.json").write_text("[]")

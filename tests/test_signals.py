@@ -65,3 +65,52 @@ def test_ranked_languages_and_text(spark):
     m = make(spark, ("x", [(0.1, TOKENS[0]), (0.2, TOKENS[1])]))
     assert m.select(signals.transcript_text(F.col("segments"))).first()[0] == "abc"
     assert [(r["seg"], r["tok"], r["text"]) for r in signals.tokens(m).orderBy("seg", "tok").collect()] == [(0, 0, "a"), (0, 1, "b"), (1, 0, "c")]
+
+
+def test_overlaps_against_plain_ranges(spark):
+    """Segments of random lengths, empty ones included, on both sides; and the artifacts that fail."""
+    import random
+
+    r = random.Random(1)
+    tok = lambda i: (i, "t", 0.5, -0.5)
+
+    def cut(n):
+        out, i = [], 0
+        while i < n:
+            k = min(r.randint(0, 5), n - i)
+            out.append((r.choice([0.1, 0.2]), [tok(j) for j in range(i, i + k)]))
+            i += k
+        return out
+
+    rows = {f"k{n}": (cut(n), cut(n + n % 3)) for n in range(0, 40, 3)}
+    pre, post = (make(spark, *((k, v[s]) for k, v in rows.items())) for s in (0, 1))
+    want = set()
+    for k, (a, b) in rows.items():
+        span = lambda s: [(sum(len(t) for _, t in s[:i]), sum(len(t) for _, t in s[: i + 1]), p) for i, (p, _) in enumerate(s)]
+        want |= {(k, j, i, abs(pj - pi) <= 1e-6) for j, (x, y, pj) in enumerate(span(b)) for i, (u, v, pi) in enumerate(span(a)) if max(x, u) < min(v, y)}
+    assert {tuple(x) for x in signals.overlaps(pre, post).collect()} == want
+    verdicts = signals.compare(pre, post)
+    assert {x["video_id"] for x in signals.failed(verdicts).collect()} == {x["video_id"] for x in verdicts.collect() if x["verdict"] != "pass"}
+
+
+def test_artifact_files_are_the_lines_that_the_wire_wants(spark, tmp_path):
+    """Sink to source, and each line against plain JSON."""
+    import json
+
+    from watchloom.sources import exports
+
+    probs = "array<struct<code:string,p:float>>"
+    raw = "struct<schema_version:string,language:string,lang_probs:" + probs + f",segments:{schemas.SEGMENTS}>"
+    segs = [(0.25, [(50257, '[_BEG_] "é\n\\', 0.5, -9.5), (1, "", 1.0, 0.0)]), (0.5, [])]
+    rows = [("0123", "u", 1.5, "en", "t", "f", "asr", "m", ("1", "en", [("en", 0.75), ('a"b', 0.25)], segs)), ("0199", "u", None, None, "t", "f", "asr", "m", ("1", "x", None, [])), ("0223", "u", 2.0, "nl", "t", "f", "asr", "m", None), ("7", "u", 0.0, "nl", "t", "f", "asr", "m", ("1", "nl", [], segs))]
+    a = spark.createDataFrame(rows, f"video_id string, source_url string, duration_s double, language_detected string, transcribed_at string, fetcher string, transcript_source string, model string, raw_signals {raw}")
+    exports.write_artifact_json(a, f"file://{tmp_path}/json")
+    assert sorted(map(str, exports.read_artifact_json(spark, f"file://{tmp_path}/json").collect())) == sorted(map(str, a.collect()))
+    names = ["video_id", "source_url", "duration_s", "language_detected", "transcribed_at", "fetcher", "transcript_source", "model"]
+    for r in spark.read.text(f"file://{tmp_path}/json").collect():
+        row = next(x for x in rows if x[0] == json.loads(r["value"])["video_id"])
+        want = dict(zip(names, row, strict=False))
+        if row[8] is not None:
+            v, lang, p, s = row[8]
+            want["raw_signals"] = {"schema_version": v, "language": lang, "lang_probs": p and [list(x) for x in p] if p is not None else None, "segments": [{"no_speech_prob": n, "tokens": [dict(zip(("id", "text", "p", "plog"), t, strict=True)) for t in ts]} for n, ts in s]}
+        assert r["value"] == json.dumps(want, separators=(",", ":"), ensure_ascii=False) and str(r["shard"]) == row[0][-2:]

@@ -95,3 +95,16 @@ def test_results_do_not_hang_on_partitions(spark, parts):
         assert {(r["video_id"], r["worker_id"]) for r in claims.collect()} == {(r["video_id"], "ab"[i % 2]) for i, r in enumerate(want)}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
+def test_numbers_and_claims_without_a_cap(spark):
+    from watchloom.operators.tables import numbered
+
+    d = spark.range(1000).selectExpr("id * 7919 % 1009 as k").repartition(5)
+    got = [(r["n"], r["k"]) for r in numbered(d, "k", name="n", start=3).orderBy("n").collect()]
+    assert got == [(i + 3, k) for i, k in enumerate(sorted(i * 7919 % 1009 for i in range(1000)))]
+    assert numbered(d.where("false"), "k").count() == 0
+    rows = [{"video_id": f"v{i:02}", "first_seen_at": i % 7} for i in range(40)] + [{"video_id": "x", "status": "succeeded"}]
+    new, claims, _ = state.claim_batch(table(spark, *rows), None, ["a", "b", "c"], NOW)
+    want = sorted(rows[:40], key=lambda r: (r["first_seen_at"], r["video_id"]))
+    assert {(r["video_id"], r["worker_id"]) for r in claims.collect()} == {(r["video_id"], "abc"[i % 3]) for i, r in enumerate(want)} and new.where("status = 'pending'").count() == 0

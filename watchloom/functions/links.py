@@ -28,9 +28,9 @@ def watched_at(date: Column) -> Column:
     return F.unix_timestamp(F.coalesce(*[F.try_to_timestamp(date, F.lit(x)) for x in DATE_LAYOUTS]))
 
 
-def respondent_id(path: Column) -> Column:
-    """What follows participant= in the file's stem, up to the next underscore; null if absent or empty."""
-    name = F.element_at(F.split(path, "/"), -1)
+def respondent_id(path: Column, level: int = -1) -> Column:
+    """What follows participant= in the file's stem, up to the next underscore; null if absent or empty. level -2: in its folder's name."""
+    name = F.try_element_at(F.split(path, "/"), F.lit(level))
     stem = F.regexp_replace(name, r"\.[^.]*\z", "")
     return F.nullif(F.regexp_extract(stem, r"(?:^|_)participant=([^_]*)", 1), F.lit(""))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import urljoin, urlsplit
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,40 +31,36 @@ def origin(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^([a-zA-Z]+://[^/?#]*)", 1))
 
 
-def normalized(href: Column, base: Column, *, prefix: Column | None = None) -> Column:
-    """href against base, without fragment and the dropped key; null for other schemes or outside the prefix.
+def dotless(path: str) -> str:
+    """A path without . and .. segments."""
+    out: list[str] = []
+    parts = path.split("/")
+    for part in parts:
+        if part == "..":
+            out = out[:-1] if len(out) > 1 else out
+        elif part != ".":
+            out.append(part)
+    return "/".join(out) + ("/" if parts[-1] in (".", "..") and out[-1:] != [""] else "")
+
+
+def resolved(href: str, base: str) -> str | None:
+    """href against base as a browser does it, without fragment and the dropped key; null for other schemes or what is no URL.
 
-    Root-relative, query-only and sibling links are resolved; dot segments stay as they are.
+    Blanks become %20; other characters, and the other pairs of the query, stay as they are written.
     """
-    bare = F.regexp_replace(href, r"#.*", "")
-    folder = F.regexp_replace(F.regexp_replace(base, r"[?#].*", ""), r"(://[^/]*/(?:.*/)?)[^/]*\z", "$1")
-    folder = F.when(F.regexp_like(folder, F.lit(r"^[a-z]+://[^/]*\z")), F.concat(folder, F.lit("/"))).otherwise(folder)
-    full = (
-        F.when(F.regexp_like(bare, F.lit(r"^https?://")), bare)
-        .when(F.regexp_like(bare, F.lit(r"^[a-zA-Z][a-zA-Z0-9+.-]*:")), F.lit(None))
-        .when(F.startswith(bare, F.lit("//")), F.concat(F.regexp_extract(base, r"^([a-z]+:)", 1), bare))
-        .when(F.startswith(bare, F.lit("/")), F.concat(origin(base), bare))
-        .when(bare == "", F.regexp_replace(base, r"#.*", ""))
-        .when(F.startswith(bare, F.lit("?")), F.concat(F.regexp_replace(base, r"[?#].*", ""), bare))
-        .otherwise(F.concat(folder, bare))
-    )
-    key = DROPPED_KEY
-    full = F.regexp_replace(full, rf"\?{key}=[^&]*&", "?")
-    full = F.regexp_replace(full, rf"[?&]{key}=[^&]*", "")
-    return full if prefix is None else F.when(F.startswith(full, prefix), full)
-
-
-def hrefs(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(r"<a\s(?:[^>]*?\s)?href=\"([^\"]+)\""), F.lit(1))
-
-
-def links(html: Column, base: Column, *, prefix: Column | None = None) -> Column:
-    """Distinct normalised links in ascending order."""
-    each = F.transform(hrefs(html), lambda h: normalized(h, base, prefix=prefix))
-    return F.array_sort(F.array_distinct(F.filter(each, lambda x: x.isNotNull())))
-
-
-def title(html: Column, url: Column) -> Column:
-    """The title element's text, or the URL where it has none."""
-    found = F.regexp_extract(html, r"<title[^>]*>([^<]*)</title>", 1)
-    return F.coalesce(F.nullif(F.trim(F.regexp_replace(found, r"\s+", " ")), F.lit("")), url)
+    href = re.sub(r"[\t\n\r]", "", href.strip("".join(map(chr, range(0x21))))).replace(" ", "%20")
+    try:
+        u = urlsplit(urljoin(base, href) if href else base)
+        port = u.port
+    except ValueError:
+        return None
+    if u.scheme not in ("http", "https") or not u.hostname:
+        return None
+    host = u.hostname + (f":{port}" if port not in (None, {"http": 80, "https": 443}[u.scheme]) else "")
+    query = "&".join(x for x in u.query.split("&") if x and x.split("=", 1)[0] != DROPPED_KEY)
+    return f"{u.scheme}://{host}{dotless(u.path) or '/'}" + (f"?{query}" if query else "")
+
+
+def within(url: str, origin: str | None = None, prefix: str | None = None) -> bool:
+    """Whether a normalised URL has this origin and this prefix."""
+    return (origin is None or url == origin or url.startswith(origin.rstrip("/") + "/")) and (prefix is None or url.startswith(prefix))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from watchloom import schemas
 from watchloom.functions.links import rfc3339
-from watchloom.operators import failures, reports, signals, state
+from watchloom.operators import failures, reports, signals, state, tables
 
 #: Fixed values.
 RATE = 16000
@@ -112,12 +112,11 @@ def apply_outcomes(videos: DataFrame, done: DataFrame, as_of: int) -> tuple[Data
     return end.videos, ok.events.unionByName(bad.events).unionByName(end.events), outcomes
 
 
-def process_run(videos: DataFrame, make: Callable[[], Enricher], *, as_of: int, workers: list[str], cap: int, stale_after: int = state.STALE_AFTER, write=None, keep=None) -> Run:  # noqa: ANN001
-    """Sweep, claim up to the cap, enrich, write artifacts, then mark: artifacts are there before a success is.
+def process_run(videos: DataFrame, make: Callable[[], Enricher], *, as_of: int, workers: list[str], cap: int | None, stale_after: int = state.STALE_AFTER, write=None, keep=tables.written) -> Run:  # noqa: ANN001
+    """Sweep, claim up to the cap (None: until no video is pending), enrich, write artifacts, then mark: artifacts are there before a success is.
 
-    write(artifacts) commits them; keep(df) makes a step's rows durable, so that the enricher runs once.
+    write(artifacts) commits them; keep(df) makes a step's rows durable and reads them back, so that the enricher runs once.
     """
-    keep = keep or (lambda d: d)
     swept, _ = state.sweep_stale(videos, as_of, stale_after)
     claimed, claims, events = state.claim_batch(swept, cap, workers, as_of)
     claims = keep(claims)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchloom.functions import web
+from watchloom.operators.tables import written
 
 #: What holds a page's main content, in order of preference: (tag, class, role).
 MAIN = (("main", "", ""), ("article", "", ""), ("", "", "main"), ("", "theme-doc-markdown", ""), ("", "markdown", ""), ("", "content", ""), ("", "doc-content", ""), ("", "DocSearch-content", ""))
@@ -20,7 +21,7 @@ PAGE_CAP = 1000
 
 
 class Outline(HTMLParser):
-    """Source ranges of the elements that may hold the main content, and of the body."""
+    """Source ranges of the elements that may hold the main content, and of the body; the title and the links of the document."""
 
     def __init__(self, html: str) -> None:
         super().__init__(convert_charrefs=True)
@@ -30,6 +31,8 @@ class Outline(HTMLParser):
         self.open: list[tuple[str, int, list[int]]] = []
         self.found: dict[int, str] = {}
         self.body = ""
+        self.titles: list[list[str]] = []
+        self.hrefs: list[str] = []
         self.feed(html)
         self.close()
         while self.open:
@@ -42,11 +45,19 @@ class Outline(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
             return
-        a = dict(attrs)
+        a = dict(reversed(attrs))  # of a repeated attribute the first counts
+        if tag == "a" and a.get("href"):
+            self.hrefs.append(a["href"])
+        if tag == "title":
+            self.titles.append([])
         names = (a.get("class") or "").split()
         fits = [k for k, (t, c, r) in enumerate(MAIN) if (t and t == tag) or (c and c in names) or (r and r == a.get("role"))]
         self.open.append((tag, self.place() + len(self.get_starttag_text() or ""), fits))
 
+    def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "title" and self.titles:
+            self.titles[-1].append(data)
+
     def handle_endtag(self, tag: str) -> None:
         if any(t == tag for t, _, _ in self.open):
             while self.open[-1][0] != tag:
@@ -62,68 +73,99 @@ class Outline(HTMLParser):
         if tag == "body":
             self.body = inner
 
+    def title(self) -> str:
+        return " ".join("".join(self.titles[0]).split()) if self.titles else ""
+
     def main(self) -> str:
         return self.found[min(self.found)] if self.found else self.body
 
 
+#: Elements that stand on lines of their own.
+BLOCKS = frozenset("address article aside body caption center dd details div dl dt fieldset figcaption figure footer form header html main nav p section summary table tbody td tfoot th thead tr".split())
+
+
+class Item(str):
+    """A finished list item."""
+
+
+def tidy(text: str) -> str:
+    return re.sub(r"\n[ \n]*\n", "\n\n", text)
+
+
 class Markdown(HTMLParser):
-    """Headings as #, fenced code, list items, links; other tags leave their text."""
+    """Headings as #, fenced code, bullet and numbered lists, quotes, rules, links, images, emphasis; other tags leave their text."""
 
     def __init__(self, html: str) -> None:
         super().__init__(convert_charrefs=True)
-        self.out: list[str] = []
-        self.links: list[str] = []
-        self.code = self.skip = 0
+        #: Open elements: tag, attributes, content so far.
+        self.open: list[tuple[str, dict[str, str | None], list[str]]] = [("", {}, [])]
         self.feed(html)
         self.close()
+        while len(self.open) > 1:
+            self.end()
+
+    def inside(self, *tags: str) -> bool:
+        return any(t in tags for t, _, _ in self.open)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in ("script", "style"):
-            self.skip += 1
-        elif re.fullmatch("h[1-6]", tag):
-            self.out.append("\n\n" + "#" * int(tag[1]) + " ")
-        elif tag == "pre":
-            self.code += 1
-            self.out.append("\n\n```\n")
-        elif tag == "code" and not self.code:
-            self.out.append("`")
-        elif tag == "li":
-            self.out.append("\n- ")
-        elif tag == "a":
-            self.links.append(dict(attrs).get("href") or "")
-            self.out.append("[")
-        elif tag == "br":
-            self.out.append("\n")
-        elif tag in ("p", "div", "ul", "ol", "table", "tr"):
-            self.out.append("\n\n")
-        elif tag in ("b", "strong"):
-            self.out.append("**")
-        elif tag in ("i", "em"):
-            self.out.append("_")
+        a = dict(reversed(attrs))
+        out = self.open[-1][2]
+        if tag == "br":
+            out.append("\n" if self.inside("pre") else "  \n")
+        elif tag == "hr":
+            out.append("\n\n* * *\n\n")
+        elif tag == "img":
+            if a.get("src"):
+                out.append(f"![{a.get('alt') or ''}]({a['src']})")
+        elif tag not in VOID:
+            if tag in ("p", "li") and self.open[-1][0] == tag:  # an end tag that may be left out
+                self.end()
+            self.open.append((tag, a, []))
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in ("script", "style"):
-            self.skip = max(0, self.skip - 1)
+        if any(t == tag for t, _, _ in self.open[1:]):
+            while self.open[-1][0] != tag:
+                self.end()
+            self.end()
+
+    def handle_data(self, data: str) -> None:
+        if not self.inside("script", "style"):
+            self.open[-1][2].append(data if self.inside("pre") else re.sub(r"\s+", " ", data))
+
+    def end(self) -> None:
+        tag, attrs, parts = self.open.pop()
+        text = "".join(parts)
+        bare = text.strip()
+        outer, _, out = self.open[-1]
+        if re.fullmatch("h[1-6]", tag):
+            text = f"\n\n{'#' * int(tag[1])} {bare}\n\n" if bare else ""
         elif tag == "pre":
-            self.code = max(0, self.code - 1)
-            self.out.append("\n```\n\n")
-        elif tag == "code" and not self.code:
-            self.out.append("`")
-        elif tag == "a" and self.links:
-            self.out.append(f"]({self.links.pop()})")
+            text = f"\n\n```\n{text.strip(chr(10))}\n```\n\n"
+        elif tag == "code" and not self.inside("pre"):
+            text = f"`{bare}`" if bare else ""
         elif tag in ("b", "strong"):
-            self.out.append("**")
+            text = f"**{bare}**" if bare else text
         elif tag in ("i", "em"):
-            self.out.append("_")
-        elif re.fullmatch("h[1-6]|p|div", tag):
-            self.out.append("\n\n")
-
-    def handle_data(self, data: str) -> None:
-        if not self.skip:
-            self.out.append(data if self.code else re.sub(r"\s+", " ", data))
+            text = f"_{bare}_" if bare else text
+        elif tag == "a" and attrs.get("href"):
+            text = f"[{bare}]({attrs['href']})"
+        elif tag == "blockquote":
+            text = "\n\n" + "\n".join("> " + line for line in tidy(bare).split("\n")) + "\n\n"
+        elif tag == "li":
+            text = Item(tidy(bare)) if outer in ("ul", "ol", "menu") else f"\n- {tidy(bare)}"
+        elif tag in ("ul", "ol", "menu"):
+            n, lines = int(start) if (start := attrs.get("start") or "").isdigit() else 1, []
+            for item in parts:
+                if item.strip():
+                    mark = f"{n + len(lines)}. " if tag == "ol" else "- "
+                    lines.append(mark + item.strip().replace("\n", "\n" + " " * len(mark)))
+            text = ("\n" if outer == "li" else "\n\n") + "\n".join(lines) + ("" if outer == "li" else "\n\n")
+        elif tag in BLOCKS:
+            text = f"\n\n{bare}\n\n" if bare else ""
+        out.append(text)
 
     def text(self) -> str:
-        return re.sub(r"\n{3,}", "\n\n", "".join(self.out)).strip()
+        return tidy("".join(self.open[0][2])).strip()
 
 
 class Text(HTMLParser):
@@ -142,6 +184,12 @@ class Text(HTMLParser):
         return re.sub(r"\s+", " ", "".join(self.out)).strip()
 
 
+def read(html: str, url: str) -> tuple[str, list[str], str]:
+    """(title or the URL, distinct normalised links in ascending order, HTML of the main content) of a page, parsed once."""
+    o = Outline(html)
+    return o.title() or url, sorted({x for h in o.hrefs if (x := web.resolved(h, url)) is not None}), o.main()
+
+
 def contents(pages: DataFrame) -> DataFrame:
     """page_id, url, main_html, text, markdown of each page."""
 
@@ -153,25 +201,42 @@ def contents(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, main_html string, text string, markdown string")
 
 
-def records(pages: DataFrame, fetched_at: str) -> DataFrame:
-    """Page records: url, title, fetched_at, slug, markdown, text, links."""
-    c = contents(pages).select("page_id", "text", "markdown")
-    p = pages.select("page_id", "url", web.title(F.col("html"), F.col("url")).alias("title"), web.slug(F.col("url")).alias("slug"), web.links(F.col("html"), F.col("url")).alias("links"))
-    return p.join(c, "page_id").select("url", "title", F.lit(fetched_at).alias("fetched_at"), "slug", "markdown", "text", "links")
+def outlinks(pages: DataFrame, *, origin: str | None = None, prefix: str | None = None) -> DataFrame:
+    """page_id, url, title, links of each page as a browser reads them; only links of the origin and below the prefix, if given."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [read(h or "", u or "") for h, u in zip(b["html"], b["url"], strict=True)]
+            kept = [[x for x in found if web.within(x, origin, prefix)] for _, found, _ in got]
+            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "title": [t for t, _, _ in got], "links": kept})
+
+    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, title string, links array<string>")
+
+
+def records(pages: DataFrame, fetched_at: str, *, origin: str | None = None, prefix: str | None = None) -> DataFrame:
+    """Page records: url, title, fetched_at, slug, markdown, text, links; one a row of pages, each page parsed where it is read."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [read(h or "", u or "") for h, u in zip(b["html"], b["url"], strict=True)]
+            kept = [[x for x in found if web.within(x, origin, prefix)] for _, found, _ in got]
+            yield pd.DataFrame({"url": b["url"], "title": [t for t, _, _ in got], "slug": b["slug"], "markdown": [Markdown(m).text() for *_, m in got], "text": [Text(m).text() for *_, m in got], "links": kept})
+
+    found = pages.select("url", "html", web.slug(F.col("url")).alias("slug")).mapInPandas(run, "url string, title string, slug string, markdown string, text string, links array<string>")
+    return found.select("url", "title", F.lit(fetched_at).alias("fetched_at"), "slug", "markdown", "text", "links")
 
 
 def edges(pages: DataFrame) -> DataFrame:
     """source, target: the normalised links between URLs."""
-    return pages.select(F.regexp_replace("url", r"#.*", "").alias("source"), F.explode(web.links(F.col("html"), F.col("url"))).alias("target"))
+    return outlinks(pages).select(F.regexp_replace("url", r"#.*", "").alias("source"), F.explode("links").alias("target"))
 
 
-def frontier(links: DataFrame, seeds: DataFrame, *, cap: int | None = PAGE_CAP, rounds: int | None = None, keep=None) -> DataFrame:  # noqa: ANN001
+def frontier(links: DataFrame, seeds: DataFrame, *, cap: int | None = PAGE_CAP, rounds: int | None = None, keep=written) -> DataFrame:  # noqa: ANN001
     """url, depth of what is reached from the seeds (url) over links (source, target), first come first visited, at most cap pages.
 
     It ends when a round finds no new page, or the cap or the number of rounds is reached; None: no such bound. The cap is the
-    crawl's own limit, taken by (depth, url). keep(df) makes a round's state durable, e.g. by writing it.
+    crawl's own limit, taken by (depth, url). keep(df) makes a round's state durable and reads it back, so that no round runs twice.
     """
-    keep = keep or (lambda d: d)
     first = lambda d, n: d if cap is None else d.orderBy("url").limit(n)
     seen = keep(first(seeds.select("url").distinct().withColumn("depth", F.lit(0)), cap))
     for depth in count(1) if rounds is None else range(1, rounds + 1):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchloom import schemas
@@ -40,20 +40,28 @@ def invalid_reason(segments: Column) -> Column:
 def artifact_json(rows: DataFrame) -> Column:
     """Compact JSON; raw_signals is left out when null, lang_probs is written as null or as [code, p] pairs."""
     head = ["video_id", "source_url", "duration_s", "language_detected", "transcribed_at", "fetcher", "transcript_source", "model"]
-    s = F.col("raw_signals")
-    wire = F.struct(s["schema_version"].alias("schema_version"), s["language"].alias("language"), F.transform(s["lang_probs"], lambda x: F.array(x["code"], x["p"].cast("string"))).alias("lang_probs"), s["segments"].alias("segments"))
-    opts = {"ignoreNullFields": "false"}
-    # the wire wants numbers for p
-    full = F.regexp_replace(F.to_json(F.struct(*head, wire.alias("raw_signals")), opts), r'\["([^"]*)","([0-9.eE+-]+)"\]', r'["$1",$2]')
-    return F.when(s.isNull(), F.to_json(F.struct(*head), opts)).otherwise(full)
+    s, opts = F.col("raw_signals"), {"ignoreNullFields": "false"}
+    value = lambda x: F.regexp_extract(F.to_json(F.array(x)), r"(?s)^\[(.*)\]\z", 1)  # noqa: E731 - a single JSON value
+    listed = lambda xs: F.concat(F.lit("["), F.array_join(xs, ","), F.lit("]"))
+    probs = listed(F.transform(s["lang_probs"], lambda x: listed(F.array(value(x["code"]), value(x["p"])))))
+    signals = F.concat(F.lit('{"schema_version":'), value(s["schema_version"]), F.lit(',"language":'), value(s["language"]), F.lit(',"lang_probs":'), F.coalesce(probs, F.lit("null")), F.lit(',"segments":'), F.coalesce(F.to_json(s["segments"], opts), F.lit("null")), F.lit("}"))
+    plain = F.to_json(F.struct(*head), opts)
+    return F.when(s.isNull(), plain).otherwise(F.concat(F.regexp_replace(plain, r"\}\z", ',"raw_signals":'), signals, F.lit("}")))
+
+
+def parsed_artifact(line: Column) -> Column:
+    """The artifact of a JSON line, lang_probs as structs again."""
+    a = F.from_json(line, schemas.schema(schemas.ARTIFACT))
+    s = a["raw_signals"]
+    probs = F.transform(s["lang_probs"], lambda x: F.struct(F.element_at(x, 1).alias("code"), F.element_at(x, 2).cast("float").alias("p")))
+    whole = F.struct(s["schema_version"].alias("schema_version"), s["language"].alias("language"), probs.alias("lang_probs"), s["segments"].alias("segments"))
+    names = [f.name for f in schemas.schema(schemas.ARTIFACT) if f.name != "raw_signals"]
+    return F.struct(*[a[n].alias(n) for n in names], F.when(s.isNotNull(), whole).alias("raw_signals"))
 
 
 def read_artifacts(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Artifacts from their JSON, lang_probs as structs again."""
-    a = lines.select(F.from_json(column, schemas.schema(schemas.ARTIFACT)).alias("a")).select("a.*")
-    s = F.col("raw_signals")
-    probs = F.transform(s["lang_probs"], lambda x: F.struct(F.element_at(x, 1).alias("code"), F.element_at(x, 2).cast("float").alias("p")))
-    return a.withColumn("raw_signals", F.when(s.isNotNull(), F.struct(s["schema_version"].alias("schema_version"), s["language"].alias("language"), probs.alias("lang_probs"), s["segments"].alias("segments"))))
+    """Artifacts from their JSON."""
+    return lines.select(parsed_artifact(F.col(column)).alias("a")).select("a.*")
 
 
 def flat_tokens(segments: Column) -> Column:
@@ -84,44 +92,55 @@ def require_deterministic(verdicts: DataFrame) -> None:
         raise ValueError(f"{n} artifacts differ between two runs of the same side")
 
 
-def offsets(artifacts: DataFrame, key: str = "video_id") -> DataFrame:
-    """key, seg, no_speech_prob, begin, end: each segment's range of token positions."""
-    segs = artifacts.select(key, F.posexplode("segments").alias("seg", "s")).select(key, "seg", "s.no_speech_prob", F.size("s.tokens").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy(key).orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return segs.select(key, "seg", "no_speech_prob", before.cast("long").alias("begin"), (before + F.col("n")).cast("long").alias("end"))
+def owners(segments: Column) -> Column:
+    """For each token, in order, the position of its segment."""
+    return F.flatten(F.transform(segments, lambda s, i: F.array_repeat(i, F.size(s["tokens"]))))
 
 
 def overlaps(pre: DataFrame, post: DataFrame, key: str = "video_id", tolerance: float = TOLERANCE) -> DataFrame:
-    """Pairs of a post and a pre segment of the same key whose token ranges overlap, and whether no_speech_prob agrees."""
-    a = offsets(post, key).select(key, F.col("seg").alias("post_seg"), F.col("no_speech_prob").alias("post_nsp"), F.col("begin").alias("pb"), F.col("end").alias("pe"))
-    b = offsets(pre, key).select(key, F.col("seg").alias("pre_seg"), F.col("no_speech_prob").alias("pre_nsp"), F.col("begin").alias("qb"), F.col("end").alias("qe"))
-    met = a.join(b, key).where("pb < qe and qb < pe")
-    return met.select(key, "post_seg", "pre_seg", (F.abs(F.col("post_nsp") - F.col("pre_nsp")) <= tolerance).alias("agrees"))
+    """Pairs of a post and a pre segment of the same key whose token ranges overlap, and whether no_speech_prob agrees.
+
+    Segments that overlap share a token position, so the pairs of a document are read off its positions, without a join of segments.
+    """
+    both = pre.select(key, F.col("segments").alias("sx")).join(post.select(key, F.col("segments").alias("sy")), key)
+    wide = 1 << 31
+    met = F.zip_with(owners(F.col("sx")), owners(F.col("sy")), lambda i, j: j.cast("long") * wide + i)  # null where one side has no token
+    each = both.select(key, F.transform("sx", lambda s: s["no_speech_prob"]).alias("px"), F.transform("sy", lambda s: s["no_speech_prob"]).alias("py"), F.explode(F.array_compact(F.array_distinct(met))).alias("_m"))
+    i, j = (F.col("_m") % wide).cast("int"), F.floor(F.col("_m") / wide).cast("int")
+    return each.select(key, j.alias("post_seg"), i.alias("pre_seg"), (F.abs(F.get("py", j) - F.get("px", i)) <= tolerance).alias("agrees"))
 
 
 def compare(pre: DataFrame, post: DataFrame, key: str = "video_id", tolerance: float = TOLERANCE) -> DataFrame:
-    """key, verdict, first_diff of two sides: the first check that fails, in the order missing, tokens, probabilities, coverage, windows."""
-    x = pre.select(key, F.col("segments").alias("sx"), flat_tokens(F.col("segments")).alias("tx"))
-    y = post.select(key, F.col("segments").alias("sy"), flat_tokens(F.col("segments")).alias("ty"))
-    both = x.join(y, key, "full_outer")
+    """key, verdict, first_diff of two sides: the first check that fails, in the order missing, tokens, probabilities, coverage, windows.
+
+    One join by key; overlapping segments share a token position, so no_speech_prob is compared position by position.
+    """
+    side = lambda d, n: d.select(key, F.col("segments").alias(f"s{n}"))
+    both = side(pre, "x").join(side(post, "y"), key, "full_outer").withColumns({"tx": flat_tokens(F.col("sx")), "ty": flat_tokens(F.col("sy"))})
+    silence = lambda s: F.flatten(F.transform(s, lambda x: F.array_repeat(x["no_speech_prob"], F.size(x["tokens"]))))
     identity = lambda t: F.struct(t["id"].alias("id"), t["text"].alias("text"))
     differs = F.zip_with("tx", "ty", lambda p, q: ~identity(p).eqNullSafe(identity(q)))
     far = F.zip_with("tx", "ty", lambda p, q: (F.abs(p["p"] - q["p"]) > tolerance) | (F.abs(p["plog"] - q["plog"]) > tolerance))
-    windows = overlaps(pre, post, key, tolerance).groupBy(key).agg(F.count_if(~F.col("agrees")).alias("windows_off"))
+    off = F.zip_with(silence(F.col("sx")), silence(F.col("sy")), lambda p, q: F.abs(p - q) > tolerance)
     bare = F.exists("sy", lambda s: F.size(s["tokens"]) == 0)  # covers no token of the other side
-    token_at, far_at = F.array_position(differs, F.lit(True)), F.array_position(far, F.lit(True))
-    both = both.join(windows, key, "left").withColumns({"token_at": token_at, "far_at": far_at})
+    at = lambda flags: F.array_position(flags, F.lit(True))
+    both = both.select(key, "tx", "ty", at(differs).alias("token_at"), at(far).alias("far_at"), bare.alias("bare"), at(off).alias("off_at"))
     verdict = (
         F.when(F.col("tx").isNull() | F.col("ty").isNull(), "missing")
         .when((F.size("tx") != F.size("ty")) | (F.col("token_at") > 0), "tokens")
         .when(F.col("far_at") > 0, "probabilities")
-        .when(bare, "coverage")
-        .when(F.coalesce("windows_off", F.lit(0)) > 0, "windows")
+        .when(F.col("bare"), "coverage")
+        .when(F.col("off_at") > 0, "windows")
         .otherwise("pass")
     )
     out = both.withColumn("verdict", verdict)
-    at = F.when((F.col("verdict") == "tokens") & (F.size("tx") == F.size("ty")), F.col("token_at") - 1).when(F.col("verdict") == "probabilities", F.col("far_at") - 1)
-    return out.select(key, "verdict", at.alias("first_diff"))
+    first = F.when((F.col("verdict") == "tokens") & (F.size("tx") == F.size("ty")), F.col("token_at") - 1).when(F.col("verdict") == "probabilities", F.col("far_at") - 1)
+    return out.select(key, "verdict", first.alias("first_diff"))
+
+
+def failed(verdicts: DataFrame) -> DataFrame:
+    """The artifacts that don't pass, with the check that they fail."""
+    return verdicts.where("verdict <> 'pass'")
 
 
 def compare_summary(verdicts: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from watchloom.operators.tables import numbered
+
 #: Seconds after which a claim is stale, unless told otherwise.
 STALE_AFTER = 1800
 
@@ -32,12 +34,15 @@ def pending_queue(videos: DataFrame, n: int | None = None) -> DataFrame:
     return q if n is None else q.limit(n)
 
 
-def claim_batch(videos: DataFrame, n: int, workers: list[str], as_of: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(videos, claims, events): the n oldest pending videos go to the workers in turn; n is the cap on claims."""
-    head = pending_queue(videos, n)
-    nth = F.row_number().over(Window.orderBy("first_seen_at", "video_id")) - 1  # over n rows at most
+def claim_batch(videos: DataFrame, n: int | None, workers: list[str], as_of: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(videos, claims, events): the n oldest pending videos go to the workers in turn; None: all of them."""
+    order = ("first_seen_at", "video_id")
+    if n is None:
+        head = numbered(videos.where("status = 'pending'").select("video_id", "source_url", "attempt_count", "first_seen_at"), *order)
+    else:
+        head = pending_queue(videos, n).withColumn("nth", F.row_number().over(Window.orderBy(*order)) - 1)  # over n rows at most
     names = F.array(*[F.lit(w) for w in workers])
-    claims = head.select("video_id", "source_url", (F.col("attempt_count") + 1).alias("attempt_count"), F.element_at(names, (nth % len(workers) + 1).cast("int")).alias("worker_id"))
+    claims = head.select("video_id", "source_url", (F.col("attempt_count") + 1).alias("attempt_count"), F.element_at(names, (F.col("nth") % len(workers) + 1).cast("int")).alias("worker_id"))
     c = claims.select("video_id", F.col("worker_id").alias("_w"))
     hit = F.col("_w").isNotNull()
     now = F.lit(as_of).cast("long")
@@ -131,8 +136,7 @@ def reset_stale(videos: DataFrame, as_of: int, max_age: int, *, dry_run: bool =
 def append_events(log: DataFrame, events: DataFrame) -> DataFrame:
     """The log with new events under the next ids, by time and video."""
     last = log.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    ids = events.withColumn("id", (F.row_number().over(Window.orderBy("at", "video_id", "event_type")) + last).cast("long"))  # one run's events
-    return log.unionByName(ids.select(*log.columns))
+    return log.unionByName(numbered(events, "at", "video_id", "event_type", name="id", start=last + 1).select(*log.columns))
 
 
 def history(log: DataFrame, video_id: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +11,10 @@ from watchloom import schemas
 from watchloom.functions import links, web
 from watchloom.operators import enrich, failures, ingest, pages, reports, signals, state
 from watchloom.plans import feeds
+from watchloom.operators.tables import shared_folder, written
 from watchloom.plans.feeds import AS_OF, ORDER, R, T, V, W
+from watchloom.sources import exports
+from watchloom.streaming import inbox
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,18 +41,6 @@ def pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.table(spark, sf_dir, "pages")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df as Parquet below the cluster's spark.checkpoint.dir, read again; only where that is unset, a local folder is made and set."""
-    spark = df.sparkSession
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        top = "file://" + tempfile.mkdtemp(prefix="watchloom-")
-        spark.conf.set("spark.checkpoint.dir", top)
-    path = f"{top.rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 # --- scans, projections, predicates --------------------------------------------------------------
 
 
@@ -141,6 +130,38 @@ def status_violations(spark, sf_dir):
     return schemas.status_violations(v).select("video_id", F.col("real").alias("status"))
 
 
+def write_exports(spark, sf_dir) -> str:
+    """The watch feed as donated JSON files, a folder a participant, two sections a file; gives the inbox."""
+    e = feeds.watch_entries(spark, sf_dir).select(F.col("respondent_id").alias("participant"), (F.col("event_id") % 2).alias("part"), F.struct(F.col("date").alias("Date"), F.col("link").alias("Link")).alias("e"))
+    parts = e.groupBy("participant", "part").agg(F.collect_list("e").alias("tiktok_watch_history"))  # the rows of one participant's file
+    files = parts.groupBy("participant").agg(F.to_json(F.collect_list(F.struct("tiktok_watch_history"))).alias("value"))
+    path = shared_folder(spark)
+    files.write.partitionBy("participant").option("maxRecordsPerFile", 1).text(path, lineSep=" ")
+    return path
+
+
+def export_scan(spark, inbox_path: str) -> DataFrame:
+    """The files that Spark wrote have its own names; the participant is in their folder's name."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").text(inbox_path, wholetext=True)
+    return files.select(F.col("_metadata.file_path").alias("file_path"), "value")
+
+
+@query(f"WITH {W} SELECT respondent_id, link, date, count(*) AS n FROM w GROUP BY ALL")
+def export_entries(spark, sf_dir):
+    """Export files written, scanned and parsed: every entry comes back."""
+    rows, bad = exports.entries(export_scan(spark, write_exports(spark, sf_dir)), strict=True, level=-2)
+    return rows.groupBy("respondent_id", "link", "date").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {W} SELECT DISTINCT respondent_id, video_id, watched_at, true AS in_window FROM valid")
+def inbox_ingest(spark, sf_dir):
+    """Export files picked up by the incremental ingest, some a batch, into the tables."""
+    root = shared_folder(spark)
+    at = write_exports(spark, sf_dir)
+    inbox.ingest_stream(spark, at, f"{root}/tables", f"{root}/progress", as_of=AS_OF, files_per_trigger=100, level=-2, glob="part-*").awaitTermination()
+    return spark.read.parquet(f"{root}/tables/watch_history").drop("batch")
+
+
 # --- state ---------------------------------------------------------------------------------------
 
 
@@ -248,8 +269,8 @@ q AS (SELECT video_id, CAST(right(video_id, 1) AS INTEGER) AS d FROM sw WHERE st
 o AS (SELECT video_id, CASE WHEN d IN (3, 4) THEN 'failed_retryable' WHEN d = 7 THEN 'failed_terminal' ELSE 'succeeded' END AS outcome FROM q)"""
 
 
-def one_run(spark, sf_dir) -> enrich.Run:
-    return enrich.process_run(feeds.videos(spark, sf_dir), fake_enricher, as_of=AS_OF, workers=["a", "b"], cap=200)
+def one_run(spark, sf_dir, cap: int | None = 200) -> enrich.Run:
+    return enrich.process_run(feeds.videos(spark, sf_dir), fake_enricher, as_of=AS_OF, workers=["a", "b"], cap=cap)
 
 
 @query(PROCESSED + " SELECT coalesce(o.outcome, sw.status) AS status, count(*) AS n FROM sw LEFT JOIN o USING (video_id) GROUP BY 1")
@@ -262,6 +283,23 @@ def batch_outcomes(spark, sf_dir):
     return one_run(spark, sf_dir).outcomes
 
 
+ALL = PROCESSED.replace(" ORDER BY first_seen_at, video_id LIMIT 200", "")
+
+
+@query(ALL + " SELECT sw.video_id, coalesce(o.outcome, sw.status) AS status FROM sw LEFT JOIN o USING (video_id)")
+def process_all(spark, sf_dir):
+    """A run without a cap: until no video is pending."""
+    return one_run(spark, sf_dir, cap=None).videos.select("video_id", "status")
+
+
+@query(ALL + " SELECT video_id, CASE outcome WHEN 'succeeded' THEN 'ok' WHEN 'failed_retryable' THEN 'error' ELSE 'unavailable' END AS result, CASE WHEN outcome = 'succeeded' THEN video_id END AS text, CASE WHEN outcome = 'succeeded' THEN d / 2.0 END AS duration_s FROM q JOIN o USING (video_id)")
+def enrich_claims(spark, sf_dir):
+    """The enricher's rows for all claimable videos."""
+    swept, _ = state.sweep_stale(feeds.videos(spark, sf_dir), AS_OF)
+    _, claims, _ = state.claim_batch(swept, None, ["a", "b"], AS_OF)
+    return enrich.enrich(claims, fake_enricher).select("video_id", "result", "text", "duration_s")
+
+
 @query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'succeeded' WHEN 1 THEN 'failed_retryable' WHEN 2 THEN 'in_progress' WHEN 3 THEN 'abort' WHEN 4 THEN 'failed_terminal' ELSE 'succeeded' END AS route,
 CASE WHEN event_id % 6 = 1 THEN CASE WHEN event_id % 4 < 2 THEN 'Fetch' ELSE 'Transcribe' END END AS kind FROM events""")
 def failure_routing(spark, sf_dir):
@@ -486,11 +524,43 @@ def artifact_json(spark, sf_dir):
 
 @query("SELECT count(*) AS artifacts, count(*) AS equal FROM documents")
 def artifact_roundtrip(spark, sf_dir):
+    """Artifacts against what their JSON gives back, struct by struct, nulls included."""
     a = full_artifacts(spark, sf_dir)
     names = [c for c in a.columns if c != "doc_id"]
-    back = signals.read_artifacts(a.select(signals.artifact_json(a).alias("value")))
-    both = a.select("video_id", F.struct(*names).alias("x")).join(back.select("video_id", F.struct(*names).alias("y")), "video_id")
-    return both.agg(F.count("*").alias("artifacts"), F.count_if(F.to_json("x") == F.to_json("y")).alias("equal"))
+    both = a.select(F.struct(*names).alias("x"), signals.parsed_artifact(signals.artifact_json(a)).alias("y"))
+    return both.agg(F.count("*").alias("artifacts"), F.count_if(F.col("x").eqNullSafe(F.col("y"))).alias("equal"))
+
+
+@query("SELECT doc_id, CAST(doc_id AS DOUBLE) / 4.0 AS duration_s, lang AS language_detected, doc_id % 5 <> 0 AS has_signals, true AS equal FROM documents")
+def artifact_files(spark, sf_dir):
+    """Artifacts written as JSON files by shard and read back, against the rows that were written."""
+    a, path = full_artifacts(spark, sf_dir), shared_folder(spark)
+    exports.write_artifact_json(a, path)
+    digest = lambda d: F.md5(F.to_json(F.struct(*[d[c] for c in a.columns if c != "doc_id"]), {"ignoreNullFields": "false"}).cast("binary"))
+    back = exports.read_artifact_json(spark, path)
+    back = back.select("video_id", "duration_s", "language_detected", F.col("raw_signals").isNotNull().alias("has_signals"), digest(back).alias("d"))
+    return a.select("doc_id", "video_id", digest(a).alias("want")).join(back, "video_id").select("doc_id", "duration_s", "language_detected", "has_signals", (F.col("d") == F.col("want")).alias("equal"))
+
+
+@query(f"WITH {T}, x AS (SELECT doc_id, string_agg(text, '' ORDER BY seg, tok) AS t FROM tokens GROUP BY doc_id) SELECT d.doc_id, md5(coalesce(t, '')) AS text_md5 FROM documents d LEFT JOIN x USING (doc_id)")
+def transcript_files(spark, sf_dir):
+    """Transcripts written by shard and read back."""
+    path = shared_folder(spark)
+    exports.write_transcripts(feeds.artifacts(spark, sf_dir).select("video_id", signals.transcript_text(F.col("segments")).alias("text")), path)
+    return spark.read.parquet(path).select(F.col("video_id").cast("long").alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query("""WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n, doc_id % 5 AS k FROM documents)
+SELECT doc_id, CASE WHEN k < 3 THEN n // 2 ELSE 0 END AS n_samples, CASE WHEN k < 3 AND n >= 2 THEN (n // 2) / 16000.0 END AS duration_s, CASE WHEN k = 3 THEN 'sample_rate' WHEN k = 4 THEN 'channels' WHEN n < 2 THEN 'empty' END AS error_kind FROM d""")
+def wav_decode(spark, sf_dir):
+    """Texts as the bytes of WAV files: 16 kHz mono, but for some at 8 kHz and some in stereo."""
+    d = feeds.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("body"))
+    little = lambda x, n: F.unhex(F.array_join(F.array(*[F.lpad(F.hex(F.shiftright(x, 8 * k).bitwiseAND(F.lit(255))), 2, "0") for k in range(n)]), ""))
+    k, n = F.col("doc_id") % 5, F.octet_length("body")
+    form = F.concat(little(F.lit(16), 4), little(F.lit(1), 2), little(F.when(k == 4, 2).otherwise(1), 2), little(F.when(k == 3, 8000).otherwise(16000), 4), little(F.lit(32000), 4), little(F.lit(2), 2), little(F.lit(16), 2))
+    tag = lambda t: F.lit(t).cast("binary")
+    files = d.select(F.col("doc_id").cast("string").alias("path"), F.concat(tag("RIFF"), little(n + 36, 4), tag("WAVEfmt "), form, tag("data"), little(n, 4), F.col("body")).alias("content"))
+    return enrich.wav_files(files).select(F.col("path").cast("long").alias("doc_id"), "n_samples", "duration_s", "error_kind")
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN 'missing' WHEN doc_id % 10 = 4 THEN 'differs' ELSE 'same' END AS verdict FROM documents")
@@ -516,6 +586,12 @@ def signal_compare_summary(spark, sf_dir):
     return signals.compare_summary(signals.compare(feeds.artifacts(spark, sf_dir), feeds.artifacts(spark, sf_dir, post=True), "doc_id"))
 
 
+@query(COMPARED + " SELECT doc_id, verdict FROM c WHERE verdict <> 'pass'")
+def signal_compare_failures(spark, sf_dir):
+    """The artifacts that fail the comparison, each with the check that it fails."""
+    return signals.failed(signals.compare(feeds.artifacts(spark, sf_dir), feeds.artifacts(spark, sf_dir, post=True), "doc_id")).select("doc_id", "verdict")
+
+
 @query(f"""WITH {T}, n AS (SELECT doc_id, count(*) AS n_seg FROM segs GROUP BY 1), a AS (SELECT doc_id, seg, nsp, n, CAST(coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY seg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS b FROM segs),
 q AS (SELECT a.doc_id, CASE WHEN a.doc_id % 44 = 22 AND n_seg >= 2 THEN greatest(seg - 1, 0) ELSE seg END AS seg, nsp, n, b FROM a JOIN n USING (doc_id) WHERE a.doc_id % 44 <> 33),
 p AS (SELECT doc_id, seg, arg_min(nsp, b) AS nsp, min(b) AS b, min(b) + sum(n) AS e FROM q GROUP BY doc_id, seg),
@@ -537,8 +613,7 @@ l AS (SELECT DISTINCT page_id, source, regexp_replace(regexp_replace(target, '\?
 
 @query(f"WITH {LINKED} SELECT page_id, count(target) AS n_links, md5(coalesce(string_agg(target, chr(10) ORDER BY target), '')) AS links_md5 FROM (SELECT page_id FROM pages) LEFT JOIN l USING (page_id) GROUP BY page_id")
 def page_links(spark, sf_dir):
-    p = pages_of(spark, sf_dir)
-    found = p.select("page_id", web.links(F.col("html"), F.col("url")).alias("links"))
+    found = pages.outlinks(pages_of(spark, sf_dir))
     return found.select("page_id", F.size("links").cast("long").alias("n_links"), F.md5(F.array_join("links", "\n").cast("binary")).alias("links_md5"))
 
 
@@ -550,9 +625,10 @@ def page_slug(spark, sf_dir):
     return pages_of(spark, sf_dir).select("page_id", web.slug(F.col("url")).alias("slug"))
 
 
-@query(r"SELECT page_id, coalesce(nullif(trim(regexp_replace(regexp_extract(html, '<title[^>]*>([^<]*)</title>', 1), '\s+', ' ', 'g')), ''), url) AS title FROM pages")
+@query(r"""WITH t AS (SELECT page_id, url, trim(regexp_replace(regexp_extract(html, '<title[^>]*>([^<]*)</title>', 1), '\s+', ' ', 'g')) AS t FROM pages)
+SELECT page_id, coalesce(nullif(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&#39;', chr(39)), '&amp;', '&'), ''), url) AS title FROM t""")
 def page_title(spark, sf_dir):
-    return pages_of(spark, sf_dir).select("page_id", web.title(F.col("html"), F.col("url")).alias("title"))
+    return pages.outlinks(pages_of(spark, sf_dir)).select("page_id", "title")
 
 
 @query(f"""WITH {LINKED}, s AS (SELECT DISTINCT source AS url, 0 AS depth FROM (SELECT regexp_replace(url, '#.*', '') AS source, page_id FROM pages) WHERE page_id % 5 = 0),
