@@ -3,11 +3,11 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from watchloom.llm import jaccard
-from watchloom.llm.words import shingles, words_of
-import pyarrow as pa
+from watchloom.llm.words import U, mix64, shingles, words_of
 
 LOW = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 
@@ -48,10 +48,12 @@ def test_sets_match_tuples(vocabulary):
             assert len(np.intersect1d(got[i], got[j])) == len(tuple_set(texts[i]) & tuple_set(texts[j]))
 
 
-def test_linked_pairs_share_a_block():
-    """The pigeonhole holds for every size: any pair at the threshold has a key in common."""
+@pytest.mark.parametrize("rare", [1.0, 0.6, 0.3, 0.1, 0.0])
+def test_linked_pairs_share_a_block(rare):
+    """The pigeonhole holds for every size and whichever shingles are common: any pair at the threshold has a key in common."""
     r = np.random.default_rng(1)
     low, d, k = jaccard.bands(80)
+    is_rare = lambda s: (mix64(s + U(99)) >> U(11)).astype(np.float64) / 2**53 < rare
     for n in [*range(1, 60), 100, 333, 1000]:
         for _ in range(4):
             a = r.integers(0, 2**63, n, np.uint64)
@@ -63,11 +65,49 @@ def test_linked_pairs_share_a_block():
             keys = []
             for s in (np.unique(a), np.unique(b)):
                 i = int(np.searchsorted(low, len(s), "right")) - 1
-                keys.append({int(x) for q in (i, i - 1)[: 1 + (i > 0)] for x in jaccard.blocks(s, q, int(d[q]), int(k[q]))})
-            assert keys[0] & keys[1]
+                keys.append({int(x) for q in (i, i - 1)[: 1 + (i > 0)] for x in jaccard.block_keys(s, is_rare(s), q, int(d[q]), int(k[q]))})
+            shared = {x >> 1 for x in keys[0]} & {x >> 1 for x in keys[1]}
+            assert any(2 * x in keys[0] | keys[1] for x in shared)  # and not as probes both
             assert jaccard.may_link(jaccard.sketch(np.unique(a)), n, jaccard.sketch(np.unique(b)), len(b), 80)
 
 
+def candidate_pairs(texts, least):
+    """How many pairs of sets have a key in common, with shingles of `least` texts or more as the common ones."""
+    low, d, k = jaccard.bands(80)
+    sets = shingles(words_of(pa.array(texts)))
+    u, n = np.unique(np.concatenate(sets), return_counts=True)
+    common = u[n >= least]
+    groups, probes = defaultdict(set), defaultdict(set)
+    for j, s in enumerate(sets):
+        i = int(np.searchsorted(low, len(s), "right")) - 1
+        for q in (i, i - 1)[: 1 + (i > 0)]:
+            for x in jaccard.block_keys(s, ~np.isin(s, common), q, int(d[q]), int(k[q])).tolist():
+                (probes if x & 1 else groups)[x >> 1].add(j)
+    return sum(len(g) * (len(g) - 1) // 2 + len(g) * len(probes[x]) for x, g in groups.items())
+
+
+def test_a_shared_passage_makes_no_candidates():
+    """Unlike texts of 80 words that share 40 of them: candidates don't grow with the square of their number."""
+    r = random.Random(3)
+    word = lambda: f"w{r.randrange(10**6)}"
+    passage = [word() for _ in range(40)]
+    for around in (20, 6):  # the second ones are passage for the most part, but too little to be alike
+        texts = [" ".join([word() for _ in range(around)] + passage + [word() for _ in range(around)]) for _ in range(4000)]
+        few, many = candidate_pairs(texts[:500], jaccard.COMMON), candidate_pairs(texts, jaccard.COMMON)
+        assert few <= 500 and many <= 4000 < candidate_pairs(texts[:500], 10**9)
+
+
+def test_sets_with_one_identity_stay_apart(spark, vocabulary):
+    """With identities of 4 bits nearly all sets clash, and the second one tells them apart."""
+    r = random.Random(6)
+    base = [r.choice(vocabulary) for _ in range(50)]
+    rows = [(i, " ".join(edited(r, base, vocabulary, 2) if i % 3 else [r.choice(vocabulary) for _ in range(30)])) for i in range(60)] + [(100, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    m = jaccard.grouped(docs, bits=4)
+    least = {r["comp"]: r["least"] for r in m.groupBy("comp").agg({"doc_id": "min"}).withColumnRenamed("min(doc_id)", "least").collect()}
+    assert sorted(((x["doc_id"], x["n"], least[x["comp"]]) for x in m.collect()), key=str) == brute(rows)
+
+
 def test_awkward_rows(awkward, nothing):
     rows = [(r["doc_id"], r["text"]) for r in awkward.collect()]
     assert sorted([tuple(r) for r in jaccard.join(awkward).collect()], key=str) == brute(rows)
@@ -111,6 +151,18 @@ def test_second_round_in_small_blocks(spark, vocabulary, monkeypatch):
     assert sorted([tuple(x) for x in jaccard.join(docs).collect()], key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("stars", [0, 1, 9])
+def test_any_number_of_rounds_gives_the_same(spark, vocabulary, monkeypatch, stars):
+    """A large group of near copies, few of which are alike at the threshold, by the last round alone and by many stars."""
+    monkeypatch.setattr(jaccard, "STARS", stars)
+    monkeypatch.setattr(jaccard, "LEFT", 0 if stars else 2)
+    r = random.Random(11)
+    base = [r.choice(vocabulary) for _ in range(100)]
+    rows = [(i, " ".join(edited(r, base, vocabulary, r.randint(1, 4)))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted([tuple(x) for x in jaccard.join(docs).collect()], key=str) == brute(rows)
+
+
 def test_components_of_a_long_path(spark):
     n = 40
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101)], "a long, b long")

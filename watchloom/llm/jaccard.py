@@ -4,21 +4,27 @@ A document's word shingles are hashed into a bit sketch in which each shingle fl
 in no more bits than the sets differ in elements. A Jaccard similarity of 0.8 allows at most
 (|A| + |B|) / 9 differing elements, so of k > that many blocks of the sketch at least one is equal.
 Sets are joined by size band: band q holds the sizes from L[q] to below L[q + 2], where L grows by 1 / 0.8,
-so each linked pair shares a band, and each set is in two. Every block with bits is emitted under a hash of
-its bits; blocks without any say nothing. k leaves room for them: with d allowed differences and e
-empty blocks of its own, a set with k - d > e surely shares a block with bits with every partner.
-The few sets with more empty blocks also emit those, under keys of their own. Candidates are then verified on
-the sets.
+so each linked pair shares a band, and each set is in two. Blocks with bits are emitted under a hash of
+their bits; blocks without any say nothing. k leaves room for them: with d allowed differences, a set with more than d
+blocks with bits surely shares one of them with every partner.
+
+Passages that many texts share would make blocks of unlike texts equal. So sketches hold the rarer shingles only: leaving some out of
+all sets adds no difference, whichever they are. A bitmap of fixed size tells the common ones, those found in three sets of a task and
+COMMON in all. A set whose rarer shingles fill d blocks at most also emits each of them by itself, and if there are no more than d
+of them, the blocks of all its shingles (those without bits, too, if it must). Two such sets that share no rarer shingle have as many
+differences as rarer shingles, so one of them has d / 2 at most: those with more are only probes of a group, held against
+the others but not against one another, and a group of probes alone is dropped. Candidates are then verified on the sets.
 
 No group of equal blocks is expanded into its pairs. First each member is held against the group's first one only; links
-give components. Where a group still has several, its members are held against the one that shares most blocks with others,
-which is where copies of one text come together. Only the other members of different components in a group are compared in a
-last round, in blocks of bounded size. Pairs inside a component can't change it, so the components are exact. In all rounds
-the Hamming distance of short sketches, a few bits a shingle, rules most pairs out before sets are fetched.
+give components. Where a group still has several, its members are held against one drawn by a hash of group and member, so that a set meets other
+members in each of its groups, again and again as long as that leaves clearly fewer pairs. Only the other members of different components in a group are
+compared in a last round, in blocks of bounded size. Pairs inside a component can't change it, so the components are exact. In all rounds
+the Hamming distance of short sketches, a few bits a shingle, rules most pairs out before sets are fetched. What is left to the last
+round are sets that consist of common shingles but for d / 2 at most: its cost grows with the square of how many of those, not alike, a
+passage has.
 
-Identities are 64-bit hashes of the whole set; equal sets are one class from the start and verified sets hold
-40, 48 or 64 bits a shingle by size, so a wrong link needs a hash collision (below 1e-6 a pair, and one that matters
-only at the threshold).
+Identities are 64-bit hashes of the whole set, and where a second hash shows that two sets have the same, that second one, so
+identities are as sure as 128 bits; equal sets are one class from the start. Verified sets hold 64 bits a shingle.
 
 Defined results: null or blank texts have no shingles and are components of their own; rows that repeat a doc_id are one
 vertex; null ids link others but a component's id is its smallest id that isn't null (null if none); other columns
@@ -27,13 +33,13 @@ are not touched; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchloom.llm.common import materialise, need, pieces, prepare
@@ -44,12 +50,16 @@ from watchloom.llm.words import U, mix64, shingles, words_of
 BLOCK_BITS = 16
 #: Set identities that a task remembers, to emit a copied text once.
 SEEN = 1_000_000
-#: Rounds with the best connected member.
-STARS = 1
-#: Rows of a block of the last round: two blocks give at most the square of that many pairs.
-ROUND_ROWS = 128
-#: log2 of the bits of the filter of wanted sets; it is broadcast, whatever the input's size.
+#: Rounds with one member a group at most; pairs left to the last round, a set, with which no further one is made.
+STARS, LEFT = 6, 2
+#: Rows of a block of the last round, about: two blocks give at most the square of that many pairs.
+ROUND_ROWS = 256
+#: log2 of the bits of the filters of wanted sets and of common shingles; they are broadcast, whatever the input's size.
 FILTER_BITS = 25
+#: A shingle is common if this many sets of a task hold it (of so many shingles at a time), and so many in all; how many there are at most.
+COMMON_IN_TASK, HELD, COMMON, COMMON_MOST = 3, 4_000_000, 8, 1 << 21
+#: Identities that two different sets have, at most: they are broadcast.
+CLASHES = 100_000
 
 
 def bands(percent: int = 80) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,26 +74,52 @@ def bands(percent: int = 80) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return low_, d, k
 
 
-def blocks(s: np.ndarray, q: int, d: int, k: int) -> np.ndarray:
-    """Keys of the sketch blocks of a set in band q."""
-    y = mix64(s * U(2 * q + 1) + U(q + 77))
+def blocks(s: np.ndarray, q: int, k: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, numbers) of the blocks with bits of a sketch of k blocks, in band q."""
+    if not len(s):
+        return s, s
+    y = mix64(s * U(2 * q + 1) + U(q + 77 + 1000 * level))
     part = ((y >> U(32)) * U(k) >> U(32)) if k < 1 << 31 else y % U(k)
-    bit = mix64((y & U((1 << BLOCK_BITS) - 1)) | part << U(BLOCK_BITS) | U(q) << U(56))
+    bit = mix64((y & U((1 << BLOCK_BITS) - 1)) | part << U(BLOCK_BITS) | U(q) << U(56)) * U(2 * level + 1)
     order = np.argsort(part, kind="stable")
     part, bit = part[order], bit[order]
     at = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
     keys = np.bitwise_xor.reduceat(bit, at)  # a hash of the block's bits: what is flipped twice cancels out
     own = part[at]
     some = keys != 0
-    keys, own = keys[some], own[some]
-    if k - d <= k - len(own):  # too many empty blocks to be sure of one with bits
-        empty = np.setdiff1d(np.arange(k, dtype=np.uint64), own)
+    return keys[some], own[some]
+
+
+def block_keys(s: np.ndarray, rare: np.ndarray, q: int, d: int, k: int) -> np.ndarray:
+    """Keys of a set in band q; odd ones are those of a probe.
+
+    Blocks of its rarer shingles, then each of these, then blocks of all shingles, as far as it takes to be sure of a partner's key.
+    """
+    even = ~U(1)
+    own = s[rare]
+    out = [blocks(own, q, k, 0)[0] & even]
+    if len(out[0]) > d:
+        return out[0]
+    out.append(mix64(own * U(2 * q + 1) + U(q + 1077)) & even)
+    if len(own) > d:
+        return np.concatenate(out)
+    keys, full = blocks(s, q, k, 2)
+    if len(keys) <= d:
+        empty = np.setdiff1d(np.arange(k, dtype=np.uint64), full)
         keys = np.append(keys, mix64(empty << U(8) | U(q) << U(56) | U(1)))
-    return keys
+    return np.concatenate([*out, keys & even | U(2 * len(own) > d)])
+
+
+def identity(s: np.ndarray, bits: int = 64) -> int:
+    return int((mix64(s + U(1)).sum(dtype=np.uint64) >> U(64 - bits)).astype(np.int64)) if len(s) else 0
+
+
+def second(s: np.ndarray) -> int:
+    """Another hash of a set."""
+    return int(mix64(s * U(0xD6E8FEB86659FD93) + U(2)).sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0
 
 
-def identity(s: np.ndarray) -> int:
-    return int(mix64(s + U(1)).sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0
+Name = Callable[[np.ndarray], int]
 
 
 def each_set(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -95,32 +131,96 @@ def batch(names: list[str], *columns) -> pa.RecordBatch:  # noqa: ANN002
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
 
 
-def members(docs: DataFrame, width: int = 5) -> DataFrame:
-    """doc_id, mark, n, cid of every document; cid is the identity of its set, mark a hash of its text."""
+def read(docs: DataFrame, width: int = 5, bits: int = 64) -> DataFrame:
+    """doc_id, mark, n, cid, again of every document, and shingle, often of those that several sets of a task hold.
+
+    cid is the identity of a document's set, again a second one, mark a hash of its text.
+    """
+    kind = docs.schema["doc_id"].dataType
+    names = ["doc_id", "mark", "n", "cid", "again", "shingle", "often"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        held: list[np.ndarray] = []
+        ids = None
+
+        def common() -> pa.RecordBatch:
+            u, n = np.unique(np.concatenate(held), return_counts=True)
+            u, n = u[n >= COMMON_IN_TASK].view(np.int64), n[n >= COMMON_IN_TASK]
+            return batch(names, pa.nulls(len(u), ids), *[pa.nulls(len(u), pa.int64())] * 4, u, n)
+
         for b, sets in each_set(batches, width):
-            yield batch(["doc_id", "mark", "n", "cid"], b.column("doc_id"), b.column("mark"), np.array([len(s) for s in sets], np.int64), np.array([identity(s) for s in sets], np.int64))
+            ids = b.column("doc_id").type
+            cids, again = np.array([identity(s, bits) for s in sets], np.int64), np.array([second(s) for s in sets], np.int64)
+            none = pa.nulls(b.num_rows, pa.int64())
+            yield batch(names, b.column("doc_id"), b.column("mark"), np.array([len(s) for s in sets], np.int64), cids, again, none, none)
+            for s, c in zip(sets, again.tolist(), strict=True):
+                if len(s) and c not in seen:
+                    seen.add(c)
+                    held.append(s)
+            if len(seen) > SEEN:
+                seen.clear()
+            if sum(map(len, held)) > HELD:
+                yield common()
+                held.clear()
+        if held:
+            yield common()
 
     rows = need(docs, "doc_id", "text").withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, mark long, n long, cid long")
+    return rows.mapInArrow(run, f"doc_id {kind.simpleString()}, mark long, n long, cid long, again long, shingle long, often long")
+
+
+def common_filter(rows: DataFrame) -> np.ndarray:
+    """The bitmap of common shingles; where there are too many, of the most frequent ones."""
+    often = rows.where("shingle is not null").groupBy("shingle").agg(F.sum("often").alias("n")).where(F.col("n") >= COMMON)
+    often = materialise(often.select(F.col("shingle").alias("cid"), F.floor(F.log2("n") * 8).alias("step")))
+    least, room = 0, COMMON_MOST
+    for r in sorted(often.groupBy("step").count().collect(), key=lambda r: -r["step"]):  # 512 rows at most
+        room -= r["count"]
+        if room < 0:
+            least = r["step"] + 1
+            break
+    return bit_filter(often.where(F.col("step") >= least))
+
+
+def named(rows: DataFrame, bits: int = 64) -> tuple[DataFrame, Name]:
+    """(doc_id, mark, n, cid of every document, the function that gives a set's cid): different sets have different ones."""
+    m = rows.where("shingle is null")
+    clash = m.where("n > 0").groupBy("cid").agg(F.min("again").alias("lo"), F.max("again").alias("hi")).where("lo <> hi").select("cid")
+    found = frozenset(r["cid"] for r in clash.limit(CLASHES + 1).collect())
+    if len(found) > CLASHES:
+        raise ValueError(f"more than {CLASHES} identities are those of several sets")
+    if found:
+        few = m.sparkSession.createDataFrame([(c,) for c in found], "clash long")
+        m = m.join(F.broadcast(few), F.col("cid") == F.col("clash"), "left").withColumn("cid", F.when(F.col("clash").isNull(), F.col("cid")).otherwise(F.col("again")))
+
+    def name(s: np.ndarray) -> int:
+        c = identity(s, bits)
+        return second(s) if c in found else c
+
+    return m.select("doc_id", "mark", "n", "cid"), name
 
 
-def shared_blocks(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """key, cid, pivot: the blocks that two or more sets have; pivot is the first of them."""
+def shared_blocks(docs: DataFrame, common: np.ndarray, name: Name = identity, width: int = 5, percent: int = 80) -> DataFrame:
+    """key, cid, pivot, probe, many: the blocks that two or more sets have, not probes alone; pivot is the first of them, not a probe.
+
+    many: there may be more than two. common: the bitmap of common shingles.
+    """
     low, d, k = bands(percent)
+    shared = docs.sparkSession.sparkContext.broadcast(common.tobytes())
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        bits, seen = np.frombuffer(shared.value, np.uint8), set()
         for _, sets in each_set(batches, width):
             keys, cids = [], []
             for s in sets:
-                if not len(s) or (cid := identity(s)) in seen:
+                if not len(s) or (cid := name(s)) in seen:
                     continue
                 seen.add(cid)
+                rare = ~marked(bits, s.view(np.int64))
                 i = int(np.searchsorted(low, len(s), "right")) - 1
                 for q in (i, i - 1)[: 1 + (i > 0)]:
-                    keys.append(blocks(s, q, int(d[q]), int(k[q])))
+                    keys.append(block_keys(s, rare, q, int(d[q]), int(k[q])))
                     cids.append(np.full(len(keys[-1]), cid, np.int64))
             if len(seen) > SEEN:
                 seen.clear()
@@ -128,33 +228,38 @@ def shared_blocks(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
                 yield batch(["key", "cid"], np.concatenate(keys).view(np.int64), np.concatenate(cids))
 
     def share(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, first, told = None, None, False
+        held: tuple[int, int, bool] | None = None  # the last group, its first member, whether that isn't a probe
+        told = False
         for b in batches:
             ks, cs = np.asarray(b.column("key")), np.asarray(b.column("cid"))
             if not len(ks):
                 continue
             new = np.append(True, (ks[1:] != ks[:-1]) | (cs[1:] != cs[:-1]))
-            ks, cs = ks[new], cs[new]
-            start = np.flatnonzero(np.append(True, ks[1:] != ks[:-1]))
-            length = np.diff(np.append(start, len(ks)))
-            pivot = np.repeat(cs[start], length)
-            keep = np.repeat(length > 1, length)
-            out_k, out_c, out_p = [], [], []
-            if key is not None and ks[0] == key:  # the last batch's group goes on
-                own = slice(0, length[0])
-                pivot[own] = first
-                keep[own] = cs[own] != first
-                if keep[own].any() and not told:
-                    out_k, out_c, out_p, told = [key], [first], [first], True
-                one = len(start) == 1
-            else:
-                one = False
-            yield batch(["key", "cid", "pivot"], np.append(np.array(out_k, np.int64), ks[keep]), np.append(np.array(out_c, np.int64), cs[keep]), np.append(np.array(out_p, np.int64), pivot[keep]))
-            if not one:
-                key, first, told = ks[-1], pivot[-1], bool(keep[-1])
+            group, probe, cs = ks[new] >> 1, (ks[new] & 1).astype(bool), cs[new]  # probes come last
+            start = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            length = np.diff(np.append(start, len(group)))
+            pivot, full = cs[start], ~probe[start]
+            keep, many = (length > 1) & full, length > 2
+            many[-1] = True  # it may go on
+            lead: list[tuple] = []
+            if goes_on := held is not None and group[0] == held[0]:
+                pivot[0], full[0], many[0] = held[1], held[2], True
+                keep[0] = full[0]
+                if keep[0] and not told:
+                    lead, told = [(held[0], held[1], held[1], False, True)], True
+            each = lambda x: np.repeat(x, length)  # noqa: E731, B023
+            kept = each(keep)
+            if goes_on:
+                kept[: length[0]] &= cs[: length[0]] != held[1]
+            first = [np.array([x[i] for x in lead], t) for i, t in enumerate((np.int64, np.int64, np.int64, bool, bool))]
+            rows = (group, cs, each(pivot), probe, each(many))
+            yield batch(["key", "cid", "pivot", "probe", "many"], *(np.append(x, y[kept]) for x, y in zip(first, rows, strict=True)))
+            if not (goes_on and len(start) == 1):
+                held, told = (int(group[-1]), int(pivot[-1]), bool(full[-1])), bool(keep[-1])
 
     rows = need(docs, "text").mapInArrow(emit, "key long, cid long")
-    return rows.repartition("key").sortWithinPartitions("key", "cid").mapInArrow(share, "key long, cid long, pivot long")
+    dealt = rows.repartition(F.shiftright("key", 1)).sortWithinPartitions("key", "cid")
+    return dealt.mapInArrow(share, "key long, cid long, pivot long, probe boolean, many boolean")
 
 
 def bit_filter(ids: DataFrame) -> np.ndarray:
@@ -185,27 +290,22 @@ def place(ids: np.ndarray) -> np.ndarray:
     return (mix64(ids.view(np.uint64)) >> U(64 - FILTER_BITS)).astype(np.int64)
 
 
-def pack(s: np.ndarray) -> bytes:
-    """A set's shingles, ascending, by their leading 5, 6 or 8 bytes after a byte that says which."""
-    n = 5 if len(s) <= 4096 else 6 if len(s) <= 65536 else 8
-    return bytes([n]) + np.ascontiguousarray(s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :n]).tobytes()
+def marked(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ids a bitmap of bit_filter holds, and a few others."""
+    at = place(ids)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
-def unpack(raw: bytes) -> tuple[int, np.ndarray]:
-    n = raw[0]
-    full = np.zeros(((len(raw) - 1) // n, 8), np.uint8)
-    full[:, 8 - n :] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, n)
-    return n, full.view(">u8").ravel().astype(np.uint64)
+def pack(s: np.ndarray) -> bytes:
+    """A set's shingles, ascending."""
+    return s.tobytes()
 
 
 def linked(a: bytes, b: bytes, percent: int) -> bool:
-    na, nb = (len(a) - 1) // a[0], (len(b) - 1) // b[0]
+    na, nb = len(a) // 8, len(b) // 8
     if 100 * min(na, nb) < percent * max(na, nb):
         return False
-    (wa, x), (wb, y) = unpack(a), unpack(b)
-    if wa != wb:
-        x, y = x >> U(8 * max(0, wa - wb)), y >> U(8 * max(0, wb - wa))
-    both = np.sort(np.concatenate([x, y]))
+    both = np.sort(np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)]))
     common = int((both[1:] == both[:-1]).sum())
     return 100 * common >= percent * (na + nb - common)
 
@@ -232,7 +332,7 @@ def may_link(a: bytes, na: int, b: bytes, nb: int, percent: int) -> bool:
     return (100 + percent) * int(np.bitwise_count(folded(a, size) ^ folded(b, size)).sum()) <= (100 - percent) * (na + nb)
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, form, width: int = 5) -> DataFrame:  # noqa: ANN001
+def sets_of(docs: DataFrame, ids: DataFrame, form: Callable[[np.ndarray], bytes], name: Name = identity, width: int = 5) -> DataFrame:
     """cid, n, data = form(set) for each set in ids (and a few others that pass the filter); one row an id."""
     wanted = bit_filter(ids)
     shared = docs.sparkSession.sparkContext.broadcast(wanted.tobytes())
@@ -240,11 +340,9 @@ def sets_of(docs: DataFrame, ids: DataFrame, form, width: int = 5) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = np.frombuffer(shared.value, np.uint8), set()
         for _, sets in each_set(batches, width):
-            cids = np.array([identity(s) for s in sets], np.int64)
-            at = place(cids)
-            hit = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+            cids = np.array([name(s) for s in sets], np.int64)
             out = []
-            for i in np.flatnonzero(hit):
+            for i in np.flatnonzero(marked(bits, cids)):
                 if len(sets[i]) and (c := int(cids[i])) not in seen:
                     seen.add(c)
                     out.append((c, len(sets[i]), form(sets[i])))
@@ -276,14 +374,13 @@ def ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("cid"))
 
 
-def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough; sets are made anew from the texts, for these pairs only."""
+def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets (cid, n, data) are similar enough."""
 
     @F.pandas_udf("boolean")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([linked(p, q, percent) for p, q in zip(x, y, strict=True)], dtype=bool)
 
-    sets = materialise(sets_of(docs, ends(pairs), pack, width))
     return both_sides(pairs, sets).where(alike("da", "db")).select("a", "b")
 
 
@@ -301,20 +398,53 @@ def components(edges: DataFrame) -> DataFrame:
         label = new.select("cid", "comp")
 
 
-def by_hub(rest: DataFrame, label: DataFrame, degree: DataFrame) -> DataFrame:
-    """key, cid, comp, hub, hub_comp of the groups with several components; hub is the member with most shared blocks."""
+def held(bits: np.ndarray, ids: DataFrame, column: Column) -> DataFrame:
+    """The rows of ids whose column a bitmap of bit_filter holds, and a few others."""
+    shared = ids.sparkSession.sparkContext.broadcast(bits.tobytes())
+
+    @F.pandas_udf("boolean")
+    def has(x: pd.Series) -> pd.Series:
+        return pd.Series(marked(np.frombuffer(shared.value, np.uint8), x.to_numpy()))
+
+    return ids.where(has(column))
+
+
+def open_groups(shared: DataFrame, pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """key, cid, probe of the groups in which the pivot and another member are in different components, and of a few others, without the pivots.
+
+    pairs are the different (pivot, member) pairs (a, b): few of them are open, and bitmaps pick their groups without a shuffle of all rows.
+    """
+    of = lambda c: label.select(F.col("cid").alias(c), F.col("comp").alias(f"comp_{c}"))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    apart = both.where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b"))
+    others = shared.where("cid <> pivot and many")  # a pivot has met all others of its group
+    keys = held(bit_filter(apart.select(F.xxhash64("a", "b").alias("cid"))), others, F.xxhash64(F.least("cid", "pivot"), F.greatest("cid", "pivot"))).select("key")
+    return held(bit_filter(keys.select(F.col("key").alias("cid"))), others, F.col("key")).select("key", "cid", "probe")
+
+
+def by_hub(rest: DataFrame, label: DataFrame, turn: int) -> DataFrame:
+    """key, cid, probe, comp, hub, hub_comp of the groups with several components; hub is a member drawn by a hash, not a probe."""
     g = rest.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    best = F.max(F.struct("degree", "cid", "comp")).alias("best")
-    mixed = g.join(degree, "cid").groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), best).where("lo <> hi")
+    best = F.max(F.struct((~F.col("probe")).alias("full"), F.xxhash64("key", "cid", F.lit(turn)).alias("rank"), "cid", "comp")).alias("best")
+    mixed = g.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), best).where("lo <> hi and best.full")
     return g.join(mixed.select("key", F.col("best.cid").alias("hub"), F.col("best.comp").alias("hub_comp")), "key")
 
 
-def across(rest: DataFrame, label: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a block, are in different components and may be linked."""
-    g = rest.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    mixed = g.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows")).where("lo <> hi").select("key", "rows")
-    spot = F.floor((F.row_number().over(Window.partitionBy("key").orderBy("comp", "cid")) - 1) / ROUND_ROWS).cast("int")
-    rows = g.join(mixed, "key").withColumn("at", spot).withColumn("last", F.floor((F.col("rows") - 1) / ROUND_ROWS).cast("int"))
+def pairs_left(g: DataFrame) -> float:
+    """How many pairs of different components, not both probes, the groups of g hold."""
+    each = g.groupBy("key", "comp").agg(F.count("*").cast("double").alias("n"), F.count_if("probe").cast("double").alias("p"))
+    square = lambda c: F.col(c) * F.col(c)
+    each = each.groupBy("key").agg(F.sum("n").alias("n"), F.sum("p").alias("p"), F.sum(square("n") - square("p")).alias("same"))
+    return each.agg(F.coalesce(F.sum((square("n") - square("p") - F.col("same")) / 2), F.lit(0.0))).first()[0]
+
+
+def across(g: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of g (key, cid, probe, comp) that share a block, are in different components, not both probes, and may be linked."""
+    parts = lambda test: F.ceil(F.count_if(test) / ROUND_ROWS).cast("int")
+    mixed = g.groupBy("key").agg(parts(~F.col("probe")).alias("full"), parts(F.col("probe")).alias("probes"))
+    spot = lambda n: F.pmod(F.xxhash64("cid"), F.greatest(n, F.lit(1))).cast("int")  # noqa: E731 - no key's rows need to meet for this
+    rows = g.join(mixed, "key").withColumn("at", F.when(F.col("probe"), F.col("full") + spot(F.col("probes"))).otherwise(spot(F.col("full"))))
+    rows = rows.withColumn("last", F.when(F.col("probe"), F.col("full")).otherwise(F.col("full") + F.col("probes")) - 1)
     rows = rows.join(sketches, "cid").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
     rows = rows.select("key", F.least("at", "other").alias("lo"), F.greatest("at", "other").alias("hi"), (F.col("at") > F.col("other")).alias("right"), "comp", "cid", "n", "data")
 
@@ -356,29 +486,35 @@ def across(rest: DataFrame, label: DataFrame, sketches: DataFrame, percent: int)
     return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(pair, "a long, b long").distinct()
 
 
-def grouped(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, mark, n, cid, comp of every row; comp is the same for all rows that links connect."""
+def grouped(docs: DataFrame, *, width: int = 5, percent: int = 80, bits: int = 64) -> DataFrame:
+    """doc_id, mark, n, cid, comp of every row; comp is the same for all rows that links connect. bits: of the first identities."""
     prepare(docs.sparkSession)
-    m = materialise(members(docs, width))
-    shared = materialise(shared_blocks(docs, width, percent))
-    sketches = materialise(sets_of(docs, shared, sketch, width))
+    rows = materialise(read(docs, width, bits))
+    m, name = named(rows, bits)
+    shared = materialise(shared_blocks(docs, common_filter(rows), name, width, percent))
+    sketches = materialise(sets_of(docs, shared, sketch, name, width))
     pair = (F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
-    first = materialise(possible(shared.where("cid <> pivot").select(*pair).distinct(), sketches, percent))
-    links = materialise(verified(docs, first, width, percent))
+    pairs = materialise(shared.where("cid <> pivot").select(*pair).distinct())
+    first = materialise(possible(pairs, sketches, percent))
+    links = materialise(linked_pairs(first, materialise(sets_of(docs, ends(first), pack, name, width)), percent))
     label = components(links)
-    rest = shared.where("cid <> pivot").select("key", "cid")  # a pivot has met all others of its group
-    degree = shared.groupBy("cid").agg(F.count("*").alias("degree"))
-    for _ in range(STARS):
-        g = materialise(by_hub(rest, label, degree))
-        tested = g.where("comp <> hub_comp").select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
-        more = materialise(possible(tested, sketches, percent))
-        if more.limit(1).count():
-            links = materialise(links.union(verified(docs, more, width, percent)))
+    rest = materialise(open_groups(shared, pairs, label))
+    most, left, sets = LEFT * sketches.count(), None, None
+    for turn in range(STARS + 1):
+        g = materialise(by_hub(rest, label, turn))
+        before, left = left, pairs_left(g)
+        if not left:
+            break
+        if sets is None:
+            sets = materialise(sets_of(docs, g, pack, name, width))  # the sets that any later round can ask for
+        if turn == STARS or turn and (left <= most or turn > 1 and left > 0.8 * before):
+            links = materialise(links.union(linked_pairs(materialise(across(g, sketches, percent)), sets, percent)))
             label = components(links)
-        rest = g.where("cid <> hub").select("key", "cid")
-    last = materialise(across(rest, label, sketches, percent))
-    if last.limit(1).count():
-        label = components(links.union(verified(docs, last, width, percent)))
+            break
+        tested = g.where("comp <> hub_comp").select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
+        links = materialise(links.union(linked_pairs(possible(tested, sketches, percent), sets, percent)))
+        label = components(links)
+        rest = g.where("cid <> hub").select("key", "cid", "probe")
     return m.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
 
 
