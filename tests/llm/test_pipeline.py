@@ -52,6 +52,20 @@ def test_run_and_clean_documents_stay(spark):
     assert corpus_pipeline.run(spark, SF).where("n_tokens is null or ids_sha256 is null").count() == 0
 
 
+def test_stages_on_awkward_tables(spark, awkward, nothing, tmp_path):
+    """Nulls in any column, repeated rows, very long texts and clashing columns go through all stages; empty tables stay empty."""
+    spark.createDataFrame([(i, i % 4 and 1, int(i % 7 == 0)) for i in range(60)] + [(None, 1, 1), (3, None, None), (999, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, docs in (("a", awkward), ("n", nothing)):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, str(tmp_path))
+            if k < 4:
+                assert out.columns == awkward.columns
+            out.write.parquet(f"{tmp_path}/{name}{k}")
+            before, docs = docs.count(), spark.read.parquet(f"{tmp_path}/{name}{k}")
+            assert docs.count() <= before or k == 3
+        assert (docs.count() > 0) == (name == "a")
+
+
 def test_registered():
     sys.path.insert(0, ".")
     import __spark_entry__ as e
