@@ -158,7 +158,7 @@ def inbox_ingest(spark, sf_dir):
     """Export files picked up by the incremental ingest, some a batch, into the tables."""
     root = shared_folder(spark)
     at = write_exports(spark, sf_dir)
-    inbox.ingest_stream(spark, at, f"{root}/tables", f"{root}/progress", as_of=AS_OF, files_per_trigger=100, level=-2, glob="part-*").awaitTermination()
+    inbox.ingest_stream(spark, at, f"{root}/tables", f"{root}/progress", as_of=AS_OF, files_per_trigger=1000, level=-2, glob="part-*").awaitTermination()
     return spark.read.parquet(f"{root}/tables/watch_history").drop("batch")
 
 
