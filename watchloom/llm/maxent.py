@@ -576,7 +576,7 @@ def score(docs: DataFrame, *, modulus: int = 7, held_out: int = 2) -> DataFrame:
 
     total = tokens.select("n").mapInArrow(lengths, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     slots = max(SLOT_BITS, int(total // SLOT_TOKENS).bit_length())
-    classes, words, kinds = classes_of(materialise(vocabulary(tokens, slots)))
+    classes, words, kinds = classes_of(materialise(vocabulary(tokens, slots + 5)))  # so many that they spread evenly among the tasks
     weights = train(tokens, classes, max(spark.sparkContext.defaultParallelism, -(-total // TASK_TOKENS)))
     shared = spark.sparkContext.broadcast((classes, weights))
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
