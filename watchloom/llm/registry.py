@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from watchloom.llm.align import op11_merge_path_alignment
 from watchloom.llm.bpe import op5_byte_bpe
 from watchloom.llm.digest import op9_improbable_digest
 from watchloom.llm.jaccard import op8_parity_join
@@ -13,7 +14,7 @@ from watchloom.llm.sharding import op7_histogram_shards
 from watchloom.llm.toxicity import op10_crf_toxicity
 from watchloom.llm.warc import op4_warc_revisits
 
-QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_media_columns, op4_warc_revisits, op5_byte_bpe, op7_histogram_shards, op8_parity_join, op9_improbable_digest, op6_ordinal_quality, op10_crf_toxicity, op3_maxent_score)}
+QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_media_columns, op4_warc_revisits, op5_byte_bpe, op7_histogram_shards, op8_parity_join, op9_improbable_digest, op6_ordinal_quality, op10_crf_toxicity, op3_maxent_score, op11_merge_path_alignment)}
 
 #: WARC-backed result, as the contract words it.
 ORACLE = {
