@@ -12,9 +12,10 @@ from watchloom.llm.mixing import op1_cube_mix
 from watchloom.llm.quality import op6_ordinal_quality
 from watchloom.llm.sharding import op7_histogram_shards
 from watchloom.llm.toxicity import op10_crf_toxicity
+from watchloom.llm.variants import op13_spelling_variants
 from watchloom.llm.warc import op4_warc_revisits
 
-QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_media_columns, op4_warc_revisits, op5_byte_bpe, op7_histogram_shards, op8_parity_join, op9_improbable_digest, op6_ordinal_quality, op10_crf_toxicity, op3_maxent_score, op11_merge_path_alignment)}
+QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_media_columns, op4_warc_revisits, op5_byte_bpe, op7_histogram_shards, op8_parity_join, op9_improbable_digest, op6_ordinal_quality, op10_crf_toxicity, op3_maxent_score, op11_merge_path_alignment, op13_spelling_variants)}
 
 #: WARC-backed result, as the contract words it.
 ORACLE = {
