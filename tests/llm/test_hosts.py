@@ -1,0 +1,132 @@
+import itertools
+import math
+from collections import Counter
+
+import pytest
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from watchloom.llm import hosts
+
+LETTERS = regex.compile(r"\p{L}+")
+
+
+def parsed(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = regex.match(r"[^/?#]*", rest)[0]
+    path = regex.match(r"[^?#]*", rest[len(host) :])[0]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), path
+
+
+def rule_of(host, path):
+    fits = [(h + p, v) for h, p, v in hosts.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits, key=lambda x: len(x[0]), default=(None, None))
+
+
+def slow_viterbi(name, words, total):
+    """By all splits for short names, with the same preference among equals left open: the score only."""
+    best = [0.0] + [-math.inf] * len(name)
+    for end in range(1, len(name) + 1):
+        for start in range(end):
+            w = name[start:end]
+            unknown = 1 - math.log10(total) - len(w)
+            p = max(unknown, math.log10(words[w] / total)) if w in words and len(w) <= hosts.LONGEST else unknown
+            best[end] = max(best[end], best[start] + p)
+    return best[-1]
+
+
+def brute(rows):
+    """(page_id, host, path, rule, verdict, score) as the docstring tells it, in plain Python."""
+    words = Counter(w for _, _, html in rows for w in LETTERS.findall(regex.sub(r"(?s)<[^>]*>", " ", html or "").lower()) if len(w) <= hosts.LONGEST)
+    total, split, train, out = sum(words.values()), {}, {"allow": Counter(), "block": Counter()}, []
+
+    def tokens(host, path):
+        for place, text in (("host", host), ("path", path)):
+            for name in LETTERS.findall(text.lower()):
+                if name not in split:
+                    known = [(i, k, words[name[i : i + k]]) for i in range(len(name)) for k in range(1, hosts.LONGEST + 1) if i + k <= len(name) and name[i : i + k] in words]
+                    split[name] = hosts.viterbi(name, known, total)
+                yield from (f"{place} {w}" for w in split[name])
+
+    seen, shares = set(), Counter()
+    for _, url, _ in rows:
+        host, path = parsed(url)
+        verdict = rule_of(host, path)[1]
+        ts = list(tokens(host, path))
+        seen.update(ts)
+        shares[verdict] += 1
+        if verdict:
+            train[verdict].update(ts)
+    sums = {v: sum(c.values()) + len(seen) for v, c in train.items()}
+    for page, url, _ in rows:
+        host, path = parsed(url)
+        rule, verdict = rule_of(host, path)
+        score = None
+        if verdict is None:
+            score = math.log10((shares["block"] + 1) / (shares["allow"] + 1)) if shares["block"] + shares["allow"] else 0.0
+            score += sum(math.log10((train["block"][t] + 1) / sums["block"]) - math.log10((train["allow"][t] + 1) / sums["allow"]) for t in tokens(host, path))
+            verdict = "block" if round(score, 9) > 0 else "allow"
+        out.append((page, host, path, rule, verdict, score and round(score, 6)))
+    return sorted(map(str, out))
+
+
+def judged(df):
+    return sorted(str((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"], r["score"] and round(r["score"], 6))) for r in hosts.judged(df).collect())
+
+
+ODD = [
+    None, "", "example.com/en/", "http://", "http://com", "http://com/", "HTTP://WWW.Example.COM/en/x?y://z", "https://badexample.com/en/1", "https://a.www.example.com/en/", "http://example.com/en", "http://x.example.com/en/#a/b",
+    "ftp://NET/es/", "http://a.net/fr/cheappills", "http://a.net/de/cheappills", "http://a.net?/fr/", "http://a.org:80/fr/ÄÖcasino", "http://line\nbreak.org/p\nq", "http://дом.org/" + "cheapcasino" * 40, "a://b://c/d",
+]
+TEXTS = [None, "", "<p class='x'>cheap pills cheap casino</p>", "home of the cheap <b>news</b> and the casino", "Äö ÄÖ дом", "<", "a < b > c"]
+
+
+@pytest.fixture(scope="module")
+def crawl(spark):
+    rows = [(i if i % 9 else None, url, TEXTS[i % len(TEXTS)]) for i, url in enumerate(ODD * 2)]
+    rows += [(i, f"http://{h}.{t}/{p}/{i % 7}", TEXTS[i % len(TEXTS)]) for i, (h, t, p) in enumerate(itertools.product(["cheapcasino", "newshome", "www.example"], ["com", "net", "org"], ["en", "es", "fr", "de", "news"]), 100)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_against_plain_python(crawl):
+    rows = [tuple(r) for r in crawl.collect()]
+    assert judged(crawl) == brute(rows)
+    assert {r["verdict"] for r in hosts.judged(crawl).where("rule is null").collect()} == {"allow", "block"}
+
+
+def test_common_hosts_are_broadcast(spark, crawl, monkeypatch):
+    """A third of all rows have one URL; with a small HOT most keys are broadcast, with a HOT of 0 none is."""
+    hot = crawl.unionByName(spark.range(300).selectExpr("id as page_id", "'http://Hot.cheapnews.org/casino' as url", "'<p>hot news</p>' as html"))
+    rows, got = [tuple(r) for r in hot.collect()], []
+    for k in (0, 40, 4096):
+        monkeypatch.setattr(hosts, "HOT", k)
+        got.append(judged(hot))
+    assert got[0] == got[1] == got[2] == brute(rows)
+
+
+def test_empty_and_undecided(spark, crawl):
+    assert hosts.judged(crawl.where("false")).collect() == []
+    free = spark.createDataFrame([(1, "http://a.org/x", "some text"), (2, None, None)], crawl.schema)
+    assert {r["verdict"] for r in hosts.judged(free).collect()} == {"allow"}
+    fixed = spark.createDataFrame([(1, "http://a.com/x", None)], crawl.schema)
+    assert [tuple(r) for r in hosts.judged(fixed).collect()] == [(1, "a.com", "/x", "com/", "allow", None)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abc", min_size=1, max_size=12), st.dictionaries(st.text("abc", min_size=1, max_size=4), st.integers(1, 50), max_size=12))
+def test_viterbi(name, words):
+    total = sum(words.values()) or 1
+    known = [(i, len(w), n) for w, n in words.items() for i in range(len(name)) if name.startswith(w, i)]
+    split = hosts.viterbi(name, known, total)
+    assert "".join(split) == name
+    one = lambda w: max(1 - math.log10(total) - len(w), math.log10(words[w] / total) if w in words else -math.inf)
+    assert math.isclose(sum(map(one, split)), slow_viterbi(name, words, total), abs_tol=1e-9)
+
+
+def test_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html").collect()]
+    got = hosts.op12_host_words(spark, "/root/testdata/sf0.001")
+    assert sorted(str((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"], r["score"] and round(r["score"], 6))) for r in got.collect()) == brute(rows)
