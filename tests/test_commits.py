@@ -1,0 +1,298 @@
+"""Commits over several tables, runs that are killed, drivers that meet, and the scans that they make."""
+
+import json
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from watchloom import schemas
+from watchloom.operators import commits, enrich, ingest, runs, state
+from watchloom.operators.commits import Change
+from watchloom.sources import exports
+from watchloom.streaming import inbox
+
+NOW = 10_000
+
+
+def videos(spark, n, **more):
+    base = dict.fromkeys(f.name for f in schemas.schema(schemas.VIDEOS)) | {"canonical": True, "attempt_count": 0, "updated_at": 1, "source_url": "u", "status": "pending"} | more
+    return spark.createDataFrame([tuple({**base, "video_id": f"{i:019d}", "first_seen_at": i}.values()) for i in range(n)], ", ".join(f"{c} {schemas.schema(schemas.VIDEOS)[c].dataType.simpleString()}" for c in base))
+
+
+@pytest.fixture
+def root(tmp_path):
+    return f"file://{tmp_path}/root"
+
+
+def states(snapshot):
+    return {int(r["video_id"]): r["status"] for r in snapshot.read("videos").collect()}
+
+
+class Killed(Exception):
+    pass
+
+
+def die(monkeypatch, module, name, at):
+    """The call number `at` of a function kills the driver."""
+    real, calls = getattr(module, name), []
+
+    def stub(*args, **named):
+        calls.append(1)
+        if len(calls) == at:
+            raise Killed
+        return real(*args, **named)
+
+    monkeypatch.setattr(module, name, stub)
+
+
+def test_all_or_nothing(spark, root, monkeypatch):
+    one = spark.createDataFrame([("r", "v", 1, True)], schemas.schema(schemas.WATCH))
+    runs.start(spark, root, videos(spark, 5), buckets=4)
+    assert commits.snapshot(spark, root).version == 1 and runs.start(spark, root, videos(spark, 9)).version == 1
+    monkeypatch.setattr(commits, "put", lambda *a: (_ for _ in ()).throw(Killed()))
+    with pytest.raises(Killed):
+        commits.transact(spark, root, lambda s: Change(appended={"watch_history": one, "videos": videos(spark, 1)}))
+    now = commits.snapshot(spark, root)
+    assert now.version == 1 and now.read("videos").count() == 5 and now.read("watch_history").count() == 0 and now.read("watch_history").schema == schemas.schema(schemas.WATCH)
+    assert len(commits.unused(spark, root)) == 2  # what the killed change wrote, read by nobody
+    assert commits.snapshot(spark, f"{root}/none").version == 0
+
+
+def test_a_version_is_made_once(spark, root):
+    """Of many drivers that create one version, one does; the file is whole whenever it is there."""
+    base = runs.start(spark, root, videos(spark, 3), buckets=2)
+    won, seen = [], []
+
+    def race(k):
+        won.append(commits.put(base, commits.replace(base, progress={"k": k})) is not None)
+        seen.append(commits.snapshot(spark, root).progress["k"])
+
+    many = [threading.Thread(target=race, args=(k,)) for k in range(12)]
+    [t.start() for t in many]
+    [t.join() for t in many]
+    assert sum(won) == 1 and len(set(seen)) == 1 and commits.snapshot(spark, root).version == 2
+
+
+def test_changes_of_other_buckets_go_on_top(spark, root):
+    """A change whose buckets nobody else touched is put on top of the others; one that depends on theirs is worked out anew."""
+    runs.start(spark, root, videos(spark, 40), buckets=4)
+    tries = []
+
+    def other(value):
+        rows = commits.snapshot(spark, root).read("videos", [value]).withColumn("source_url", F.lit("other"))
+        commits.transact(spark, root, lambda s: Change(replaced={"videos": (rows, [value])}))
+
+    def work(mine, theirs):
+        def change(base):
+            tries.append(1)
+            rows = base.read("videos", [mine]).withColumn("source_url", F.concat("source_url", F.lit("+")))
+            if len(tries) == 1:
+                other(theirs)
+            return Change(replaced={"videos": (rows, [mine])})
+
+        return change
+
+    urls = lambda b: {r["source_url"] for r in commits.snapshot(spark, root).read("videos", [b]).collect()}
+    commits.transact(spark, root, work(0, 1))
+    assert len(tries) == 1 and urls(0) == {"u+"} and urls(1) == {"other"} and urls(2) == {"u"}
+    tries.clear()
+    commits.transact(spark, root, work(2, 2))
+    assert len(tries) == 2 and urls(2) == {"other+"} and commits.snapshot(spark, root).read("videos").count() == 40
+
+
+def test_only_touched_buckets_are_scanned(spark, root):
+    base = runs.start(spark, root, videos(spark, 200), buckets=16)
+    requests = spark.createDataFrame([(f"{7:019d}", "w")], "video_id string, worker_id string")
+    at = base.touched("videos", requests)
+    assert len(at) == 1
+    files = base.read("videos", at).inputFiles()
+    assert files and all(f"_bucket={at[0]}/" in f for f in files) and len(files) < len(base.read("videos").inputFiles())
+    runs.claim(spark, root, 1, ["w"], NOW)  # the oldest: video 0
+    new = commits.snapshot(spark, root)
+    moved = [b for b in base.tables["videos"] if base.tables["videos"][b] != new.tables["videos"][b]]
+    assert moved == [str(b) for b in base.touched("videos", spark.createDataFrame([(f"{0:019d}",)], "video_id string"))]
+    log = new.of_key("video_events", f"{0:019d}")
+    assert [(r["id"], r["event_type"]) for r in log.collect()] == [(1, "claimed")]
+    assert new.of_key("video_events", f"{9:019d}").count() == 0
+    assert all(f"_bucket={moved[0]}/" in f for f in log.inputFiles())
+    # the file of events has a Bloom filter on the key
+    import pyarrow.parquet as pq
+
+    column = pq.ParquetFile(log.inputFiles()[0].removeprefix("file://")).metadata.row_group(0).to_dict()["columns"]
+    assert any(c["path_in_schema"] == "video_id" for c in column)
+
+
+def test_two_drivers_claim_no_video_twice(spark, root):
+    """Many claims at once: each video goes to one driver, and no more are claimed than there are."""
+    runs.start(spark, root, videos(spark, 50), buckets=4)
+    got = {}
+
+    def drive(w):
+        ids = []
+        for _ in range(2):
+            claims = runs.claim(spark, root, 8, [w], NOW)
+            ids += [r["video_id"] for r in claims.collect()] if claims is not None else []
+        got[w] = ids
+
+    drivers = [threading.Thread(target=drive, args=(f"w{k}",)) for k in range(4)]
+    [t.start() for t in drivers]
+    [t.join() for t in drivers]
+    ids = [x for v in got.values() for x in v]
+    assert len(ids) == len(set(ids)) == 50
+    now = commits.snapshot(spark, root)
+    held = {r["video_id"]: r["claimed_by"] for r in now.read("videos").collect()}
+    assert held == {i: w for w, v in got.items() for i in v}
+    events = now.read("video_events").collect()
+    assert len({e["id"] for e in events}) == len(events) == 50
+
+
+def maker():
+    def run(claim):
+        d = int(claim["video_id"]) % 10
+        base = {"stage": "fetch", "fetcher": "f", "transcript_source": "asr", "model": "m"}
+        return base | ({"result": "error", "message": "no"} if d == 3 else {"result": "unavailable", "message": "gone"} if d == 7 else {"result": "ok", "text": claim["video_id"], "language": "en", "duration_s": 1.0})
+
+    return run
+
+
+WANT = {i: {3: "failed_retryable", 7: "failed_terminal"}.get(i % 10, "succeeded") for i in range(20)}
+
+
+def go(spark, root, at, **how):
+    return runs.run(spark, root, maker, clock=lambda: at, workers=["w"], batch=6, stale_after=1, **how)
+
+
+def test_batches_until_dry_equal_one_run(spark, root):
+    runs.start(spark, root, videos(spark, 20), buckets=4)
+    done = go(spark, root, NOW)
+    whole = enrich.process_run(videos(spark, 20), maker, as_of=NOW, workers=["w"], cap=None)
+    columns = [c for c in videos(spark, 1).columns]
+    assert sorted(map(str, done.read("videos").select(*columns).collect())) == sorted(map(str, whole.videos.select(*columns).collect()))
+    assert states(done) == WANT and done.read("outcomes").count() == 20 and done.read("artifacts").count() == 16
+    assert done.read("video_events").count() == 40 and go(spark, root, NOW + 9).version == done.version
+
+
+def test_the_cap_is_not_exceeded(spark, root):
+    runs.start(spark, root, videos(spark, 20), buckets=4)
+    done = go(spark, root, NOW, cap=8)
+    assert sum(s != "pending" for s in states(done).values()) == 8
+
+
+@pytest.mark.parametrize("step", ["artifacts", "manifest"])
+def test_crash_drill(spark, root, monkeypatch, step):
+    """Killed in the second batch, anywhere between its claims and its marks: 6 rows in progress, 6 recovered, 20 of 20 done, once each."""
+    runs.start(spark, root, videos(spark, 20), buckets=4)
+    real, marks = runs.mark, []
+
+    def mark(*a):
+        marks.append(1)
+        if len(marks) == 2:
+            stage = commits.stage
+            if step == "manifest":
+                monkeypatch.setattr(commits, "put", lambda *x: (_ for _ in ()).throw(Killed()))
+            monkeypatch.setattr(commits, "stage", lambda base, table, rows: (_ for _ in ()).throw(Killed()) if table == step else stage(base, table, rows))
+        return real(*a)
+
+    monkeypatch.setattr(runs, "mark", mark)
+    with pytest.raises(Killed):
+        go(spark, root, NOW)
+    monkeypatch.undo()
+    dead = commits.snapshot(spark, root)
+    assert sorted(states(dead).values()).count("in_progress") == 6 and dead.read("artifacts").count() == dead.read("outcomes").where("outcome = 'succeeded'").count()
+    assert sorted(states(go(spark, root, NOW + 1)).values()).count("in_progress") == 6  # not yet stale
+    done = go(spark, root, NOW + 5)
+    assert states(done) == WANT
+    ids = [r["video_id"] for r in done.read("artifacts").collect()]
+    assert len(ids) == len(set(ids)) == 16 and done.read("outcomes").count() == 20
+    tries = sorted(r["attempt_count"] for r in done.read("videos").collect())
+    assert tries == [1] * 14 + [2] * 6
+
+
+def test_late_marks_change_nothing(spark, root):
+    """A driver whose claims were swept and taken by another one marks nothing and leaves no artifact."""
+    runs.start(spark, root, videos(spark, 6), buckets=2)
+    mine = runs.claim(spark, root, 6, ["a"], NOW)
+    assert runs.sweep(spark, root, NOW + 100, 50) == 6 and runs.sweep(spark, root, NOW + 100, 50) == 0
+    theirs = runs.claim(spark, root, 6, ["b"], NOW + 100)
+    late = runs.mark(spark, root, enrich.enrich(mine, maker).cache(), NOW + 101)
+    assert late.read("artifacts").count() == 0 and {r["outcome"] for r in late.read("outcomes").collect()} == {"stale_after_success", "stale_after_failure"}
+    done = runs.mark(spark, root, enrich.enrich(theirs, maker).cache(), NOW + 102)
+    assert states(done) == {i: WANT[i] for i in range(6)}
+
+
+def test_folders_are_put_together(spark, root):
+    for k in range(5):
+        commits.transact(spark, root, lambda s, k=k: Change(appended={"video_events": state.event_rows(videos(spark, 3), "x", k, F.lit("w")).withColumn("id", F.lit(k).cast("long"))}), buckets=1)
+    before = commits.snapshot(spark, root)
+    after = commits.compact(spark, root, "video_events", 4)
+    assert [len(p) for p in before.tables["video_events"].values()] == [5] and [len(p) for p in after.tables["video_events"].values()] == [1]
+    assert sorted(map(str, before.read("video_events").collect())) == sorted(map(str, after.read("video_events").collect()))
+    assert commits.compact(spark, root, "video_events", 4).version == after.version
+
+
+# --- the inbox -----------------------------------------------------------------------------------
+
+LINK = "https://www.tiktok.com/@c/video/{}"
+
+
+def drop(folder, name, entries):
+    folder.mkdir(exist_ok=True)
+    (folder / f"participant={name}.json").write_text(json.dumps([{"tiktok_watch_history": [{"Date": f"2026-04-15 09:12:{s:02d}", "Link": link} for s, link in entries]}]))
+
+
+def ids(k):
+    return LINK.format(7_000_000_000_000_000_000 + k)
+
+
+@pytest.mark.parametrize("at", [2, 3])
+def test_killed_between_the_tables(spark, root, tmp_path, monkeypatch, at):
+    """Killed while a batch writes its first, second or third table: readers see all of the batch or nothing, and a restart adds it once."""
+    box = tmp_path / "box"
+    for k in range(4):
+        drop(box, f"p{k}", [(1, ids(k)), (1, ids(k)), (2, ids(9)), (3, "nope")])
+    where = (f"file://{box}", root, f"file://{tmp_path}/progress")
+    go_on = lambda: inbox.ingest_stream(spark, *where, as_of=100, files_per_trigger=2, buckets=4).awaitTermination()
+    with monkeypatch.context() as m:
+        die(m, commits, "stage", 4 + at)  # the second batch
+        with pytest.raises(Exception, match="Killed"):
+            go_on()
+    half = commits.snapshot(spark, root)
+    assert half.read("videos").count() == 3 and half.read("watch_history").count() == 4 and ingest.orphans(half.read("watch_history"), half.read("videos")).count() == 0
+    go_on()
+    done = commits.snapshot(spark, root)
+    assert done.read("videos").count() == 5 and done.read("watch_history").count() == 8
+    assert {k: sum(r[k] for r in done.read("batches").collect()) for k in ("files_processed", "watch_history_rows_processed", "watch_history_duplicates", "invalid_urls_skipped")} == {"files_processed": 4, "watch_history_rows_processed": 12, "watch_history_duplicates": 4, "invalid_urls_skipped": 4}
+
+
+def test_a_batch_that_runs_again_is_skipped(spark, root, tmp_path):
+    drop(tmp_path / "box", "p", [(1, ids(1)), (2, ids(2))])
+    files = exports.export_files(spark, f"file://{tmp_path}/box")
+    first = inbox.add_batch(files, 0, root, as_of=1, buckets=2)
+    assert inbox.add_batch(files, 0, root, as_of=2).version == first.version
+    again = inbox.add_batch(files, 1, root, as_of=2)  # the same files as a new batch
+    assert again.read("watch_history").count() == 2 and again.read("batches").where("batch = 1").first()["watch_history_duplicates"] == 2
+
+
+def test_observed_counters_equal_the_counted_ones(spark, root, tmp_path):
+    """One scan of the files, in which the writes count: as the aggregates over the feed say. Bad, empty and repeated files too."""
+    box = tmp_path / "box"
+    drop(box, "p1", [(1, ids(1)), (1, ids(1)), (2, ids(2)), (3, "https://vm.tiktok.com/ZM1/"), (4, "nope")])
+    drop(box, "p2", [(1, ids(1))])
+    drop(box, "p3", [])
+    (box / "participant=p4.json").write_text("{not json")
+    (box / "participant=p5.json").write_text(json.dumps([{"tiktok_watch_history": [{"Date": "never", "Link": ids(4)}]}]))
+    files = exports.export_files(spark, f"file://{box}")
+    got = inbox.add_batch(files, 0, root, as_of=1, buckets=2)
+    want = ingest.ingest(exports.entries(files)[0], schemas.empty(spark, "videos"), schemas.empty(spark, "watch_history"), as_of=1).stats.first().asDict()
+    told = got.read("batches").first().asDict()
+    assert told["files_processed"] == 4 and told["files_quarantined"] == 1  # the empty file counts, which a count over entries can't see
+    assert {k: v for k, v in want.items() if k != "files_processed"} == {k: told[k] for k in want if k != "files_processed"}
+    assert got.read("quarantine").first()["error"] == "not_json"
+
+
+def test_an_inbox_of_bad_files(spark, root, tmp_path):
+    (tmp_path / "box").mkdir()
+    (tmp_path / "box" / "participant=p.json").write_text("no")
+    got = inbox.add_batch(exports.export_files(spark, f"file://{tmp_path}/box"), 0, root, as_of=1, buckets=2)
+    assert got.read("quarantine").count() == 1 and got.read("videos").count() == 0 and got.read("batches").first()["files_quarantined"] == 1

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from watchloom import schemas
-from watchloom.operators import ingest
+from watchloom.operators import commits, ingest
 from watchloom.sources import exports
 from watchloom.streaming import inbox
 
@@ -59,13 +59,13 @@ def test_stream_equals_batch_and_repeats_add_nothing(spark, donated, tmp_path):
     inbox.ingest_stream(spark, *where, as_of=100, files_per_trigger=1).awaitTermination()
     batch = ingest.ingest(exports.entries(exports.export_files(spark, donated))[0], *tables(spark), as_of=100)
     for name in ("videos", "watch_history"):
-        t = spark.read.parquet(f"{where[1]}/{name}").drop("batch")
+        t = commits.snapshot(spark, where[1]).read(name)
         keys = ["video_id"] if name == "videos" else ["respondent_id", "video_id", "watched_at"]
         assert sorted(map(tuple, t.select(*keys).collect())) == sorted(map(tuple, getattr(batch, name).select(*keys).collect()))
     (tmp_path / "inbox" / "participant=p9.json").write_text(json.dumps([{"tiktok_watch_history": [entry("2026-04-17 00:00:00", LINK.format(A))]}]))
     inbox.ingest_stream(spark, *where, as_of=200).awaitTermination()
-    assert spark.read.parquet(f"{where[1]}/watch_history").count() == batch.watch_history.count() + 1
-    assert spark.read.parquet(f"{where[1]}/videos").count() == batch.videos.count()
+    assert commits.snapshot(spark, where[1]).read("watch_history").count() == batch.watch_history.count() + 1
+    assert commits.snapshot(spark, where[1]).read("videos").count() == batch.videos.count()
 
 
 def test_window_and_short_links(spark, donated):

@@ -34,15 +34,19 @@ def pending_queue(videos: DataFrame, n: int | None = None) -> DataFrame:
     return q if n is None else q.limit(n)
 
 
-def claim_batch(videos: DataFrame, n: int | None, workers: list[str], as_of: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(videos, claims, events): the n oldest pending videos go to the workers in turn; None: all of them."""
+def claims_of(videos: DataFrame, n: int | None, workers: list[str]) -> DataFrame:
+    """video_id, source_url, attempt_count, worker_id of the n oldest pending videos, dealt to the workers in turn; None: all of them."""
     order = ("first_seen_at", "video_id")
     if n is None:
         head = numbered(videos.where("status = 'pending'").select("video_id", "source_url", "attempt_count", "first_seen_at"), *order)
     else:
         head = pending_queue(videos, n).withColumn("nth", F.row_number().over(Window.orderBy(*order)) - 1)  # over n rows at most
     names = F.array(*[F.lit(w) for w in workers])
-    claims = head.select("video_id", "source_url", (F.col("attempt_count") + 1).alias("attempt_count"), F.element_at(names, (F.col("nth") % len(workers) + 1).cast("int")).alias("worker_id"))
+    return head.select("video_id", "source_url", (F.col("attempt_count") + 1).alias("attempt_count"), F.element_at(names, (F.col("nth") % len(workers) + 1).cast("int")).alias("worker_id"))
+
+
+def claimed(videos: DataFrame, claims: DataFrame, as_of: int) -> DataFrame:
+    """videos with the claims in them."""
     c = claims.select("video_id", F.col("worker_id").alias("_w"))
     hit = F.col("_w").isNotNull()
     now = F.lit(as_of).cast("long")
@@ -55,7 +59,13 @@ def claim_batch(videos: DataFrame, n: int | None, workers: list[str], as_of: int
             "updated_at": F.when(hit, now).otherwise(F.col("updated_at")),
         }
     )
-    return new.select(*videos.columns), claims, event_rows(claims, "claimed", as_of, F.col("worker_id"))
+    return new.select(*videos.columns)
+
+
+def claim_batch(videos: DataFrame, n: int | None, workers: list[str], as_of: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(videos, claims, events): the n oldest pending videos go to the workers in turn; None: all of them."""
+    claims = claims_of(videos, n, workers)
+    return claimed(videos, claims, as_of), claims, event_rows(claims, "claimed", as_of, F.col("worker_id"))
 
 
 def transition(videos: DataFrame, requests: DataFrame, values: dict[str, Column], kind: str, as_of: int, detail: Column | None = None) -> Change:

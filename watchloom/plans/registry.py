@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from watchloom import schemas
 from watchloom.functions import links, web
-from watchloom.operators import enrich, failures, ingest, pages, reports, signals, state
+from watchloom.operators import commits, enrich, failures, ingest, pages, reports, runs, signals, state
 from watchloom.plans import feeds
 from watchloom.operators.tables import shared_folder, written
 from watchloom.plans.feeds import AS_OF, ORDER, R, T, V, W
@@ -153,13 +153,26 @@ def export_entries(spark, sf_dir):
     return rows.groupBy("respondent_id", "link", "date").agg(F.count("*").alias("n"))
 
 
+def drained(spark, sf_dir) -> commits.Snapshot:
+    """The tables after the export files were picked up by the incremental ingest, some a batch."""
+    root, at = shared_folder(spark), write_exports(spark, sf_dir)
+    inbox.ingest_stream(spark, at, f"{root}/tables", f"{root}/progress", as_of=AS_OF, files_per_trigger=1000, level=-2, glob="part-*", buckets=16).awaitTermination()
+    return commits.snapshot(spark, f"{root}/tables")
+
+
 @query(f"WITH {W} SELECT DISTINCT respondent_id, video_id, watched_at, true AS in_window FROM valid")
 def inbox_ingest(spark, sf_dir):
-    """Export files picked up by the incremental ingest, some a batch, into the tables."""
-    root = shared_folder(spark)
-    at = write_exports(spark, sf_dir)
-    inbox.ingest_stream(spark, at, f"{root}/tables", f"{root}/progress", as_of=AS_OF, files_per_trigger=1000, level=-2, glob="part-*").awaitTermination()
-    return spark.read.parquet(f"{root}/tables/watch_history").drop("batch")
+    return drained(spark, sf_dir).read("watch_history")
+
+
+@query(f"""WITH {W} SELECT count(DISTINCT respondent_id) AS files_processed, count(*) FILTER (WHERE skip_reason IS NULL) AS watch_history_rows_processed, count(*) FILTER (WHERE skip_reason = 'short_link') AS short_links_skipped,
+count(*) FILTER (WHERE skip_reason = 'invalid_url') AS invalid_urls_skipped, count(*) FILTER (WHERE skip_reason = 'bad_date') AS date_parse_failures,
+count(*) FILTER (WHERE skip_reason IS NULL) - (SELECT count(*) FROM (SELECT DISTINCT respondent_id, video_id, watched_at FROM valid)) AS watch_history_duplicates FROM w""")
+def inbox_counters(spark, sf_dir):
+    """The counters that the batches' writes observed, added up."""
+    told = drained(spark, sf_dir).read("batches")
+    names = ["files_processed", "watch_history_rows_processed", "short_links_skipped", "invalid_urls_skipped", "date_parse_failures", "watch_history_duplicates"]
+    return told.agg(*[F.sum(n).alias(n) for n in names])
 
 
 # --- state ---------------------------------------------------------------------------------------
@@ -286,6 +299,39 @@ def batch_outcomes(spark, sf_dir):
 ALL = PROCESSED.replace(" ORDER BY first_seen_at, video_id LIMIT 200", "")
 
 
+def killed_and_resumed(spark, sf_dir) -> commits.Snapshot:
+    """A run that dies between its first batch's claims and marks, and another one, later, that goes on to the end."""
+    root = f"{shared_folder(spark)}/state"
+    runs.start(spark, root, feeds.videos(spark, sf_dir), buckets=16)
+    runs.sweep(spark, root, AS_OF)
+    runs.claim(spark, root, 500, ["dead"], AS_OF)
+    return runs.run(spark, root, fake_enricher, clock=lambda: AS_OF + 4000, workers=["a", "b"], batch=10_000)
+
+
+@query(f"""WITH {V}, first AS (SELECT video_id, 1 AS twice FROM v WHERE status = 'pending' OR status = 'in_progress' AND claimed_at < 1707000000 - 1800 ORDER BY first_seen_at, video_id LIMIT 500),
+x AS (SELECT *, CAST(right(video_id, 1) AS INTEGER) AS d, status IN ('pending', 'in_progress') AS taken FROM v)
+SELECT video_id, CASE WHEN NOT taken THEN status WHEN d IN (3, 4) THEN 'failed_retryable' WHEN d = 7 THEN 'failed_terminal' ELSE 'succeeded' END AS status,
+CAST(attempt_count + CASE WHEN taken THEN 1 ELSE 0 END + coalesce(twice, 0) AS BIGINT) AS attempt_count, CAST(CASE WHEN taken THEN 2 ELSE 0 END + coalesce(twice, 0) AS BIGINT) AS events,
+CAST(taken AND d NOT IN (3, 4, 7) AS BIGINT) AS artifacts FROM x LEFT JOIN first USING (video_id)""")
+def resumed_run(spark, sf_dir):
+    """Every video after a run was killed and another one took over: each done once, claims of the dead run counted as attempts."""
+    done = killed_and_resumed(spark, sf_dir)
+    each = lambda name: done.read(name).groupBy("video_id").agg(F.count("*").alias(name))
+    both = done.read("videos").select("video_id", "status", "attempt_count").join(each("video_events"), "video_id", "left").join(each("artifacts"), "video_id", "left")
+    return both.select("video_id", "status", "attempt_count", F.coalesce("video_events", F.lit(0)).alias("events"), F.coalesce("artifacts", F.lit(0)).alias("artifacts"))
+
+
+@query(f"""WITH {V}, f AS (SELECT video_id FROM v WHERE status = 'pending' OR status = 'in_progress' AND claimed_at < 1707000000 - 1800 ORDER BY first_seen_at, video_id LIMIT 1)
+SELECT video_id, unnest([1, 2, 3]) AS nth, unnest(['claimed', 'claimed', CASE WHEN right(video_id, 1) IN ('3', '4') THEN 'failed_retryable' WHEN right(video_id, 1) = '7' THEN 'failed_terminal' ELSE 'succeeded' END]) AS event_type,
+unnest([1707000000, 1707004000, 1707004000]) AS at_s FROM f""")
+def event_lookup(spark, sf_dir):
+    """The log of the video that was claimed first, from its bucket of the log alone."""
+    done = killed_and_resumed(spark, sf_dir)
+    first = state.pending_queue(state.sweep_stale(feeds.videos(spark, sf_dir), AS_OF)[0], 1).first()
+    log = done.of_key("video_events", first["video_id"] if first else "")
+    return log.select("video_id", F.row_number().over(Window.partitionBy("video_id").orderBy("id")).alias("nth"), "event_type", F.col("at").alias("at_s"))
+
+
 @query(ALL + " SELECT sw.video_id, coalesce(o.outcome, sw.status) AS status FROM sw LEFT JOIN o USING (video_id)")
 def process_all(spark, sf_dir):
     """A run without a cap: until no video is pending."""
