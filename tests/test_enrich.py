@@ -193,3 +193,30 @@ def test_frontier_follows_links_until_no_page_is_new(spark):
     got = {r["url"]: r["depth"] for r in pages.frontier(e, s, cap=None, keep=written).collect()}
     assert got == want and len(got) > pages.PAGE_CAP and got["last"] == 14
     assert pages.frontier(e, s, keep=written).count() == pages.PAGE_CAP
+
+
+def test_pages_that_fail_are_visited_and_not_counted(spark):
+    """Against the loop of a crawler: visits by depth and URL, failures seen but not saved, the cap over saved pages."""
+    links = [("a", "b"), ("a", "x1"), ("a", "c"), ("b", "x2"), ("b", "d"), ("c", "e"), ("d", "a"), ("e", "f"), ("x1", "never"), ("f", "g")]
+    stored = ["a", "b", "c", "d", "e", "f", "g"]
+    e, s, p = spark.createDataFrame(links, "source string, target string"), spark.createDataFrame([("a",), ("x0",)], "url string"), spark.createDataFrame([(u,) for u in [*stored, "a"]], "url string")
+
+    def brute(cap):
+        fresh, seen, kept, depth = ["a", "x0"], {}, 0, 0
+        while fresh:
+            after = set()
+            for u in sorted(fresh):
+                if kept == cap:
+                    return seen
+                seen[u] = (depth, u in stored)
+                kept += u in stored
+                after |= {t for f, t in links if f == u and u in stored}
+            fresh, depth = [t for t in after if t not in seen], depth + 1
+        return seen
+
+    for cap in (0, 1, 2, 3, 5, None):
+        assert {r["url"]: (r["depth"], r["saved"]) for r in pages.crawl(e, p, s, cap=cap).collect()} == brute(cap)
+    assert {r["url"] for r in pages.crawl(e, p, s, rounds=1).collect()} == {"a", "x0", "b", "c", "x1"}
+    assert pages.crawl(e, p, s.where("false")).count() == 0
+    order = [r["url"] for r in pages.first_seen(pages.crawl(e, p, s)).orderBy("nth").collect()]
+    assert order == sorted(brute(None), key=lambda u: (brute(None)[u][0], u))

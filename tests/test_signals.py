@@ -114,3 +114,17 @@ def test_artifact_files_are_the_lines_that_the_wire_wants(spark, tmp_path):
             v, lang, p, s = row[8]
             want["raw_signals"] = {"schema_version": v, "language": lang, "lang_probs": p and [list(x) for x in p] if p is not None else None, "segments": [{"no_speech_prob": n, "tokens": [dict(zip(("id", "text", "p", "plog"), t, strict=True)) for t in ts]} for n, ts in s]}
         assert r["value"] == json.dumps(want, separators=(",", ":"), ensure_ascii=False) and str(r["shard"]) == row[0][-2:]
+
+
+def test_artifacts_without_signals_pass(spark):
+    """Absent signals are empty ones; an artifact is missing only if a side doesn't have it."""
+    seg = "array<struct<no_speech_prob:double,tokens:array<struct<id:int,text:string,p:double,plog:double>>>>"
+    one = spark.createDataFrame([("none", None), ("empty", []), ("one", [(0.1, [(1, "a", 0.5, -0.1)])]), ("gone", None)], f"video_id string, segments {seg}")
+    two = spark.createDataFrame([("none", None), ("empty", None), ("one", None), ("new", None)], one.schema)
+    assert {r["video_id"]: r["verdict"] for r in signals.compare(one, two).collect()} == {"none": "pass", "empty": "pass", "one": "tokens", "gone": "missing", "new": "missing"}
+
+
+def test_a_line_is_parsed_once(spark):
+    lines = spark.range(3).selectExpr("to_json(struct(id)) as value", "id")
+    plan = signals.read_artifacts(lines, keep=("id",))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchloom.functions import web
-from watchloom.operators.tables import written
+from watchloom.operators.tables import numbered, shared_folder, written
 
 #: What holds a page's main content, in order of preference: (tag, class, role).
 MAIN = (("main", "", ""), ("article", "", ""), ("", "", "main"), ("", "theme-doc-markdown", ""), ("", "markdown", ""), ("", "content", ""), ("", "doc-content", ""), ("", "DocSearch-content", ""))
@@ -251,6 +251,34 @@ def frontier(links: DataFrame, seeds: DataFrame, *, cap: int | None = PAGE_CAP,
     return seen
 
 
+def crawl(links: DataFrame, stored: DataFrame, seeds: DataFrame, *, cap: int | None = PAGE_CAP, rounds: int | None = None) -> DataFrame:
+    """url, depth, saved of what is visited from the seeds (url) over links (source, target): a page that isn't stored (url) is visited, but not saved.
+
+    Visits go by (depth, URL). The cap is the crawl's own limit and counts saved pages; when it is reached, nothing more is visited.
+    It ends when a round finds no new page, or the cap or the number of rounds is reached; None: no such bound. A round adds a folder with
+    its own pages to the visited ones, which are never written again.
+    """
+    spark, top = links.sparkSession, shared_folder(links.sparkSession)
+    kind = "url string, saved boolean"
+    here = stored.select(F.col("url").alias("_stored")).distinct()
+    found, room = seeds.select("url").distinct(), cap
+    for depth in count(0):
+        new = found.join(here, found["url"] == here["_stored"], "left").select("url", F.col("_stored").isNotNull().alias("saved"))
+        new = written(new)
+        saved = new.where("saved")
+        if room is not None and saved.limit(room).count() == room:
+            last = saved.orderBy("url").limit(room).agg(F.max("url")).first()[0]  # `cap` rows at most
+            new = new.where(F.col("url") <= F.lit(last)) if room else new.where("false")
+        new.write.parquet(f"{top}/depth={depth}")
+        new = spark.read.schema(kind).parquet(f"{top}/depth={depth}")
+        room = None if room is None else room - new.where("saved").count()
+        if room == 0 or depth == rounds or not new.limit(1).count():
+            break
+        seen = spark.read.schema(kind).parquet(*[f"{top}/depth={k}" for k in range(depth + 1)])
+        found = links.join(new.where("saved"), links["source"] == F.col("url"), "left_semi").select(F.col("target").alias("url")).distinct().join(seen, "url", "left_anti")
+    return spark.read.schema(f"{kind}, depth int").option("basePath", top).parquet(top).select("url", "depth", "saved")
+
+
 def first_seen(seen: DataFrame) -> DataFrame:
-    """Visit order: by depth, then URL."""
-    return seen.withColumn("nth", F.row_number().over(Window.orderBy("depth", "url")))  # cap rows at most
+    """Visit order: by depth, then URL; numbered range by range, as a crawl without a cap has no bound."""
+    return numbered(seen, "depth", "url", start=1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -64,6 +64,14 @@ def error_list(videos: DataFrame, kind: str = "failed_terminal") -> DataFrame:
     return videos.where(F.col("status") == kind).select("video_id", F.col(names[0]).alias("kind"), F.col(names[1]).alias("message"), "attempt_count")
 
 
+def respondents(spark: SparkSession, path: str) -> DataFrame:
+    """respondent_id, once each, of a CSV file with a header that has such a column, whatever else it has; blanks around an id don't count."""
+    rows = spark.read.option("header", True).csv(path)
+    if "respondent_id" not in rows.columns:
+        raise ValueError(f"{path} has no column respondent_id")
+    return rows.select(F.trim("respondent_id").alias("respondent_id")).where("respondent_id <> ''").distinct()
+
+
 def manifest(watch: DataFrame, videos: DataFrame, artifacts: DataFrame, respondents: DataFrame | None = None) -> DataFrame:
     """One row a watch row with the video's state and which artifacts exist; artifacts: video_id, kind (metadata, comments)."""
     if respondents is not None:

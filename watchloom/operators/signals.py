@@ -49,19 +49,23 @@ def artifact_json(rows: DataFrame) -> Column:
     return F.when(s.isNull(), plain).otherwise(F.concat(F.regexp_replace(plain, r"\}\z", ',"raw_signals":'), signals, F.lit("}")))
 
 
-def parsed_artifact(line: Column) -> Column:
-    """The artifact of a JSON line, lang_probs as structs again."""
-    a = F.from_json(line, schemas.schema(schemas.ARTIFACT))
-    s = a["raw_signals"]
+def parsed_artifact(parsed: Column) -> Column:
+    """The artifact of a line that from_json has read (see read_artifacts), lang_probs as structs again."""
+    s = parsed["raw_signals"]
     probs = F.transform(s["lang_probs"], lambda x: F.struct(F.element_at(x, 1).alias("code"), F.element_at(x, 2).cast("float").alias("p")))
     whole = F.struct(s["schema_version"].alias("schema_version"), s["language"].alias("language"), probs.alias("lang_probs"), s["segments"].alias("segments"))
     names = [f.name for f in schemas.schema(schemas.ARTIFACT) if f.name != "raw_signals"]
-    return F.struct(*[a[n].alias(n) for n in names], F.when(s.isNotNull(), whole).alias("raw_signals"))
+    return F.struct(*[parsed[n].alias(n) for n in names], F.when(s.isNotNull(), whole).alias("raw_signals"))
 
 
-def read_artifacts(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Artifacts from their JSON."""
-    return lines.select(parsed_artifact(F.col(column)).alias("a")).select("a.*")
+def read_artifacts(lines: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Artifacts from their JSON, with the columns of `keep`; a line is parsed once.
+
+    The parsed line is a column of its own: as the only element of an array it is exploded, so that it isn't put into each field that is
+    read from it.
+    """
+    parsed = lines.select(*keep, F.explode(F.array(F.from_json(column, schemas.schema(schemas.ARTIFACT)))).alias("_a"))
+    return parsed.select(*keep, parsed_artifact(F.col("_a")).alias("a")).select(*keep, "a.*")
 
 
 def flat_tokens(segments: Column) -> Column:
@@ -113,9 +117,10 @@ def overlaps(pre: DataFrame, post: DataFrame, key: str = "video_id", tolerance:
 def compare(pre: DataFrame, post: DataFrame, key: str = "video_id", tolerance: float = TOLERANCE) -> DataFrame:
     """key, verdict, first_diff of two sides: the first check that fails, in the order missing, tokens, probabilities, coverage, windows.
 
-    One join by key; overlapping segments share a token position, so no_speech_prob is compared position by position.
+    One join by key; overlapping segments share a token position, so no_speech_prob is compared position by position. An artifact
+    without signals is one without segments; `missing` is one that a side doesn't have.
     """
-    side = lambda d, n: d.select(key, F.col("segments").alias(f"s{n}"))
+    side = lambda d, n: d.select(key, F.coalesce(F.col("segments"), F.array().cast(d.schema["segments"].dataType)).alias(f"s{n}"), F.lit(True).alias(f"has_{n}"))
     both = side(pre, "x").join(side(post, "y"), key, "full_outer").withColumns({"tx": flat_tokens(F.col("sx")), "ty": flat_tokens(F.col("sy"))})
     silence = lambda s: F.flatten(F.transform(s, lambda x: F.array_repeat(x["no_speech_prob"], F.size(x["tokens"]))))
     identity = lambda t: F.struct(t["id"].alias("id"), t["text"].alias("text"))
@@ -124,9 +129,9 @@ def compare(pre: DataFrame, post: DataFrame, key: str = "video_id", tolerance: f
     off = F.zip_with(silence(F.col("sx")), silence(F.col("sy")), lambda p, q: F.abs(p - q) > tolerance)
     bare = F.exists("sy", lambda s: F.size(s["tokens"]) == 0)  # covers no token of the other side
     at = lambda flags: F.array_position(flags, F.lit(True))
-    both = both.select(key, "tx", "ty", at(differs).alias("token_at"), at(far).alias("far_at"), bare.alias("bare"), at(off).alias("off_at"))
+    both = both.select(key, "has_x", "has_y", "tx", "ty", at(differs).alias("token_at"), at(far).alias("far_at"), bare.alias("bare"), at(off).alias("off_at"))
     verdict = (
-        F.when(F.col("tx").isNull() | F.col("ty").isNull(), "missing")
+        F.when(F.col("has_x").isNull() | F.col("has_y").isNull(), "missing")
         .when((F.size("tx") != F.size("ty")) | (F.col("token_at") > 0), "tokens")
         .when(F.col("far_at") > 0, "probabilities")
         .when(F.col("bare"), "coverage")

@@ -465,9 +465,10 @@ def artifact_listing(v: DataFrame) -> DataFrame:
 @query(f"""WITH {V}, {WATCHED} SELECT respondent_id, x.video_id, x.watched_at, in_window, status, duration_s, language_detected, fetcher, transcript_source, status = 'succeeded' AS has_transcript,
 n % 2 = 0 AS has_metadata, n % 7 = 0 AS has_comments, last_retryable_kind, terminal_reason, CAST(attempt_count AS INTEGER) AS attempt_count FROM x JOIN v USING (video_id) WHERE CAST(substr(respondent_id, 2) AS BIGINT) % 2 = 0""")
 def manifest(spark, sf_dir):
-    v, w = feeds.videos(spark, sf_dir), watch_rows(spark, sf_dir)
-    some = w.select("respondent_id").distinct().where("cast(substr(respondent_id, 2) as long) % 2 = 0")
-    return reports.manifest(w, v, artifact_listing(v), some).withColumn("watched_at", F.unix_timestamp("watched_at"))
+    """Respondents named in a CSV file, one of its columns."""
+    v, w, at = feeds.videos(spark, sf_dir), watch_rows(spark, sf_dir), shared_folder(spark)
+    w.select(F.lit("study").alias("project"), "respondent_id").distinct().where("cast(substr(respondent_id, 2) as long) % 2 = 0").write.option("header", True).csv(at)
+    return reports.manifest(w, v, artifact_listing(v), reports.respondents(spark, at)).withColumn("watched_at", F.unix_timestamp("watched_at"))
 
 
 @query(f"""WITH {V}, {WATCHED} SELECT respondent_id, x.video_id, x.watched_at, in_window, status, duration_s, language_detected, fetcher, transcript_source, status = 'succeeded' AS has_transcript,
@@ -573,7 +574,9 @@ def artifact_roundtrip(spark, sf_dir):
     """Artifacts against what their JSON gives back, struct by struct, nulls included."""
     a = full_artifacts(spark, sf_dir)
     names = [c for c in a.columns if c != "doc_id"]
-    both = a.select(F.struct(*names).alias("x"), signals.parsed_artifact(signals.artifact_json(a)).alias("y"))
+    lines = a.select(F.struct(*names).alias("x"), signals.artifact_json(a).alias("value"))
+    back = signals.read_artifacts(lines, keep=("x",))
+    both = back.select("x", F.struct(*names).alias("y"))
     return both.agg(F.count("*").alias("artifacts"), F.count_if(F.col("x").eqNullSafe(F.col("y"))).alias("equal"))
 
 
@@ -609,11 +612,14 @@ def wav_decode(spark, sf_dir):
     return enrich.wav_files(files).select(F.col("path").cast("long").alias("doc_id"), "n_samples", "duration_s", "error_kind")
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN 'missing' WHEN doc_id % 10 = 4 THEN 'differs' ELSE 'same' END AS verdict FROM documents")
+@query("""SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN 'missing' WHEN doc_id % 10 IN (4, 6) THEN 'differs' ELSE 'same' END AS verdict FROM documents""")
 def run_determinism(spark, sf_dir):
-    a = feeds.artifacts(spark, sf_dir).select("doc_id", "language", F.size("segments").alias("n"), F.lit("t1").alias("transcribed_at"))
-    b = a.where("doc_id % 10 <> 3").withColumn("transcribed_at", F.lit("t2")).withColumn("n", F.when(F.col("doc_id") % 10 == 4, -1).otherwise(F.col("n")))
-    return signals.determinism(a, b, "doc_id")
+    """Whole artifacts of two runs, signals included: some are missing in the second, some have another model, some one changed token or segment."""
+    a = full_artifacts(spark, sf_dir)
+    n, s = F.col("doc_id") % 10, F.col("raw_signals")
+    more = F.transform(s["segments"], lambda x, i: F.when((i == 0) & (n == 6), x.withField("no_speech_prob", x["no_speech_prob"] + F.lit(1).cast("float"))).otherwise(x))
+    b = a.where(n != 3).withColumns({"transcribed_at": F.lit("later"), "model": F.when(n == 4, "other").otherwise(F.col("model")), "raw_signals": F.when(s.isNotNull(), s.withField("segments", more))})
+    return signals.determinism(a.drop("video_id"), b.drop("video_id"), "doc_id")
 
 
 COMPARED = f"""WITH {T}, s AS (SELECT doc_id, count(*) AS n_seg, min(n) AS least, max(CASE WHEN seg = 0 THEN n END) AS n0, max(CASE WHEN seg = 1 THEN n END) AS n1, min(CASE WHEN seg > 1 THEN n END) AS rest FROM segs GROUP BY 1),
@@ -677,29 +683,33 @@ def page_title(spark, sf_dir):
     return pages.outlinks(pages_of(spark, sf_dir)).select("page_id", "title")
 
 
-@query(f"""WITH {LINKED}, s AS (SELECT DISTINCT source AS url, 0 AS depth FROM (SELECT regexp_replace(url, '#.*', '') AS source, page_id FROM pages) WHERE page_id % 5 = 0),
-n AS (SELECT DISTINCT target AS url FROM l JOIN s ON l.source = s.url WHERE target NOT IN (SELECT url FROM s)), f AS (SELECT url, 1 AS depth FROM n ORDER BY url LIMIT greatest(0, 1000 - (SELECT count(*) FROM (SELECT * FROM s LIMIT 1000)))),
-s1 AS (SELECT * FROM s ORDER BY url LIMIT 1000) SELECT * FROM s1 UNION ALL SELECT * FROM f""")
-def frontier(spark, sf_dir):
-    """One round from every fifth page, capped as the crawl is."""
-    p = pages_of(spark, sf_dir)
-    seeds = p.where("page_id % 5 = 0").select(F.regexp_replace("url", r"#.*", "").alias("url"))
-    return pages.frontier(pages.edges(p), seeds, rounds=1)
-
-
-@query(f"""WITH RECURSIVE {LINKED}, p AS (SELECT regexp_replace(url, '#.*', '') AS url FROM pages),
+CRAWLED = f"""WITH RECURSIVE {LINKED}, p AS (SELECT DISTINCT regexp_replace(url, '#.*', '') AS url FROM pages),
 s AS (SELECT min(url) AS url FROM p GROUP BY lower(regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1)) UNION SELECT url FROM p WHERE url NOT IN (SELECT target FROM l WHERE source <> target)),
 r AS (SELECT 0 AS depth, list(url) AS seen, list(url) AS fresh FROM s UNION ALL SELECT r.depth + 1, list_concat(any_value(r.seen), list(DISTINCT l.target)), list(DISTINCT l.target)
-  FROM r JOIN l ON list_contains(r.fresh, l.source) WHERE NOT list_contains(r.seen, l.target) GROUP BY r.depth)
-SELECT unnest(fresh) AS url, depth FROM r""")
-def frontier_crawl(spark, sf_dir):
-    """From the pages that no other one links to and the first page of each host, over all links until no page is new, without a cap."""
+  FROM r JOIN l ON list_contains(r.fresh, l.source) WHERE NOT list_contains(r.seen, l.target) GROUP BY r.depth),
+c AS (SELECT *, url IN (SELECT url FROM p) AS saved FROM (SELECT unnest(fresh) AS url, depth FROM r))"""
+
+
+def crawled(spark, sf_dir, cap: int | None) -> DataFrame:
+    """From the pages that no other one links to and the first page of each host, over all links."""
     p = pages_of(spark, sf_dir)
     links_ = written(pages.edges(p))
     own = p.select(F.regexp_replace("url", r"#.*", "").alias("url"))
     starts = own.groupBy(F.lower(F.regexp_extract("url", r"^([a-zA-Z]+://[^/?#]*)", 1))).agg(F.min("url").alias("url")).select("url")
     roots = own.join(links_.where("source <> target").select(F.col("target").alias("url")), "url", "left_anti")
-    return pages.frontier(links_, starts.union(roots), cap=None, keep=written)
+    return pages.crawl(links_, own, starts.union(roots), cap=cap)
+
+
+@query(CRAWLED + " SELECT url, depth, saved, CAST(nth AS BIGINT) AS nth FROM (SELECT *, row_number() OVER w AS nth, coalesce(sum(saved::INTEGER) OVER (ORDER BY depth, url ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS kept FROM c WINDOW w AS (ORDER BY depth, url)) WHERE kept < 100")
+def frontier(spark, sf_dir):
+    """The crawl up to its cap of saved pages, in the order of its visits; pages that aren't stored are visited in vain."""
+    return pages.first_seen(crawled(spark, sf_dir, 100))
+
+
+@query(CRAWLED + " SELECT url, depth, saved FROM c")
+def frontier_crawl(spark, sf_dir):
+    """Until no page is new, without a cap."""
+    return crawled(spark, sf_dir, None)
 
 
 @query()
