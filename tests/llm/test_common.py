@@ -55,3 +55,13 @@ def test_labelled_sample_takes_an_id_once(spark):
     small = common.labelled_sample(docs, labels, "y", 1000, sample_bytes=500).collect()
     assert 0 < len(small) < 33 and sum(len(r["text"]) for r in small) <= 500 and {r["text"] for r in small} <= {r["text"] for r in rows}
     assert common.labelled_sample(docs.where("false"), labels, "y", 10).count() == 0
+
+
+def test_labelled_sample_passes_over_documents_that_do_not_fit(spark):
+    """Whichever document comes first: those that fit after it are taken."""
+    ids = [r["id"] for r in spark.range(40).orderBy(F.xxhash64("id"), "id").collect()]
+    for place in (0, 3, 39):
+        rows = [(i, ("x" * 1200) if i == ids[place] else f"text {i:04}") for i in range(40)]
+        docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, y int")
+        got = common.labelled_sample(docs, labels, "y", 1000, sample_bytes=1000).collect()
+        assert sorted(r["text"] for r in got) == sorted(t for i, t in rows if i != ids[place])

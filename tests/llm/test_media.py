@@ -99,6 +99,35 @@ def test_tables_of_more_samples_than_bytes_take_no_memory():
     assert media.inspect_bytes(b(b"moov", audio_track(1, 0, [], each=0), trex) + run)["error"] == "more samples than bytes"
 
 
+def test_runs_that_repeat_chunks_take_no_memory():
+    """Runs in no order name each chunk again and again; the bytes taken stay in proportion to the file."""
+    import tracemalloc
+
+    f, b, peaks = media.full, media.box, []
+    for k in (500, 5000):
+        runs = struct.pack(">I", k) + b"".join(struct.pack(">III", 1 if i % 2 == 0 else k, 1, 1) for i in range(k))
+        stbl = b(b"stbl", f(b"stsd", struct.pack(">I", 1), b(b"sowt", bytes(28))), f(b"stts", struct.pack(">III", 1, k, 1)), f(b"stsc", runs), f(b"stsz", struct.pack(">II", 1, k)), f(b"stco", struct.pack(">I", k) + b"".join(struct.pack(">I", 2 * i) for i in range(k))))
+        mdia = b(b"mdia", f(b"mdhd", struct.pack(">IIIIHH", 0, 0, 1000, 0, 0, 0)), f(b"hdlr", bytes(4), b"soun", bytes(13)), b(b"minf", stbl))
+        media_ = b(b"moov", b(b"trak", mdia))
+        tracemalloc.start()
+        media.track(memoryview(media_), {path[-1]: (a, e) for path, _, a, e in media.walk(memoryview(media_), 0, len(media_)) if path[:2] == (b"moov", b"trak") and len(path) > 2})
+        peaks.append(tracemalloc.get_traced_memory()[1] / len(media_))
+        tracemalloc.stop()
+    assert max(peaks) < 16
+
+
+def test_many_runs_of_empty_samples():
+    """Samples of size 0 are counted over all runs: more of them than bytes are refused at once."""
+    f, b = media.full, media.box
+    trex = b(b"mvex", f(b"trex", struct.pack(">IIIII", 1, 1, 20, 0, 0)))
+    head = b(b"moov", audio_track(1, 0, [], each=0), trex)
+    size = len(head) + 20 * 200
+    runs = b(b"moof", b(b"traf", f(b"tfhd", struct.pack(">I", 1)), *[f(b"trun", struct.pack(">I", size)) for _ in range(300)]))
+    assert media.inspect_bytes(head + runs)["error"] == "more samples than bytes"
+    one = media.inspect_bytes(head + b(b"moof", b(b"traf", f(b"tfhd", struct.pack(">I", 1)), f(b"trun", struct.pack(">I", 30)), f(b"trun", struct.pack(">I", 40)))))
+    assert one["error"] is None and one["n_samples"] == 70 and one["duration_s"] == 70 * 20 / 1000 and one["keyframes"] == []
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.binary(max_size=80), st.integers(0, 700), st.binary(min_size=1, max_size=8))
 def test_broken_containers_are_rows(raw, at, noise):

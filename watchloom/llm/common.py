@@ -197,6 +197,8 @@ SAMPLE_BYTES = 64 << 20
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int, where: Column | None = None, positive: int | None = None, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """text and label of at most `most` labelled documents of docs, those of lowest hash of the id, whole ones of sample_bytes in all at most.
 
+    A document that would exceed sample_bytes is left out, not those after it; a text that alone exceeds it is never in the sample.
+
     An id counts once, with its least text, however often it repeats. positive: take this many with a label above 0 at most, the others from the rest.
     """
     own = labels.select(F.col("doc_id").alias("_id"), F.col(column).cast("int").alias("label")).where("label is not null and _id is not null")
@@ -208,10 +210,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int,
     few = materialise(few)  # `most` rows: the broadcast is safe
     text = docs.select(docs["doc_id"].alias("_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     rows = materialise(text.join(F.broadcast(few), "_id").groupBy("_id", "label").agg(F.min("text").alias("text")))
-    sizes = rows.select("_id", F.octet_length("text").alias("n")).orderBy(*order).collect()  # `most` rows
-    total = np.cumsum([r["n"] for r in sizes])
-    if len(sizes) and total[-1] > sample_bytes:
-        rows = rows.where(F.col("_id").isin([r["_id"] for r, t in zip(sizes, total, strict=True) if t <= sample_bytes]))
+    taken, total = [], 0
+    for r in rows.select("_id", F.octet_length("text").alias("n")).orderBy(*order).collect():  # `most` rows
+        if total + r["n"] <= sample_bytes:  # one that doesn't fit is passed over; smaller ones after it may
+            taken.append(r["_id"])
+            total += r["n"]
+    rows = rows.where(F.col("_id").isin(taken))
     return rows.select("text", "label")
 
 

@@ -145,7 +145,8 @@ def track(data: memoryview, inside: dict[bytes, tuple[int, int]]) -> dict:
     starts = table(data, *inside[b"co64"], ">u8")[:, 0] if b"co64" in inside else table(data, *inside[b"stco"], ">u4")[:, 0]
     runs = table(data, *inside[b"stsc"], ">u4", 3)
     edges = np.minimum(np.append(runs[1:, 0] - 1, len(starts)), len(starts))
-    per_chunk = np.repeat(runs[:, 1], np.maximum(edges - np.minimum(runs[:, 0] - 1, len(starts)), 0))[: len(starts)]
+    chunks = np.maximum(edges - np.minimum(runs[:, 0] - 1, len(starts)), 0)
+    per_chunk = np.repeat(runs[:, 1], np.clip(len(starts) - np.cumsum(chunks) + chunks, 0, chunks))  # cut first: runs in no order may repeat chunks
     n, each, sizes = sizes_of(data, inside)
     first = np.cumsum(per_chunk) - per_chunk
     per_chunk = np.clip(n - first, 0, per_chunk)
@@ -201,8 +202,19 @@ def fragment(data: memoryview, head: int, a: int, b: int, known: dict[int, tuple
                 if flags & 4:
                     lead, at = struct.unpack_from(">I", data, at)[0], at + 4
                 columns = [c for c, bit in (("duration", 0x100), ("size", 0x200), ("flags", 0x400), ("shift", 0x800)) if flags & bit]
-                if n > len(data) or 4 * n * len(columns) > q - at:
+                if sum(t["n_samples"] for t in found.values()) + n > len(data) or 4 * n * len(columns) > q - at:
                     raise ValueError("more samples than bytes")
+                t = found[number]
+                if not columns:  # all samples alike: no array of them
+                    stop = end + n * own[1]
+                    if stop > len(data):
+                        raise ValueError("samples past the end")
+                    head_sync, sync = (not (own[2] if lead is None else lead) & 0x10000), not own[2] & 0x10000
+                    parts = [(end, end + own[1], head_sync), (end + own[1], stop, sync)] if n else []
+                    parts = [(parts[0][0], stop, sync)] if n and head_sync == sync else parts
+                    t["ranges"] += [(x, y) for x, y, keep in parts if keep and y > x]
+                    t["n_samples"], t["ticks"], end = t["n_samples"] + n, t["ticks"] + n * own[0], stop
+                    continue
                 rows = np.frombuffer(data, ">u4", n * len(columns), at).astype(np.int64).reshape(n, -1)
                 of = lambda c, other: rows[:, columns.index(c)] if c in columns else np.full(n, other, np.int64)  # noqa: E731, B023
                 size, sync = of("size", own[1]), of("flags", own[2]) & 0x10000 == 0
@@ -211,7 +223,6 @@ def fragment(data: memoryview, head: int, a: int, b: int, known: dict[int, tuple
                 low = end + np.cumsum(size) - size
                 if n and int(low[-1] + size[-1]) > len(data):
                     raise ValueError("samples past the end")
-                t = found[number]
                 t["ranges"] += merged(low[sync], (low + size)[sync], len(data))
                 t["n_samples"], t["ticks"] = t["n_samples"] + n, t["ticks"] + int(of("duration", own[0]).sum())
                 end = int(low[-1] + size[-1]) if n else end
