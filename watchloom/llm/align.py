@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 
@@ -36,7 +37,9 @@ SHORT, WORK = 1 << 16, 1 << 14
 #: Of all links, the share from which on a pair is broadcast: so many pairs at most.
 HEAVY = 1 << 19
 #: Parts that a worker remembers, and their characters.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 8 << 20
+REMEMBERED, REMEMBERED_CHARS = 400_000, 16 << 20
+#: Characters that are given to a tokenizer at once.
+BULK = 1 << 14
 
 
 def byte_level() -> dict[str, int]:
@@ -55,17 +58,30 @@ class Side:
 
 
 def byte_side(path: str) -> Side:
-    """A byte-level BPE of the tokenizers library, whose pattern ends a match where white space begins; strings of special tokens are plain text."""
+    """A byte-level BPE in the tokenizers library's format, whose pattern ends a match where white space begins; strings of special tokens are plain text.
+
+    If each merge makes a token of a higher id than the one before, ids are ranks, and tiktoken encodes by them; else tokenizers does.
+    """
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
     table = byte_level()
-    vocabulary = t.get_vocab()
+    vocabulary = model["vocab"]
     token_bytes = [b""] * (1 + max(vocabulary.values()))
     for token, i in vocabulary.items():
         token_bytes[i] = bytes(table[c] for c in token) if all(c in table for c in token) else token.encode()
-    return Side(token_bytes, lambda parts: [e.ids for e in t.encode_batch(parts, add_special_tokens=False)])
+    made = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    if made == sorted(made) and len({*made}) == len(made):
+        import public_tokenizers
+        import tiktoken
+
+        ranks = {token_bytes[i]: i for token, i in vocabulary.items() if len(token) == 1} | {token_bytes[i]: i for i in made}
+        coder = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return Side(token_bytes, lambda texts: list(map(coder.encode_ordinary, texts)))
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    return Side(token_bytes, lambda texts: [e.ids for e in t.encode_batch(texts, add_special_tokens=False)])
 
 
 def piece_side(path: str) -> Side:
@@ -93,6 +109,7 @@ class Pair:
     def __init__(self, a: Side, b: Side) -> None:
         more = f"(?:[{re.escape(b.within)}][{WHITE}]*[^{WHITE}]*)*" if b.within else ""
         self.a, self.b, self.split = a, b, re.compile(f"[{WHITE}]*[^{WHITE}]+{more}|[{WHITE}]+").findall
+        self.white = frozenset(re.findall(f"[{WHITE}]", "".join(map(chr, range(0x3001)))))
         self.forget()
 
     def forget(self) -> None:
@@ -103,19 +120,46 @@ class Pair:
         self.chars = 0
 
     def learn(self, parts: list[str]) -> None:
-        """Encode parts, each once. A part that B can't take by itself (it begins without a blank) is given to it with one, which goes again."""
+        """Encode parts, each once: those between blanks many in a row, cut at their bytes; the others by themselves."""
+        chunks, plain, odd, size = [], [], [], BULK
+        for p in parts:
+            if p[0] == " " and p[-1] not in self.white and "▁" not in p:
+                if size >= BULK:
+                    chunks.append([])
+                    size = 0
+                chunks[-1].append(p)
+                size += len(p)
+                plain.append(p)
+            else:
+                odd.append(p)
+        raw = ["".join(c) for c in chunks]
+        ends = np.cumsum([len(p.encode()) for p in plain], dtype=np.int64)
+        got, whole = [], "".join(raw).encode()
+        for side in (self.a, self.b):
+            ids = np.fromiter((i for x in side.encode(raw) for i in x), np.int32)
+            stops = np.cumsum(side.length[ids])
+            at = np.searchsorted(stops, ends)
+            same = b"".join(map(side.bytes.__getitem__, ids.tolist())) == whole and (stops[np.minimum(at, len(stops) - 1)] == ends).all()
+            got.append((ids, at + 1) if same else None)
+        if None in got:
+            got, plain, odd = [(np.zeros(0, np.int32), np.zeros(0, np.int64))] * 2, [], parts
+        self.keep(plain, got, [True] * len(plain))
+        if odd:
+            self.keep(odd, *self.one_by_one(odd))
+
+    def one_by_one(self, parts: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[bool]]:
+        """(ids and ends of A's and B's, whether both give the part's bytes). A part that begins without a blank is given to B with one, which goes again."""
         bare = [p[:1] != " " for p in parts]
-        got = [self.a.encode(parts), self.b.encode([" " + p if x else p for p, x in zip(parts, bare, strict=True)])]
-        same = []
-        for p, x, a, b in zip(parts, bare, *got, strict=True):
-            raw = p.encode()
-            if x:
-                del b[0]  # the blank: no token of B is a blank with other white space
-            same.append(b"".join(self.a.bytes[i] for i in a) == raw and b"".join(self.b.bytes[i] for i in b) == raw)
-        for k in (0, 1):
-            self.at[k] = np.concatenate([self.at[k], self.at[k][-1] + np.cumsum([len(x) for x in got[k]], dtype=np.int64)])
-            self.ids[k] = np.concatenate([self.ids[k], np.fromiter((i for x in got[k] for i in x), np.int32)])
-        self.good = np.concatenate([self.good, np.array(same, bool)])
+        found = [self.a.encode(parts), self.b.encode([" " + p if x else p for p, x in zip(parts, bare, strict=True)])]
+        found[1] = [b[1:] if x else b for b, x in zip(found[1], bare, strict=True)]  # the blank: no token of B is a blank with other white space
+        good = [all(b"".join(map(side.bytes.__getitem__, f[k])) == p.encode() for side, f in zip((self.a, self.b), found, strict=True)) for k, p in enumerate(parts)]
+        return [(np.fromiter((i for x in f for i in x), np.int32), np.cumsum([len(x) for x in f], dtype=np.int64)) for f in found], good
+
+    def keep(self, parts: list[str], got: list[tuple[np.ndarray, np.ndarray]], good: list[bool]) -> None:
+        for k, (ids, ends) in enumerate(got):
+            self.at[k] = np.concatenate([self.at[k], self.at[k][-1] + ends])
+            self.ids[k] = np.concatenate([self.ids[k], ids])
+        self.good = np.concatenate([self.good, np.array(good, bool)])
         for p in parts:
             self.slot[p] = len(self.slot)
             self.chars += len(p)
@@ -192,13 +236,16 @@ def listed(ids: np.ndarray) -> list[str]:
 
 
 def group_texts(a_ids: np.ndarray, b_ids: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[str]:
-    """A group of each overlap: the tokens after the one before it, up to its own."""
-    a, b = listed(a_ids), listed(b_ids)
-    out, p, q = [], 0, 0
-    for i, j in zip((x + 1).tolist(), (y + 1).tolist(), strict=True):
-        out.append(f"{a[p] if i - p == 1 else ','.join(a[p:i])}|{b[q] if j - q == 1 else ','.join(b[q:j])}")
-        p, q = i, j
-    return out
+    """A group of each overlap: the tokens after the one before it, up to its own. Groups of two tokens, most of them, are written once each."""
+    out = np.empty(len(x), object)
+    p, q = (np.append(0, k[:-1] + 1)[: len(k)] for k in (x, y))
+    two = (p == x) & (q == y)
+    codes, which = np.unique(a_ids[x[two]].astype(np.int64) << 32 | b_ids[y[two]].astype(np.int64), return_inverse=True)
+    out[two] = np.array([f"{c >> 32}|{c & 0xFFFFFFFF}" for c in codes.tolist()], object)[which]
+    more, a, b = np.flatnonzero(~two), a_ids.tolist(), b_ids.tolist()
+    for k, *at in zip(more.tolist(), p[more].tolist(), (x[more] + 1).tolist(), q[more].tolist(), (y[more] + 1).tolist(), strict=True):
+        out[k] = f"{','.join(map(str, a[at[0] : at[1]]))}|{','.join(map(str, b[at[2] : at[3]]))}"
+    return out.tolist()
 
 
 MERGED = "_row long, n_a long, n_b long, n_groups long, groups_sha256 string, links binary"
