@@ -77,3 +77,18 @@ def test_frames(spark, awkward, nothing, library):
     d = bpe.digests(awkward).collect()
     assert {r["decoded_sha256"] for r in d} == {hashlib.sha256((r["text"] or "").encode()).hexdigest() for r in short}
     assert bpe.digests(nothing).count() == 0
+
+
+def test_copies_of_a_long_text_are_encoded_once_and_spread(spark, vocabulary):
+    """A third of all rows are one long text: its chunks are dealt out, and every copy gets the ids."""
+    import public_tokenizers
+    from collections import Counter
+
+    r = random.Random(3)
+    hot = " ".join(r.choice(vocabulary) for _ in range(3000))
+    rows = [(i, hot if i % 3 == 0 else " ".join(r.choice(vocabulary) for _ in range(20))) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    at = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = bpe.encode(docs, *at, chunk=256, overlap=64)
+    plain = bpe.Coder(*at)
+    assert Counter((x["doc_id"], bytes(x["ids"])) for x in coded.collect()) == Counter((i, plain.encode(t)) for i, t in rows)

@@ -76,3 +76,14 @@ def test_mixed_returns_documents(awkward):
     assert m.columns == awkward.columns
     copies = mixing.mix(awkward, bucket_rows=8).agg({"copies": "sum"}).first()[0]
     assert m.count() == copies
+
+
+def test_mixed_with_a_third_equal_rows(spark):
+    """A row that makes up a third of the table, rows equal but for other columns, and rows met once: each as often as its unit is drawn."""
+    rows = [(7, "hot", "same words here", "x")] * 400 + [(8, "hot", "a b c", str(i)) for i in range(50)] + [(100 + i, f"s{i % 3}", "w " * (i % 9 + 1), "y") for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, more string").repartition(5)
+    got = mixing.mixed(docs, bucket_rows=64).groupBy("doc_id", "source").count().collect()
+    want = mixing.mix(docs, bucket_rows=64).groupBy("doc_id", "source").agg({"copies": "sum"}).collect()
+    assert {(r["doc_id"], r["source"]): r["count"] for r in got} == {(r["doc_id"], r["source"]): r["sum(copies)"] for r in want if r["sum(copies)"]}
+    again = lambda n: sorted(map(str, mixing.mixed(docs.repartition(n), bucket_rows=64).collect()))
+    assert again(3) == again(7)

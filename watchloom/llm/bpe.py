@@ -219,8 +219,8 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, *, column: str = "text
     rows = docs.where(long).withColumn(doc, F.sha2(docs[text], 256))
     n = F.length(text)
     span = lambda s: F.struct(s.alias("_start"), F.substr(text, s + 1, F.lit(chunk + overlap)).alias("_piece"))
-    cut = rows.select(F.col(doc).alias("_doc"), n.alias("_n"), F.inline(F.transform(F.sequence(F.lit(0), n - 1, F.lit(chunk)), span)))
-    cut = cut.repartition("_doc", "_start").dropDuplicates(["_doc", "_start"])  # one exchange serves both
+    texts = rows.select(F.col(doc).alias("_doc"), text).groupBy("_doc").agg(F.first(text).alias(text))  # a task sends a text once, however often it has it
+    cut = texts.select("_doc", n.alias("_n"), F.inline(F.transform(F.sequence(F.lit(0), n - 1, F.lit(chunk)), span))).repartition("_doc", "_start")
     marks = "array<struct<at:int,offset:int>>"
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

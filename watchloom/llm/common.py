@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +55,33 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def repeats(rows: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """_row, _copy of written rows (with `_row`, a number of their own): a number from 1 on for all but the first of the rows of a key, by `order`.
+
+    Tasks number the rows they see that are equal in both; the counts by task, a row a task, are added up in order. No task meets more rows
+    equal in both than it reads. order: a column of whole numbers; rows equal in both are taken as interchangeable.
+    """
+    rows = rows.select(F.col(key).alias("_of"), (F.lit(0) if order is None else F.col(order)).cast("long").alias("_by"), "_row")
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict = defaultdict(int)
+        part = TaskContext.get().partitionId()
+        for b in batches:
+            nth = []
+            for k in zip(b.column("_of").to_pylist(), b.column("_by").to_pylist(), strict=True):
+                nth.append(seen[k])
+                seen[k] += 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(nth), part, np.int32)), pa.array(nth, pa.int64())], names=["_of", "_by", "_row", "_part", "_nth"])
+
+    narrow = materialise(rows.mapInArrow(number, f"_of {rows.schema['_of'].dataType.simpleString()}, _by long, _row long, _part int, _nth long"))
+    groups = ["_of", "_by", "_part"]
+    tally = narrow.groupBy(*groups).agg((F.max("_nth") + 1).alias("_n"))
+    of_key = Window.partitionBy("_of")
+    before = F.sum("_n").over(of_key.orderBy("_by", "_part")) - F.col("_n")
+    many = tally.withColumns({"_all": F.sum("_n").over(of_key), "_before": before}).where("_all > 1").select(*groups, "_before")
+    return materialise(narrow.join(many, groups).select("_row", (F.col("_nth") + F.col("_before")).alias("_copy")).where("_copy > 0"))
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -18,10 +18,10 @@ from __future__ import annotations
 import random
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from watchloom.llm.common import materialise, need, prepare, ranked
+from watchloom.llm.common import materialise, need, prepare, ranked, repeats
 
 #: A word: a run of other characters than ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -157,14 +157,28 @@ def mix(docs: DataFrame, **how) -> DataFrame:  # noqa: ANN003
     return out.select("doc_id", "source", "size", "source_size", "target", nth_copies(F.col("n")).alias("copies"))
 
 
+#: Equal rows that hold more than one in HOT of all rows: HOT different ones at most.
+HOT = 4096
+
+
 def mixed(docs: DataFrame, **how) -> DataFrame:  # noqa: ANN003
-    """The documents of the mix, with repeats, in the columns of docs."""
+    """The documents of the mix, with repeats, in the columns of docs.
+
+    Rows equal in id, source and size share the copies of their unit in the order of a hash of all columns; rows equal in that are the
+    same. Units of many rows are broadcast (HOT at most), so that a repeated row meets in no single task.
+    """
     key = lambda size: F.to_json(F.struct("doc_id", "source", size.alias("size"))).alias("_key")
-    units = draw(docs, **how).where("total > 0").select(key(F.col("size")), "rows", "total")
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), key(word_count(docs["text"])))
-    rows = rows.join(units, "_key").withColumn("_n", F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("_row.text"))) - 1)
-    rows = rows.withColumn("_copies", nth_copies(F.col("_n"))).where("_copies > 0")
-    return rows.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy")).select("_row.*")
+    units = materialise(draw(docs, **how).select(key(F.col("size")), "rows", "total"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), key(word_count(docs["text"])))
+    share = units.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] // HOT
+    often = (F.col("rows") > share) & (F.col("rows") > 1)
+    hot = F.broadcast(units.where(often))
+    met = rows.join(hot, "_key").unionByName(rows.join(hot.select("_key"), "_key", "left_anti").join(units.where(~often), "_key")).where("total > 0")
+    many = met.where("rows > 1").withColumns({"_row": F.monotonically_increasing_id(), "_by": F.xxhash64(*[F.col("_doc")[c] for c in docs.columns])})
+    many = materialise(many)
+    again = many.join(repeats(many, "_key", "_by"), "_row", "left").withColumn("_copies", nth_copies(F.coalesce("_copy", F.lit(0))))
+    out = met.where("rows = 1").withColumn("_copies", F.col("total")).select("_doc", "_copies").unionByName(again.select("_doc", "_copies")).where("_copies > 0")
+    return out.select("_doc", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy")).select("_doc.*")
 
 
 def op1_cube_mix(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001

@@ -12,16 +12,10 @@ empty; an empty table gives an empty result; other columns ride along in `shard_
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchloom.llm.common import histogram, materialise, need, ordered_key, pick, prepare, slice_of, splitters
+from watchloom.llm.common import histogram, materialise, need, ordered_key, pick, prepare, repeats, slice_of, splitters
 
 
 #: Slices of a shard at most: what the driver holds of each is a key and two counts.
@@ -29,29 +23,9 @@ MOST_SLICES = 1024
 
 
 def told_apart(keyed: DataFrame) -> DataFrame:
-    """keyed, written, with other keys for all but one of the rows that have one `key`, still behind its first half.
-
-    Tasks number the equal rows they see; the counts of a key by task, a row a task, are added up in order. No task meets more rows of a key
-    than it reads.
-    """
+    """keyed, written, with other keys for all but one of the rows that have one `key`, still behind its first half."""
     rows = materialise(keyed.withColumn("_row", F.monotonically_increasing_id()))
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = defaultdict(int)
-        part = TaskContext.get().partitionId()
-        for b in batches:
-            nth = []
-            for k in b.column("key").to_pylist():
-                nth.append(seen[k])
-                seen[k] += 1
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("_row"), pa.array(np.full(len(nth), part, np.int32)), pa.array(nth, pa.int64())], names=["key", "_row", "_part", "_nth"])
-
-    narrow = materialise(rows.select("key", "_row").mapInArrow(number, "key binary, _row long, _part int, _nth long"))
-    tally = narrow.groupBy("key", "_part").agg((F.max("_nth") + 1).alias("_n"))
-    of_key = Window.partitionBy("key")
-    before = F.sum("_n").over(of_key.orderBy("_part")) - F.col("_n")
-    many = tally.withColumns({"_all": F.sum("_n").over(of_key), "_before": before}).where("_all > 1").select("key", "_part", "_before")
-    again = materialise(narrow.join(many, ["key", "_part"]).select("_row", (F.col("_nth") + F.col("_before")).alias("_copy")).where("_copy > 0"))
+    again = repeats(rows, "key")
     if not again.limit(1).count():
         return rows.drop("_row")
     other = F.unhex(F.lpad(F.hex(F.xxhash64(F.substring("key", 9, 8), "_copy")), 16, "0"))
