@@ -92,20 +92,20 @@ def orphans(watch_history: DataFrame, videos: DataFrame) -> DataFrame:
 
 
 def recompute_window(watch_history: DataFrame, start: str | None = None, end: str | None = None, *, clear: bool = False) -> DataFrame:
-    """watch_history with in_window set anew and `changed`; refuses to run without a date or clear."""
+    """watch_history, or links that wait (with in_window), with in_window set anew and `changed`; refuses to run without a date or clear."""
     if not (start or end or clear):
         raise ValueError("give a start, an end, or clear=True")
     new = F.lit(True) if clear else in_window(F.col("watched_at"), start, end)
     return watch_history.withColumn("changed", F.col("in_window") != new).withColumn("in_window", new)
 
 
-def pending_links(entries: DataFrame, existing: DataFrame | None = None, order: list[str] | None = None) -> DataFrame:
-    """Short links that wait for their target: respondent_id, url, watched_at, once each."""
+def pending_links(entries: DataFrame, existing: DataFrame | None = None, order: list[str] | None = None, window: tuple[str | None, str | None] | None = None) -> DataFrame:
+    """Short links that wait for their target: respondent_id, url, watched_at, once each; with a window also in_window, as watch rows have it."""
     order = order or [c for c in ORDER if c in entries.columns]
     rows = checked(entries).where("skip_reason = 'short_link' and watched_at is not null").select("respondent_id", F.col("link").alias("url"), "watched_at", *order)
     keys = ["respondent_id", "url", "watched_at"]
     new = first_by(rows, keys, order) if existing is None else insert_ignore(existing, rows, keys, order)
-    return new.select(*keys)
+    return new.select(*keys) if window is None else new.select(*keys, in_window(F.col("watched_at"), *window).alias("in_window"))
 
 
 def promote_links(pending: DataFrame, resolved: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,7 @@ from watchloom.operators import commits, enrich, failures, ingest, pages, report
 from watchloom.plans import feeds
 from watchloom.operators.tables import shared_folder, written
 from watchloom.plans.feeds import AS_OF, ORDER, R, T, V, W
-from watchloom.sources import exports
+from watchloom.sources import audio, exports, large_exports
 from watchloom.streaming import inbox
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +153,14 @@ def export_entries(spark, sf_dir):
     return rows.groupBy("respondent_id", "link", "date").agg(F.count("*").alias("n"))
 
 
+@query(f"WITH {W} SELECT respondent_id, link, date, count(*) AS n FROM w GROUP BY ALL")
+def large_export_entries(spark, sf_dir):
+    """The same files entry by entry, without a whole file in memory."""
+    large_exports.register(spark)
+    rows, _ = large_exports.entries(spark, write_exports(spark, sf_dir), glob="part-*", level=-2)
+    return rows.groupBy("respondent_id", "link", "date").agg(F.count("*").alias("n"))
+
+
 def drained(spark, sf_dir) -> commits.Snapshot:
     """The tables after the export files were picked up by the incremental ingest, some a batch."""
     root, at = shared_folder(spark), write_exports(spark, sf_dir)
@@ -393,6 +401,14 @@ def window_recompute(spark, sf_dir):
     return ingest.recompute_window(w, start="2024-01-15").groupBy("in_window", "changed").agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH {W}, d AS (SELECT DISTINCT respondent_id, link, watched_at FROM w WHERE skip_reason = 'short_link' AND watched_at IS NOT NULL), x AS (SELECT CAST(to_timestamp(watched_at) AT TIME ZONE 'UTC' AS DATE) AS day FROM d)
+SELECT day >= DATE '2024-01-15' AS in_window, (day >= DATE '2024-01-15') <> (day <= DATE '2024-01-20') AS changed, count(*) AS n FROM x GROUP BY ALL""")
+def window_recompute_links(spark, sf_dir):
+    """The same for links that still wait for their target."""
+    p = ingest.pending_links(feeds.watch_entries(spark, sf_dir), order=ORDER, window=(None, "2024-01-20"))
+    return ingest.recompute_window(p, start="2024-01-15").groupBy("in_window", "changed").agg(F.count("*").alias("n"))
+
+
 @query(f"WITH {W} SELECT DISTINCT respondent_id, link AS url, watched_at FROM w WHERE skip_reason = 'short_link' AND watched_at IS NOT NULL")
 def pending_links(spark, sf_dir):
     return ingest.pending_links(feeds.watch_entries(spark, sf_dir), order=ORDER)
@@ -612,6 +628,19 @@ def wav_decode(spark, sf_dir):
     return enrich.wav_files(files).select(F.col("path").cast("long").alias("doc_id"), "n_samples", "duration_s", "error_kind")
 
 
+@query("""WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n FROM documents)
+SELECT doc_id, n AS n_samples, CASE WHEN n > 0 THEN n / 16000.0 END AS duration_s, CASE WHEN n = 0 THEN 'empty' END AS error_kind, CAST(n AS DOUBLE) * 0.0625 AS energy FROM d""")
+def wav_source(spark, sf_dir):
+    """A file a document, as many samples of 1/4 as its text has bytes: written, scanned by name and decoded range by range."""
+    at = shared_folder(spark)
+    audio.register(spark)
+    d = feeds.table(spark, sf_dir, "documents").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).alias("n"))
+    d.select(F.concat(F.col("doc_id").cast("string"), F.lit("_16k.wav")).alias("name"), F.array_repeat(F.lit(0.25).cast("float"), F.col("n")).alias("samples")).write.format("wav").option("path", at).mode("append").save()
+    got = spark.read.format("wav").option("path", at).option("glob", "*_16k.wav").option("rangeBytes", 1 << 16).option("samples", False).load()
+    files = got.groupBy("path").agg(F.sum("n_samples").alias("n"), F.max("error_kind").alias("error_kind"), F.coalesce(F.sum("energy"), F.lit(0.0)).alias("energy"))
+    return files.select(F.regexp_extract("path", r"([0-9]+)_16k\.wav\z", 1).cast("long").alias("doc_id"), F.col("n").alias("n_samples"), F.when(F.col("n") > 0, F.col("n") / float(enrich.RATE)).alias("duration_s"), "error_kind", "energy")
+
+
 @query("""SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN 'missing' WHEN doc_id % 10 IN (4, 6) THEN 'differs' ELSE 'same' END AS verdict FROM documents""")
 def run_determinism(spark, sf_dir):
     """Whole artifacts of two runs, signals included: some are missing in the second, some have another model, some one changed token or segment."""
@@ -725,3 +754,13 @@ def page_markdown(spark, sf_dir):
 @query()
 def page_records(spark, sf_dir):
     return pages.records(pages_of(spark, sf_dir), "2024-02-03T22:40:00Z")
+
+
+@query("SELECT regexp_replace(url, '#.*', '') AS page, count(*) AS records, min(CAST(page_id % 2 AS INTEGER)) AS first_batch FROM pages GROUP BY 1")
+def page_record_index(spark, sf_dir):
+    """Page records written in two batches, the second one twice: the index has each record once."""
+    p, at = pages_of(spark, sf_dir), shared_folder(spark)
+    for batch in (0, 1, 1):
+        exports.write_page_records(pages.records(p.where(F.col("page_id") % 2 == batch), "2024-02-03T22:40:00Z"), at, batch=batch)
+    back = exports.read_page_records(spark, at)
+    return back.groupBy(F.regexp_replace("url", "#.*", "").alias("page")).agg(F.count("*").alias("records"), F.min("batch").alias("first_batch"))
