@@ -87,3 +87,24 @@ def test_mixed_with_a_third_equal_rows(spark):
     assert {(r["doc_id"], r["source"]): r["count"] for r in got} == {(r["doc_id"], r["source"]): r["sum(copies)"] for r in want if r["sum(copies)"]}
     again = lambda n: sorted(map(str, mixing.mixed(docs.repartition(n), bucket_rows=64).collect()))
     assert again(3) == again(7)
+
+
+def test_small_sources_come_near_their_targets(spark):
+    """The sources of the table of 1,000 documents, the smallest of 50: within 3 % of the target each."""
+    m = mixing.mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).selectExpr("source", "size * copies as taken", "target").groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+    worst = max(abs(x["sum(taken)"] / x["max(target)"] - 1) for x in m if x["max(target)"])
+    assert len(m) > 3 and worst < 0.03
+
+
+def test_the_landing_keeps_probabilities_and_sums():
+    r = random.Random(5)
+    for n in (1, 2, 7, 12, 40):
+        p, size = [r.random() for _ in range(n)], [float(r.randint(1, 100)) for _ in range(n)]
+        draws = [mixing.land(p, size, random.Random(k)) for k in range(600)]
+        assert all(set(d) <= {0.0, 1.0} for d in draws)
+        assert all(abs(sum(d[i] for d in draws) / len(draws) - p[i]) < 0.09 for i in range(n))
+        if n >= 12:
+            goal = sum(a * b for a, b in zip(p, size, strict=True))
+            errors = [sum(a * b for a, b in zip(d, size, strict=True)) - goal for d in draws]
+            assert sum(map(abs, errors)) / len(errors) < 0.05 * goal
+    assert mixing.land([], [], r) == [] and mixing.land([0.5, 0.5], [0.0, 0.0], r) in ([1.0, 0.0], [0.0, 1.0], [1.0, 1.0], [0.0, 0.0])

@@ -5,7 +5,7 @@ whole part is taken for sure. The fractional part is an inclusion probability; t
 moves these probabilities along the null space of the balancing constraints (sum of sizes, number
 of documents), so both totals stay put while one probability after another settles at 0 or 1. It
 runs bucket by bucket; what stays open (two units a bucket at most) meets in fewer, larger
-buckets, until one small landing problem a source is left.
+buckets, until one small landing problem a source is left: a linear programme over the subsets of its last units.
 
 Defined results: a null text has size 0; null is a source of its own, ordered last; rows equal in
 id, source and size are one unit with several copies, dealt out evenly, so that none is drawn
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,22 +91,68 @@ def move(p: list[float], hold: list[int], way: tuple[float, ...], rng: random.Ra
     hold[:] = left
 
 
-def land(p: list[float], size: list[float], rng: random.Random) -> list[float]:
-    """Landing: the count is given up first (a step that keeps the sum of sizes), then the last unit is drawn."""
-    p = fly(p, size, rng)
-    hold = [i for i, x in enumerate(p) if 0 < x < 1]
-    if len(hold) == 2:
-        move(p, hold, (size[hold[1]], -size[hold[0]]), rng)
-    for i in hold:
-        p[i] = 1.0 if rng.random() < p[i] else 0.0
+#: Units that are left to the landing at most: it weighs all their subsets.
+LANDING = 12
+#: Error of a source, as a part of its target, above which the landing rather changes a probability.
+NEAR = 0.02
+
+
+def land(p: list[float], size: list[float], rng: random.Random, target: float | None = None) -> list[float]:
+    """Landing: the flight settles all units but LANDING, the largest and some smaller ones; of these one subset is drawn by the best design.
+
+    The design is the linear programme over all subsets that keeps each unit's probability and makes the expected squared error of the
+    sum of sizes (that of the count little beside it) least. With a target (of all the source), probabilities may change where keeping them
+    would cost more than NEAR of it: a document that is much of its source can't be left out and made up for.
+    """
+    p = list(p)
+    still = [i for i, x in enumerate(p) if 0 < x < 1]
+    large = sorted(still, key=lambda i: size[i])
+    most = LANDING - 2
+    rest, few = large[: -(most * 2 // 3)], most - most * 2 // 3
+    kept = set(large) if len(large) <= most else set(large[len(rest) :]) | {rest[k * len(rest) // few] for k in range(few)}
+    go = [i for i in still if i not in kept]
+    for i, x in zip(go, fly([p[i] for i in go], [size[i] for i in go], rng), strict=True):
+        p[i] = x
+    hold = [i for i in still if 0 < p[i] < 1]
+    if hold:
+        for i, x in zip(hold, drawn(np.array([p[i] for i in hold]), np.array([size[i] for i in hold]), rng, target), strict=True):
+            p[i] = float(x)
     return p
 
 
+def drawn(p: np.ndarray, size: np.ndarray, rng: random.Random, target: float | None = None) -> np.ndarray:
+    """A subset (0 or 1 a unit) from the design of least expected error that includes each unit with its probability (see land)."""
+    n = len(p)
+    sets = ((np.arange(1 << n)[:, None] >> np.arange(n)) & 1).astype(float)
+    cost = ((sets - p) @ size / max(target or float(size.max()), 1.0)) ** 2 + 1e-6 * ((sets - p).sum(axis=1) / n) ** 2
+    rows, want = np.column_stack([np.ones(1 << n), sets]), np.append(1.0, p)
+    if target is not None:  # what a changed probability costs, up and down
+        one = np.eye(n + 1)[1:]
+        rows, cost = np.concatenate([rows, one, -one]), np.append(cost, np.full(2 * n, NEAR**2))
+    apart = want + np.append(0.0, 1e-7 * np.arange(1, n + 1))  # equal probabilities would let the steps go in circles
+    order = np.argsort(-apart[1:], kind="stable")
+    basis = np.append(0, np.cumsum(1 << order))  # no unit, the likeliest, the two likeliest, ...: a design with these probabilities
+    for _ in range(50 * n):
+        b = rows[basis].T
+        price = np.linalg.solve(b.T, cost[basis])
+        gain = cost - rows @ price
+        into = int(gain.argmin())
+        if gain[into] > -1e-10:
+            break
+        share, way = np.linalg.solve(b, apart), np.linalg.solve(b, rows[into])
+        far = np.full(n + 1, np.inf)
+        far[way > 1e-9] = np.maximum(share[way > 1e-9], 0) / way[way > 1e-9]
+        basis[int(far.argmin())] = into
+    share = np.where(basis < 1 << n, np.maximum(np.linalg.solve(rows[basis].T, want), 0), 0)
+    return sets[basis[rng.choices(range(n + 1), share.tolist())[0]]]
+
+
 def level(units: DataFrame, last: bool, seed: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "doc_id"], na_position="first", kind="stable")
         rng = random.Random(f"{seed} {pdf['source'].iloc[0]} {pdf['bucket'].iloc[0]} {len(pdf)}")
-        pdf["open"] = (land if last else fly)(pdf["open"].tolist(), [float(x) for x in pdf["size"]], rng)
+        given = pdf["open"].tolist(), [float(x) for x in pdf["size"]], rng
+        pdf["open"] = land(*given, float(pdf["target"].iloc[0])) if last else fly(*given)
         return pdf
 
     return units.groupBy("source", "bucket").applyInPandas(run, units.schema)
