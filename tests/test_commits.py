@@ -2,6 +2,7 @@
 
 import json
 import threading
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ def videos(spark, n, **more):
 
 @pytest.fixture
 def root(tmp_path):
-    return f"file://{tmp_path}/root"
+    return f"file://{tmp_path}/a root"
 
 
 def states(snapshot):
@@ -119,7 +120,7 @@ def test_only_touched_buckets_are_scanned(spark, root):
     # the file of events has a Bloom filter on the key
     import pyarrow.parquet as pq
 
-    column = pq.ParquetFile(log.inputFiles()[0].removeprefix("file://")).metadata.row_group(0).to_dict()["columns"]
+    column = pq.ParquetFile(unquote(log.inputFiles()[0].removeprefix("file://"))).metadata.row_group(0).to_dict()["columns"]
     assert any(c["path_in_schema"] == "video_id" for c in column)
 
 
