@@ -55,6 +55,15 @@ def test_a_full_memory_forgets_and_stays_right(library, monkeypatch):
     assert c.encode(t) == pack(library.encode_ordinary(t)) and len(c.parts) <= 3 and len(c.parts.old) <= 3
 
 
+def test_a_coder_that_forgot_encodes_as_before(library):
+    c = bpe.Coder(*AT)
+    t = "one two three, four one two; Straße 語 " * 20
+    for _ in range(2):
+        assert c.encode(t) == pack(library.encode_ordinary(t)) and len(c.parts)
+        c.forget()
+        assert not any(map(len, (c.parts, c.parts.old, c.pieces, c.pieces.old)))
+
+
 @pytest.mark.parametrize("overlap", [2, 8, 40])
 def test_stitching_is_exact(library, overlap):
     c = bpe.Coder(*AT)

@@ -63,6 +63,10 @@ class Memory(dict):
             self[key] = out
         return out
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
 
 class Coder:
     """Encodes and decodes by a rank file; ids are little-endian unsigned 32-bit integers."""
@@ -131,6 +135,12 @@ class Coder:
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.parts.__getitem__, self.split(text)))
 
+    def forget(self) -> None:
+        """At the end of a task: idle workers stay with an executor, so they should hold little beside the stages that follow."""
+        self.parts.forget()
+        self.pieces.forget()
+        pa.default_memory_pool().release_unused()
+
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all ids, length of each)."""
         length = self.length[ids]
@@ -213,6 +223,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, *, column: str = "text
         for b in pieces(batches, text):
             ids = pa.array([c.encode(t or "") for t in b.column(text).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), ids], names=[*names, "ids"])
+        c.forget()
 
     short = docs.where(~long).mapInArrow(whole, f"{out}, ids binary")
     doc = unused(docs, "_doc")  # equal texts share their ids
@@ -231,6 +242,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, *, column: str = "text
             got = [chain(c, t, s, s + chunk, s + chunk >= n, overlap) for s, n, t in zip(*cols, strict=True)]
             pair = lambda m: [{"at": p, "offset": k} for p, k in m]
             yield pa.RecordBatch.from_arrays([b.column("_doc"), b.column("_start"), pa.array([pair(h) for h, _, _ in got], kind), pa.array([pair(t) for _, t, _ in got], kind), pa.array([i for *_, i in got], pa.binary())], names=["_doc", "_start", "_head", "_tail", "_ids"])
+        c.forget()
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_start")
