@@ -3,12 +3,14 @@ import re
 import struct
 from html import unescape
 
+import duckdb
 import pytest
 
 from tests.test_state import NOW, by_id, table
 from watchloom.functions import web
 from watchloom.operators import enrich, failures, pages
 from watchloom.operators.tables import written
+from watchloom.plans import registry
 from watchloom.sources import exports
 
 
@@ -220,3 +222,20 @@ def test_pages_that_fail_are_visited_and_not_counted(spark):
     assert pages.crawl(e, p, s.where("false")).count() == 0
     order = [r["url"] for r in pages.first_seen(pages.crawl(e, p, s)).orderBy("nth").collect()]
     assert order == sorted(brute(None), key=lambda u: (brute(None)[u][0], u))
+
+
+@pytest.mark.parametrize("html, browser, ended", [("<title>A &amp; B &amp</title>", "A & B &", "A & B &amp"), ("x\r\x0c\u2028\n<title>a\n &lt;&eacute;&#x27;&quot</title>", "a <\u00e9'\"", "a <\u00e9'&quot"), ("<title>1 < 2 &gt</title>", "1 < 2 >", "1 < 2 &gt"), ("<title>&amp;lt; &lt", "&lt; <", "&lt; &lt"), ("<title></title>", "u", "u")])
+def test_titles_with_references_without_a_semicolon(html, browser, ended):
+    assert pages.read(html, "u")[0] == browser and pages.read(html, "u", ended=True)[0] == ended
+
+
+def test_page_title_follows_its_sql_where_a_reference_is_cut(spark, tmp_path):
+    rows = [(1, "http://h/a", "<html><title>und &amp;&amp; ver&amp</title></html>"), (2, "http://h/b", "<title>a &lt;b&gt</title>"), (3, "http://h/c", "<p>none")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    db = duckdb.connect()
+    db.sql(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(map(tuple, registry.QUERIES["page_title"](spark, str(tmp_path)).collect())) == sorted(db.sql(registry.ORACLE["page_title"]).fetchall())
+
+
+def test_main_content_is_found_after_other_line_ends():
+    assert pages.read("a\rb\x0cc\u2028d\n<p>x</p>\n<main>one</main>", "u")[2] == "one"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 from itertools import count
 
@@ -18,6 +19,7 @@ from watchloom.operators.tables import numbered, shared_folder, written
 MAIN = (("main", "", ""), ("article", "", ""), ("", "", "main"), ("", "theme-doc-markdown", ""), ("", "markdown", ""), ("", "content", ""), ("", "doc-content", ""), ("", "DocSearch-content", ""))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 PAGE_CAP = 1000
+REFERENCE = re.compile(r"&#?\w+;")
 
 
 class Outline(HTMLParser):
@@ -25,13 +27,11 @@ class Outline(HTMLParser):
 
     def __init__(self, html: str) -> None:
         super().__init__(convert_charrefs=True)
-        self.html, self.lines = html, [0]
-        for line in html.splitlines(keepends=True):
-            self.lines.append(self.lines[-1] + len(line))
+        self.html, self.lines = html, [0, *(m.end() for m in re.finditer("\n", html))]  # the parser counts no other line ends
         self.open: list[tuple[str, int, list[int]]] = []
         self.found: dict[int, str] = {}
         self.body = ""
-        self.titles: list[list[str]] = []
+        self.titles: list[list[tuple[str, str]]] = []  # of each title, its text and the source of it
         self.hrefs: list[str] = []
         self.feed(html)
         self.close()
@@ -56,7 +56,9 @@ class Outline(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1][0] == "title" and self.titles:
-            self.titles[-1].append(data)
+            at = self.place()
+            end = self.html.find("<", at + 1)
+            self.titles[-1].append((data, data if self.html.startswith("<", at) else self.html[at : None if end < 0 else end]))
 
     def handle_endtag(self, tag: str) -> None:
         if any(t == tag for t, _, _ in self.open):
@@ -73,8 +75,10 @@ class Outline(HTMLParser):
         if tag == "body":
             self.body = inner
 
-    def title(self) -> str:
-        return " ".join("".join(self.titles[0]).split()) if self.titles else ""
+    def title(self, *, ended: bool = False) -> str:
+        """ended: a character reference without its semicolon stays as it is written; a browser decodes some of them."""
+        text = "".join(REFERENCE.sub(lambda m: unescape(m[0]), source) if ended else data for data, source in self.titles[0]) if self.titles else ""
+        return " ".join(text.split())
 
     def main(self) -> str:
         return self.found[min(self.found)] if self.found else self.body
@@ -184,10 +188,10 @@ class Text(HTMLParser):
         return re.sub(r"\s+", " ", "".join(self.out)).strip()
 
 
-def read(html: str, url: str) -> tuple[str, list[str], str]:
-    """(title or the URL, distinct normalised links in ascending order, HTML of the main content) of a page, parsed once."""
+def read(html: str, url: str, *, ended: bool = False) -> tuple[str, list[str], str]:
+    """(title or the URL, distinct normalised links in ascending order, HTML of the main content) of a page, parsed once. ended: see Outline.title."""
     o = Outline(html)
-    return o.title() or url, sorted({x for h in o.hrefs if (x := web.resolved(h, url)) is not None}), o.main()
+    return o.title(ended=ended) or url, sorted({x for h in o.hrefs if (x := web.resolved(h, url)) is not None}), o.main()
 
 
 def contents(pages: DataFrame) -> DataFrame:
@@ -201,12 +205,15 @@ def contents(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, main_html string, text string, markdown string")
 
 
-def outlinks(pages: DataFrame, *, origin: str | None = None, prefix: str | None = None) -> DataFrame:
-    """page_id, url, title, links of each page as a browser reads them; only links of the origin and below the prefix, if given."""
+def outlinks(pages: DataFrame, *, origin: str | None = None, prefix: str | None = None, ended: bool = False) -> DataFrame:
+    """page_id, url, title, links of each page as a browser reads them; only links of the origin and below the prefix, if given.
+
+    ended: in titles, only character references that end with a semicolon are decoded.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = [read(h or "", u or "") for h, u in zip(b["html"], b["url"], strict=True)]
+            got = [read(h or "", u or "", ended=ended) for h, u in zip(b["html"], b["url"], strict=True)]
             kept = [[x for x in found if web.within(x, origin, prefix)] for _, found, _ in got]
             yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "title": [t for t, _, _ in got], "links": kept})
 
