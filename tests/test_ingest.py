@@ -115,3 +115,25 @@ def test_sharded_writes_replace_only_their_shards(spark, tmp_path):
     exports.write_transcripts(row("101", "202"), path)
     exports.write_transcripts(row("301"), path)
     assert {tuple(r) for r in spark.read.parquet(path).select("video_id", "text").collect()} == {("202", "t202"), ("301", "t301")}
+
+
+def many_files(folder, n):
+    for k in range(n):
+        at = folder / f"participant=p{k}"
+        at.mkdir(parents=True)
+        (at / "part-0.json").write_text(json.dumps([{"tiktok_watch_history": [{"Date": "2024-01-01 00:00:00", "Link": f"https://www.tiktok.com/@u/video/{7 * 10**18 + k}"}]}]))
+
+
+def test_many_small_files_are_read_in_few_tasks(spark, tmp_path):
+    many_files(tmp_path / "box", 300)
+    files = exports.export_files(spark, f"file://{tmp_path}/box")
+    assert files.rdd.getNumPartitions() <= 4 and files.count() == 300
+
+
+def test_folders_of_many_batches_are_put_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "MOST_FOLDERS", 2)
+    many_files(tmp_path / "box", 5)
+    root = f"file://{tmp_path}/tables"
+    inbox.ingest_stream(spark, f"file://{tmp_path}/box", root, f"file://{tmp_path}/progress", as_of=1, files_per_trigger=1, level=-2, buckets=1).awaitTermination()
+    got = commits.snapshot(spark, root)
+    assert got.read("batches").count() == 5 and all(len(got.tables[t]["0"]) <= 2 and got.read(t).count() == 5 for t in ("videos", "watch_history"))
