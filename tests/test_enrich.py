@@ -239,3 +239,10 @@ def test_page_title_follows_its_sql_where_a_reference_is_cut(spark, tmp_path):
 
 def test_main_content_is_found_after_other_line_ends():
     assert pages.read("a\rb\x0cc\u2028d\n<p>x</p>\n<main>one</main>", "u")[2] == "one"
+
+
+@pytest.mark.parametrize("run", [pages.contents, pages.outlinks, lambda p: pages.records(p, "now")])
+def test_batches_of_pages_are_bounded_by_bytes(spark, run):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    run(spark.createDataFrame([], "page_id long, url string, html string"))
+    assert 0 < int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchloom.functions import web
-from watchloom.operators.tables import numbered, shared_folder, written
+from watchloom.operators.tables import bounded, numbered, shared_folder, written
 
 #: What holds a page's main content, in order of preference: (tag, class, role).
 MAIN = (("main", "", ""), ("article", "", ""), ("", "", "main"), ("", "theme-doc-markdown", ""), ("", "markdown", ""), ("", "content", ""), ("", "doc-content", ""), ("", "DocSearch-content", ""))
@@ -202,6 +202,7 @@ def contents(pages: DataFrame) -> DataFrame:
             main = [Outline(h or "").main() for h in b["html"]]
             yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "main_html": main, "text": [Text(m).text() for m in main], "markdown": [Markdown(m).text() for m in main]})
 
+    bounded(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, main_html string, text string, markdown string")
 
 
@@ -217,6 +218,7 @@ def outlinks(pages: DataFrame, *, origin: str | None = None, prefix: str | None
             kept = [[x for x in found if web.within(x, origin, prefix)] for _, found, _ in got]
             yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "title": [t for t, _, _ in got], "links": kept})
 
+    bounded(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, title string, links array<string>")
 
 
@@ -229,6 +231,7 @@ def records(pages: DataFrame, fetched_at: str, *, origin: str | None = None, pre
             kept = [[x for x in found if web.within(x, origin, prefix)] for _, found, _ in got]
             yield pd.DataFrame({"url": b["url"], "title": [t for t, _, _ in got], "slug": b["slug"], "markdown": [Markdown(m).text() for *_, m in got], "text": [Text(m).text() for *_, m in got], "links": kept})
 
+    bounded(pages.sparkSession)
     found = pages.select("url", "html", web.slug(F.col("url")).alias("slug")).mapInPandas(run, "url string, title string, slug string, markdown string, text string, links array<string>")
     return found.select("url", "title", F.lit(fetched_at).alias("fetched_at"), "slug", "markdown", "text", "links")
 
