@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from watchloom import schemas
 from watchloom.operators import signals
+from watchloom.plans import feeds
 
 TOKENS = [[(1, "a", 0.5, -0.7), (2, "b", 0.25, -1.4)], [(3, "c", 1.0, 0.0)]]
 
@@ -128,3 +129,9 @@ def test_a_line_is_parsed_once(spark):
     lines = spark.range(3).selectExpr("to_json(struct(id)) as value", "id")
     plan = signals.read_artifacts(lines, keep=("id",))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_looked_up_probabilities_are_the_computed_ones(spark):
+    m = F.col("id")
+    rows = spark.range(1000).select((m / 1000.0).alias("p"), F.least(F.round(F.log(m / 1000.0 + 0.001), 6), F.lit(0.0)).alias("plog")).collect()
+    assert [r["p"] for r in rows] == feeds.UNIT and [r["plog"] for r in rows] == feeds.LOGS
