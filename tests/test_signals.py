@@ -135,3 +135,54 @@ def test_looked_up_probabilities_are_the_computed_ones(spark):
     m = F.col("id")
     rows = spark.range(1000).select((m / 1000.0).alias("p"), F.least(F.round(F.log(m / 1000.0 + 0.001), 6), F.lit(0.0)).alias("plog")).collect()
     assert [r["p"] for r in rows] == feeds.UNIT and [r["plog"] for r in rows] == feeds.LOGS
+
+
+def shuffled(spark, df):
+    """Bytes that df's stages write to the shuffle."""
+    sc = spark.sparkContext
+    stages = lambda: {(x := s.apply(i)).stageId(): x.shuffleWriteBytes() for s in [sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())] for i in range(s.size())}
+    old = stages()
+    df().collect()
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    return sum(n for i, n in stages().items() if i not in old)
+
+
+@pytest.mark.parametrize("of", [signals.compare, signals.determinism, signals.overlaps])
+def test_equal_tokens_do_not_travel(spark, of, tmp_path):
+    """Artifacts of 2 sides that agree: far less than their tokens is shuffled."""
+    words = F.transform(F.sequence(F.lit(0), F.lit(499)), lambda k: F.struct(k.alias("id"), F.md5((F.col("id") * 500 + k).cast("string")).alias("text"), F.rand(1).alias("p"), F.lit(-0.5).cast("double").alias("plog")))
+    spark.range(100).select(F.col("id").cast("string").alias("video_id"), F.array(F.struct(F.lit(0.1).cast("double").alias("no_speech_prob"), words.alias("tokens"))).alias("segments")).write.parquet(f"file://{tmp_path}/a")
+    a = spark.read.parquet(f"file://{tmp_path}/a")  # 1.6 MB of text
+    assert shuffled(spark, lambda: of(a, a)) < 200_000
+
+
+def test_comparison_of_values_without_order(spark):
+    """Null, endless and missing numbers of both sides: as if each position were looked at."""
+    nan, inf = float("nan"), float("inf")
+    rows = {"nan": (0.1, [(1, "a", 0.5, 0.0), (1, "a", nan, 0.0)]), "inf": (0.1, [(1, "a", 0.5, -inf)]), "null": (0.1, [(None, None, None, 0.0)]), "still": (nan, [(1, "a", 0.5, 0.0)]), "bare": (0.1, []), "unknown": (None, [(1, "a", 0.5, 0.0)])}
+    a = make(spark, *((k, [v]) for k, v in rows.items()))
+    b = make(spark, *((k, [v]) for k, v in (rows | {"null": (0.1, [(None, "a", None, 0.0)])}).items()))
+    assert {r[0]: (r[1], r[2]) for r in signals.compare(a, a).collect()} == {"nan": ("probabilities", 1), "inf": ("probabilities", 0), "null": ("pass", None), "still": ("windows", None), "bare": ("coverage", None), "unknown": ("pass", None)}
+    assert {r[0]: r[1] for r in signals.compare(a, b).collect()}["null"] == "tokens"
+    twice = signals.compare(a.union(a.where("video_id = 'bare'")), b)
+    assert sorted(r[0] for r in twice.collect()) == sorted([*rows, "bare"])
+
+
+def test_determinism_of_odd_values(spark):
+    one = spark.createDataFrame([("zero", [(-0.0, "-0.0,")]), ("text", [(-0.0, "-0.0,")]), ("null", [(None, "a")]), ("order", [(1.0, None)]), ("nan", [(float("nan"), "a")])], "video_id string, x array<struct<p:double,t:string>>")
+    two = spark.createDataFrame([("zero", [(0.0, "-0.0,")]), ("text", [(0.0, "0.0,")]), ("null", [(None, "a")]), ("order", [(None, "1.0")]), ("nan", [(float("nan"), "a")])], one.schema)
+    assert {r[0]: r[1] for r in signals.determinism(one, two).collect()} == {"zero": "same", "text": "differs", "null": "same", "order": "differs", "nan": "same"}
+
+
+def test_the_feed_has_no_lambda_a_token(spark, tmp_path):
+    """Odd texts against a plain loop."""
+    texts = {0: "a b\nc", 11: " x  y \n\n", 22: "a\n\nb c", 44: None, 33: "gone", -5: "p q", 55: "é\n"}
+    spark.createDataFrame([(k, v, "en") for k, v in texts.items()], "doc_id long, text string, lang string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    pre, post = (feeds.artifacts(spark, f"file://{tmp_path}", post=p) for p in (False, True))
+    assert "lambdafunction" not in pre._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["doc_id"]: [(s["no_speech_prob"], [tuple(t) for t in s["tokens"]]) for s in r["segments"]] for r in pre.collect()}
+    rest = lambda n, m: n % m if n >= 0 else -(-n % m)
+    token = lambda d, s, k, w: (i := rest(d * 31 + s * 17 + k * 7, 50000), w, None if i < 0 else feeds.UNIT[i % 1000], None if i < 0 else feeds.LOGS[i % 1000])
+    assert got == {d: [(rest(d + s, 100) / 100.0, [token(d, s, k, w) for k, w in enumerate(x for x in line.split(" ") if x)]) for s, line in enumerate((t or "").split("\n"))] for d, t in texts.items()}
+    changed = {r["doc_id"]: r["segments"] for r in post.collect()}
+    assert set(changed) == set(texts) - {33} and changed[0][0]["tokens"][0]["text"] == "ax" and len(changed[22]) == 2 and abs(changed[11][0]["tokens"][0]["p"] - got[11][0][1][0][2] - 1e-5) < 1e-12
