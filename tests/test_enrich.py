@@ -246,3 +246,18 @@ def test_batches_of_pages_are_bounded_by_bytes(spark, run):
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
     run(spark.createDataFrame([], "page_id long, url string, html string"))
     assert 0 < int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
+
+
+def test_a_run_works_its_videos_out_once(spark):
+    from watchloom.plans import feeds, registry
+
+    n = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            n.add(b.num_rows)
+            yield b
+
+    v = feeds.videos(spark, "/root/testdata/sf0.001")
+    run = enrich.process_run(v.mapInArrow(counted, v.schema), registry.fake_enricher, as_of=feeds.AS_OF, workers=["a"], cap=None)
+    assert run.videos.count() == v.count() and run.outcomes.count() and n.value == v.count()
