@@ -178,3 +178,9 @@ def test_one_of_each_group_stays(awkward):
     blank = [str(d) for d, t in rows if not tuple_set(t)]
     comps = {c for d, n, c in brute(rows) if n and c is not None}
     assert ids == sorted(blank + [str(c) for c in comps] + ["None"])  # the text with a null id is alone
+
+
+def test_keys_travel_in_six_bytes():
+    keys = jaccard.mix64(np.arange(10_000, dtype=np.uint64))
+    got = jaccard.short(keys)
+    assert (got < np.uint64(1 << 48)).all() and ((got & np.uint64(1)) == (keys & np.uint64(1))).all() and len(np.unique(got >> np.uint64(1))) == len(got)

@@ -46,8 +46,8 @@ from watchloom.llm.common import materialise, need, pieces, prepare
 from watchloom.llm.mixing import WORD
 from watchloom.llm.words import U, mix64, shingles, words_of
 
-#: Bits of a sketch block, as a power of 2.
-BLOCK_BITS = 16
+#: Bits of a sketch block, as a power of 2; bits of a block's key.
+BLOCK_BITS, KEY_BITS = 16, 48
 #: Set identities that a task remembers, to emit a copied text once.
 SEEN = 1_000_000
 #: Rounds with one member a group at most; pairs left to the last round, a set, with which no further one is made.
@@ -110,6 +110,11 @@ def block_keys(s: np.ndarray, rare: np.ndarray, q: int, d: int, k: int) -> np.nd
     return np.concatenate([*out, keys & even | U(2 * len(own) > d)])
 
 
+def short(keys: np.ndarray) -> np.ndarray:
+    """Keys by KEY_BITS of their bits, still odd for probes: two empty bytes shrink in the shuffle. Unlike blocks that then meet are only candidates."""
+    return keys >> U(64 - KEY_BITS) & ~U(1) | keys & U(1)
+
+
 def identity(s: np.ndarray, bits: int = 64) -> int:
     return int((mix64(s + U(1)).sum(dtype=np.uint64) >> U(64 - bits)).astype(np.int64)) if len(s) else 0
 
@@ -220,7 +225,7 @@ def shared_blocks(docs: DataFrame, common: np.ndarray, name: Name = identity, wi
                 rare = ~marked(bits, s.view(np.int64))
                 i = int(np.searchsorted(low, len(s), "right")) - 1
                 for q in (i, i - 1)[: 1 + (i > 0)]:
-                    keys.append(block_keys(s, rare, q, int(d[q]), int(k[q])))
+                    keys.append(short(block_keys(s, rare, q, int(d[q]), int(k[q]))))
                     cids.append(np.full(len(keys[-1]), cid, np.int64))
             if len(seen) > SEEN:
                 seen.clear()
