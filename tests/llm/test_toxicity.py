@@ -92,6 +92,31 @@ def test_field_learns_a_lexicon_with_context():
     assert (s[np.array(toxic) == 1] > 0.5).all() and (s[np.array(toxic) == 0] < 0.3).all()
 
 
+def test_words_that_the_sample_lacks_are_plain():
+    """Most words of other documents are rare: they don't make clean ones toxic."""
+    r = np.random.default_rng(5)
+    name = lambda k: "".join("bcdfghklmn"[int(c)] + "aeiou"[int(c) % 5] for c in str(k * 7919 % 1_000_003))
+    bad = [f"vile{name(k)}" for k in range(12)]
+
+    def made(n):
+        rows = []
+        for i in range(n):
+            t = [name(k) for k in r.zipf(1.3, 60) % 100_000]
+            if i % 8 == 0:
+                t[int(r.integers(0, 60))] = t[int(r.integers(0, 60))] = bad[int(r.integers(0, 12))]
+            rows.append(" ".join(t))
+        w = words_of(pa.array(rows))
+        return toxicity.features(w), w.first, (np.arange(n) % 8 == 0).astype(int)
+
+    sample = made(480)
+    m = toxicity.learn(*sample)
+    once = np.bincount(sample[0][:, 0], minlength=1 << toxicity.FEATURE_BITS) == 1
+    assert once.sum() > 1000 and np.abs(m.weights[once]).mean() < 0.5  # one occurrence says little
+    f, first, y = made(800)
+    s = m.scores(m.words(f, first), first)
+    assert (s[y == 0] < toxicity.THRESHOLD).mean() >= 0.99 and (s[y == 1] >= toxicity.THRESHOLD).mean() >= 0.95
+
+
 def test_all_words_of_the_sample_teach(spark, monkeypatch):
     """Words beyond any bound on the sample's words, in the longest documents, teach as well; tasks learn what one process learns."""
     monkeypatch.setattr(toxicity, "WORDS", 2000, raising=False)

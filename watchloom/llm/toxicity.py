@@ -172,8 +172,13 @@ def gradient(feat: np.ndarray, first: np.ndarray, toxic: np.ndarray, hot: np.nda
     return [by_weight, np.concatenate([[d.sum()], pair[old].sum(axis=0).ravel() - seen, starts])]
 
 
-def fit_field(total: Total, hot: np.ndarray, n: float, *, rounds: int = 40, rate: float = 0.3, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """(feature weights, transition weights, start weights, bias) by Adam on the likelihood of the labels of all n words."""
+def fit_field(total: Total, hot: np.ndarray, n: float, *, rounds: int = 40, rate: float = 0.3, decay: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(feature weights, transition weights, start weights, bias) by Adam on the likelihood of the labels of all n words.
+
+    Weights have a normal prior of variance 1 / decay, so that a feature needs occurrences to weigh: Adam's steps don't depend on how
+    small a gradient is, so rare features of plain words would else grow as heavy as others, and words that the sample lacks look toxic.
+    Steps shrink to nothing, so that the weights settle.
+    """
     dims = 1 << FEATURE_BITS
     par = np.zeros(dims + 7)  # weights, bias, 4 transitions, 2 starts
     par[dims] = -2.0
@@ -182,7 +187,7 @@ def fit_field(total: Total, hot: np.ndarray, n: float, *, rounds: int = 40, rate
         g = np.concatenate(total(gradient, hot, par)) / n
         g[:dims] += decay / n * par[:dims]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        par -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+        par -= rate * (1 - (step - 1) / rounds) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
         par[-6:] = par[-6:].clip(-8, 8)
     return par[:dims].copy(), np.exp(par[-6:-2]).reshape(2, 2), np.exp(par[-2:]), par[dims]
 
