@@ -184,3 +184,32 @@ def test_keys_travel_in_six_bytes():
     keys = jaccard.mix64(np.arange(10_000, dtype=np.uint64))
     got = jaccard.short(keys)
     assert (got < np.uint64(1 << 48)).all() and ((got & np.uint64(1)) == (keys & np.uint64(1))).all() and len(np.unique(got >> np.uint64(1))) == len(got)
+
+
+def test_only_sets_of_candidates_travel(spark, monkeypatch):
+    """Unlike texts that share a line meet in groups; whole sets are read only of pairs that sketches don't rule out."""
+    r = random.Random(6)
+    text = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    lines = [text(9) for _ in range(12)]
+    rows = [(i, " ".join(text(5) + lines[i % 12] + text(5))) for i in range(72)]
+    asked, sure = set(), set()
+    sets_of, possible, across = jaccard.sets_of, jaccard.possible, jaccard.across
+    both = lambda pairs: {x for p in pairs.collect() for x in (p["a"], p["b"])}
+
+    def spy(docs, ids, form, *rest):
+        if form is jaccard.pack:
+            asked.update(x["cid"] for x in ids.select("cid").collect())
+        return sets_of(docs, ids, form, *rest)
+
+    def told(f):
+        def run(*a):
+            sure.update(both(out := f(*a)))
+            return out
+
+        return run
+
+    monkeypatch.setattr(jaccard, "sets_of", spy)
+    monkeypatch.setattr(jaccard, "possible", told(possible))
+    monkeypatch.setattr(jaccard, "across", told(across))
+    got = sorted(map(tuple, jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute(rows) and asked <= sure

@@ -506,24 +506,29 @@ def grouped(docs: DataFrame, *, width: int = 5, percent: int = 80, bits: int = 6
     sketches = materialise(sets_of(docs, shared, sketch, name, width))
     pair = (F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
     pairs = materialise(shared.where("cid <> pivot").select(*pair).distinct())
-    first = materialise(possible(pairs, sketches, percent))
-    links = materialise(linked_pairs(first, materialise(sets_of(docs, ends(first), pack, name, width)), percent))
+
+    def checked(candidates: DataFrame) -> DataFrame:
+        """Those of the pairs that are linked: only sets of candidates, which sketches don't rule out, are read and travel."""
+        candidates = materialise(candidates)
+        if not candidates.limit(1).count():
+            return candidates
+        return linked_pairs(candidates, materialise(sets_of(docs, ends(candidates), pack, name, width)), percent)
+
+    links = materialise(checked(possible(pairs, sketches, percent)))
     label = components(links)
     rest = materialise(open_groups(shared, pairs, label))
-    most, left, sets = LEFT * sketches.count(), None, None
+    most, left = LEFT * sketches.count(), None
     for turn in range(STARS + 1):
         g = materialise(by_hub(rest, label, turn))
         before, left = left, pairs_left(g)
         if not left:
             break
-        if sets is None:
-            sets = materialise(sets_of(docs, g, pack, name, width))  # the sets that any later round can ask for
         if turn == STARS or turn and (left <= most or turn > 1 and left > 0.8 * before):
-            links = materialise(links.union(linked_pairs(materialise(across(g, sketches, percent)), sets, percent)))
+            links = materialise(links.union(checked(across(g, sketches, percent))))
             label = components(links)
             break
         tested = g.where("comp <> hub_comp").select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
-        links = materialise(links.union(linked_pairs(possible(tested, sketches, percent), sets, percent)))
+        links = materialise(links.union(checked(possible(tested, sketches, percent))))
         label = components(links)
         rest = g.where("cid <> hub").select("key", "cid", "probe")
     return m.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
