@@ -186,3 +186,11 @@ def test_the_feed_has_no_lambda_a_token(spark, tmp_path):
     assert got == {d: [(rest(d + s, 100) / 100.0, [token(d, s, k, w) for k, w in enumerate(x for x in line.split(" ") if x)]) for s, line in enumerate((t or "").split("\n"))] for d, t in texts.items()}
     changed = {r["doc_id"]: r["segments"] for r in post.collect()}
     assert set(changed) == set(texts) - {33} and changed[0][0]["tokens"][0]["text"] == "ax" and len(changed[22]) == 2 and abs(changed[11][0]["tokens"][0]["p"] - got[11][0][1][0][2] - 1e-5) < 1e-12
+
+
+def test_artifact_json_query_parses_a_line_once(spark, capsys):
+    from watchloom.plans import registry
+
+    registry.artifact_json(spark, "/root/testdata/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("from_json") == 1 and "get_json_object" not in plan
