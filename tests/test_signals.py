@@ -194,3 +194,14 @@ def test_artifact_json_query_parses_a_line_once(spark, capsys):
     registry.artifact_json(spark, "/root/testdata/sf0.001").explain()
     plan = capsys.readouterr().out
     assert plan.count("from_json") == 1 and "get_json_object" not in plan
+
+
+def test_full_artifacts_are_made_with_floats(spark, capsys):
+    from watchloom.plans import registry
+
+    sf = "/root/testdata/sf0.001"
+    registry.full_artifacts(spark, sf).explain()
+    plan = capsys.readouterr().out
+    assert "cast(segments" not in plan
+    rows = lambda d: {r["doc_id"]: r["segments"] for r in d.select("doc_id", "segments").collect()}
+    assert rows(feeds.artifacts(spark, sf, single=True)) == rows(feeds.artifacts(spark, sf).withColumn("segments", F.col("segments").cast(schemas.SEGMENTS)))
