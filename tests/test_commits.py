@@ -297,3 +297,51 @@ def test_an_inbox_of_bad_files(spark, root, tmp_path):
     (tmp_path / "box" / "participant=p.json").write_text("no")
     got = inbox.add_batch(exports.export_files(spark, f"file://{tmp_path}/box"), 0, root, as_of=1, buckets=2)
     assert got.read("quarantine").count() == 1 and got.read("videos").count() == 0 and got.read("batches").first()["files_quarantined"] == 1
+
+
+def test_a_small_batch_is_few_files_and_known_rows_stay_known(spark, root, tmp_path):
+    """One job writes a batch's tables, not a file for each bucket; a respondent who comes again adds only what is new, whatever the id."""
+    odd = "o'b\\c"
+    for k, batch in enumerate([[("p1", [(1, ids(1)), (2, ids(2))]), (odd, [(1, ids(1))])], [(odd, [(1, ids(1)), (5, ids(1))]), ("p2", [(1, ids(3))])]]):
+        rows = [(f"file:/box/participant={name}.json", json.dumps([{"tiktok_watch_history": [{"Date": f"2026-04-15 09:12:{s:02d}", "Link": link} for s, link in entries]}])) for name, entries in batch]
+        got = inbox.add_batch(spark.createDataFrame([*rows, (f"file:/box/participant=bad{k}.json", "no")], "file_path string, value string"), k, root, as_of=1, buckets=32)
+    assert all(len({p for ps in got.tables[t].values() for p in ps}) == 2 for t in ("videos", "watch_history", "quarantine")) and not commits.unused(spark, root)
+    watch = got.read("watch_history")
+    assert sorted(r["respondent_id"] for r in watch.collect()) == sorted(["p1", "p1", odd, odd, "p2"]) and got.read("videos").count() == 3 and got.read("quarantine").count() == 2
+    assert [(r["batch"], r["unique_videos_seen"], r["watch_history_duplicates"]) for r in got.read("batches").orderBy("batch").collect()] == [(0, 2, 0), (1, 2, 1)]
+    at = {b for b in range(32) if str(b) in got.tables["watch_history"]}
+    assert sum(got.read("watch_history", [b]).count() for b in at) == 5 and got.of_key("watch_history", odd).count() == got.of_keys("watch_history", [odd]).count() == 2
+    assert got.of_keys("watch_history", [], at).count() == 0
+
+
+def test_a_batch_without_entries(spark, root):
+    """Nothing to write, nothing bad: the counters say so, and the batch is done."""
+    got = inbox.add_batch(spark.createDataFrame([("file:/box/participant=p.json", "[]")], "file_path string, value string"), 0, root, as_of=1, buckets=2)
+    told = got.read("batches").first()
+    assert (told["files_processed"], told["unique_videos_seen"], told["watch_history_duplicates"]) == (1, 0, 0) and got.progress["inbox"] == 0
+    assert got.read("videos").count() == got.read("watch_history").count() == got.read("quarantine").count() == 0
+
+
+def test_many_keys_are_not_named_to_the_scan(spark, root, monkeypatch):
+    rows = spark.range(6).selectExpr("concat('r', id) AS respondent_id", "'v' AS video_id", "id AS watched_at", "true AS in_window")
+    got = commits.transact(spark, root, lambda s: Change(appended={"watch_history": rows}), buckets=2)[0]
+    assert sorted(r[0] for r in got.of_keys("watch_history", ["r1", "r4", "no"]).select("watched_at").collect()) == [1, 4]
+    monkeypatch.setattr(commits, "MOST_NAMED", 2)
+    assert got.of_keys("watch_history", ["r1", "r4", "no"]).count() == 6  # whole buckets, for the join to look through
+
+
+def test_large_folders_are_not_written_again_with_the_newest(spark, root):
+    """Of a bucket the newest folders are put together; one that is larger than these stays."""
+    for n in (20_000, 3, 3, 3):
+        rows = spark.range(n).selectExpr("'r' AS respondent_id", "md5(CAST(id AS STRING)) AS video_id", "id AS watched_at", "true AS in_window")
+        before = commits.transact(spark, root, lambda s, rows=rows: Change(appended={"watch_history": rows}), buckets=1)[0]
+    after = commits.merge_newest(spark, root, "watch_history", 3)
+    assert after.tables["watch_history"]["0"][0] == before.tables["watch_history"]["0"][0] and len(after.tables["watch_history"]["0"]) == 2
+    assert after.read("watch_history").count() == 20_009 and commits.merge_newest(spark, root, "watch_history", 3).version == after.version
+
+
+def test_newest_version_is_found_without_a_listing(spark, root):
+    for k in range(1, 7):
+        commits.transact(spark, root, lambda s, k=k: Change(progress={"n": k}))
+        assert commits.newest(spark, root) == k
+    assert commits.newest(spark, f"{root}/none") == 0
