@@ -205,3 +205,12 @@ def test_full_artifacts_are_made_with_floats(spark, capsys):
     assert "cast(segments" not in plan
     rows = lambda d: {r["doc_id"]: r["segments"] for r in d.select("doc_id", "segments").collect()}
     assert rows(feeds.artifacts(spark, sf, single=True)) == rows(feeds.artifacts(spark, sf).withColumn("segments", F.col("segments").cast(schemas.SEGMENTS)))
+
+
+def test_summary_lists_what_failed(spark):
+    """Totals, and each artifact that fails with its check; only totals if none does."""
+    pre = side(spark, gone=[(0.1, TOKENS[0])])
+    post = side(spark, text=[(0.1, [TOKENS[0][0], (2, "x", 0.25, -1.4)]), (0.2, TOKENS[1])], merged=[(0.1, TOKENS[0] + TOKENS[1])])
+    rows = [tuple(r) for r in signals.compare_summary(signals.compare(pre, post), "video_id").select("compared", "passed", "failed", "video_id", "verdict").collect()]
+    assert sorted(rows, key=str) == sorted([(8, 5, 3, None, None), (None, None, None, "gone", "missing"), (None, None, None, "merged", "windows"), (None, None, None, "text", "tokens")], key=str)
+    assert [r["failed"] for r in signals.compare_summary(signals.compare(pre, pre), "video_id").collect()] == [0]
