@@ -340,6 +340,15 @@ def test_large_folders_are_not_written_again_with_the_newest(spark, root):
     assert after.read("watch_history").count() == 20_009 and commits.merge_newest(spark, root, "watch_history", 3).version == after.version
 
 
+def test_a_merge_leaves_room_for_new_folders(spark, root):
+    """However different the sizes: else each few batches would be a merge, and files would pile up."""
+    for n in (30_000, 14_000, 6_000, 2_500, 1_000, 400, 100, 20, 3):
+        rows = spark.range(n).selectExpr("'r' AS respondent_id", "md5(CAST(id AS STRING)) AS video_id", "id AS watched_at", "true AS in_window")
+        commits.transact(spark, root, lambda s, rows=rows: Change(appended={"watch_history": rows}), buckets=1)
+    after = commits.merge_newest(spark, root, "watch_history", 8)
+    assert len(after.tables["watch_history"]["0"]) == 2 and after.read("watch_history").count() == 54_023
+
+
 def test_newest_version_is_found_without_a_listing(spark, root):
     for k in range(1, 7):
         commits.transact(spark, root, lambda s, k=k: Change(progress={"n": k}))
